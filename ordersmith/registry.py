@@ -104,3 +104,155 @@ SELECT order_sn,
 FROM master GROUP BY order_sn"""))
 def q_order_summary(spark, sf_dir):
     return marts.order_summary(master(spark, sf_dir))
+
+
+def _cols(cols) -> str:
+    return ", ".join(cols)
+
+
+def _first_rows_sql(cols, source="master", key="order_sn") -> str:
+    return (f"SELECT {_cols(cols)} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY row_no) AS __rn "
+            f"FROM {source}) WHERE __rn = 1")
+
+
+from ordersmith.schema import DETAIL_COLUMNS, HEADER_COLUMNS, SHIPPING_COLUMNS  # noqa: E402
+
+
+@register("order_details", with_master(f"SELECT {_cols(DETAIL_COLUMNS)} FROM master"))
+def q_order_details(spark, sf_dir):
+    return marts.order_details(master(spark, sf_dir))
+
+
+@register("order_headers", with_master(_first_rows_sql(HEADER_COLUMNS)))
+def q_order_headers(spark, sf_dir):
+    return marts.order_headers(master(spark, sf_dir))
+
+
+# A reporting map over the shop nations (the shipped default maps city spellings).
+TEST_CITY_LABELS = {"NATION_1": "Label One", "NATION_2": "Label Two", "NATION_3": "Label Three"}
+_CITY_CASE = ("CASE recipient_city " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TEST_CITY_LABELS.items())
+              + " ELSE recipient_city END AS recipient_city")
+
+
+@register("order_shipping", with_master(
+    _first_rows_sql([(_CITY_CASE if c == "recipient_city" else c) for c in SHIPPING_COLUMNS])))
+def q_order_shipping(spark, sf_dir):
+    return marts.order_shipping(master(spark, sf_dir), TEST_CITY_LABELS)
+
+
+TEST_PLATFORMS = ["NATION_3", "NATION_7"]
+_PLAT_IN = ", ".join(f"'{p}'" for p in TEST_PLATFORMS)
+
+
+@register("platform_split", with_master(f"""
+SELECT order_sn, row_no, shop_name,
+       CASE WHEN shop_name IN ({_PLAT_IN}) THEN 'special' ELSE 'normal' END AS side
+FROM master"""))
+def q_platform_split(spark, sf_dir):
+    special, normal = marts.split_platforms(master(spark, sf_dir), TEST_PLATFORMS)
+    cols = ["order_sn", "row_no", "shop_name"]
+    return special.select(*cols, F.lit("special").alias("side")).unionByName(
+        normal.select(*cols, F.lit("normal").alias("side")))
+
+
+@register("amount_check", with_master("""
+SELECT round(sum(lines), 2) AS amount_over_lines, round(sum(firsts), 2) AS amount_over_orders FROM (
+  SELECT order_sn, sum(total_amount_paid_by_buyer) AS lines,
+         first(total_amount_paid_by_buyer ORDER BY row_no) AS firsts
+  FROM master GROUP BY order_sn)"""))
+def q_amount_check(spark, sf_dir):
+    return marts.amount_check(master(spark, sf_dir))
+
+
+# ============================================================ upsert
+from ordersmith.plans import upsert as U  # noqa: E402
+
+# Snapshots: the old master holds orders before 1998-07 (quantities edited so a
+# replacement is visible); the new export holds 1998, where pending orders
+# ('P') are no longer exported.
+OLD_AS_OF, NEW_AS_OF, RUN_TS = "1998-07-01", "1999-01-01", "1999-01-01 06:00:00"
+
+
+def upsert_old(spark, sf_dir):
+    m = td.order_master(spark, sf_dir, OLD_AS_OF)
+    return (m.filter(F.col("order_date") < F.lit("1998-07-01").cast("date"))
+             .withColumn("quantity", F.col("quantity") + 1))
+
+
+def upsert_new(spark, sf_dir):
+    m = td.order_master(spark, sf_dir, NEW_AS_OF)
+    return m.filter(F.col("order_date").between(F.lit("1998-01-01").cast("date"), F.lit("1998-12-31").cast("date"))
+                    & (F.col("order_status") != "P"))
+
+
+def _kp(x: str) -> str:
+    return f"(CASE WHEN {x} IS NULL OR trim({x}) IN ('nan','NaN','<NA>','None','') THEN NULL ELSE trim({x}) END)"
+
+
+_ALL = _cols(MASTER_COLUMNS + ["row_no"])
+_UPSERT_CTE = f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+m_old AS ({master_select_sql(OLD_AS_OF)}),
+m_new AS ({master_select_sql(NEW_AS_OF)}),
+old AS (SELECT * REPLACE (quantity + 1 AS quantity) FROM m_old WHERE order_date < DATE '1998-07-01'),
+new AS (SELECT * FROM m_new WHERE order_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
+        AND order_status <> 'P'),
+span AS (SELECT min(order_date) AS lo, max(order_date) AS hi FROM new),
+nk AS (SELECT DISTINCT order_date AS kd, {_kp('order_sn')} AS ks, {_kp('buyer_username')} AS kb FROM new),
+old_c AS (SELECT o.*, coalesce(o.order_date BETWEEN (SELECT lo FROM span) AND (SELECT hi FROM span), false) AS in_span,
+                 EXISTS (SELECT 1 FROM nk WHERE nk.kd IS NOT DISTINCT FROM o.order_date
+                         AND nk.ks IS NOT DISTINCT FROM {_kp('o.order_sn')}
+                         AND nk.kb IS NOT DISTINCT FROM {_kp('o.buyer_username')}) AS hit
+          FROM old o)
+"""
+
+
+@register("upsert_orders", _UPSERT_CTE + f"""
+SELECT {_ALL} FROM old_c WHERE NOT (in_span AND hit)
+UNION ALL SELECT {_ALL} FROM new""")
+def q_upsert_orders(spark, sf_dir):
+    return U.upsert_orders(upsert_old(spark, sf_dir), upsert_new(spark, sf_dir))
+
+
+@register("find_orphans", _UPSERT_CTE + f"""
+SELECT {_ALL}, TIMESTAMP '{RUN_TS}' AS orphaned_timestamp FROM old_c WHERE in_span AND NOT hit""")
+def q_find_orphans(spark, sf_dir):
+    return U.find_orphans(upsert_old(spark, sf_dir), upsert_new(spark, sf_dir), run_ts=RUN_TS)
+
+
+@register("upsert_statistics", _UPSERT_CTE + f"""
+SELECT action, CAST(count(*) AS BIGINT) AS orders, CAST(sum(n) AS BIGINT) AS lines FROM (
+  SELECT CASE WHEN NOT in_span THEN 'kept_outside_span' WHEN hit THEN 'replaced' ELSE 'orphaned' END AS action,
+         order_date, {_kp('order_sn')}, {_kp('buyer_username')}, count(*) AS n
+  FROM old_c GROUP BY ALL
+  UNION ALL
+  SELECT 'inserted', order_date, {_kp('order_sn')}, {_kp('buyer_username')}, count(*) FROM new GROUP BY ALL
+) GROUP BY action""")
+def q_upsert_statistics(spark, sf_dir):
+    return U.upsert_statistics(upsert_old(spark, sf_dir), upsert_new(spark, sf_dir))
+
+
+@register("key_statistics", with_master("""
+SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS orders,
+       CAST(sum(n) - count(*) AS BIGINT) AS extra_lines, round(sum(n) / count(*), 4) AS lines_per_order
+FROM (SELECT order_date, order_sn, buyer_username, count(*) AS n FROM master GROUP BY ALL)"""))
+def q_key_statistics(spark, sf_dir):
+    from ordersmith.operators.aggregates import key_statistics
+    return key_statistics(master(spark, sf_dir), ["order_date", "order_sn", "buyer_username"])
+
+
+@register("new_batch_span", _UPSERT_CTE + """
+SELECT min(order_date) AS min_date, max(order_date) AS max_date, CAST(count(order_date) AS BIGINT) AS dated_rows
+FROM new""")
+def q_new_batch_span(spark, sf_dir):
+    from ordersmith.operators.aggregates import date_extent
+    return date_extent(upsert_new(spark, sf_dir), "order_date")
+
+
+@register("duplicated_order_lines", with_master("""
+SELECT order_sn, row_no FROM master m WHERE (SELECT count(*) FROM master x
+  WHERE x.order_date IS NOT DISTINCT FROM m.order_date AND x.order_sn IS NOT DISTINCT FROM m.order_sn
+    AND x.buyer_username IS NOT DISTINCT FROM m.buyer_username) > 1"""))
+def q_duplicated_order_lines(spark, sf_dir):
+    from ordersmith.operators.windows import duplicated_key_rows
+    return duplicated_key_rows(master(spark, sf_dir), ["order_date", "order_sn", "buyer_username"]) \
+        .select("order_sn", "row_no")

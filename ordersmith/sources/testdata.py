@@ -145,21 +145,29 @@ _SHEET_SOURCE = {"shop_name": "店鋪名稱", "buyer_username": "買家帳號",
 assert all(SHEET_EXPORT_HEADERS[v] == k for k, v in _SHEET_SOURCE.items())
 
 
+def title_first(c: str) -> Column:
+    """First character upper case, the rest lower case (``NATION_7`` -> ``Nation_7``)."""
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+
+
 def raw_sheet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of 1997-1998 as a spreadsheet export (text cells, sheet headers).
 
     Shops are written by their alias (``Nation_7`` style) for building-segment
-    buyers and by canonical name otherwise; the money column is plain text and
-    the sheet carries its helper columns.
+    buyers and by canonical name otherwise; pending orders have ``'-'`` as
+    their day; the money column is plain text and the sheet carries its
+    helper columns.
     """
     ol = order_lines(spark, sf_dir).filter(F.year("order_date").between(1997, 1998))
     c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("buyer_username"), "c_mktsegment")
     ol = ol.join(c, "buyer_username")
-    shop = F.when(F.col("c_mktsegment") == "BUILDING", F.initcap("shop_name")).otherwise(F.col("shop_name"))
+    shop = F.when(F.col("c_mktsegment") == "BUILDING", title_first("shop_name")).otherwise(F.col("shop_name"))
     return ol.select(
         shop.alias(_SHEET_SOURCE["shop_name"]),
         _text("buyer_username").alias(_SHEET_SOURCE["buyer_username"]),
-        _text("order_date").alias(_SHEET_SOURCE["order_date"]),
+        # pending orders carry a placeholder instead of a day in the sheet
+        F.when(F.col("order_status") == "P", F.lit("-")).otherwise(_text("order_date"))
+         .alias(_SHEET_SOURCE["order_date"]),
         _text("order_sn").alias(_SHEET_SOURCE["order_sn"]),
         _text("order_status").alias(_SHEET_SOURCE["order_status"]),
         F.date_format("order_creation_timestamp", "yyyy/MM/dd HH:mm").alias(_SHEET_SOURCE["order_creation_timestamp"]),
@@ -178,7 +186,7 @@ def shop_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(
         F.col("n_name").alias("shop_name"),
         F.lower("n_name").alias("shop_account"),
-        F.concat_ws(",", F.col("n_name"), F.initcap("n_name")).alias("keywords"),
+        F.concat_ws(",", F.col("n_name"), title_first("n_name")).alias("keywords"),
     )
 
 
