@@ -94,7 +94,7 @@ _YYMMDD = r"^(\d\d)(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
 
 def _ymd(year: Column, month: Column, day: Column) -> Column:
     text = F.concat(F.lpad(year, 4, "0"), F.lpad(month, 2, "0"), F.lpad(F.trim(day), 2, "0"))
-    return F.try_to_date(text, F.lit("yyyyMMdd"))
+    return F.try_to_date(text, "yyyyMMdd")
 
 
 def order_date_from_sn(c: ColumnOrName) -> Column:
@@ -116,7 +116,7 @@ def order_date_from_sn(c: ColumnOrName) -> Column:
                  _ymd(F.concat(century, yy), mm, dd))
     eight = F.when(F.length(s) >= 8,
                    F.when(F.substring(s, 1, 8).rlike(r"^\d{8}$"),
-                          F.try_to_date(F.substring(s, 1, 8), F.lit("yyyyMMdd"))))
+                          F.try_to_date(F.substring(s, 1, 8), "yyyyMMdd")))
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("date")).otherwise(F.coalesce(six, eight))
 
 
@@ -129,7 +129,7 @@ def to_date_tolerant(c: ColumnOrName, formats: Iterable[str] = DATE_FORMATS) ->
     x = F.trim(_col(c).cast("string"))
     day = F.regexp_extract(x, r"^([0-9]{1,4}[-/][0-9]{1,2}[-/][0-9]{1,4}|[0-9]{8})(?:$|[ T])", 1)
     candidates = [x.try_cast("date")]
-    candidates += [F.try_to_date(day, F.lit(f)) for f in formats]
+    candidates += [F.try_to_date(day, f) for f in formats]
     return F.coalesce(*candidates)
 
 

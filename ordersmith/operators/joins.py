@@ -116,15 +116,14 @@ def fill_shop_account(df: DataFrame, aliases: DataFrame) -> DataFrame:
         df = df.withColumn("shop_account", F.lit(""))
     needs = F.coalesce(F.col("shop_account"), F.lit("")) == ""
     joined = df.join(a, df["shop_name"] == a["__alias"], "left")
-    return (joined
-            .withColumn("shop_account",
-                        F.when(needs, F.when(F.col("shop_name").isNull(), F.lit(""))
-                                       .otherwise(F.coalesce(F.col("__acct"), F.lit(""))))
-                         .otherwise(F.col("shop_account")))
-            .withColumn("shop_name",
-                        F.when(needs, F.coalesce(F.col("__canon"), F.col("shop_name")))
-                         .otherwise(F.col("shop_name")))
-            .drop("__alias", "__acct", "__canon"))
+    # both outputs are computed from the input values in one projection
+    return joined.withColumns({
+        "shop_account": F.when(needs, F.when(F.col("shop_name").isNull(), F.lit(""))
+                                        .otherwise(F.coalesce(F.col("__acct"), F.lit(""))))
+                         .otherwise(F.col("shop_account")),
+        "shop_name": F.when(needs, F.coalesce(F.col("__canon"), F.col("shop_name")))
+                      .otherwise(F.col("shop_name")),
+    }).drop("__alias", "__acct", "__canon")
 
 
 # ------------------------------------------------------------------------ J6

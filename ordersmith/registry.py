@@ -256,3 +256,168 @@ def q_duplicated_order_lines(spark, sf_dir):
     from ordersmith.operators.windows import duplicated_key_rows
     return duplicated_key_rows(master(spark, sf_dir), ["order_date", "order_sn", "buyer_username"]) \
         .select("order_sn", "row_no")
+
+
+# ============================================================ cleaning (Q3, Q4, Q18)
+from ordersmith.plans import clean as C  # noqa: E402
+
+_NL = "chr(10) || chr(13)"
+_YYMMDD_RE = r"^(\d\d)(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
+
+
+def _tr(x: str) -> str:
+    return f"translate({x}, {_NL}, ' ')"
+
+
+def _money(x: str) -> str:
+    return f"TRY_CAST(regexp_replace({x}, '[^0-9.\\-]', '', 'g') AS DOUBLE)"
+
+
+def _ts(x: str, tokens=("-", "", "nan", "NaN")) -> str:
+    tok = ", ".join(f"'{t}'" for t in tokens)
+    cond = f"trim({x}) IN ({tok}) OR " if tokens else ""
+    return f"(CASE WHEN {cond}{x} IS NULL THEN NULL ELSE TRY_CAST(replace(trim({x}), '/', '-') AS TIMESTAMP) END)"
+
+
+def _long(x: str) -> str:
+    d = f"(CASE WHEN isnan(TRY_CAST({x} AS DOUBLE)) THEN NULL ELSE TRY_CAST({x} AS DOUBLE) END)"
+    return f"(CASE WHEN {d} = floor({d}) THEN CAST({d} AS BIGINT) END)"
+
+
+def _date_from_sn_sql(s: str) -> str:
+    h = f"substr({s}, 1, 6)"
+    g = lambda i: f"regexp_extract({h}, '{_YYMMDD_RE}', {i})"
+    six = (f"CASE WHEN length({s}) >= 6 AND length({g(0)}) = 6 THEN CAST(try_strptime("
+           f"(CASE WHEN CAST({g(1)} AS INT) >= 69 THEN '19' ELSE '20' END) || {g(1)} || lpad({g(2)}, 2, '0')"
+           f" || lpad(trim({g(3)}), 2, '0'), '%Y%m%d') AS DATE) END")
+    eight = (f"CASE WHEN length({s}) >= 8 AND regexp_matches(substr({s}, 1, 8), '^[0-9]{{8}}$') "
+             f"THEN CAST(try_strptime(substr({s}, 1, 8), '%Y%m%d') AS DATE) END")
+    return f"(CASE WHEN {s} IS NULL OR {s} = '' THEN NULL ELSE coalesce({six}, {eight}) END)"
+
+
+def _conform_sql(present: dict[str, str], extra: str = ", row_no") -> str:
+    parts = []
+    for c in MASTER_COLUMNS:
+        parts.append(f"{present[c]} AS {c}" if c in present else f"CAST(NULL AS {duck_type(column_type(c))}) AS {c}")
+    return ", ".join(parts) + extra
+
+
+_RAW_SQL = """SELECT order_sn AS sn, order_status AS st, buyer_username AS buyer,
+  CAST(order_creation_timestamp AS VARCHAR) AS created, CAST(actual_shipping_timestamp AS VARCHAR) AS shipped,
+  product_total_price_raw AS price, CAST(total_amount_paid_by_buyer AS VARCHAR) AS paid,
+  product_name AS pname, product_sku_main AS sku_main, product_sku_variation AS sku_var,
+  CAST(quantity AS VARCHAR) AS qty, CAST(return_quantity AS VARCHAR) AS rqty,
+  seller_voucher AS sv, voucher AS v,
+  replace(shop_name, '_', '-') || '_' || shop_account || '_Order.all.19950101_20011231.xlsx' AS file_name,
+  row_no FROM ol"""
+
+_CLEAN_PRESENT = {
+    "shop_name": "CASE WHEN instr(file_name, '_') > 1 AND instr(file_name, '_Order.all.') > instr(file_name, '_') + 1 "
+                 "THEN split_part(file_name, '_', 1) END",
+    "shop_account": "CASE WHEN instr(file_name, '_') > 1 AND instr(file_name, '_Order.all.') > instr(file_name, '_') + 1 "
+                    "THEN substr(file_name, instr(file_name, '_') + 1, instr(file_name, '_Order.all.') - instr(file_name, '_') - 1) END",
+    "processing_date": f"DATE '{AS_OF}'",
+    "order_date": _date_from_sn_sql("trim(sn)"),
+    "order_sn": "sn", "order_status": "st", "buyer_username": "buyer",
+    "order_creation_timestamp": _ts("created"), "actual_shipping_timestamp": _ts("shipped"),
+    "product_total_price": _money("price"), "total_amount_paid_by_buyer": _money("paid"),
+    "product_name": "pname", "product_sku_main": "sku_main", "product_sku_variation": "sku_var",
+    "quantity": _long("qty"), "return_quantity": _long("rqty"), "seller_voucher": "sv", "voucher": "v",
+}
+_RAW_TEXT = ["sn", "st", "buyer", "created", "shipped", "price", "paid", "pname", "sku_main", "sku_var",
+             "qty", "rqty", "sv", "v"]
+
+
+@register("clean_orders", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+raw AS ({_RAW_SQL}),
+txt AS (SELECT {", ".join(f"{_tr(c)} AS {c}" for c in _RAW_TEXT)}, file_name, row_no FROM raw)
+SELECT {_conform_sql(_CLEAN_PRESENT)} FROM txt""")
+def q_clean_orders(spark, sf_dir):
+    return C.clean_orders(td.raw_order_exports(spark, sf_dir), as_of=AS_OF).rows
+
+
+@register("clean_rejects")
+def q_clean_rejects(spark, sf_dir):
+    return C.clean_orders(td.raw_order_exports(spark, sf_dir), as_of=AS_OF).rejects
+
+
+_SHEET_AS_OF = "1999-01-01"
+_SHEET_PLATFORMS = TEST_PLATFORMS
+
+
+def _sheet_inputs(spark, sf_dir):
+    raw = td.raw_sheet_export(spark, sf_dir)
+    aliases = __import__("ordersmith.operators.joins", fromlist=["x"]).shop_alias_table(td.shop_aliases(spark, sf_dir))
+    old = master(spark, sf_dir).filter(F.year("order_date") <= 1997)
+    old_special = old.filter(F.col("shop_name").isin(_SHEET_PLATFORMS))
+    return raw, aliases, old, old_special
+
+
+def _sheet_sql(side: str) -> str:
+    plats = ", ".join(f"'{p}'" for p in _SHEET_PLATFORMS)
+    present = {
+        "shop_name": "shop_name", "shop_account": "shop_account", "processing_date": f"DATE '{_SHEET_AS_OF}'",
+        "order_date": "TRY_CAST(d_txt AS DATE)", "order_sn": "order_sn", "order_status": "order_status",
+        "buyer_username": "buyer_username", "order_creation_timestamp": _ts("created", ()),
+        "actual_shipping_timestamp": _ts("shipped", ()),
+    }
+    member = f"coalesce(shop_name IN ({plats}), false)"
+    pick = member if side == "special" else f"NOT {member}"
+    old_pick = member if side == "special" else f"NOT {member}"
+    return f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+master AS ({master_select_sql(AS_OF)}),
+sheet AS (
+  SELECT CASE WHEN c.c_mktsegment = 'BUILDING' THEN upper(substr(ol.shop_name, 1, 1)) || lower(substr(ol.shop_name, 2))
+              ELSE ol.shop_name END AS shop_raw,
+         ol.buyer_username, CASE WHEN ol.order_status = 'P' THEN '-' ELSE CAST(ol.order_date AS VARCHAR) END AS d_txt,
+         ol.order_sn, ol.order_status, strftime(ol.order_creation_timestamp, '%Y/%m/%d %H:%M') AS created,
+         CAST(ol.actual_shipping_timestamp AS VARCHAR) AS shipped, ol.row_no
+  FROM ol JOIN customer c ON c.c_name = ol.buyer_username
+  WHERE year(ol.order_date) BETWEEN 1997 AND 1998),
+aliases AS (
+  SELECT n_name AS alias, lower(n_name) AS acct, n_name AS canon FROM nation
+  UNION ALL
+  SELECT upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)), lower(n_name), n_name FROM nation),
+new_all AS (
+  SELECT coalesce(a.canon, s.shop_raw) AS shop_name,
+         CASE WHEN s.shop_raw IS NULL THEN '' ELSE coalesce(a.acct, '') END AS shop_account, s.*
+  FROM sheet s LEFT JOIN aliases a ON a.alias = s.shop_raw
+  WHERE s.order_sn IS NOT NULL),
+new AS (SELECT {_conform_sql(present)} FROM new_all WHERE {pick}),
+old AS (SELECT * FROM master WHERE year(order_date) <= 1997 AND {old_pick})
+SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.order_sn IS NOT DISTINCT FROM o.order_sn
+   AND n.buyer_username IS NOT DISTINCT FROM o.buyer_username
+   AND n.order_creation_timestamp IS NOT DISTINCT FROM o.order_creation_timestamp)
+UNION ALL SELECT * FROM new"""
+
+
+@register("ingest_sheet", _sheet_sql("normal"))
+def q_ingest_sheet(spark, sf_dir):
+    raw, aliases, old, old_special = _sheet_inputs(spark, sf_dir)
+    return C.ingest_sheet(raw, aliases, old, old_special, as_of=_SHEET_AS_OF, special_platforms=_SHEET_PLATFORMS)[0]
+
+
+@register("ingest_sheet_special", _sheet_sql("special"))
+def q_ingest_sheet_special(spark, sf_dir):
+    raw, aliases, old, old_special = _sheet_inputs(spark, sf_dir)
+    return C.ingest_sheet(raw, aliases, old, old_special, as_of=_SHEET_AS_OF, special_platforms=_SHEET_PLATFORMS)[1]
+
+
+@register("shop_alias_table", """
+SELECT alias, shop_account, canonical_name FROM (
+  SELECT n_name AS alias, lower(n_name) AS shop_account, n_name AS canonical_name FROM nation
+  UNION ALL
+  SELECT upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)), lower(n_name), n_name FROM nation)""")
+def q_shop_alias_table(spark, sf_dir):
+    from ordersmith.operators.joins import shop_alias_table
+    return shop_alias_table(td.shop_aliases(spark, sf_dir))
+
+
+_TEXT_MASTER = [c for c in MASTER_COLUMNS if duck_type(column_type(c)) == "VARCHAR"]
+
+
+@register("null_tokens_clean", with_master("SELECT " + ", ".join(
+    (f"CASE WHEN {c} IS NULL OR {c} IN ('nan', 'NaN', 'None') THEN '' ELSE {c} END AS {c}" if c in _TEXT_MASTER else c)
+    for c in MASTER_COLUMNS) + ", row_no FROM master"))
+def q_null_tokens_clean(spark, sf_dir):
+    return C.null_tokens_clean(master(spark, sf_dir))
