@@ -145,11 +145,12 @@ _TOKEN_SEP = "\u0001"
 def _name_tokens(names: DataFrame, col: str) -> DataFrame:
     """(name, token) where a token is a character with its occurrence number, so
     the token set of a name is its character multiset."""
-    chars = F.split(F.col(col), "")
+    base = names.select(F.col(col).alias("__name")).withColumn("__chars", F.split("__name", ""))
+    chars = F.col("__chars")
     toks = F.transform(chars, lambda c, i: F.concat(
         c, F.lit(_TOKEN_SEP),
         F.size(F.filter(F.slice(chars, 1, i + 1), lambda d: d == c)).cast("string")))
-    return names.select(F.col(col).alias("name"), F.explode(toks).alias("token"))
+    return base.select(F.col("__name").alias("name"), F.explode(toks).alias("token"))
 
 
 def _prefix_tokens(tokens: DataFrame, freq: DataFrame, lengths: DataFrame, share: float) -> DataFrame:

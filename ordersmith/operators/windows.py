@@ -33,17 +33,17 @@ def date_gaps(df: DataFrame, group: str, date_col: str, max_gap_days: int = 3) -
     Rows with a null group or an unparsable day are ignored.  The window runs
     over distinct (group, day) pairs, so its size per group is bounded by the
     calendar, not by the number of rows.
-    Output: group, previous_date, current_date, gap_days, missing_days.
+    Output: group, last_order_date, next_order_date, gap_days, missing_days.
     """
     days = (df.select(F.col(group).alias(group), F.to_date(F.col(date_col)).alias("__d"))
               .filter(F.col(group).isNotNull() & F.col("__d").isNotNull())
               .distinct())
     w = Window.partitionBy(group).orderBy("__d")
     prev = F.lag("__d").over(w)
-    gaps = (days.withColumn("previous_date", prev)
-                .withColumn("gap_days", F.datediff("__d", "previous_date"))
+    gaps = (days.withColumn("last_order_date", prev)
+                .withColumn("gap_days", F.datediff("__d", "last_order_date"))
                 .filter(F.col("gap_days") > max_gap_days))
-    return gaps.select(group, "previous_date", F.col("__d").alias("current_date"),
+    return gaps.select(group, "last_order_date", F.col("__d").alias("next_order_date"),
                        F.col("gap_days").cast("bigint").alias("gap_days"),
                        (F.col("gap_days") - 1).cast("bigint").alias("missing_days"))
 

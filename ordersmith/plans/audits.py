@@ -39,15 +39,16 @@ def shop_freshness(master: DataFrame, expected: DataFrame, threshold: str,
     in the data that no nickname matched) and ``missing``.  ``outdated`` is
     true when the shop's latest order is before ``threshold``.
     """
-    ts = F.col(ts_col)
-    latest = A.latest_per_group(master.withColumn(ts_col, ts), shop_col, ts_col, "latest_order_ts") \
+    latest = A.latest_per_group(master, shop_col, ts_col, "latest_order_ts") \
         .withColumnRenamed(shop_col, "shop_name")
     thr = F.lit(threshold).cast("timestamp_ntz")
     exp = expected.select(F.col("name")).filter(F.col("name").isNotNull()).distinct()
-    missing = exp.join(latest, exp["name"] == latest["shop_name"], "left_anti")
+    present_names = latest.select(F.col("shop_name").alias("name"))
+    missing = exp.join(present_names, "name", "left_anti")
     fuzzy = best_matches(missing, latest.select("shop_name"), cutoff, measure)
-    fuzzy_rows = (fuzzy.join(latest, fuzzy["right_name"] == latest["shop_name"])
-                  .select(F.col("left_name").alias("nickname"), latest["shop_name"],
+    lat = latest.select(F.col("shop_name").alias("right_name"), "latest_order_ts")
+    fuzzy_rows = (fuzzy.join(lat, "right_name")
+                  .select(F.col("left_name").alias("nickname"), F.col("right_name").alias("shop_name"),
                           F.lit("fuzzy").alias("status"), F.round("score", 4).alias("score"),
                           "latest_order_ts"))
     matched = fuzzy.select(F.col("right_name").alias("shop_name")).distinct()
@@ -55,7 +56,7 @@ def shop_freshness(master: DataFrame, expected: DataFrame, threshold: str,
                     .select(F.lit(None).cast("string").alias("nickname"), "shop_name",
                             F.lit("present").alias("status"), F.lit(None).cast("double").alias("score"),
                             "latest_order_ts"))
-    missing_rows = (missing.join(fuzzy, missing["name"] == fuzzy["left_name"], "left_anti")
+    missing_rows = (missing.join(fuzzy.select(F.col("left_name").alias("name")), "name", "left_anti")
                     .select(F.col("name").alias("nickname"), F.lit(None).cast("string").alias("shop_name"),
                             F.lit("missing").alias("status"), F.lit(None).cast("double").alias("score"),
                             F.lit(None).cast("timestamp_ntz").alias("latest_order_ts")))
@@ -65,7 +66,7 @@ def shop_freshness(master: DataFrame, expected: DataFrame, threshold: str,
     # A18 tallies in one pass over small inputs
     known = exp.agg(F.count(F.lit(1)).alias("v")).select(F.lit("known").alias("tally"), "v")
     present = latest.agg(F.count(F.lit(1)).alias("v")).select(F.lit("present").alias("tally"), "v")
-    exact = (exp.join(latest, exp["name"] == latest["shop_name"], "left_semi")
+    exact = (exp.join(present_names, "name", "left_semi")
              .agg(F.count(F.lit(1)).alias("v")).select(F.lit("matched_exact").alias("tally"), "v"))
     fz = fuzzy.agg(F.count(F.lit(1)).alias("v")).select(F.lit("matched_fuzzy").alias("tally"), "v")
     miss = report.filter(F.col("status") == "missing").agg(F.count(F.lit(1)).alias("v")) \

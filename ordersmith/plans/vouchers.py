@@ -61,7 +61,7 @@ def voucher_usage(df: DataFrame, start: str, end: str, columns: Sequence[str] =
         F.count_if(amt > 0).cast("bigint").alias("used"),
         F.count_if(amt == 0).cast("bigint").alias("unused"),
         F.count_if(amt.isNull()).cast("bigint").alias("null_or_invalid"))
-    classes = classes.select("*", *[X.pct(c, "orders").alias(f"{c}_pct") for c in ["used", "unused", "null_or_invalid"]])
+    classes = classes.select("*", *[X.pct(c, "orders", 4).alias(f"{c}_pct") for c in ["used", "unused", "null_or_invalid"]])
 
     used = long.filter(amt > 0)
     used_stats = used.groupBy("voucher_column").agg(
@@ -73,7 +73,7 @@ def voucher_usage(df: DataFrame, start: str, end: str, columns: Sequence[str] =
                            bin_label(amt, VOUCHER_BIN_EDGES).alias("bin")).agg(total.cast("bigint").alias("orders"))
     used_n = used.groupBy("voucher_column").agg(total.alias("__used"))
     histogram = (per_bin.join(used_n, "voucher_column")
-                 .select("voucher_column", "bin", "bin_lower", "orders", X.pct("orders", "__used").alias("pct")))
+                 .select("voucher_column", "bin", "bin_lower", "orders", X.pct("orders", "__used", 4).alias("pct")))
 
     counts = long.filter(F.col("raw").isNotNull()).groupBy("voucher_column", "raw").agg(total.cast("bigint").alias("orders"))
     top_values = top_per_column(counts, 10)
@@ -82,7 +82,7 @@ def voucher_usage(df: DataFrame, start: str, end: str, columns: Sequence[str] =
 
     summary = long.groupBy("voucher_column").agg(
         F.count_if(amt > 0).cast("bigint").alias("used"),
-        X.pct(F.count_if(amt > 0), total).alias("usage_rate_pct"),
+        X.pct(F.count_if(amt > 0), total, 4).alias("usage_rate_pct"),
         F.round(F.avg(F.when(amt > 0, amt)), 2).alias("mean_used_amount"))
 
     steps = step_counts(df, start, end, order_col)
@@ -104,4 +104,4 @@ def top_per_column(counts: DataFrame, n: int) -> DataFrame:
     """L4 per voucher column: the ``n`` most frequent raw values (ties: value)."""
     from pyspark.sql import Window
     w = Window.partitionBy("voucher_column").orderBy(F.col("orders").desc(), F.col("raw"))
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return counts.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)

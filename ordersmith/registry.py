@@ -421,3 +421,246 @@ _TEXT_MASTER = [c for c in MASTER_COLUMNS if duck_type(column_type(c)) == "VARCH
     for c in MASTER_COLUMNS) + ", row_no FROM master"))
 def q_null_tokens_clean(spark, sf_dir):
     return C.null_tokens_clean(master(spark, sf_dir))
+
+
+# ============================================================ audits (Q10-Q12, Q15-Q17)
+from ordersmith.plans import audits as AU  # noqa: E402
+
+FRESHNESS_THRESHOLD = "2001-07-01 00:00:00"
+FUZZY_CUTOFF = 0.7
+
+
+def expected_shops(spark, sf_dir):
+    """Expected shop list with typical spelling slips, derived from ``nation``:
+    region 0 drops the last character, region 1 writes a space for '_',
+    region 2 is lower case, region 3 is exact; region 4 is not expected."""
+    n = td.table(spark, sf_dir, "nation")
+    name = (F.when(F.col("n_regionkey") == 0, F.expr("substr(n_name, 1, length(n_name) - 1)"))
+             .when(F.col("n_regionkey") == 1, F.regexp_replace("n_name", "_", " "))
+             .when(F.col("n_regionkey") == 2, F.lower("n_name"))
+             .otherwise(F.col("n_name")))
+    return n.filter(F.col("n_regionkey") <= 3).select(name.alias("name"))
+
+
+def _fresh_sql(body: str) -> str:
+    return (
+        f"WITH ol AS ({td.ORDER_LINES_SQL}),\nmaster AS ({master_select_sql(AS_OF)}),\n" + f"""
+expected AS (SELECT CASE WHEN n_regionkey = 0 THEN substr(n_name, 1, length(n_name) - 1)
+                         WHEN n_regionkey = 1 THEN replace(n_name, '_', ' ')
+                         WHEN n_regionkey = 2 THEN lower(n_name) ELSE n_name END AS name
+             FROM nation WHERE n_regionkey <= 3),
+latest AS (SELECT shop_name, max(order_creation_timestamp) AS latest_order_ts FROM master
+           WHERE shop_name IS NOT NULL AND order_creation_timestamp IS NOT NULL GROUP BY shop_name),
+exp AS (SELECT DISTINCT name FROM expected WHERE name IS NOT NULL),
+missing AS (SELECT name FROM exp WHERE name NOT IN (SELECT shop_name FROM latest)),
+cand AS (SELECT m.name AS left_name, l.shop_name AS right_name,
+                CASE WHEN greatest(length(m.name), length(l.shop_name)) = 0 THEN 1.0
+                     ELSE 1.0 - levenshtein(l.shop_name, m.name) / greatest(length(m.name), length(l.shop_name)) END AS score
+         FROM missing m, latest l),
+fuzzy AS (SELECT left_name, right_name, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY left_name ORDER BY score DESC, right_name DESC) AS rn
+            FROM cand WHERE score >= {FUZZY_CUTOFF}) WHERE rn = 1),
+report AS (
+  SELECT f.left_name AS nickname, l.shop_name, 'fuzzy' AS status, round(f.score, 4) AS score, l.latest_order_ts
+  FROM fuzzy f JOIN latest l ON l.shop_name = f.right_name
+  UNION ALL
+  SELECT NULL, shop_name, 'present', NULL, latest_order_ts FROM latest WHERE shop_name NOT IN (SELECT right_name FROM fuzzy)
+  UNION ALL
+  SELECT name, NULL, 'missing', NULL, NULL FROM missing WHERE name NOT IN (SELECT left_name FROM fuzzy))
+{body}""")
+
+
+@register("shop_freshness", _fresh_sql(f"""
+SELECT nickname, shop_name, status, score, latest_order_ts,
+       coalesce(latest_order_ts < TIMESTAMP '{FRESHNESS_THRESHOLD}', false) AS outdated FROM report"""))
+def q_shop_freshness(spark, sf_dir):
+    return AU.shop_freshness(master(spark, sf_dir), expected_shops(spark, sf_dir), FRESHNESS_THRESHOLD,
+                             FUZZY_CUTOFF).report
+
+
+@register("shop_freshness_tallies", _fresh_sql(f"""
+SELECT 'known' AS tally, CAST(count(*) AS BIGINT) AS shops FROM exp
+UNION ALL SELECT 'present', count(*) FROM latest
+UNION ALL SELECT 'matched_exact', count(*) FROM exp WHERE name IN (SELECT shop_name FROM latest)
+UNION ALL SELECT 'matched_fuzzy', count(*) FROM fuzzy
+UNION ALL SELECT 'missing', count(*) FROM report WHERE status = 'missing'
+UNION ALL SELECT 'outdated', count(*) FROM latest WHERE latest_order_ts < TIMESTAMP '{FRESHNESS_THRESHOLD}'"""))
+def q_shop_freshness_tallies(spark, sf_dir):
+    return AU.shop_freshness(master(spark, sf_dir), expected_shops(spark, sf_dir), FRESHNESS_THRESHOLD,
+                             FUZZY_CUTOFF).tallies
+
+
+@register("shop_freshness_difflib")
+def q_shop_freshness_difflib(spark, sf_dir):
+    """Same report scored by the matching-blocks ratio (no SQL twin; the tests
+    check it against Python's own close-match lookup)."""
+    return AU.shop_freshness(master(spark, sf_dir), expected_shops(spark, sf_dir), FRESHNESS_THRESHOLD,
+                             FUZZY_CUTOFF, measure="difflib").report
+
+
+GAP_DAYS = 3
+
+
+@register("date_gaps", with_master(f"""
+SELECT shop_name, last_order_date, next_order_date, CAST(gap AS BIGINT) AS gap_days, CAST(gap - 1 AS BIGINT) AS missing_days
+FROM (SELECT shop_name, lag(d) OVER (PARTITION BY shop_name ORDER BY d) AS last_order_date, d AS next_order_date,
+             date_diff('day', lag(d) OVER (PARTITION BY shop_name ORDER BY d), d) AS gap
+      FROM (SELECT DISTINCT shop_name, order_date AS d FROM master WHERE shop_name IS NOT NULL AND order_date IS NOT NULL))
+WHERE gap > {GAP_DAYS}"""))
+def q_date_gaps(spark, sf_dir):
+    return AU.date_gaps(master(spark, sf_dir), GAP_DAYS)
+
+
+# Cancellation check inputs: the master has lost its returned lines; the
+# orphan log still holds every line of the fulfilled ('F') orders.
+def _cancel_inputs(spark, sf_dir):
+    m = master(spark, sf_dir)
+    return m.filter(F.col("return_quantity") == 0), m.filter(F.col("order_status") == "F")
+
+
+_NB = ("coalesce(CAST(order_date AS VARCHAR), '') <> '' AND coalesce(order_sn, '') <> '' "
+       "AND coalesce(buyer_username, '') <> ''")
+_CANCEL_CTE = f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+master AS ({master_select_sql(AS_OF)}),
+m AS (SELECT * FROM master WHERE return_quantity = 0 AND {_NB}),
+o AS (SELECT * FROM master WHERE order_status = 'F' AND {_NB}),
+lm AS (SELECT order_date, order_sn, buyer_username, CAST(count(*) AS BIGINT) AS lines_master,
+              list_sort(list_distinct(list(coalesce(product_name, '<unknown product>')))) AS pm FROM m GROUP BY ALL),
+lo AS (SELECT order_date, order_sn, buyer_username, CAST(count(*) AS BIGINT) AS lines_orphans,
+              list_sort(list_distinct(list(coalesce(product_name, '<unknown product>')))) AS po FROM o GROUP BY ALL),
+sn AS (SELECT order_sn, count_master, count_orphans, CAST(abs(count_master - count_orphans) AS BIGINT) AS difference
+       FROM (SELECT order_sn, CAST(count(*) AS BIGINT) AS count_master FROM m GROUP BY order_sn)
+       JOIN (SELECT order_sn, CAST(count(*) AS BIGINT) AS count_orphans FROM o GROUP BY order_sn) USING (order_sn)
+       WHERE count_master <> count_orphans),
+orders AS (
+  SELECT order_date, order_sn, buyer_username, lines_master, lines_orphans,
+         CAST(abs(lines_master - lines_orphans) AS BIGINT) AS difference,
+         CASE WHEN lines_master <> lines_orphans THEN 'different' ELSE 'same' END AS status,
+         CASE WHEN lines_master <> lines_orphans THEN array_to_string(list_filter(pm, lambda x: NOT list_contains(po, x)), ';') END
+           AS products_only_in_master,
+         CASE WHEN lines_master <> lines_orphans THEN array_to_string(list_filter(po, lambda x: NOT list_contains(pm, x)), ';') END
+           AS products_only_in_orphans
+  FROM lm JOIN lo USING (order_date, order_sn, buyer_username))
+"""
+
+
+@register("cancellation_orders", _CANCEL_CTE + "SELECT * FROM orders")
+def q_cancellation_orders(spark, sf_dir):
+    return AU.cancellation_check(*_cancel_inputs(spark, sf_dir)).orders
+
+
+@register("cancellation_sn_counts", _CANCEL_CTE + "SELECT * FROM sn")
+def q_cancellation_sn_counts(spark, sf_dir):
+    return AU.cancellation_check(*_cancel_inputs(spark, sf_dir)).sn_counts
+
+
+@register("cancellation_top10", _CANCEL_CTE + "SELECT * FROM sn ORDER BY difference DESC, order_sn LIMIT 10")
+def q_cancellation_top10(spark, sf_dir):
+    return AU.top_differences(AU.cancellation_check(*_cancel_inputs(spark, sf_dir)).sn_counts, 10)
+
+
+@register("cancellation_summary", _CANCEL_CTE + """
+SELECT CAST(count(*) AS BIGINT) AS common_orders,
+       CAST(count(*) FILTER (WHERE status = 'different') AS BIGINT) AS orders_with_different_lines,
+       CAST(count(*) FILTER (WHERE status = 'same') AS BIGINT) AS orders_with_same_lines FROM orders""")
+def q_cancellation_summary(spark, sf_dir):
+    return AU.cancellation_check(*_cancel_inputs(spark, sf_dir)).summary
+
+
+@register("invalid_dates", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+sheet AS (SELECT ol.order_sn, CASE WHEN ol.order_status = 'P' THEN '-' ELSE CAST(ol.order_date AS VARCHAR) END AS order_date
+          FROM ol WHERE year(ol.order_date) BETWEEN 1997 AND 1998)
+SELECT order_sn, order_date FROM sheet
+WHERE TRY_CAST(trim(order_date) AS DATE) IS NULL AND try_strptime(trim(order_date), '%Y/%m/%d') IS NULL
+  AND try_strptime(trim(order_date), '%Y%m%d') IS NULL AND try_strptime(trim(order_date), '%m/%d/%Y') IS NULL""")
+def q_invalid_dates(spark, sf_dir):
+    raw = td.raw_sheet_export(spark, sf_dir)
+    df = raw.select(F.col("訂單編號(從這邊貼上)").alias("order_sn"), F.col("訂單日期").alias("order_date"))
+    return AU.invalid_dates(df)
+
+
+# ------------------------------------------------------------------ profile (Q16)
+from ordersmith.operators.aggregates import null_counts  # noqa: E402
+from ordersmith.operators.projections import column_types  # noqa: E402
+from ordersmith.operators.windows import first_n, sample_n  # noqa: E402
+
+_PROFILE_COLS = MASTER_COLUMNS + ["row_no"]
+
+
+@register("profile_null_counts", with_master("\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls FROM master"
+    for i, c in enumerate(_PROFILE_COLS))))
+def q_profile_null_counts(spark, sf_dir):
+    return null_counts(master(spark, sf_dir))
+
+
+@register("profile_head", with_master(f"SELECT {_ALL} FROM master ORDER BY order_sn, row_no LIMIT 5"))
+def q_profile_head(spark, sf_dir):
+    return first_n(master(spark, sf_dir), 5, ["order_sn", "row_no"])
+
+
+@register("profile_sample")
+def q_profile_sample(spark, sf_dir):
+    return sample_n(master(spark, sf_dir), 5, seed=7, columns=["order_sn", "row_no"])
+
+
+@register("profile_column_types")
+def q_profile_column_types(spark, sf_dir):
+    return column_types(spark, master(spark, sf_dir))
+
+
+# --------------------------------------------------------- duplicate keys (Q17)
+def _dup_inputs(spark, sf_dir):
+    new = upsert_new(spark, sf_dir).withColumn(
+        "product_sku_variation",
+        F.when(F.col("return_quantity") > 0, F.lower("product_sku_variation")).otherwise(F.col("product_sku_variation")))
+    return upsert_old(spark, sf_dir), new
+
+
+def _vclass(x: str) -> str:
+    return (f"CASE WHEN trim({x}) IS NULL OR trim({x}) = '' THEN 'blank' "
+            f"WHEN regexp_matches(trim({x}), '^-?[0-9]+$') THEN 'integer' "
+            f"WHEN regexp_matches(trim({x}), '^-?([0-9]+\\.[0-9]*|\\.[0-9]+)$') THEN 'decimal' ELSE 'text' END")
+
+
+_DUP_CTE = _UPSERT_CTE + """,
+new2 AS (SELECT * REPLACE (CASE WHEN return_quantity > 0 THEN lower(product_sku_variation)
+                                ELSE product_sku_variation END AS product_sku_variation) FROM new),
+span2 AS (SELECT min(order_date) AS lo, max(order_date) AS hi FROM new2),
+od AS (SELECT * FROM old WHERE order_date BETWEEN (SELECT lo FROM span2) AND (SELECT hi FROM span2)),
+ok AS (SELECT *, coalesce(trim(order_sn), '') AS k_sn,
+              coalesce(CASE WHEN trim(product_sku_variation) <> '' THEN trim(product_sku_variation) END, 'NULL_SKU') AS k_sku,
+              coalesce(trim(product_name), '') AS k_prod FROM od),
+nk2 AS (SELECT *, coalesce(trim(order_sn), '') AS k_sn,
+              coalesce(CASE WHEN trim(product_sku_variation) <> '' THEN trim(product_sku_variation) END, 'NULL_SKU') AS k_sku,
+              coalesce(trim(product_name), '') AS k_prod FROM new2)
+"""
+
+
+@register("dup_key_reconciliation", _DUP_CTE + """
+SELECT CASE WHEN o.k_sn IS NOT NULL AND n.k_sn IS NOT NULL THEN 'common'
+            WHEN o.k_sn IS NOT NULL THEN 'only_old' ELSE 'only_new' END AS status, count(*) AS keys
+FROM (SELECT DISTINCT k_sn, k_sku, k_prod FROM ok) o
+FULL OUTER JOIN (SELECT DISTINCT k_sn, k_sku, k_prod FROM nk2) n
+  ON o.k_sn = n.k_sn AND o.k_sku = n.k_sku AND o.k_prod = n.k_prod
+GROUP BY 1""")
+def q_dup_key_reconciliation(spark, sf_dir):
+    return AU.duplicate_key_report(*_dup_inputs(spark, sf_dir)).reconciliation
+
+
+@register("dup_key_disappeared", _DUP_CTE + """,
+skus AS (SELECT k_sn, k_prod, list_sort(list_distinct(list(k_sku))) AS s FROM nk2 GROUP BY ALL)
+SELECT o.order_sn, o.product_name, o.k_sku AS old_sku,
+       array_to_string(list_filter(coalesce(s.s, []), lambda x: x <> o.k_sku), ';') AS new_skus_same_product, o.row_no
+FROM ok o LEFT JOIN skus s ON s.k_sn = o.k_sn AND s.k_prod = o.k_prod
+WHERE NOT EXISTS (SELECT 1 FROM nk2 n WHERE n.k_sn = o.k_sn AND n.k_sku = o.k_sku AND n.k_prod = o.k_prod)""")
+def q_dup_key_disappeared(spark, sf_dir):
+    return AU.duplicate_key_report(*_dup_inputs(spark, sf_dir)).disappeared
+
+
+@register("dup_key_sku_classes", _DUP_CTE + f"""
+SELECT 'old' AS side, {_vclass('product_sku_variation')} AS value_class, CAST(count(*) AS BIGINT) AS rows FROM od GROUP BY 1, 2
+UNION ALL
+SELECT 'new', {_vclass('product_sku_variation')}, CAST(count(*) AS BIGINT) FROM new2 GROUP BY 1, 2""")
+def q_dup_key_sku_classes(spark, sf_dir):
+    return AU.duplicate_key_report(*_dup_inputs(spark, sf_dir)).sku_classes
