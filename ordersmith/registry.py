@@ -664,3 +664,137 @@ UNION ALL
 SELECT 'new', {_vclass('product_sku_variation')}, CAST(count(*) AS BIGINT) FROM new2 GROUP BY 1, 2""")
 def q_dup_key_sku_classes(spark, sf_dir):
     return AU.duplicate_key_report(*_dup_inputs(spark, sf_dir)).sku_classes
+
+
+# ============================================================ vouchers (Q13)
+from ordersmith.plans import vouchers as V  # noqa: E402
+
+VOUCHER_START, VOUCHER_END = "1998-01-01", "1999-12-31"
+
+
+def _voucher(spark, sf_dir):
+    return V.voucher_usage(master(spark, sf_dir), VOUCHER_START, VOUCHER_END)
+
+
+def _pct_sql(part: str, whole: str) -> str:
+    return f"round(CASE WHEN {whole} <> 0 THEN CAST({part} AS DOUBLE) / {whole} * 100.0 END, 4)"
+
+
+_VOUCHER_CTE = with_master(f""",
+firsts AS ({_first_rows_sql(['*'])}),
+ord AS (SELECT * FROM firsts WHERE order_date BETWEEN DATE '{VOUCHER_START}' AND DATE '{VOUCHER_END}'),
+lng AS (SELECT order_sn, 'seller_voucher' AS voucher_column, seller_voucher AS raw0 FROM ord
+        UNION ALL SELECT order_sn, 'voucher', voucher FROM ord),
+lv AS (SELECT order_sn, voucher_column,
+              CASE WHEN raw0 IS NULL OR raw0 IN ('nan', 'NaN', 'None') OR trim(raw0) = '' THEN NULL ELSE raw0 END AS raw
+       FROM lng),
+la AS (SELECT *, CASE WHEN isnan(TRY_CAST(raw AS DOUBLE)) THEN NULL ELSE TRY_CAST(raw AS DOUBLE) END AS amount FROM lv)
+""".replace("SELECT * FROM (SELECT *, row_number()", "SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number()"))
+
+
+@register("voucher_classes", _VOUCHER_CTE + f"""
+SELECT voucher_column, orders, used, unused, null_or_invalid,
+       {_pct_sql('used', 'orders')} AS used_pct, {_pct_sql('unused', 'orders')} AS unused_pct,
+       {_pct_sql('null_or_invalid', 'orders')} AS null_or_invalid_pct
+FROM (SELECT voucher_column, CAST(count(*) AS BIGINT) AS orders,
+             CAST(count(*) FILTER (WHERE amount > 0) AS BIGINT) AS used,
+             CAST(count(*) FILTER (WHERE amount = 0) AS BIGINT) AS unused,
+             CAST(count(*) FILTER (WHERE amount IS NULL) AS BIGINT) AS null_or_invalid
+      FROM la GROUP BY voucher_column)""")
+def q_voucher_classes(spark, sf_dir):
+    return _voucher(spark, sf_dir).classes
+
+
+@register("voucher_used_stats", _VOUCHER_CTE + """
+SELECT voucher_column, min(amount) AS min_amount, max(amount) AS max_amount, round(avg(amount), 4) AS mean_amount,
+       round(median(amount), 4) AS median_amount, round(sum(amount), 4) AS total_amount
+FROM la WHERE amount > 0 GROUP BY voucher_column""")
+def q_voucher_used_stats(spark, sf_dir):
+    return _voucher(spark, sf_dir).used_stats
+
+
+_BIN_CASE = ("CASE WHEN amount >= 0 AND amount < 10 THEN {a} WHEN amount >= 10 AND amount < 25 THEN {b} "
+             "WHEN amount >= 25 AND amount < 50 THEN {c} WHEN amount >= 50 AND amount < 100 THEN {d} "
+             "WHEN amount >= 100 AND amount < 200 THEN {e} WHEN amount >= 200 AND amount < 500 THEN {f} "
+             "WHEN amount >= 500 THEN {g} END")
+_BIN_LABEL = _BIN_CASE.format(a="'0-10'", b="'10-25'", c="'25-50'", d="'50-100'", e="'100-200'", f="'200-500'", g="'500+'")
+_BIN_LOWER = "CAST(" + _BIN_CASE.format(a="0", b="10", c="25", d="50", e="100", f="200", g="500") + " AS DOUBLE)"
+
+
+@register("voucher_histogram", _VOUCHER_CTE + f"""
+SELECT h.voucher_column, bin, bin_lower, orders, {_pct_sql('orders', 'u.used')} AS pct
+FROM (SELECT voucher_column, {_BIN_LOWER} AS bin_lower, {_BIN_LABEL} AS bin, CAST(count(*) AS BIGINT) AS orders
+      FROM la WHERE amount > 0 GROUP BY ALL) h
+JOIN (SELECT voucher_column, count(*) AS used FROM la WHERE amount > 0 GROUP BY voucher_column) u USING (voucher_column)""")
+def q_voucher_histogram(spark, sf_dir):
+    return _voucher(spark, sf_dir).histogram
+
+
+@register("voucher_top_values", _VOUCHER_CTE + """
+SELECT * FROM (SELECT voucher_column, raw, orders,
+                      row_number() OVER (PARTITION BY voucher_column ORDER BY orders DESC, raw) AS rank
+               FROM (SELECT voucher_column, raw, CAST(count(*) AS BIGINT) AS orders FROM la
+                     WHERE raw IS NOT NULL GROUP BY ALL)) WHERE rank <= 10""")
+def q_voucher_top_values(spark, sf_dir):
+    return _voucher(spark, sf_dir).top_values
+
+
+@register("voucher_invalid_values", _VOUCHER_CTE + """
+SELECT voucher_column, raw, CAST(count(*) AS BIGINT) AS orders FROM la
+WHERE raw IS NOT NULL AND amount IS NULL GROUP BY ALL""")
+def q_voucher_invalid_values(spark, sf_dir):
+    return _voucher(spark, sf_dir).invalid_values
+
+
+@register("voucher_summary", _VOUCHER_CTE + f"""
+SELECT voucher_column, used, {_pct_sql('used', 'n')} AS usage_rate_pct, mean_used_amount
+FROM (SELECT voucher_column, CAST(count(*) FILTER (WHERE amount > 0) AS BIGINT) AS used, count(*) AS n,
+             round(avg(CASE WHEN amount > 0 THEN amount END), 2) AS mean_used_amount
+      FROM la GROUP BY voucher_column)""")
+def q_voucher_summary(spark, sf_dir):
+    return _voucher(spark, sf_dir).summary
+
+
+@register("voucher_steps", _VOUCHER_CTE + """
+SELECT 'input_lines' AS step, CAST(count(*) AS BIGINT) AS rows FROM master
+UNION ALL SELECT 'orders', CAST(count(*) AS BIGINT) FROM firsts
+UNION ALL SELECT 'orders_in_range', CAST(count(*) AS BIGINT) FROM ord""")
+def q_voucher_steps(spark, sf_dir):
+    return _voucher(spark, sf_dir).steps
+
+
+# ============================================================ recent orders (Q14)
+from ordersmith.plans.recent import recent_orders  # noqa: E402
+
+RECENT_AS_OF, RECENT_DAYS = "2001-08-01", 30
+
+
+@register("recent_orders", with_master(f"""
+SELECT {_ALL} FROM master WHERE order_date BETWEEN DATE '{RECENT_AS_OF}' - {RECENT_DAYS - 1} AND DATE '{RECENT_AS_OF}'"""))
+def q_recent_orders(spark, sf_dir):
+    return recent_orders(master(spark, sf_dir), RECENT_AS_OF, RECENT_DAYS)
+
+
+@register("recent_order_summary", ORACLES["order_summary"].replace(
+    "FROM master GROUP BY order_sn",
+    f"FROM master GROUP BY order_sn HAVING first(order_date ORDER BY row_no) BETWEEN DATE '{RECENT_AS_OF}' - {RECENT_DAYS - 1} "
+    f"AND DATE '{RECENT_AS_OF}'"))
+def q_recent_order_summary(spark, sf_dir):
+    return recent_orders(marts.order_summary(master(spark, sf_dir)), RECENT_AS_OF, RECENT_DAYS)
+
+
+# ============================================================ publish (Q19)
+from ordersmith.plans.publish import publish  # noqa: E402
+
+PUBLISH_DATABASE = "ordersmith_marts"
+
+
+@register("publish_marts")
+def q_publish_marts(spark, sf_dir):
+    """Writes the four marts as catalog tables and returns the load manifest."""
+    m = master(spark, sf_dir)
+    return publish(spark, {"b01_orders_concat": marts.order_summary(m),
+                           "b02_order_details": marts.order_details(m),
+                           "b03_order_simple_details": marts.order_headers(m),
+                           "b04_order_shipping_info": marts.order_shipping(m),
+                           "b05_not_exported": None}, PUBLISH_DATABASE)
