@@ -107,6 +107,11 @@ def order_date_from_sn(c: ColumnOrName) -> Column:
     """
     s = F.trim(_col(c).cast("string"))
     head6 = F.substring(s, 1, 6)
+    # Six digits (the usual case): the alternation above accepts exactly the
+    # strings whose month is 01-12 and day 01-31, i.e. a strict yyyyMMdd parse.
+    digits6 = F.when(F.length(s) >= 6, F.when(head6.rlike(r"^[0-9]{6}$"), F.try_to_date(
+        F.concat(F.when(F.substring(head6, 1, 2).try_cast("int") >= 69, F.lit("19")).otherwise(F.lit("20")),
+                 head6), "yyyyMMdd")))
     whole = F.regexp_extract(head6, _YYMMDD, 0)
     yy = F.regexp_extract(head6, _YYMMDD, 1)
     mm = F.regexp_extract(head6, _YYMMDD, 2)
@@ -117,7 +122,10 @@ def order_date_from_sn(c: ColumnOrName) -> Column:
     eight = F.when(F.length(s) >= 8,
                    F.when(F.substring(s, 1, 8).rlike(r"^\d{8}$"),
                           F.try_to_date(F.substring(s, 1, 8), "yyyyMMdd")))
-    return F.when(s.isNull() | (s == ""), F.lit(None).cast("date")).otherwise(F.coalesce(six, eight))
+    general = F.coalesce(six, eight)
+    return (F.when(s.isNull() | (s == ""), F.lit(None).cast("date"))
+             .when(head6.rlike(r"^[0-9]{6}$"), F.coalesce(digits6, eight))
+             .otherwise(general))
 
 
 # --------------------------------------------------------------------------- X6
@@ -139,7 +147,7 @@ def to_timestamp_tolerant(c: ColumnOrName, null_tokens: Iterable[str] = TIMESTAM
     same with '/' separators; placeholders such as ``'-'`` give null."""
     x = F.trim(_col(c).cast("string"))
     x = F.when(x.isin(list(null_tokens)), F.lit(None).cast("string")).otherwise(x)
-    return F.regexp_replace(x, "/", "-").try_cast("timestamp_ntz")
+    return F.translate(x, "/", "-").try_cast("timestamp_ntz")
 
 
 # --------------------------------------------------------------------------- X10-X13

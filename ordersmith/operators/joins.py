@@ -118,8 +118,10 @@ def fill_shop_account(df: DataFrame, aliases: DataFrame) -> DataFrame:
     joined = df.join(a, df["shop_name"] == a["__alias"], "left")
     # both outputs are computed from the input values in one projection
     return joined.withColumns({
+        # a known shop whose account is empty keeps a null account; unknown -> ''
         "shop_account": F.when(needs, F.when(F.col("shop_name").isNull(), F.lit(""))
-                                        .otherwise(F.coalesce(F.col("__acct"), F.lit(""))))
+                                        .when(F.col("__alias").isNotNull(), F.col("__acct"))
+                                        .otherwise(F.lit("")))
                          .otherwise(F.col("shop_account")),
         "shop_name": F.when(needs, F.coalesce(F.col("__canon"), F.col("shop_name")))
                       .otherwise(F.col("shop_name")),

@@ -19,6 +19,7 @@ from ordersmith.operators.filters import in_date_range, non_blank, unparsable_da
 from ordersmith.operators.joins import anti_join, best_matches, key_reconciliation
 from ordersmith.operators.windows import date_gaps as _date_gaps
 from ordersmith.schema import ORDER_KEY
+from ordersmith.session import checkpoint_dir
 
 
 # ----------------------------------------------------------------------- Q10
@@ -41,6 +42,10 @@ def shop_freshness(master: DataFrame, expected: DataFrame, threshold: str,
     """
     latest = A.latest_per_group(master, shop_col, ts_col, "latest_order_ts") \
         .withColumnRenamed(shop_col, "shop_name")
+    # one row per shop, used by five branches: computed once and cut from the
+    # master's lineage in the shared checkpoint folder
+    checkpoint_dir(master.sparkSession)
+    latest = latest.checkpoint(eager=True)
     thr = F.lit(threshold).cast("timestamp_ntz")
     exp = expected.select(F.col("name")).filter(F.col("name").isNotNull()).distinct()
     present_names = latest.select(F.col("shop_name").alias("name"))

@@ -380,7 +380,7 @@ aliases AS (
   SELECT upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)), lower(n_name), n_name FROM nation),
 new_all AS (
   SELECT coalesce(a.canon, s.shop_raw) AS shop_name,
-         CASE WHEN s.shop_raw IS NULL THEN '' ELSE coalesce(a.acct, '') END AS shop_account, s.*
+         CASE WHEN s.shop_raw IS NULL THEN '' WHEN a.alias IS NOT NULL THEN a.acct ELSE '' END AS shop_account, s.*
   FROM sheet s LEFT JOIN aliases a ON a.alias = s.shop_raw
   WHERE s.order_sn IS NOT NULL),
 new AS (SELECT {_conform_sql(present)} FROM new_all WHERE {pick}),

@@ -12,7 +12,7 @@ import math
 import sys
 from collections import Counter
 
-import duckdb
+import duckdb  # noqa: I001
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
