@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordersmith.schema import FILE_NAME_ANCHOR, NULL_TOKENS, TIMESTAMP_NULL_TOKENS
@@ -62,7 +62,10 @@ def currency_to_double(c: ColumnOrName) -> Column:
     ``'NT$1,234.5'`` -> 1234.5, ``'(100)'`` -> 100, ``'1e3'`` -> 13 (the letter is
     removed before the cast, as the exports are cleaned).
     """
-    kept = F.regexp_replace(_col(c).cast("string"), r"[^0-9.\-]", "")
+    x = _col(c).cast("string")
+    # text made only of digits, '.' and '-' needs no rewriting
+    clean = F.translate(x, "0123456789.-", "") == ""
+    kept = F.when(clean, x).otherwise(F.regexp_replace(x, r"[^0-9.\-]", ""))
     return nan_to_null(kept.try_cast("double"))
 
 
@@ -86,15 +89,28 @@ def is_fractional_integer_text(c: ColumnOrName) -> Column:
 
 
 # --------------------------------------------------------------------------- X5
-# Two-digit-year day text is matched left to right with the same alternation a
-# strptime-style parser uses, so single-digit months/days are recognised the
-# same way; the match must cover all six characters.
-_YYMMDD = r"^(\d\d)(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
+# Six characters read as YYMMDD the way a strptime-style parser does: month and
+# day are matched left to right with these alternatives and the match must
+# cover all six characters (so '9901 5' is 1999-01-05 but '991311' fails).
+_YYMMDD_FULL = r"^(\d\d)(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])$"
 
 
-def _ymd(year: Column, month: Column, day: Column) -> Column:
-    text = F.concat(F.lpad(year, 4, "0"), F.lpad(month, 2, "0"), F.lpad(F.trim(day), 2, "0"))
-    return F.try_to_date(text, "yyyyMMdd")
+def _all_digits(x: Column) -> Column:
+    """Non-empty and made of ASCII digits only (no regex)."""
+    return (F.length(x) > 0) & (F.translate(x, "0123456789", "") == "")
+
+
+def _checked_date(year: Column, month: Column, day: Column) -> Column:
+    """The date, or null when the month or the day does not exist (the checks
+    run before ``make_date``, which would fail on them)."""
+    first = F.make_date(year, month, F.lit(1))
+    return F.when(month.between(1, 12) & (year >= 1),
+                  F.when(day.between(1, 31), F.when(day <= F.dayofmonth(F.last_day(first)),
+                                                    F.make_date(year, month, day))))
+
+
+def _two_digit_year(yy: Column) -> Column:
+    return F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
 
 
 def order_date_from_sn(c: ColumnOrName) -> Column:
@@ -104,28 +120,68 @@ def order_date_from_sn(c: ColumnOrName) -> Column:
     20xx); if that fails and there are at least eight characters, the first
     eight are read as YYYYMMDD.  Anything else is null.  The six-character
     reading wins, so ``'20101204..'`` is 2020-10-12.
+
+    Six digits (the usual case) go straight to one strict date parse; only
+    other six-character heads go through the regular expression, whose input
+    is null otherwise.  Inside jobs prefer ``with_order_date_from_sn``.
     """
     s = F.trim(_col(c).cast("string"))
     head6 = F.substring(s, 1, 6)
-    # Six digits (the usual case): the alternation above accepts exactly the
-    # strings whose month is 01-12 and day 01-31, i.e. a strict yyyyMMdd parse.
-    digits6 = F.when(F.length(s) >= 6, F.when(head6.rlike(r"^[0-9]{6}$"), F.try_to_date(
-        F.concat(F.when(F.substring(head6, 1, 2).try_cast("int") >= 69, F.lit("19")).otherwise(F.lit("20")),
-                 head6), "yyyyMMdd")))
-    whole = F.regexp_extract(head6, _YYMMDD, 0)
-    yy = F.regexp_extract(head6, _YYMMDD, 1)
-    mm = F.regexp_extract(head6, _YYMMDD, 2)
-    dd = F.regexp_extract(head6, _YYMMDD, 3)
-    century = F.when(yy.try_cast("int") >= 69, F.lit("19")).otherwise(F.lit("20"))
-    six = F.when((F.length(s) >= 6) & (F.length(whole) == 6),
-                 _ymd(F.concat(century, yy), mm, dd))
-    eight = F.when(F.length(s) >= 8,
-                   F.when(F.substring(s, 1, 8).rlike(r"^\d{8}$"),
-                          F.try_to_date(F.substring(s, 1, 8), "yyyyMMdd")))
-    general = F.coalesce(six, eight)
-    return (F.when(s.isNull() | (s == ""), F.lit(None).cast("date"))
-             .when(head6.rlike(r"^[0-9]{6}$"), F.coalesce(digits6, eight))
-             .otherwise(general))
+    has6 = F.length(s) >= 6
+    dig6 = has6 & _all_digits(head6)
+    century = lambda yy: F.when(yy.try_cast("int") >= 69, F.lit("19")).otherwise(F.lit("20"))
+    fast6 = F.try_to_date(F.concat(century(F.substring(head6, 1, 2)), head6), "yyyyMMdd")
+    parts = F.split(F.regexp_replace(F.when(has6 & ~dig6, head6), _YYMMDD_FULL, "$1|$2|$3"), r"\|")
+    p1 = F.element_at(parts, 1)
+    slow6 = F.when(F.size(parts) == 3, F.try_to_date(F.concat(
+        century(p1), p1, F.lpad(F.element_at(parts, 2), 2, "0"), F.lpad(F.trim(F.element_at(parts, 3)), 2, "0")),
+        "yyyyMMdd"))
+    head8 = F.substring(s, 1, 8)
+    eight = F.when((F.length(s) >= 8) & _all_digits(head8) & (F.substring(head8, 1, 4) != "0000"),
+                   F.try_to_date(head8, "yyyyMMdd"))
+    six = F.when(dig6, fast6).otherwise(slow6)
+    return F.when(s.isNull() | (s == ""), F.lit(None).cast("date")).otherwise(F.coalesce(six, eight))
+
+
+def with_order_date_from_sn(df: DataFrame, sn_col: str = "order_sn", out_col: str = "order_date") -> DataFrame:
+    """``order_date_from_sn`` as staged projections (same result).
+
+    Each intermediate (trimmed text, heads, year/month/day) is its own column,
+    computed once per row; Spark keeps the projections apart instead of
+    copying the pieces into one large expression, which keeps the generated
+    code small enough to be compiled.  Use this form inside jobs.
+    """
+    t = {k: f"__x5_{k}" for k in ["s", "h6", "h8", "n", "dig6", "dig8", "parts", "ok6",
+                                  "y6", "m6", "d6", "y8", "m8", "d8", "f6", "f8", "v6", "v8"]}
+    c = F.col
+    d = df.withColumn(t["s"], F.trim(F.col(sn_col).cast("string")))
+    d = d.withColumns({t["h6"]: F.substring(c(t["s"]), 1, 6), t["h8"]: F.substring(c(t["s"]), 1, 8),
+                       t["n"]: F.length(c(t["s"]))})
+    d = d.withColumns({t["dig6"]: (c(t["n"]) >= 6) & _all_digits(c(t["h6"])),
+                       t["dig8"]: (c(t["n"]) >= 8) & _all_digits(c(t["h8"]))})
+    d = d.withColumn(t["parts"], F.split(F.regexp_replace(
+        F.when((c(t["n"]) >= 6) & ~c(t["dig6"]), c(t["h6"])), _YYMMDD_FULL, "$1|$2|$3"), r"\|"))
+    d = d.withColumn(t["ok6"], F.size(c(t["parts"])) == 3)
+    num = lambda x, i, n: F.substring(c(x), i, n).try_cast("int")
+    part = lambda i: F.trim(F.element_at(c(t["parts"]), i)).try_cast("int")
+    d = d.withColumns({
+        t["y6"]: F.when(c(t["dig6"]), _two_digit_year(num(t["h6"], 1, 2)))
+                  .when(c(t["ok6"]), _two_digit_year(part(1))),
+        t["m6"]: F.when(c(t["dig6"]), num(t["h6"], 3, 2)).when(c(t["ok6"]), part(2)),
+        t["d6"]: F.when(c(t["dig6"]), num(t["h6"], 5, 2)).when(c(t["ok6"]), part(3)),
+        t["y8"]: F.when(c(t["dig8"]), num(t["h8"], 1, 4)),
+        t["m8"]: F.when(c(t["dig8"]), num(t["h8"], 5, 2)),
+        t["d8"]: F.when(c(t["dig8"]), num(t["h8"], 7, 2)),
+    })
+    first = lambda y, m: F.when(c(m).between(1, 12) & (c(y) >= 1), F.make_date(c(y), c(m), F.lit(1)))
+    d = d.withColumns({t["f6"]: first(t["y6"], t["m6"]), t["f8"]: first(t["y8"], t["m8"])})
+    valid = lambda y, m, dd, f: F.when(
+        c(dd).between(1, 31) & (c(dd) <= F.dayofmonth(F.last_day(c(f)))), F.make_date(c(y), c(m), c(dd)))
+    d = d.withColumns({t["v6"]: valid(t["y6"], t["m6"], t["d6"], t["f6"]),
+                       t["v8"]: valid(t["y8"], t["m8"], t["d8"], t["f8"])})
+    d = d.withColumn(out_col, F.when(c(t["s"]).isNull() | (c(t["s"]) == ""), F.lit(None).cast("date"))
+                     .otherwise(F.coalesce(c(t["v6"]), c(t["v8"]))))
+    return d.drop(*t.values())
 
 
 # --------------------------------------------------------------------------- X6

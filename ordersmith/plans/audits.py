@@ -169,7 +169,7 @@ def duplicate_key_report(old: DataFrame, new: DataFrame) -> DuplicateKeys:
     aggregated row per order+product, never a pairwise product); and the
     value classes of the variation SKU on both sides (A20).
     """
-    nd = new.withColumn("__d", X.order_date_from_sn("order_sn"))
+    nd = X.with_order_date_from_sn(new, "order_sn", "__d")
     span = nd.agg(F.min("__d").alias("lo"), F.max("__d").alias("hi")).first()
     od = old.filter(in_date_range("order_date", span["lo"], span["hi"]))
     ok, nk = line_key(od), line_key(nd)

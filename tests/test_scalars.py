@@ -77,3 +77,12 @@ def test_keys(spark):
     assert run(spark, [" s ", "", None], X.sku_key) == ["s", "NULL_SKU", "NULL_SKU"]
     df = spark.createDataFrame([(None, " 1 ", None)], "d date, sn string, b string")
     assert df.select(X.display_order_key("d", "sn", "b")).first()[0] == "NO_DATE|||1|||NO_BUYER"
+
+
+def test_staged_order_date_matches_column_form(spark):
+    vals = ["250604X1", "20250604X1", "20101204X1", "700604X1", "680101X1", "abc", "", None, "250230X1",
+            "9901 5zz", "991311xx", "19991231", " 250604 ", "00000101", "12345", "2025064", "991301"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    a = [r[0] for r in df.orderBy("i").select(X.order_date_from_sn("v")).collect()]
+    b = [r.d for r in X.with_order_date_from_sn(df, "v", "d").orderBy("i").collect()]
+    assert a == b
