@@ -7,7 +7,7 @@ the whole result as a DataFrame (a caller may ``limit`` it for display).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,10 +23,76 @@ from ordersmith.session import checkpoint_dir
 
 
 # ----------------------------------------------------------------------- Q10
-@dataclass
 class Freshness:
-    report: DataFrame
-    tallies: DataFrame
+    """Q10 outputs, built on first access: ``report`` (J11) and ``tallies``."""
+
+    def __init__(self, master: DataFrame, expected: DataFrame, threshold: str, cutoff: float,
+                 measure: str, shop_col: str, ts_col: str):
+        self.master, self.expected, self.threshold = master, expected, threshold
+        self.cutoff, self.measure, self.shop_col, self.ts_col = cutoff, measure, shop_col, ts_col
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        latest = A.latest_per_group(self.master, self.shop_col, self.ts_col, "latest_order_ts") \
+            .withColumnRenamed(self.shop_col, "shop_name")
+        # one row per shop, used by several branches: computed once and cut from
+        # the master's lineage in the shared checkpoint folder
+        checkpoint_dir(self.master.sparkSession)
+        return latest.checkpoint(eager=True)
+
+    @cached_property
+    def expected_names(self) -> DataFrame:
+        return self.expected.select(F.col("name")).filter(F.col("name").isNotNull()).distinct()
+
+    @cached_property
+    def present_names(self) -> DataFrame:
+        return self.latest.select(F.col("shop_name").alias("name"))
+
+    @cached_property
+    def missing(self) -> DataFrame:
+        return self.expected_names.join(self.present_names, "name", "left_anti")
+
+    @cached_property
+    def fuzzy(self) -> DataFrame:
+        return best_matches(self.missing, self.latest.select("shop_name"), self.cutoff, self.measure)
+
+    @property
+    def _thr(self) -> Column:
+        return F.lit(self.threshold).cast("timestamp_ntz")
+
+    @cached_property
+    def report(self) -> DataFrame:
+        fuzzy, latest = self.fuzzy, self.latest
+        lat = latest.select(F.col("shop_name").alias("right_name"), "latest_order_ts")
+        fuzzy_rows = (fuzzy.join(lat, "right_name")
+                      .select(F.col("left_name").alias("nickname"), F.col("right_name").alias("shop_name"),
+                              F.lit("fuzzy").alias("status"), F.round("score", 4).alias("score"),
+                              "latest_order_ts"))
+        matched = fuzzy.select(F.col("right_name").alias("shop_name")).distinct()
+        present_rows = (latest.join(matched, "shop_name", "left_anti")
+                        .select(F.lit(None).cast("string").alias("nickname"), "shop_name",
+                                F.lit("present").alias("status"), F.lit(None).cast("double").alias("score"),
+                                "latest_order_ts"))
+        missing_rows = (self.missing.join(fuzzy.select(F.col("left_name").alias("name")), "name", "left_anti")
+                        .select(F.col("name").alias("nickname"), F.lit(None).cast("string").alias("shop_name"),
+                                F.lit("missing").alias("status"), F.lit(None).cast("double").alias("score"),
+                                F.lit(None).cast("timestamp_ntz").alias("latest_order_ts")))
+        report = fuzzy_rows.unionByName(present_rows).unionByName(missing_rows)
+        return report.withColumn("outdated", F.coalesce(F.col("latest_order_ts") < self._thr, F.lit(False)))
+
+    @cached_property
+    def tallies(self) -> DataFrame:
+        def tally(name, df):
+            return df.agg(F.count(F.lit(1)).cast("bigint").alias("shops")).select(F.lit(name).alias("tally"), "shops")
+        parts = [tally("known", self.expected_names), tally("present", self.latest),
+                 tally("matched_exact", self.expected_names.join(self.present_names, "name", "left_semi")),
+                 tally("matched_fuzzy", self.fuzzy),
+                 tally("missing", self.report.filter(F.col("status") == "missing")),
+                 tally("outdated", self.latest.filter(F.col("latest_order_ts") < self._thr))]
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return out
 
 
 def shop_freshness(master: DataFrame, expected: DataFrame, threshold: str,
@@ -40,46 +106,7 @@ def shop_freshness(master: DataFrame, expected: DataFrame, threshold: str,
     in the data that no nickname matched) and ``missing``.  ``outdated`` is
     true when the shop's latest order is before ``threshold``.
     """
-    latest = A.latest_per_group(master, shop_col, ts_col, "latest_order_ts") \
-        .withColumnRenamed(shop_col, "shop_name")
-    # one row per shop, used by five branches: computed once and cut from the
-    # master's lineage in the shared checkpoint folder
-    checkpoint_dir(master.sparkSession)
-    latest = latest.checkpoint(eager=True)
-    thr = F.lit(threshold).cast("timestamp_ntz")
-    exp = expected.select(F.col("name")).filter(F.col("name").isNotNull()).distinct()
-    present_names = latest.select(F.col("shop_name").alias("name"))
-    missing = exp.join(present_names, "name", "left_anti")
-    fuzzy = best_matches(missing, latest.select("shop_name"), cutoff, measure)
-    lat = latest.select(F.col("shop_name").alias("right_name"), "latest_order_ts")
-    fuzzy_rows = (fuzzy.join(lat, "right_name")
-                  .select(F.col("left_name").alias("nickname"), F.col("right_name").alias("shop_name"),
-                          F.lit("fuzzy").alias("status"), F.round("score", 4).alias("score"),
-                          "latest_order_ts"))
-    matched = fuzzy.select(F.col("right_name").alias("shop_name")).distinct()
-    present_rows = (latest.join(matched, "shop_name", "left_anti")
-                    .select(F.lit(None).cast("string").alias("nickname"), "shop_name",
-                            F.lit("present").alias("status"), F.lit(None).cast("double").alias("score"),
-                            "latest_order_ts"))
-    missing_rows = (missing.join(fuzzy.select(F.col("left_name").alias("name")), "name", "left_anti")
-                    .select(F.col("name").alias("nickname"), F.lit(None).cast("string").alias("shop_name"),
-                            F.lit("missing").alias("status"), F.lit(None).cast("double").alias("score"),
-                            F.lit(None).cast("timestamp_ntz").alias("latest_order_ts")))
-    report = fuzzy_rows.unionByName(present_rows).unionByName(missing_rows)
-    report = report.withColumn("outdated", F.coalesce(F.col("latest_order_ts") < thr, F.lit(False)))
-
-    # A18 tallies in one pass over small inputs
-    known = exp.agg(F.count(F.lit(1)).alias("v")).select(F.lit("known").alias("tally"), "v")
-    present = latest.agg(F.count(F.lit(1)).alias("v")).select(F.lit("present").alias("tally"), "v")
-    exact = (exp.join(present_names, "name", "left_semi")
-             .agg(F.count(F.lit(1)).alias("v")).select(F.lit("matched_exact").alias("tally"), "v"))
-    fz = fuzzy.agg(F.count(F.lit(1)).alias("v")).select(F.lit("matched_fuzzy").alias("tally"), "v")
-    miss = report.filter(F.col("status") == "missing").agg(F.count(F.lit(1)).alias("v")) \
-        .select(F.lit("missing").alias("tally"), "v")
-    outd = latest.filter(F.col("latest_order_ts") < thr).agg(F.count(F.lit(1)).alias("v")) \
-        .select(F.lit("outdated").alias("tally"), "v")
-    tallies = known.unionByName(present).unionByName(exact).unionByName(fz).unionByName(miss).unionByName(outd)
-    return Freshness(report, tallies.select("tally", F.col("v").cast("bigint").alias("shops")))
+    return Freshness(master, expected, threshold, cutoff, measure, shop_col, ts_col)
 
 
 # ----------------------------------------------------------------------- Q11
@@ -90,47 +117,58 @@ def date_gaps(master: DataFrame, max_gap_days: int = 3, shop_col: str = "shop_na
 
 
 # ----------------------------------------------------------------------- Q12
-@dataclass
-class Cancellation:
-    orders: DataFrame        # A13 + A14 per common order
-    sn_counts: DataFrame     # A15: order numbers whose line counts differ
-    summary: DataFrame
-
-
 def _lines_per_key(df: DataFrame, keys: Sequence[str], product_col: str, tag: str) -> DataFrame:
     prod = F.coalesce(F.col(product_col).cast("string"), F.lit("<unknown product>"))
     return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias(f"lines_{tag}"),
                                  F.array_sort(F.collect_set(prod)).alias(f"__p_{tag}"))
 
 
+class Cancellation:
+    """Q12 outputs, built on first access: ``orders`` (A13 + A14 per common
+    order), ``sn_counts`` (A15) and ``summary``."""
+
+    def __init__(self, master: DataFrame, orphans: DataFrame, keys: Sequence[str], product_col: str):
+        self.keys, self.product_col = list(keys), product_col
+        self.m = non_blank(master, keys)
+        self.o = non_blank(orphans, keys)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        keys = self.keys
+        lm = _lines_per_key(self.m, keys, self.product_col, "master")
+        lo = _lines_per_key(self.o, keys, self.product_col, "orphans")
+        j = lm.join(lo, keys)                       # J7: common orders
+        diff = F.abs(F.col("lines_master") - F.col("lines_orphans"))
+        different = F.col("lines_master") != F.col("lines_orphans")
+        return j.select(
+            *keys, "lines_master", "lines_orphans", diff.cast("bigint").alias("difference"),
+            F.when(different, "different").otherwise("same").alias("status"),
+            F.when(different, F.array_join(F.array_except("__p_master", "__p_orphans"), ";")).alias("products_only_in_master"),
+            F.when(different, F.array_join(F.array_except("__p_orphans", "__p_master"), ";")).alias("products_only_in_orphans"),
+        )
+
+    @cached_property
+    def sn_counts(self) -> DataFrame:
+        cm = self.m.groupBy("order_sn").agg(F.count(F.lit(1)).cast("bigint").alias("count_master"))
+        co = self.o.groupBy("order_sn").agg(F.count(F.lit(1)).cast("bigint").alias("count_orphans"))
+        return (cm.join(co, "order_sn").filter(F.col("count_master") != F.col("count_orphans"))
+                  .withColumn("difference", F.abs(F.col("count_master") - F.col("count_orphans")).cast("bigint")))
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return self.orders.agg(
+            F.count(F.lit(1)).cast("bigint").alias("common_orders"),
+            F.count_if(F.col("status") == "different").cast("bigint").alias("orders_with_different_lines"),
+            F.count_if(F.col("status") == "same").cast("bigint").alias("orders_with_same_lines"))
+
+
 def cancellation_check(master: DataFrame, orphans: DataFrame, keys: Sequence[str] = ORDER_KEY,
                        product_col: str = "product_name") -> Cancellation:
     """Q12: orders present in both the master and the orphan log (all key
     parts non-blank), their line counts, the absolute difference and the
     products found on one side only; plus order numbers whose occurrence
     counts differ between the two tables."""
-    m = non_blank(master, keys)
-    o = non_blank(orphans, keys)
-    lm = _lines_per_key(m, keys, product_col, "master")
-    lo = _lines_per_key(o, keys, product_col, "orphans")
-    j = lm.join(lo, list(keys))                       # J7: common orders
-    diff = F.abs(F.col("lines_master") - F.col("lines_orphans"))
-    different = F.col("lines_master") != F.col("lines_orphans")
-    orders = j.select(
-        *keys, "lines_master", "lines_orphans", diff.cast("bigint").alias("difference"),
-        F.when(different, "different").otherwise("same").alias("status"),
-        F.when(different, F.array_join(F.array_except("__p_master", "__p_orphans"), ";")).alias("products_only_in_master"),
-        F.when(different, F.array_join(F.array_except("__p_orphans", "__p_master"), ";")).alias("products_only_in_orphans"),
-    )
-    cm = m.groupBy("order_sn").agg(F.count(F.lit(1)).cast("bigint").alias("count_master"))
-    co = o.groupBy("order_sn").agg(F.count(F.lit(1)).cast("bigint").alias("count_orphans"))
-    sn = (cm.join(co, "order_sn").filter(F.col("count_master") != F.col("count_orphans"))
-            .withColumn("difference", F.abs(F.col("count_master") - F.col("count_orphans")).cast("bigint")))
-    summary = orders.agg(
-        F.count(F.lit(1)).cast("bigint").alias("common_orders"),
-        F.count_if(F.col("status") == "different").cast("bigint").alias("orders_with_different_lines"),
-        F.count_if(F.col("status") == "same").cast("bigint").alias("orders_with_same_lines"))
-    return Cancellation(orders, sn, summary)
+    return Cancellation(master, orphans, keys, product_col)
 
 
 def top_differences(sn_counts: DataFrame, n: int = 10) -> DataFrame:
@@ -145,13 +183,6 @@ def invalid_dates(df: DataFrame, date_col: str = "order_date", keep: Sequence[st
 
 
 # ----------------------------------------------------------------------- Q17
-@dataclass
-class DuplicateKeys:
-    reconciliation: DataFrame
-    disappeared: DataFrame
-    sku_classes: DataFrame
-
-
 def line_key(df: DataFrame) -> DataFrame:
     """Line key columns (order number, variation SKU or NULL_SKU, product)."""
     return df.withColumns({"__lk_sn": F.coalesce(F.trim("order_sn"), F.lit("")),
@@ -159,6 +190,46 @@ def line_key(df: DataFrame) -> DataFrame:
                            "__lk_prod": F.coalesce(F.trim("product_name"), F.lit(""))})
 
 
+class DuplicateKeys:
+    """Q17 outputs, built on first access: ``reconciliation`` (J6),
+    ``disappeared`` (J10) and ``sku_classes`` (A20)."""
+
+    _K = ["__lk_sn", "__lk_sku", "__lk_prod"]
+
+    def __init__(self, old: DataFrame, new: DataFrame):
+        self.old, self.new = old, new
+
+    @cached_property
+    def nd(self) -> DataFrame:
+        return X.with_order_date_from_sn(self.new, "order_sn", "__d")
+
+    @cached_property
+    def od(self) -> DataFrame:
+        span = self.nd.agg(F.min("__d").alias("lo"), F.max("__d").alias("hi")).first()
+        return self.old.filter(in_date_range("order_date", span["lo"], span["hi"]))
+
+    @cached_property
+    def reconciliation(self) -> DataFrame:
+        return key_reconciliation(line_key(self.od), line_key(self.nd), self._K)
+
+    @cached_property
+    def disappeared(self) -> DataFrame:
+        ok, nk = line_key(self.od), line_key(self.nd)
+        gone = anti_join(ok, nk, self._K)
+        new_skus = nk.groupBy("__lk_sn", "__lk_prod").agg(F.array_sort(F.collect_set("__lk_sku")).alias("__skus"))
+        return (gone.join(new_skus, ["__lk_sn", "__lk_prod"], "left")
+                    .select(F.col("order_sn"), F.col("product_name"), F.col("__lk_sku").alias("old_sku"),
+                            F.array_join(F.array_remove(F.coalesce("__skus", F.array().cast("array<string>")),
+                                                        F.col("__lk_sku")), ";").alias("new_skus_same_product"),
+                            F.col("row_no")))
+
+    @cached_property
+    def sku_classes(self) -> DataFrame:
+        classes = (A.value_class_frequency(self.od, "product_sku_variation").withColumn("side", F.lit("old"))
+                   .unionByName(A.value_class_frequency(self.nd, "product_sku_variation").withColumn("side", F.lit("new"))))
+        return classes.select("side", "value_class", F.col("rows").cast("bigint"))
+
+
 def duplicate_key_report(old: DataFrame, new: DataFrame) -> DuplicateKeys:
     """Q17: line-key diagnosis of a new batch against the master.
 
@@ -169,20 +240,4 @@ def duplicate_key_report(old: DataFrame, new: DataFrame) -> DuplicateKeys:
     aggregated row per order+product, never a pairwise product); and the
     value classes of the variation SKU on both sides (A20).
     """
-    nd = X.with_order_date_from_sn(new, "order_sn", "__d")
-    span = nd.agg(F.min("__d").alias("lo"), F.max("__d").alias("hi")).first()
-    od = old.filter(in_date_range("order_date", span["lo"], span["hi"]))
-    ok, nk = line_key(od), line_key(nd)
-    k = ["__lk_sn", "__lk_sku", "__lk_prod"]
-    rec = key_reconciliation(ok, nk, k)
-    gone = anti_join(ok, nk, k)
-    new_skus = nk.groupBy("__lk_sn", "__lk_prod").agg(F.array_sort(F.collect_set("__lk_sku")).alias("__skus"))
-    dis = (gone.join(new_skus, ["__lk_sn", "__lk_prod"], "left")
-               .select(F.col("order_sn"), F.col("product_name"),
-                       F.col("__lk_sku").alias("old_sku"),
-                       F.array_join(F.array_remove(F.coalesce("__skus", F.array().cast("array<string>")),
-                                                   F.col("__lk_sku")), ";").alias("new_skus_same_product"),
-                       F.col("row_no")))
-    classes = (A.value_class_frequency(od, "product_sku_variation").withColumn("side", F.lit("old"))
-               .unionByName(A.value_class_frequency(nd, "product_sku_variation").withColumn("side", F.lit("new"))))
-    return DuplicateKeys(rec, dis, classes.select("side", "value_class", F.col("rows").cast("bigint")))
+    return DuplicateKeys(old, new)

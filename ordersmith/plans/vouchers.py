@@ -8,10 +8,10 @@ aggregation grouped by the column name.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordersmith.functions import scalars as X
@@ -23,17 +23,6 @@ from ordersmith.schema import VOUCHER_BIN_EDGES
 VOUCHER_COLUMNS = ["seller_voucher", "voucher"]
 
 
-@dataclass
-class VoucherUsage:
-    classes: DataFrame
-    used_stats: DataFrame
-    histogram: DataFrame
-    top_values: DataFrame
-    invalid_values: DataFrame
-    summary: DataFrame
-    steps: DataFrame
-
-
 def voucher_orders(df: DataFrame, start: str, end: str, order_col: str = "row_no") -> DataFrame:
     """W1 then F4: first line per order number, then the date range."""
     firsts = first_per_key(df, ["order_sn"], [order_col])
@@ -49,44 +38,77 @@ def voucher_long(orders: DataFrame, columns: Sequence[str] = VOUCHER_COLUMNS) ->
     return long.withColumn("raw", raw).withColumn("amount", X.to_number("raw"))
 
 
+class VoucherUsage:
+    """Q13 outputs, each built on first access (A6 classes, A7 used_stats,
+    A8 histogram, L4 top_values, F8 invalid_values, A9 summary, A17 steps)."""
+
+    def __init__(self, df: DataFrame, start: str, end: str, columns: Sequence[str] = VOUCHER_COLUMNS,
+                 order_col: str = "row_no"):
+        self.df, self.start, self.end, self.columns, self.order_col = df, start, end, list(columns), order_col
+
+    @cached_property
+    def long(self) -> DataFrame:
+        return voucher_long(voucher_orders(self.df, self.start, self.end, self.order_col), self.columns)
+
+    @cached_property
+    def classes(self) -> DataFrame:
+        amt, total = F.col("amount"), F.count(F.lit(1))
+        c = self.long.groupBy("voucher_column").agg(
+            total.cast("bigint").alias("orders"),
+            F.count_if(amt > 0).cast("bigint").alias("used"),
+            F.count_if(amt == 0).cast("bigint").alias("unused"),
+            F.count_if(amt.isNull()).cast("bigint").alias("null_or_invalid"))
+        return c.select("*", *[X.pct(k, "orders", 4).alias(f"{k}_pct") for k in ["used", "unused", "null_or_invalid"]])
+
+    @cached_property
+    def used_stats(self) -> DataFrame:
+        amt = F.col("amount")
+        return self.long.filter(amt > 0).groupBy("voucher_column").agg(
+            F.min(amt).alias("min_amount"), F.max(amt).alias("max_amount"),
+            F.round(F.avg(amt), 4).alias("mean_amount"), F.round(F.median(amt), 4).alias("median_amount"),
+            F.round(F.sum(amt), 4).alias("total_amount"))
+
+    @cached_property
+    def histogram(self) -> DataFrame:
+        amt, total = F.col("amount"), F.count(F.lit(1))
+        used = self.long.filter(amt > 0)
+        per_bin = used.groupBy("voucher_column", bin_lower(amt, VOUCHER_BIN_EDGES).alias("bin_lower"),
+                               bin_label(amt, VOUCHER_BIN_EDGES).alias("bin")).agg(total.cast("bigint").alias("orders"))
+        w = Window.partitionBy("voucher_column")
+        return per_bin.select("voucher_column", "bin", "bin_lower", "orders",
+                              X.pct("orders", F.sum("orders").over(w), 4).alias("pct"))
+
+    @cached_property
+    def value_counts(self) -> DataFrame:
+        return (self.long.filter(F.col("raw").isNotNull()).groupBy("voucher_column", "raw")
+                .agg(F.count(F.lit(1)).cast("bigint").alias("orders")))
+
+    @cached_property
+    def top_values(self) -> DataFrame:
+        return top_per_column(self.value_counts, 10)
+
+    @cached_property
+    def invalid_values(self) -> DataFrame:
+        return (self.long.filter(F.col("raw").isNotNull() & F.col("amount").isNull())
+                .groupBy("voucher_column", "raw").agg(F.count(F.lit(1)).cast("bigint").alias("orders")))
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        amt, total = F.col("amount"), F.count(F.lit(1))
+        return self.long.groupBy("voucher_column").agg(
+            F.count_if(amt > 0).cast("bigint").alias("used"),
+            X.pct(F.count_if(amt > 0), total, 4).alias("usage_rate_pct"),
+            F.round(F.avg(F.when(amt > 0, amt)), 2).alias("mean_used_amount"))
+
+    @cached_property
+    def steps(self) -> DataFrame:
+        return step_counts(self.df, self.start, self.end, self.order_col)
+
+
 def voucher_usage(df: DataFrame, start: str, end: str, columns: Sequence[str] = VOUCHER_COLUMNS,
                   order_col: str = "row_no") -> VoucherUsage:
-    orders = voucher_orders(df, start, end, order_col)
-    long = voucher_long(orders, columns)
-    amt = F.col("amount")
-    total = F.count(F.lit(1))
-
-    classes = long.groupBy("voucher_column").agg(
-        total.cast("bigint").alias("orders"),
-        F.count_if(amt > 0).cast("bigint").alias("used"),
-        F.count_if(amt == 0).cast("bigint").alias("unused"),
-        F.count_if(amt.isNull()).cast("bigint").alias("null_or_invalid"))
-    classes = classes.select("*", *[X.pct(c, "orders", 4).alias(f"{c}_pct") for c in ["used", "unused", "null_or_invalid"]])
-
-    used = long.filter(amt > 0)
-    used_stats = used.groupBy("voucher_column").agg(
-        F.min(amt).alias("min_amount"), F.max(amt).alias("max_amount"),
-        F.round(F.avg(amt), 4).alias("mean_amount"), F.round(F.median(amt), 4).alias("median_amount"),
-        F.round(F.sum(amt), 4).alias("total_amount"))
-
-    per_bin = used.groupBy("voucher_column", bin_lower(amt, VOUCHER_BIN_EDGES).alias("bin_lower"),
-                           bin_label(amt, VOUCHER_BIN_EDGES).alias("bin")).agg(total.cast("bigint").alias("orders"))
-    used_n = used.groupBy("voucher_column").agg(total.alias("__used"))
-    histogram = (per_bin.join(used_n, "voucher_column")
-                 .select("voucher_column", "bin", "bin_lower", "orders", X.pct("orders", "__used", 4).alias("pct")))
-
-    counts = long.filter(F.col("raw").isNotNull()).groupBy("voucher_column", "raw").agg(total.cast("bigint").alias("orders"))
-    top_values = top_per_column(counts, 10)
-    invalid_values = (long.filter(F.col("raw").isNotNull() & amt.isNull())
-                      .groupBy("voucher_column", "raw").agg(total.cast("bigint").alias("orders")))
-
-    summary = long.groupBy("voucher_column").agg(
-        F.count_if(amt > 0).cast("bigint").alias("used"),
-        X.pct(F.count_if(amt > 0), total, 4).alias("usage_rate_pct"),
-        F.round(F.avg(F.when(amt > 0, amt)), 2).alias("mean_used_amount"))
-
-    steps = step_counts(df, start, end, order_col)
-    return VoucherUsage(classes, used_stats, histogram, top_values, invalid_values, summary, steps)
+    """Q13: voucher analysis of the orders dated in ``[start, end]``."""
+    return VoucherUsage(df, start, end, columns, order_col)
 
 
 def step_counts(df: DataFrame, start: str, end: str, order_col: str = "row_no") -> DataFrame:
@@ -102,6 +124,5 @@ def step_counts(df: DataFrame, start: str, end: str, order_col: str = "row_no")
 
 def top_per_column(counts: DataFrame, n: int) -> DataFrame:
     """L4 per voucher column: the ``n`` most frequent raw values (ties: value)."""
-    from pyspark.sql import Window
     w = Window.partitionBy("voucher_column").orderBy(F.col("orders").desc(), F.col("raw"))
     return counts.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)

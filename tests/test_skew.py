@@ -5,6 +5,7 @@ one group with about a third of the lines, as a blank column in a real export
 would produce.
 """
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -49,6 +50,6 @@ def test_upsert_exact_under_skew(spark):
     lo, hi = pn.order_date.min(), pn.order_date.max()
     keys = set(zip(pn.order_date, pn.order_sn.fillna("<null>"), pn.buyer_username))
     in_span = (po.order_date >= lo) & (po.order_date <= hi)
-    hit = [k in keys for k in zip(po.order_date, po.order_sn.fillna("<null>"), po.buyer_username)]
+    hit = np.array([k in keys for k in zip(po.order_date, po.order_sn.fillna("<null>"), po.buyer_username)])
     kept = po[~(in_span & hit)]
     assert out.count() == len(kept) + len(pn)
