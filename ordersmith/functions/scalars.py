@@ -23,8 +23,10 @@ def _col(c: ColumnOrName) -> Column:
 
 # --------------------------------------------------------------------------- X1
 def strip_newlines(c: ColumnOrName) -> Column:
-    """LF becomes a space, CR is removed."""
-    return F.translate(_col(c), "\n\r", " ")
+    """LF becomes a space, CR is removed (text without either is passed as is,
+    without rewriting the value)."""
+    x = _col(c)
+    return F.when(x.contains("\n") | x.contains("\r"), F.translate(x, "\n\r", " ")).otherwise(x)
 
 
 # --------------------------------------------------------------------------- X2
@@ -203,7 +205,8 @@ def to_timestamp_tolerant(c: ColumnOrName, null_tokens: Iterable[str] = TIMESTAM
     same with '/' separators; placeholders such as ``'-'`` give null."""
     x = F.trim(_col(c).cast("string"))
     x = F.when(x.isin(list(null_tokens)), F.lit(None).cast("string")).otherwise(x)
-    return F.translate(x, "/", "-").try_cast("timestamp_ntz")
+    x = F.when(x.contains("/"), F.translate(x, "/", "-")).otherwise(x)
+    return x.try_cast("timestamp_ntz")
 
 
 # --------------------------------------------------------------------------- X10-X13
