@@ -155,16 +155,15 @@ def _name_tokens(names: DataFrame, col: str) -> DataFrame:
     return base.select(F.col("__name").alias("name"), F.explode(toks).alias("token"))
 
 
-def _prefix_tokens(tokens: DataFrame, freq: DataFrame, lengths: DataFrame, share: float) -> DataFrame:
+def _prefix_tokens(tokens: DataFrame, freq: DataFrame, share: float) -> DataFrame:
     """Prefix filter: each name keeps its ``len - ceil(share*len) + 1`` rarest
     tokens (global order: frequency, then token)."""
-    ranked = tokens.join(freq, "token")
-    per = ranked.groupBy("name").agg(
+    per = tokens.join(freq, "token").groupBy("name").agg(
         F.array_sort(F.collect_list(F.struct("freq", "token"))).alias("toks"))
-    per = per.join(lengths, "name")
-    need = F.greatest(F.ceil(F.col("len") * F.lit(share) - F.lit(1e-9)), F.lit(1))
-    keep = F.col("len") - need + 1
-    return per.select("name", F.explode(F.slice("toks", 1, keep.cast("int"))).alias("t")) \
+    n = F.length("name")
+    need = F.greatest(F.ceil(n * F.lit(share) - F.lit(1e-9)), F.lit(1))
+    keep = (n - need + 1).cast("int")
+    return per.select("name", F.explode(F.slice("toks", 1, keep)).alias("t")) \
               .select("name", F.col("t.token").alias("token"))
 
 
@@ -188,8 +187,8 @@ def similar_name_candidates(left: DataFrame, right: DataFrame, cutoff: float,
     lt, rt = _name_tokens(ln, "name"), _name_tokens(rn, "name")
     freq = (lt.select("token").unionByName(rt.select("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-    lp = _prefix_tokens(lt, freq, ln.select("name", F.length("name").alias("len")), share)
-    rp = _prefix_tokens(rt, freq, rn.select("name", F.length("name").alias("len")), share)
+    lp = _prefix_tokens(lt, freq, share)
+    rp = _prefix_tokens(rt, freq, share)
     pairs = (lp.withColumnRenamed("name", "left_name")
                .join(rp.withColumnRenamed("name", "right_name"), "token")
                .select("left_name", "right_name"))
