@@ -53,3 +53,13 @@ def test_csv_reader_and_dropfolder_stream(spark, tmp_path):
     master = sinks.read_master(spark, str(tmp_path / "master"))
     assert master.count() == df.count()
     assert master.filter(F.col("order_date").isNull() | F.col("shop_name").isNull()).count() == 0
+
+
+def test_keep_empty_cells(spark, tmp_path):
+    p = tmp_path / "x_acc_Order.all.1.csv"
+    p.write_text("a,b,c\n,nan,1\n", encoding="utf-8")
+    default = readers.read_order_exports(spark, str(tmp_path)).first()
+    kept = readers.read_order_exports(spark, str(tmp_path), keep_empty=True).first()
+    assert (default["a"], default["b"]) == (None, "nan")
+    assert (kept["a"], kept["b"]) == ("", "nan")
+    assert kept["file_name"] == "x_acc_Order.all.1.csv"

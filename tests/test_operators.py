@@ -151,3 +151,13 @@ def test_sample_and_first_n(spark):
     b = [r.k for r in W.sample_n(df, 5, seed=1).collect()]
     assert a == b and len(set(a)) == 5
     assert W.sample_n(df.limit(3), 5).count() == 3
+
+
+def test_unmapped_and_required_columns(spark):
+    import pytest
+    from ordersmith.schema import ORDER_EXPORT_HEADERS
+    df = spark.createDataFrame([("1", "2")], "a string, b string").toDF("訂單編號", "未知欄位")
+    assert [tuple(r) for r in P.unmapped_columns(spark, df, ORDER_EXPORT_HEADERS).collect()] == [(1, "未知欄位")]
+    P.require_columns(df, ["訂單編號"])
+    with pytest.raises(P.MissingColumnsError, match="x"):
+        P.require_columns(df, ["訂單編號", "x"])
