@@ -811,3 +811,23 @@ def q_clean_parse_stats(spark, sf_dir):
     return rows.groupBy("shop_name").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
                                          F.count("order_date").cast("bigint").alias("dated_rows"),
                                          F.count("order_creation_timestamp").cast("bigint").alias("timestamped_rows"))
+
+
+# ============================================================ streaming ingest (S16 + Q3 + Q1)
+@register("dropfolder_ingest")
+def q_dropfolder_ingest(spark, sf_dir):
+    """The export lines land as CSV files in a fresh inbox (one folder per
+    export file, named ``file_name=<export name>``); the drop-folder stream
+    cleans and upserts them into a stored master; returns that master."""
+    import uuid
+    from ordersmith.session import shared_path
+    from ordersmith.sources.sinks import read_master
+    from ordersmith.streaming.dropfolder import start_dropfolder_ingest
+    run = shared_path(spark, "dropfolder-query", uuid.uuid4().hex)
+    raw = td.raw_order_exports(spark, sf_dir).drop("row_no")
+    raw.write.option("header", True).partitionBy("file_name").csv(f"{run}/inbox")
+    headers = [c for c in raw.columns if c != "file_name"]
+    q = start_dropfolder_ingest(spark, f"{run}/inbox", headers, f"{run}/master", f"{run}/orphans",
+                                f"{run}/archive", checkpoint_location=f"{run}/stream", as_of=AS_OF)
+    q.awaitTermination()
+    return read_master(spark, f"{run}/master")
