@@ -24,13 +24,20 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame | None], databas
     write is ``failed`` with the error and does not stop the others.  Each
     write is a distributed job; the loop runs once per table, not per row.
     """
-    create_database(spark, database)
     rows = []
+    try:
+        create_database(spark, database)
+        namespace_error = None
+    except Exception as e:  # noqa: BLE001 - every table is then reported as failed
+        namespace_error = f"{type(e).__name__}: {str(e)[:500]}"
     for name, df in tables.items():
         target = f"`{database}`.`{name}`"
         if df is None:
             rows.append((name, "skipped", 0, "source missing"))
             continue
+        if namespace_error:
+            rows.append((name, "failed", 0, namespace_error))
+            continue
         try:
             df.write.mode("overwrite").format(fmt).saveAsTable(target)
             n = spark.table(target).count()
