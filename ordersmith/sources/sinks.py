@@ -110,3 +110,52 @@ def record_processed(spark: SparkSession, file_names: DataFrame, ledger_path: st
     (file_names.select(col).distinct().withColumn("run_id", F.lit(run_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id").parquet(ledger_path))
+
+
+# ------------------------------------------------------- bucketed master table
+def write_master_table(df: DataFrame, table: str, buckets: int = 64, date_col: str = "order_date") -> None:
+    """Store the master as a catalog table partitioned by day and bucketed by
+    order number (lines of an order sorted by ``row_no``).
+
+    Jobs grouped by ``order_sn`` (B01 summary, B03/B04 first lines) then read
+    each bucket across all days in one task and need no shuffle: the table
+    layout already satisfies the grouping.  Size ``buckets`` so one bucket of
+    one day is a few hundred MB at most.
+    """
+    (conform(df, MASTER_COLUMNS, keep=["row_no"]).write.mode("overwrite")
+     .partitionBy(date_col).bucketBy(buckets, "order_sn").sortBy("order_sn", "row_no")
+     .saveAsTable(table))
+
+
+def upsert_into_table(spark: SparkSession, table: str, new: DataFrame, orphan_path: str | None = None,
+                      run_id: str = "run", run_ts: str | None = None, date_col: str = "order_date") -> UpsertOutcome:
+    """``upsert_into`` for a bucketed master table: the same staged rewrite of
+    the batch's day partitions, written with ``INSERT OVERWRITE`` (dynamic
+    partitions) so the table keeps its bucketing."""
+    new = conform(new, MASTER_COLUMNS, keep=["row_no"])
+    checkpoint_dir(spark)
+    old = spark.table(table)
+    span = new_date_span(new, date_col)
+    if span.global_mode:
+        affected = old
+    else:
+        cond = F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
+        if new.filter(F.col(date_col).isNull()).limit(1).count():
+            cond = cond | F.col(date_col).isNull()
+        affected = old.filter(cond)
+    stats = upsert_statistics(affected, new, span=span).checkpoint(eager=True)
+    orphans = find_orphans(affected, new, span=span, run_ts=run_ts).checkpoint(eager=True)
+    n_orphans = orphans.count()
+    if orphan_path and n_orphans:
+        append_orphans(orphans, orphan_path, run_id)
+    result = upsert_orders(affected, new, span=span).checkpoint(eager=True)
+    # INSERT OVERWRITE takes the overwrite mode from the session: dynamic for
+    # this statement only, so untouched day partitions stay as they are
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, "static")
+    spark.conf.set(key, "dynamic")
+    try:
+        result.select(*old.columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+    return UpsertOutcome(stats, n_orphans)
