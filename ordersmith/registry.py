@@ -259,6 +259,7 @@ def q_duplicated_order_lines(spark, sf_dir):
 
 
 # ============================================================ cleaning (Q3, Q4, Q18)
+from ordersmith.operators.joins import shop_alias_table  # noqa: E402
 from ordersmith.plans import clean as C  # noqa: E402
 
 _NL = "chr(10) || chr(13)"
@@ -347,7 +348,7 @@ _SHEET_PLATFORMS = TEST_PLATFORMS
 
 def _sheet_inputs(spark, sf_dir):
     raw = td.raw_sheet_export(spark, sf_dir)
-    aliases = __import__("ordersmith.operators.joins", fromlist=["x"]).shop_alias_table(td.shop_aliases(spark, sf_dir))
+    aliases = shop_alias_table(td.shop_aliases(spark, sf_dir))
     old = master(spark, sf_dir).filter(F.year("order_date") <= 1997)
     old_special = old.filter(F.col("shop_name").isin(_SHEET_PLATFORMS))
     return raw, aliases, old, old_special
@@ -409,7 +410,6 @@ SELECT alias, shop_account, canonical_name FROM (
   UNION ALL
   SELECT upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)), lower(n_name), n_name FROM nation)""")
 def q_shop_alias_table(spark, sf_dir):
-    from ordersmith.operators.joins import shop_alias_table
     return shop_alias_table(td.shop_aliases(spark, sf_dir))
 
 
