@@ -329,17 +329,42 @@ _RAW_TEXT = ["sn", "st", "buyer", "created", "shipped", "price", "paid", "pname"
              "qty", "rqty", "sv", "v"]
 
 
+_VALID_FILE = "instr(file_name, '_') > 1 AND instr(file_name, '_Order.all.') > instr(file_name, '_') + 1"
+
+
 @register("clean_orders", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
 raw AS ({_RAW_SQL}),
 txt AS (SELECT {", ".join(f"{_tr(c)} AS {c}" for c in _RAW_TEXT)}, file_name, row_no FROM raw)
-SELECT {_conform_sql(_CLEAN_PRESENT)} FROM txt""")
+SELECT {_conform_sql(_CLEAN_PRESENT)} FROM txt WHERE {_VALID_FILE}""")
 def q_clean_orders(spark, sf_dir):
     return C.clean_orders(td.raw_order_exports(spark, sf_dir), as_of=AS_OF).rows
 
 
-@register("clean_rejects")
+_MISNAMED_SQL = _RAW_SQL.replace(
+    "replace(shop_name, '_', '-') || '_' || shop_account || '_Order.all.19950101_20011231.xlsx' AS file_name",
+    "CASE WHEN (SELECT n_regionkey FROM nation WHERE n_name = ol.shop_name) = 4 "
+    "THEN 'Order.all.19950101_20011231_' || replace(shop_name, '_', '-') || '.xlsx' "
+    "ELSE replace(shop_name, '_', '-') || '_' || shop_account || '_Order.all.19950101_20011231.xlsx' END AS file_name")
+assert _MISNAMED_SQL != _RAW_SQL
+
+
+@register("clean_rejects", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+raw AS ({_MISNAMED_SQL})
+SELECT file_name, row_no, sn AS order_sn,
+       'file name does not follow <shop>_<account>_Order.all.*' AS reason
+FROM raw WHERE NOT ({_VALID_FILE})""")
 def q_clean_rejects(spark, sf_dir):
-    return C.clean_orders(td.raw_order_exports(spark, sf_dir), as_of=AS_OF).rejects
+    """Rejects of a drop where some exports were not renamed (whole files)."""
+    return C.clean_orders(td.raw_order_exports_misnamed(spark, sf_dir), as_of=AS_OF).rejects
+
+
+@register("clean_orders_misnamed", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+raw AS ({_MISNAMED_SQL}),
+txt AS (SELECT {", ".join(f"{_tr(c)} AS {c}" for c in _RAW_TEXT)}, file_name, row_no FROM raw)
+SELECT {_conform_sql(_CLEAN_PRESENT)} FROM txt WHERE {_VALID_FILE}""")
+def q_clean_orders_misnamed(spark, sf_dir):
+    """Typed rows of the same drop: the misnamed files are left out whole."""
+    return C.clean_orders(td.raw_order_exports_misnamed(spark, sf_dir), as_of=AS_OF).rows
 
 
 _SHEET_AS_OF = "1999-01-01"

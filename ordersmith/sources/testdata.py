@@ -162,6 +162,19 @@ def raw_order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_order_exports_misnamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_order_exports`` where the exports of region-4 shops were saved
+    under the marketplace's own name (no ``<shop>_<account>_`` prefix), as
+    happens when a file is dropped without renaming: those files are rejects."""
+    raw = raw_order_exports(spark, sf_dir)
+    n = table(spark, sf_dir, "nation").select(
+        F.regexp_replace("n_name", "_", "-").alias("__shop"), "n_regionkey")
+    raw = raw.withColumn("__shop", F.substring_index("file_name", "_", 1)).join(n, "__shop", "left")
+    bad = F.concat(F.lit("Order.all.19950101_20011231_"), F.col("__shop"), F.lit(".xlsx"))
+    return raw.withColumn("file_name", F.when(F.col("n_regionkey") == 4, bad).otherwise(F.col("file_name"))) \
+              .drop("__shop", "n_regionkey")
+
+
 _SHEET_SOURCE = {"shop_name": "店鋪名稱", "buyer_username": "買家帳號", "order_date": "訂單日期",
                  "order_sn": "訂單編號(從這邊貼上)", "order_status": "訂單狀態",
                  "order_creation_timestamp": "訂單成立日期", "actual_shipping_timestamp": "實際出貨時間"}
