@@ -32,3 +32,18 @@ def test_first_line_is_limited_before_the_shuffle(no_aqe):
     lines = [ln for ln in plan.splitlines() if "WindowGroupLimit" in ln or "Exchange hashpartitioning(order_sn" in ln]
     kinds = ["Partial" if "Partial" in ln else "Final" if "Final" in ln else "Exchange" for ln in lines]
     assert kinds == ["Final", "Exchange", "Partial"], lines   # printed top-down: final above the shuffle
+
+
+def test_stored_upsert_reads_only_the_batch_days(no_aqe, tmp_path):
+    from pyspark.sql import functions as F
+    from ordersmith.plans import upsert as U
+    from ordersmith.sources import sinks
+    path = str(tmp_path / "master")
+    sinks.upsert_into(no_aqe, path, R.upsert_old(no_aqe, SF_SMALL))
+    new = R.upsert_new(no_aqe, SF_SMALL)
+    span = U.new_date_span(new)
+    old = sinks.read_master(no_aqe, path)
+    affected = old.filter(F.col("order_date").between(F.lit(span.lo), F.lit(span.hi)))
+    plan = physical(U.upsert_orders(affected, new, span=span))
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "order_date" in ln]
+    assert scan and all("PartitionFilters: [isnotnull(order_date" in ln for ln in scan), scan
