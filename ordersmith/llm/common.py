@@ -135,3 +135,33 @@ def list_array(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Ar
     off = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=off[1:])
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat, kind))
+
+
+def hashed_bitmap(hashes: DataFrame, bits_log2: int = 23) -> np.ndarray:
+    """A bitmap of 2**bits_log2 bits with the bits of the hashes in ``hashes`` (one long column) set.
+
+    Its size is fixed whatever the table's size, so it may go through the
+    driver; a fuller bitmap only lets more rows pass.
+    """
+    pos = F.col(hashes.columns[0]).bitwiseAND(F.lit((1 << bits_log2) - 1))
+    words = (hashes.filter(F.col(hashes.columns[0]).isNotNull())
+             .select(F.shiftright(pos, 6).alias("w"), pos.alias("p"))
+             .select("w", F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b"))).toArrow()
+    out = np.zeros(1 << (bits_log2 - 6), np.uint64)
+    out[words.column("w").to_numpy()] = words.column("b").to_numpy().astype(np.int64).view(np.uint64)
+    return out
+
+
+def probe_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the hashes' bits are set."""
+    pos = hashes & _U(len(bitmap) * 64 - 1)
+    return ((bitmap[(pos >> _U(6)).astype(np.int64)] >> (pos & _U(63))) & _U(1)).astype(bool)
+
+
+def may_be_in(bitmap: np.ndarray, hash_col: Column) -> Column:
+    """Column form of ``probe_bitmap`` for a long hash column."""
+    @F.arrow_udf("boolean")
+    def probe(h: pa.Array) -> pa.Array:
+        return pa.array(probe_bitmap(bitmap, h.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
+    return probe(hash_col)
