@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ordersmith.llm.decontamination import contamination
 from ordersmith.llm.exact_dedup import exact_dedup
 from ordersmith.llm.near_dedup import near_dedup
+from ordersmith.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +74,9 @@ def op5(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+@register("op6_packing")
+def op6(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
