@@ -141,7 +141,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty table gives no rows. ``uid`` names a column of ``docs`` that tells rows apart.
     """
     ids = stage(block_identities(docs, id_col, text_col, block_bytes, uid), "dedup-ids")
-    best = ids.groupBy("level", "name").agg(F.min(_preferred()).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    # staged, so that the join reads both sides by plain exchanges and Spark can split a hot group
+    best = stage(ids.groupBy("level", "name").agg(F.min(_preferred()).alias("best"),
+                                                  F.count(F.lit(1)).alias("group_size")), "dedup-best")
     return ids.join(best, ["level", "name"]).select(
         "uid", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("best.uid") == F.col("uid")).alias("kept"), F.col("sha").alias("text_sha256"))

@@ -217,8 +217,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = stage(signed.filter("c1 is not null").groupBy("c1", "c2").agg(
         F.min("uid").alias("rep"), F.min_by("bands", "uid").alias("bands")), "near-classes")
     entries = classes.select("rep", F.explode("bands").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
-    members = stage(entries.join(shared.select("key", "lo"), "key"), "near-members")
+    shared = stage(entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
+                   .select("key", "lo"), "near-shared")
+    members = stage(entries.join(shared, "key"), "near-members")
 
     tried = stage(members.filter("rep != lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct(),
                   "near-pairs")
@@ -242,9 +243,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
                .select("uid", "doc_id", F.coalesce("label", "rep", "uid").alias("label")))
     grouped = stage(grouped, "near-groups")
-    best = grouped.groupBy("label").agg(
+    # staged, so that the join reads both sides by plain exchanges and Spark can split a hot group
+    best = stage(grouped.groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "uid")).alias("best"),
-        F.count(F.lit(1)).alias("group_size"))
+        F.count(F.lit(1)).alias("group_size")), "near-best")
     return grouped.join(best, "label").select(
         "uid", "doc_id", F.col("best.doc_id").alias("group_id"), "group_size",
         (F.col("best.uid") == F.col("uid")).alias("kept"))
