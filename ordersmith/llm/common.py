@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Iterable, Iterator
 
 import numpy as np
@@ -16,7 +18,9 @@ from ordersmith.session import checkpoint_dir
 #: Bytes of text that a task turns into arrays at a time (a longer text is cut between words).
 SLICE_BYTES = 1 << 17
 
-_STAGED: list[str] = []
+#: Paths staged for an owner (see ``staged_for``), by its name.
+_STAGED: dict[str, list[str]] = {}
+_OWNER: ContextVar[str | None] = ContextVar("owner", default=None)
 
 
 def stage(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame:
@@ -35,20 +39,27 @@ def stage(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame
 
 
 def staged_path(spark: SparkSession, tag: str) -> str:
-    """A fresh path in the shared folder, remembered for ``release_staged``."""
+    """A fresh path in the shared folder."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/ordersmith-llm/{tag}-{uuid.uuid4().hex}"
-    _STAGED.append(path)
+    if owner := _OWNER.get():
+        _STAGED.setdefault(owner, []).append(path)
     return path
 
 
-def release_staged(spark: SparkSession) -> None:
-    """Delete what earlier operators of this session staged.
+@contextmanager
+def staged_for(owner: str):
+    """What is staged inside belongs to ``owner`` and goes with ``release_staged``."""
+    token = _OWNER.set(owner)
+    try:
+        yield
+    finally:
+        _OWNER.reset(token)
 
-    Call it only when their results have been written; results that still
-    read a staged table would miss its files.
-    """
-    while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+
+def release_staged(spark: SparkSession, owner: str) -> None:
+    """Delete what was staged for ``owner``; results that still read it must have been written."""
+    for name in _STAGED.pop(owner, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from ordersmith.llm.decontamination import contamination
 from ordersmith.llm.exact_dedup import exact_dedup
 from ordersmith.llm.near_dedup import near_dedup
 from ordersmith.llm.packing import pack
+from ordersmith.llm.quality import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +82,11 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@register("op1_quality")
+def op1(spark, sf_dir):
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
