@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ordersmith.llm.decontamination import contamination
 from ordersmith.llm.exact_dedup import exact_dedup
+from ordersmith.llm.language import predict as predict_language
 from ordersmith.llm.near_dedup import near_dedup
 from ordersmith.llm.packing import pack
 from ordersmith.llm.quality import score_quality
@@ -89,4 +90,9 @@ def op1(spark, sf_dir):
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op7_language_id")
+def op7(spark, sf_dir):
+    return predict_language(table(spark, sf_dir, "documents")).drop("probs")
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
