@@ -14,6 +14,7 @@ from ordersmith.llm.language import predict as predict_language
 from ordersmith.llm.near_dedup import near_dedup
 from ordersmith.llm.packing import pack
 from ordersmith.llm.quality import score_quality
+from ordersmith.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,4 +96,9 @@ def op7(spark, sf_dir):
     return predict_language(table(spark, sf_dir, "documents")).drop("probs")
 
 
+@register("op8_toxicity")
+def op8(spark, sf_dir):
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
