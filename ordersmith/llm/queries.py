@@ -14,7 +14,9 @@ from ordersmith.llm.language import predict as predict_language
 from ordersmith.llm.near_dedup import near_dedup
 from ordersmith.llm.packing import pack
 from ordersmith.llm.quality import score_quality
+from ordersmith.llm.token_counts import token_counts
 from ordersmith.llm.toxicity import score_toxicity
+from ordersmith.llm.url_filter import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,4 +103,26 @@ def op8(spark, sf_dir):
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op2_token_counts")
+def op2(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@register("op4_url_filter", f"""
+WITH r(rh, rp, v) AS (VALUES {", ".join(map(str, URL_RULES))}),
+p AS (SELECT row_number() OVER () AS i, page_id,
+        translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+f AS (SELECT i, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS verdict
+      FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY i)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN f USING (i)""")
+def op4(spark, sf_dir):
+    return judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
