@@ -11,12 +11,17 @@ signature propose pairs; a pair is a link only after its similarity has been
 computed from both whole texts.
 
 Scale: texts with equal shingles are one class and only one of them is signed
-into buckets. In a bucket all members are first compared with one of them;
-only members of buckets whose members then still belong to different groups
-are compared with one another, so a large group of copies costs one
-comparison a member, and no link between groups is lost. With 24 bands of 4
-coordinates, a pair of similarity 0.8 shares no band with a probability of
-3 in a million; of 0.85, of 4 in a hundred million.
+into buckets. In a bucket all members are first compared with one of them, its
+hub: the member whose buckets are largest, which for a family of edited copies
+is the text they come from. That costs one comparison a member. Members of
+buckets that then still hold several groups may be linked to each other past
+the hub: small buckets are compared pair by pair, and the members of large ones
+hub by hub in blocks of bounded size, where one matrix product counts the
+common regions of two blocks. Only links leave a block, so no link between
+groups is lost and no list of pairs is made; the blocks' arithmetic does grow
+with the square of a family's different texts. With 24 bands of 4 coordinates,
+a pair of similarity 0.8 shares no band with a probability of 3 in a million;
+of 0.85, of 4 in a hundred million.
 """
 
 from __future__ import annotations
@@ -34,6 +39,12 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 24
 ROWS = 4
+#: Buckets of up to this many members are compared pair by pair.
+SMALL_BUCKET = 24
+#: Texts and regions in a block, on average.
+BLOCK_TEXTS = 256
+BLOCK_CELLS = 250_000
+MATRIX_COLUMNS = 8192
 _U = np.uint64
 
 
@@ -132,44 +143,100 @@ def _sign(bands: int, rows: int, k_words: int):
     return sign
 
 
-def _linked(similarity: float, k_words: int):
+def _cells(k_words: int):
+    """uid and the sorted unit regions of its text, as the bytes of 64-bit numbers."""
+    def cells(batches):
+        for b in batches:
+            values, offsets = binary_views(b.column("text"))
+            for i, j in doc_slices(offsets, 4 << 20):
+                r, counts = regions(values, offsets[i: j + 1], k_words)
+                ends = np.cumsum(counts)
+                off = np.concatenate([[0], np.cumsum(counts) * 8]).astype(np.int32)
+                for a, z in zip((ends - counts).tolist(), ends.tolist()):
+                    r[a:z].sort()
+                column = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(off), pa.py_buffer(r)])
+                yield pa.record_batch([b.column("uid").slice(i, j - i), column], names=["uid", "cells"])
+    return cells
+
+
+def _linked(similarity: float):
     def linked(batches):
         for b in batches:
-            va, oa = binary_views(b.column("ta"))
-            vb, ob = binary_views(b.column("tb"))
             keep = np.zeros(b.num_rows, bool)
-            both = np.maximum(np.diff(oa), np.diff(ob))
-            for i, j in doc_slices(np.append(0, np.cumsum(both)), 2 << 20):
-                ra, ca = regions(va, oa[i: j + 1], k_words)
-                rb, cb = regions(vb, ob[i: j + 1], k_words)
-                keep[i:j] = _weights(ra, ca, rb, cb) >= similarity
+            for i, (x, y) in enumerate(zip(b.column("ca"), b.column("cb"))):
+                x, y = (np.frombuffer(c.as_buffer(), np.uint64) for c in (x, y))
+                m = np.concatenate([x, y])
+                m.sort(kind="stable")
+                # regions of one text differ, so equal neighbours are a region of both
+                common = int(np.count_nonzero(m[1:] == m[:-1]))
+                keep[i] = len(m) > 0 and common >= similarity * (len(m) - common)
             yield pa.record_batch([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep))
     return linked
 
 
-def _weights(ra: np.ndarray, ca: np.ndarray, rb: np.ndarray, cb: np.ndarray) -> np.ndarray:
-    """Weighted Jaccard similarity, pair by pair, of regions that are unique within a text."""
-    ea, eb = np.cumsum(ca), np.cumsum(cb)
-    out = np.zeros(len(ca))
-    for x in range(len(ca)):
-        m = np.concatenate([ra[ea[x] - ca[x]: ea[x]], rb[eb[x] - cb[x]: eb[x]]])
-        m.sort()
-        common = int(np.count_nonzero(m[1:] == m[:-1]))
-        total = len(m) - common
-        out[x] = common / total if total else 0.0
-    return out
+def _linked_in_blocks(similarity: float):
+    """Links between members of different groups in one pair of blocks (or one block and itself)."""
+    def linked(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        cells = [np.frombuffer(c.as_buffer(), np.uint64) for c in t.column("cells")]
+        size = np.array([len(c) for c in cells])
+        _, number, times = np.unique(np.concatenate(cells), return_inverse=True, return_counts=True)
+        shared = times > 1
+        column = (np.cumsum(shared) - 1)[number]
+        row = np.repeat(np.arange(len(cells)), size)
+        common = np.zeros((len(cells), len(cells)), np.float32)
+        width = int(shared.sum())
+        use = shared[number]
+        row, column = row[use], column[use]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for a in range(0, width, MATRIX_COLUMNS):
+            i, j = np.searchsorted(column, [a, a + MATRIX_COLUMNS])
+            m = np.zeros((len(cells), min(MATRIX_COLUMNS, width - a)), np.float32)
+            m[row[i:j], column[i:j] - a] = 1
+            common += m @ m.T
+        block, label = t.column("block").to_numpy(), t.column("label")
+        _, group = np.unique([str(x) for x in label.to_pylist()], return_inverse=True)
+        link = common >= similarity * (size[:, None] + size[None, :] - common)
+        link &= group[:, None] != group[None, :]
+        same = t.column("p")[0].as_py() == t.column("q")[0].as_py()
+        if not same:
+            link &= block[:, None] != block[None, :]
+        x, y = np.nonzero(np.triu(link, 1))
+        rep = t.column("rep").combine_chunks()
+        return pa.table({"a": rep.take(pa.array(x)), "b": rep.take(pa.array(y))})
+    return linked
 
 
-def links(pairs: DataFrame, rows: DataFrame, similarity: float, k_words: int) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` whose texts in ``rows`` (uid, text) are similar enough."""
+def cells_of(uids: DataFrame, rows: DataFrame, k_words: int) -> DataFrame:
+    """(uid, cells) of the texts in ``rows`` (uid, text) whose uid is in ``uids``, and perhaps a few more."""
     h = F.xxhash64("uid")
-    need = hashed_bitmap(pairs.select(F.explode(F.array("a", "b")).alias("uid")).select(h.alias("h")))
-    texts = stage(rows.select("uid", "text").filter(may_be_in(need, h)), "near-texts")
-    return stage(
-        pairs.join(texts.select(F.col("uid").alias("a"), F.col("text").alias("ta")), "a")
-        .join(texts.select(F.col("uid").alias("b"), F.col("text").alias("tb")), "b")
-        .select("a", "b", "ta", "tb")
-        .mapInArrow(_linked(similarity, k_words), pairs.select("a", "b").schema), "near-links")
+    need = hashed_bitmap(uids.select(h.alias("h")))
+    return stage(rows.select("uid", "text").filter(may_be_in(need, h)).mapInArrow(
+        _cells(k_words), f"uid {dict(rows.dtypes)['uid']}, cells binary"), "near-cells")
+
+
+def links(pairs: DataFrame, cells: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` whose texts are similar enough."""
+    return (pairs.join(cells.select(F.col("uid").alias("a"), F.col("cells").alias("ca")), "a")
+            .join(cells.select(F.col("uid").alias("b"), F.col("cells").alias("cb")), "b")
+            .select("a", "b", "ca", "cb")
+            .mapInArrow(_linked(similarity), pairs.select("a", "b").schema))
+
+
+def links_in_blocks(families: DataFrame, cells: DataFrame, similarity: float) -> DataFrame:
+    """Links between members (hub, rep, label, weight) of one family in different groups, without listing pairs."""
+    sizes = families.groupBy("hub").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("weight") / BLOCK_CELLS)).cast("int")
+        .alias("blocks"))
+    placed = (families.join(sizes, "hub")
+              .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    dealt = placed.select("hub", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+                          "block", "rep", "label")
+    kind = dict(families.dtypes)["rep"]
+    return (dealt.join(cells.withColumnRenamed("uid", "rep"), "rep").groupBy("hub", "p", "q")
+            .applyInArrow(_linked_in_blocks(similarity), f"a {kind}, b {kind}"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -215,29 +282,36 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "weight long, c1 long, c2 long, bands array<long>"), "near-signed")
 
     classes = stage(signed.filter("c1 is not null").groupBy("c1", "c2").agg(
-        F.min("uid").alias("rep"), F.min_by("bands", "uid").alias("bands")), "near-classes")
-    entries = classes.select("rep", F.explode("bands").alias("key"))
-    shared = stage(entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
-                   .select("key", "lo"), "near-shared")
+        F.min("uid").alias("rep"), F.min("weight").alias("weight"), F.min_by("bands", "uid").alias("bands")),
+        "near-classes")
+    entries = classes.select("rep", "weight", F.explode("bands").alias("key"))
+    shared = stage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-shared")
     members = stage(entries.join(shared, "key"), "near-members")
+    scores = stage(members.groupBy("rep").agg(F.sum("n").alias("score")), "near-scores")
+    hubs = stage(members.join(scores, "rep").groupBy("key").agg(
+        F.max(F.struct("score", "rep")).alias("best")).select("key", F.col("best.rep").alias("hub")), "near-hubs")
+    members = stage(members.join(hubs, "key"), "near-members")
 
-    tried = stage(members.filter("rep != lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct(),
+    tried = stage(members.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(),
                   "near-pairs")
-    edges = links(tried, source, similarity, k_words)
+    cells = cells_of(members.select(F.col("rep").alias("uid")), source, k_words)
+    edges = stage(links(tried, cells, similarity), "near-links")
     labels = components(edges)
 
-    # buckets whose members are not all one group yet: every pair across groups
-    placed = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("label", "rep").alias("label"))
-    mixed = stage(placed.join(
-        placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key"),
-        "key"), "near-mixed")
-    left, right = (mixed.select("key", F.col("rep").alias(n), F.col("label").alias(f"l{n}")) for n in "ab")
-    rest = stage(left.join(right, "key").filter("a < b and la != lb").select("a", "b").distinct()
-                 .join(tried, ["a", "b"], "left_anti"), "near-pairs")
-    if rest.limit(1).count():
-        edges = edges.unionByName(links(rest, source, similarity, k_words))
-        labels = components(edges)
+    # buckets whose members are not all one group yet: every link across groups
+    placed = stage(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "hub", "rep", "n", "weight", F.coalesce("label", "rep").alias("label")), "near-placed")
+    several = stage(placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
+                    .select("key"), "near-several")
+    mixed = stage(placed.join(several, "key"), "near-mixed")
+    left, right = (mixed.filter(F.col("n") <= SMALL_BUCKET)
+                   .select("key", F.col("rep").alias(n), F.col("label").alias(f"l{n}")) for n in "ab")
+    pairs = left.join(right, "key").filter("a < b and la != lb").select("a", "b").distinct()
+    families = mixed.filter(F.col("n") > SMALL_BUCKET).select("hub", "rep", "label", "weight").distinct()
+    more = stage(links(pairs, cells, similarity).unionByName(links_in_blocks(families, cells, similarity)),
+                 "near-links")
+    if more.limit(1).count():
+        labels = components(edges.unionByName(more))
 
     grouped = (signed.select("uid", "doc_id", "c1", "c2").join(classes.select("c1", "c2", "rep"), ["c1", "c2"], "left")
                .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
