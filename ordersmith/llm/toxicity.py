@@ -34,7 +34,7 @@ FOLDS = 5
 PREFIXES = (3, 4, 5, 6)
 #: Weight of the mean squared change under a swap, and of the squared weights.
 COUNTERFACTUAL = 10.0
-RIDGE = 1e-4
+RIDGE = 1e-5
 
 #: Identity terms by kind; the first of a kind is the neutral word for it.
 IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
@@ -172,7 +172,7 @@ def counterfactuals(rows: np.ndarray, cols: np.ndarray, keys: np.ndarray,
 
 def train(label: np.ndarray, rows: np.ndarray, cols: np.ndarray, keys: np.ndarray,
           terms: dict[str, tuple[str, ...]], counterfactual: float = COUNTERFACTUAL, ridge: float = RIDGE,
-          steps: int = 300, rate: float = 0.1) -> Model:
+          steps: int = 500, rate: float = 0.1) -> Model:
     """Logistic regression on feature sets (text ``rows`` has feature ``cols``) with the swap penalty, by Adam."""
     n, k = len(label), len(keys)
     w, p = np.zeros(k + 1), float(np.clip(label.mean(), 1e-3, 1 - 1e-3))
