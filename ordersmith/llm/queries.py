@@ -17,6 +17,7 @@ from ordersmith.llm.quality import score_quality
 from ordersmith.llm.token_counts import token_counts
 from ordersmith.llm.toxicity import score_toxicity
 from ordersmith.llm.url_filter import judge
+from ordersmith.llm.warc import archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,4 +126,23 @@ def op4(spark, sf_dir):
     return judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
 
 
+@register("op10_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT page_id, strlen(t) AS b, upper(sha1(t)) AS x FROM p),
+n AS (SELECT page_id, b, x, list_transform(range(8), lambda i: CAST('0x' || substr(x, CAST(i * 5 + 1 AS BIGINT), 5) AS BIGINT)) AS c FROM h),
+d AS (SELECT page_id, b, array_to_string(list_transform(c, lambda v:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 32768) % 32 + 1, 1) ||
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 1024) % 32 + 1, 1) ||
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 32) % 32 + 1, 1) ||
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v % 32 + 1, 1)), '') AS g FROM n),
+f AS (SELECT g, min(page_id) AS first FROM d GROUP BY g)
+SELECT page_id, b AS payload_bytes, g AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM d JOIN f USING (g)""")
+def op10(spark, sf_dir):
+    return archive(table(spark, sf_dir, "pages")).select(
+        F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
