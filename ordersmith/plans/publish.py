@@ -29,7 +29,7 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame | None], databas
         create_database(spark, database)
         namespace_error = None
     except Exception as e:  # noqa: BLE001 - every table is then reported as failed
-        namespace_error = f"{type(e).__name__}: {str(e)[:500]}"
+        namespace_error = f"{type(e).__name__}: {e}"
     for name, df in tables.items():
         target = f"`{database}`.`{name}`"
         if df is None:
@@ -43,7 +43,7 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame | None], databas
             n = spark.table(target).count()
             rows.append((name, "success", n, None))
         except Exception as e:  # noqa: BLE001 - reported in the manifest
-            rows.append((name, "failed", 0, f"{type(e).__name__}: {str(e)[:500]}"))
+            rows.append((name, "failed", 0, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 

@@ -167,22 +167,22 @@ def q_amount_check(spark, sf_dir):
 # ============================================================ upsert
 from ordersmith.plans import upsert as U  # noqa: E402
 
-# Snapshots: the old master holds orders before 1998-07 (quantities edited so a
-# replacement is visible); the new export holds 1998, where pending orders
-# ('P') are no longer exported.
+# Snapshots: the old master holds orders before 1998-07 and all pending ones
+# (quantities edited so a replacement is visible); the new export holds orders
+# from 1998 on, where pending orders ('P') are no longer exported. Together
+# they hold every line.
 OLD_AS_OF, NEW_AS_OF, RUN_TS = "1998-07-01", "1999-01-01", "1999-01-01 06:00:00"
 
 
 def upsert_old(spark, sf_dir):
     m = td.order_master(spark, sf_dir, OLD_AS_OF)
-    return (m.filter(F.col("order_date") < F.lit("1998-07-01").cast("date"))
+    return (m.filter((F.col("order_date") < F.lit("1998-07-01").cast("date")) | (F.col("order_status") == "P"))
              .withColumn("quantity", F.col("quantity") + 1))
 
 
 def upsert_new(spark, sf_dir):
     m = td.order_master(spark, sf_dir, NEW_AS_OF)
-    return m.filter(F.col("order_date").between(F.lit("1998-01-01").cast("date"), F.lit("1998-12-31").cast("date"))
-                    & (F.col("order_status") != "P"))
+    return m.filter((F.col("order_date") >= F.lit("1998-01-01").cast("date")) & (F.col("order_status") != "P"))
 
 
 def _kp(x: str) -> str:
@@ -193,9 +193,9 @@ _ALL = _cols(MASTER_COLUMNS + ["row_no"])
 _UPSERT_CTE = f"""WITH ol AS ({td.ORDER_LINES_SQL}),
 m_old AS ({master_select_sql(OLD_AS_OF)}),
 m_new AS ({master_select_sql(NEW_AS_OF)}),
-old AS (SELECT * REPLACE (quantity + 1 AS quantity) FROM m_old WHERE order_date < DATE '1998-07-01'),
-new AS (SELECT * FROM m_new WHERE order_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
-        AND order_status <> 'P'),
+old AS (SELECT * REPLACE (quantity + 1 AS quantity) FROM m_old WHERE order_date < DATE '1998-07-01'
+        OR order_status = 'P'),
+new AS (SELECT * FROM m_new WHERE order_date >= DATE '1998-01-01' AND order_status <> 'P'),
 span AS (SELECT min(order_date) AS lo, max(order_date) AS hi FROM new),
 nk AS (SELECT DISTINCT order_date AS kd, {_kp('order_sn')} AS ks, {_kp('buyer_username')} AS kb FROM new),
 old_c AS (SELECT o.*, coalesce(o.order_date BETWEEN (SELECT lo FROM span) AND (SELECT hi FROM span), false) AS in_span,
@@ -374,7 +374,7 @@ _SHEET_PLATFORMS = TEST_PLATFORMS
 def _sheet_inputs(spark, sf_dir):
     raw = td.raw_sheet_export(spark, sf_dir)
     aliases = shop_alias_table(td.shop_aliases(spark, sf_dir))
-    old = master(spark, sf_dir).filter(F.year("order_date") <= 1997)
+    old = master(spark, sf_dir).filter(F.col("order_date") < F.lit("1998-07-01").cast("date"))
     old_special = old.filter(F.col("shop_name").isin(_SHEET_PLATFORMS))
     return raw, aliases, old, old_special
 
@@ -386,6 +386,11 @@ def _sheet_sql(side: str) -> str:
         "order_date": "TRY_CAST(d_txt AS DATE)", "order_sn": "order_sn", "order_status": "order_status",
         "buyer_username": "buyer_username", "order_creation_timestamp": _ts("created", ()),
         "actual_shipping_timestamp": _ts("shipped", ()),
+        "product_total_price": "TRY_CAST(price AS DOUBLE)", "total_amount_paid_by_buyer": "paid",
+        "seller_voucher": "seller_voucher", "voucher": "voucher", "product_name": "product_name",
+        "product_sku_main": "product_sku_main", "product_sku_variation": "product_sku_variation",
+        "quantity": "quantity", "return_quantity": "return_quantity", "recipient_phone": "phone",
+        "recipient_city": "city", "recipient_name": "buyer_username",
     }
     member = f"coalesce(shop_name IN ({plats}), false)"
     pick = member if side == "special" else f"NOT {member}"
@@ -397,9 +402,12 @@ sheet AS (
               ELSE ol.shop_name END AS shop_raw,
          ol.buyer_username, CASE WHEN ol.order_status = 'P' THEN '-' ELSE CAST(ol.order_date AS VARCHAR) END AS d_txt,
          ol.order_sn, ol.order_status, strftime(ol.order_creation_timestamp, '%Y/%m/%d %H:%M') AS created,
-         CAST(ol.actual_shipping_timestamp AS VARCHAR) AS shipped, ol.row_no
+         CAST(ol.actual_shipping_timestamp AS VARCHAR) AS shipped, ol.row_no,
+         regexp_replace(ol.product_total_price_raw, '[^0-9]', '', 'g') AS price, ol.total_amount_paid_by_buyer AS paid,
+         ol.seller_voucher, ol.voucher, ol.product_name, ol.product_sku_main, ol.product_sku_variation,
+         ol.quantity, ol.return_quantity, 'T' || CAST(ol.order_no AS VARCHAR) AS phone, ol.shop_name AS city
   FROM ol JOIN customer c ON c.c_name = ol.buyer_username
-  WHERE year(ol.order_date) BETWEEN 1997 AND 1998),
+  WHERE ol.order_date >= DATE '1998-01-01'),
 aliases AS (
   SELECT n_name AS alias, lower(n_name) AS acct, n_name AS canon FROM nation
   UNION ALL
@@ -410,7 +418,7 @@ new_all AS (
   FROM sheet s LEFT JOIN aliases a ON a.alias = s.shop_raw
   WHERE s.order_sn IS NOT NULL),
 new AS (SELECT {_conform_sql(present)} FROM new_all WHERE {pick}),
-old AS (SELECT * FROM master WHERE year(order_date) <= 1997 AND {old_pick})
+old AS (SELECT * FROM master WHERE order_date < DATE '1998-07-01' AND {old_pick})
 SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.order_sn IS NOT DISTINCT FROM o.order_sn
    AND n.buyer_username IS NOT DISTINCT FROM o.buyer_username
    AND n.order_creation_timestamp IS NOT DISTINCT FROM o.order_creation_timestamp)
@@ -536,19 +544,26 @@ def q_date_gaps(spark, sf_dir):
     return AU.date_gaps(master(spark, sf_dir), GAP_DAYS)
 
 
-# Cancellation check inputs: the master has lost its returned lines; the
-# orphan log still holds every line of the fulfilled ('F') orders.
+# Cancellation check inputs: the orphan log of the upsert above, and the master
+# after a second batch in which the pending orders come back without their
+# returned lines.
 def _cancel_inputs(spark, sf_dir):
-    m = master(spark, sf_dir)
-    return m.filter(F.col("return_quantity") == 0), m.filter(F.col("order_status") == "F")
+    old, new = upsert_old(spark, sf_dir), upsert_new(spark, sf_dir)
+    back = td.order_master(spark, sf_dir, NEW_AS_OF).filter(
+        (F.col("order_status") == "P") & (F.col("return_quantity") == 0))
+    return U.upsert_orders(U.upsert_orders(old, new), back), U.find_orphans(old, new, run_ts=RUN_TS)
 
 
 _NB = ("coalesce(CAST(order_date AS VARCHAR), '') <> '' AND coalesce(order_sn, '') <> '' "
        "AND coalesce(buyer_username, '') <> ''")
-_CANCEL_CTE = f"""WITH ol AS ({td.ORDER_LINES_SQL}),
-master AS ({master_select_sql(AS_OF)}),
-m AS (SELECT * FROM master WHERE return_quantity = 0 AND {_NB}),
-o AS (SELECT * FROM master WHERE order_status = 'F' AND {_NB}),
+_CANCEL_CTE = _UPSERT_CTE + f""",
+m1 AS (SELECT {_ALL} FROM old_c WHERE NOT (in_span AND hit) UNION ALL SELECT {_ALL} FROM new),
+back AS (SELECT {_ALL} FROM m_new WHERE order_status = 'P' AND return_quantity = 0),
+m2 AS (SELECT {_ALL} FROM m1 WHERE NOT EXISTS (SELECT 1 FROM back b WHERE b.order_date IS NOT DISTINCT FROM m1.order_date
+         AND b.order_sn IS NOT DISTINCT FROM m1.order_sn AND b.buyer_username IS NOT DISTINCT FROM m1.buyer_username)
+       UNION ALL SELECT * FROM back),
+m AS (SELECT * FROM m2 WHERE {_NB}),
+o AS (SELECT * FROM old_c WHERE in_span AND NOT hit AND {_NB}),
 lm AS (SELECT order_date, order_sn, buyer_username, CAST(count(*) AS BIGINT) AS lines_master,
               list_sort(list_distinct(list(coalesce(product_name, '<unknown product>')))) AS pm FROM m GROUP BY ALL),
 lo AS (SELECT order_date, order_sn, buyer_username, CAST(count(*) AS BIGINT) AS lines_orphans,
@@ -594,7 +609,7 @@ def q_cancellation_summary(spark, sf_dir):
 
 @register("invalid_dates", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
 sheet AS (SELECT ol.order_sn, CASE WHEN ol.order_status = 'P' THEN '-' ELSE CAST(ol.order_date AS VARCHAR) END AS order_date
-          FROM ol WHERE year(ol.order_date) BETWEEN 1997 AND 1998)
+          FROM ol WHERE ol.order_date >= DATE '1998-01-01')
 SELECT order_sn, order_date FROM sheet
 WHERE TRY_CAST(trim(order_date) AS DATE) IS NULL AND try_strptime(trim(order_date), '%Y/%m/%d') IS NULL
   AND try_strptime(trim(order_date), '%Y%m%d') IS NULL AND try_strptime(trim(order_date), '%m/%d/%Y') IS NULL""")

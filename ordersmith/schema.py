@@ -90,6 +90,48 @@ SHEET_EXPORT_HEADERS: dict[str, str] = {
     "不成立原因": "cancellation_reason",
     "退貨 / 退款狀態": "return_refund_status",
     "訂單成立日期": "order_creation_timestamp",
+    "商品 總價": "product_total_price",
+    "商品總價": "product_total_price",
+    "買家支付運費": "buyer_paid_shipping_fee",
+    "蝦皮補助運費": "shopee_shipping_subsidy",
+    "退貨運費": "return_shipping_fee",
+    "買家總支付金額": "total_amount_paid_by_buyer",
+    "蝦皮補貼金額": "shopee_subsidy_amount",
+    "蝦幣折抵": "shopee_coin_offset",
+    "銀行信用卡活動折抵": "credit_card_promotion_discount",
+    "優惠代碼": "voucher_code",
+    "賣場優惠券": "seller_voucher",
+    "賣家蝦幣回饋券": "seller_coin_cashback_voucher",
+    "優惠券": "voucher",
+    "成交手續費": "transaction_fee",
+    "其他服務 費": "other_service_fee",
+    "其他服務費": "other_service_fee",
+    "金流與系統處理費": "payment_processing_fee",
+    "分期付款期數": "installment_plan_periods",
+    "金流與系統處理費率": "payment_processing_fee_rate",
+    "成交手續費規則名稱": "transaction_fee_rule_name",
+    "商品名稱": "product_name",
+    "商品選項名稱": "product_variation",
+    "商品原價": "product_original_price",
+    "商品活動價格": "product_campaign_price",
+    "主商品貨號": "product_sku_main",
+    "商品選項貨號": "product_sku_variation",
+    "數量": "quantity",
+    "退貨數量": "return_quantity",
+    "促銷 組合指標": "promo_bundle_indicator",
+    "促銷組合指標": "promo_bundle_indicator",
+    "蝦皮促銷組合折扣:促銷組合標籤": "promo_bundle_discount_label",
+    "收件地址": "recipient_address",
+    "收件者電話 (若您是自行配送請使用後方蝦皮專線和包裹查詢碼聯繫買家)": "recipient_phone",
+    "蝦皮專線和包裹查詢碼  (請複製下方完整編號提供給您配合的物流商當做聯絡電話)": "shopee_hotline_and_tracking_code",
+    "取件門市店號": "pickup_store_id",
+    "城市": "recipient_city",
+    "行政區": "recipient_district",
+    "郵遞區號": "recipient_postal_code",
+    "收件者姓名": "recipient_name",
+    "寄送方式": "shipping_method",
+    "出貨方式": "shipping_provider",
+    "備貨時間": "days_to_ship",
     "付款方式": "payment_method",
     "最晚出貨日期": "ship_by_date",
     "包裹查詢號碼": "tracking_number",
@@ -142,7 +184,7 @@ VOUCHER_BIN_EDGES: list[float] = [0, 10, 25, 50, 100, 200, 500, float("inf")]
 FILE_NAME_ANCHOR = "_Order.all."
 
 # ---------------------------------------------------------------------------
-# Master (order line) schema: column order of the master table and types.
+# Master (order line) schema: column order of the master table and types.
 # ---------------------------------------------------------------------------
 DATE_COLUMNS = ["processing_date", "order_date", "ship_by_date"]
 TIMESTAMP_COLUMNS = [
@@ -158,12 +200,6 @@ CURRENCY_COLUMNS = [
 ]
 RATE_COLUMNS = ["payment_processing_fee_rate"]
 INTEGER_COLUMNS = ["quantity", "return_quantity", "installment_plan_periods", "days_to_ship"]
-# the sheet export only casts these money columns
-SHEET_NUMERIC_COLUMNS = [
-    "product_total_price", "buyer_paid_shipping_fee", "shopee_shipping_subsidy",
-    "return_shipping_fee", "total_amount_paid_by_buyer",
-]
-
 MASTER_COLUMNS: list[str] = [
     "shop_name", "shop_account", "processing_date", "order_date", "order_sn",
     "order_status", "cancellation_reason", "return_refund_status", "buyer_username",
@@ -215,7 +251,7 @@ ORDER_KEY = ["order_date", "order_sn", "buyer_username"]
 SHEET_ORDER_KEY = ["order_sn", "buyer_username", "order_creation_timestamp"]
 
 # ---------------------------------------------------------------------------
-# Reporting marts: fixed column subsets.
+# Column subsets of the reporting marts.
 # ---------------------------------------------------------------------------
 SUMMARY_FIRST_COLUMNS = [
     "shop_name", "shop_account", "processing_date", "order_date", "order_status",

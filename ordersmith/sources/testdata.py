@@ -5,12 +5,13 @@ lineitem/orders/customer/nation/part star.  This module maps one onto the
 other, in Spark (``order_lines``) and as DuckDB SQL (``ORDER_LINES_SQL``) so a
 query and its oracle see the same rows:
 
-* order number = order day as YYMMDD + order key padded to 8 digits
+* order number = order day as YYMMDD + order key padded to at least 8 digits
 * shop         = the customer's nation; buyer = customer name
 * product      = part name / brand / type; line order ``row_no`` per order
 
-Every derived input below reads whole tables; the snapshot splits used by the
-upsert are by order date and order status, never by key arithmetic.
+Every derived input below reads whole tables. The upsert's old and new
+snapshots, and the sheet and its old master, are split by order date and
+status; together each two hold every line.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
               "l_extendedprice", "l_shipdate", "l_returnflag"]
 
 
+def at_least_8(digits: Column) -> Column:
+    """Digits padded with zeros to eight places, longer ones unchanged (``lpad`` alone would cut them)."""
+    return F.when(F.length(digits) < 8, F.lpad(digits, 8, "0")).otherwise(digits)
+
+
 # Resolved plans (not data) are reused within a session: resolving a Parquet
 # table lists its files and reads its footer, and the base view is the same
 # plan for every query.
@@ -82,8 +88,7 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise((okey % 90).cast("string")))
     qty = F.col("l_quantity").cast("bigint")
     return j.select(
-        F.concat(F.date_format("o_orderdate", "yyMMdd"),
-                 F.lpad(okey.cast("string"), 8, "0")).alias("order_sn"),
+        F.concat(F.date_format("o_orderdate", "yyMMdd"), at_least_8(okey.cast("string"))).alias("order_sn"),
         F.col("n_name").alias("shop_name"),
         F.lower("n_name").alias("shop_account"),
         F.col("o_orderdate").cast("date").alias("order_date"),
@@ -175,6 +180,8 @@ def raw_order_exports_misnamed(spark: SparkSession, sf_dir: str) -> DataFrame:
               .drop("__shop", "n_regionkey")
 
 
+# First order day of the sheet export.
+SHEET_FROM = "1998-01-01"
 _SHEET_SOURCE = {"shop_name": "店鋪名稱", "buyer_username": "買家帳號", "order_date": "訂單日期",
                  "order_sn": "訂單編號(從這邊貼上)", "order_status": "訂單狀態",
                  "order_creation_timestamp": "訂單成立日期", "actual_shipping_timestamp": "實際出貨時間"}
@@ -183,18 +190,17 @@ assert all(SHEET_EXPORT_HEADERS[v] == k for k, v in _SHEET_SOURCE.items())
 
 def title_first(c: str) -> Column:
     """First character upper case, the rest lower case (``NATION_7`` -> ``Nation_7``)."""
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(F.col(c), F.lit(2))))
 
 
 def raw_sheet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of 1997-1998 as a spreadsheet export (text cells, sheet headers).
+    """Orders from ``SHEET_FROM`` on as a spreadsheet export (text cells, sheet headers).
 
     Shops are written by their alias (``Nation_7`` style) for building-segment
     buyers and by canonical name otherwise; pending orders have ``'-'`` as
-    their day; the money column is plain text and the sheet carries its
-    helper columns.
+    their day; money is plain text and the sheet carries its helper columns.
     """
-    ol = order_lines(spark, sf_dir).filter(F.year("order_date").between(1997, 1998))
+    ol = order_lines(spark, sf_dir).filter(F.col("order_date") >= F.lit(SHEET_FROM).cast("date"))
     c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("buyer_username"), "c_mktsegment")
     ol = ol.join(c, "buyer_username")
     shop = F.when(F.col("c_mktsegment") == "BUILDING", title_first("shop_name")).otherwise(F.col("shop_name"))
@@ -208,7 +214,19 @@ def raw_sheet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("order_status").alias(_SHEET_SOURCE["order_status"]),
         F.date_format("order_creation_timestamp", "yyyy/MM/dd HH:mm").alias(_SHEET_SOURCE["order_creation_timestamp"]),
         _text("actual_shipping_timestamp").alias(_SHEET_SOURCE["actual_shipping_timestamp"]),
+        F.regexp_replace("product_total_price_raw", "[^0-9]", "").alias("商品 總價"),
         _text("total_amount_paid_by_buyer").alias("買家總支付金額"),
+        _text("seller_voucher").alias("賣場優惠券"),
+        _text("voucher").alias("優惠券"),
+        _text("product_name").alias("商品名稱"),
+        _text("product_sku_main").alias("主商品貨號"),
+        _text("product_sku_variation").alias("商品選項貨號"),
+        _text("quantity").alias("數量"),
+        _text("return_quantity").alias("退貨數量"),
+        F.concat(F.lit("T"), _text("order_no"))
+         .alias("收件者電話 (若您是自行配送請使用後方蝦皮專線和包裹查詢碼聯繫買家)"),
+        _text("shop_name").alias("城市"),
+        _text("buyer_username").alias("收件者姓名"),
         _text("order_sn").alias("訂單編號2"),
         _text("row_no").alias("排行"),
         F.col("row_no"),
@@ -228,7 +246,8 @@ def shop_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- DuckDB SQL
 ORDER_LINES_SQL = """
-SELECT strftime(o.o_orderdate,'%y%m%d') || lpad(CAST(o.o_orderkey AS VARCHAR),8,'0') AS order_sn,
+SELECT strftime(o.o_orderdate,'%y%m%d') || repeat('0', 8 - length(CAST(o.o_orderkey AS VARCHAR)))
+         || CAST(o.o_orderkey AS VARCHAR) AS order_sn,
        n.n_name AS shop_name, lower(n.n_name) AS shop_account,
        CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderstatus AS order_status,
        c.c_name AS buyer_username, o.o_orderdate AS order_creation_timestamp,
