@@ -6,22 +6,24 @@ An order is identified by ``(order_date, order_sn, buyer_username)`` with
 trimmed text and the null tokens treated as null; keys compare null-safely.
 Let ``[lo, hi]`` be the span of valid order dates in the new batch.
 
-* replaced: old orders dated in ``[lo, hi]`` whose key is in the new batch;
-  all their lines are dropped and the new lines take their place;
+* replaced: old orders dated in ``[lo, hi]``, or undated, whose key is in the
+  new batch; all their lines are dropped and the new lines take their place;
 * orphaned: old orders dated in ``[lo, hi]`` absent from the new batch; they
   are logged and, by default, kept in the master (``drop_orphans`` removes them);
-* kept: old orders outside the span (undated ones included);
+* kept: all other old orders;
 * every new line is inserted; nothing is de-duplicated inside the batch.
 
-If the batch has no valid date, the span is "everything" (global mode).
+A batch without rows changes nothing. If a batch has rows but no valid date,
+the span is "everything" (global mode).
 
 Plan
 ----
-The span is one tiny aggregate read back as two literals, so the old side is
+The span is one tiny aggregate read back as literals, so the old side is
 filtered by ``order_date BETWEEN lo AND hi`` in the scan (partition pruning on
-a date-partitioned master).  Each branch is a left-anti / left-semi join
-against the *distinct* new keys: a shuffle (or bounded broadcast) join whose
-right side has one row per key; AQE splits a hot key on the old side.
+a date-partitioned master). Old lines that may be touched get their outcome by
+one left join against the *distinct* new keys: a shuffle (or bounded broadcast)
+join whose right side has one row per key; AQE splits a hot key on the old
+side. Master, orphans and statistics all derive from that one result.
 """
 
 from __future__ import annotations
@@ -44,16 +46,25 @@ _K = ["__k_date", "__k_sn", "__k_buyer"]
 class NewSpan:
     lo: object
     hi: object
+    rows: int = 1
+    undated: int = 0
+
+    @property
+    def empty(self) -> bool:
+        """The batch has no rows at all."""
+        return self.rows == 0
 
     @property
     def global_mode(self) -> bool:
-        return self.lo is None
+        """The batch has rows, but none with a valid date."""
+        return not self.empty and self.lo is None
 
 
 def new_date_span(new: DataFrame, date_col: str = "order_date") -> NewSpan:
-    """A5 on the batch: (min, max) of valid order dates; one row to the driver."""
-    r = new.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-    return NewSpan(r["lo"], r["hi"])
+    """A5 on the batch: min and max of valid order dates, rows and undated rows; one row to the driver."""
+    r = new.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"), F.count(F.lit(1)).alias("n"),
+                F.count_if(F.col(date_col).isNull()).alias("undated")).first()
+    return NewSpan(r["lo"], r["hi"], r["n"], r["undated"])
 
 
 def with_order_key(df: DataFrame, keys: Sequence[str] = ORDER_KEY) -> DataFrame:
@@ -62,64 +73,76 @@ def with_order_key(df: DataFrame, keys: Sequence[str] = ORDER_KEY) -> DataFrame:
     return df.withColumns({"__k_date": F.col(d), "__k_sn": X.key_part(sn), "__k_buyer": X.key_part(buyer)})
 
 
-def _in_span(span: NewSpan, date_col: str) -> Column:
+def in_span(span: NewSpan, date_col: str) -> Column:
+    """Whether the order is dated within the batch's span (never null)."""
+    if span.empty:
+        return F.lit(False)
     if span.global_mode:
         return F.lit(True)
     return F.coalesce(F.col(date_col).between(F.lit(span.lo), F.lit(span.hi)), F.lit(False))
 
 
+def may_change(span: NewSpan, date_col: str) -> Column:
+    """Whether an old line can be replaced or orphaned: dated in the span, or undated if the batch has undated lines."""
+    dated = in_span(span, date_col)
+    return dated | F.col(date_col).isNull() if span.undated else dated
+
+
 def _new_keys(new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return with_order_key(new, keys).select(*_K).distinct()
 
 
-def _strip(df: DataFrame) -> DataFrame:
-    return df.drop(*_K)
+OUTCOME = "__outcome"
+
+
+def with_outcome(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY,
+                 span: NewSpan | None = None) -> DataFrame:
+    """Old lines with ``__outcome``: kept_outside_span, replaced or orphaned.
+
+    Lines that cannot change take no part in the join."""
+    span = span or new_date_span(new, keys[0])
+    touched = may_change(span, keys[0])
+    nk = _new_keys(new, keys).withColumn("__hit", F.lit(True))
+    inside = with_order_key(old.filter(touched), keys)
+    outcome = (F.when(F.col("__hit").isNotNull(), "replaced")
+                .when(in_span(span, keys[0]), "orphaned").otherwise("kept_outside_span"))
+    joined = inside.join(nk, key_condition(inside, nk, _K), "left").select(
+        *[inside[c] for c in old.columns], outcome.alias(OUTCOME))
+    return union_all([old.filter(~touched).withColumn(OUTCOME, F.lit("kept_outside_span")), joined])
 
 
 def upsert_orders(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY,
                   drop_orphans: bool = False, span: NewSpan | None = None) -> DataFrame:
     """Q1: the master after the batch (columns of ``old`` and ``new`` by name)."""
-    span = span or new_date_span(new, keys[0])
-    nk = _new_keys(new, keys)
-    o = with_order_key(old, keys)
-    inside = _in_span(span, keys[0])
-    outside_rows = o.filter(~inside)
-    in_rows = o.filter(inside)
-    if drop_orphans:
-        parts = [outside_rows]
-    else:
-        # in-span orders that are not replaced stay (they are the orphans)
-        parts = [outside_rows, in_rows.join(nk, key_condition(in_rows, nk, _K), "left_anti")]
-    return union_all([_strip(p) for p in parts] + [new])
+    gone = ["replaced", "orphaned"] if drop_orphans else ["replaced"]
+    kept = with_outcome(old, new, keys, span).filter(~F.col(OUTCOME).isin(gone)).drop(OUTCOME)
+    return union_all([kept, new])
+
+
+def orphan_rows(outcomes: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """The orphaned lines of ``with_outcome`` with the run time as ``orphaned_timestamp``."""
+    ts = F.lit(run_ts).cast("timestamp_ntz") if run_ts else F.localtimestamp()
+    return outcomes.filter(F.col(OUTCOME) == "orphaned").drop(OUTCOME).withColumn("orphaned_timestamp", ts)
 
 
 def find_orphans(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY,
                  span: NewSpan | None = None, run_ts: str | None = None) -> DataFrame:
     """Q2: old lines of in-span orders that the batch no longer has, with the
     run time as ``orphaned_timestamp``."""
-    span = span or new_date_span(new, keys[0])
-    nk = _new_keys(new, keys)
-    in_rows = with_order_key(old, keys).filter(_in_span(span, keys[0]))
-    orphans = _strip(in_rows.join(nk, key_condition(in_rows, nk, _K), "left_anti"))
-    ts = F.lit(run_ts).cast("timestamp_ntz") if run_ts else F.localtimestamp()
-    return orphans.withColumn("orphaned_timestamp", ts)
+    return orphan_rows(with_outcome(old, new, keys, span), run_ts)
+
+
+def outcome_statistics(outcomes: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY) -> DataFrame:
+    """A16 from the lines of ``with_outcome`` and the batch."""
+    both = union_all([with_order_key(outcomes, keys).select(F.col(OUTCOME).alias("action"), *_K),
+                      with_order_key(new, keys).select(F.lit("inserted").alias("action"), *_K)])
+    per_order = both.groupBy("action", *_K).agg(F.count(F.lit(1)).alias("__n"))
+    return per_order.groupBy("action").agg(F.count(F.lit(1)).cast("bigint").alias("orders"),
+                                           F.sum("__n").cast("bigint").alias("lines"))
 
 
 def upsert_statistics(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY,
                       span: NewSpan | None = None) -> DataFrame:
     """Orders and lines per outcome: ``kept_outside_span``, ``replaced``,
-    ``orphaned`` (old side) and ``inserted`` (new side).  One left join of old
-    rows against the distinct new keys, then one aggregation."""
-    span = span or new_date_span(new, keys[0])
-    nk = _new_keys(new, keys).withColumn("__hit", F.lit(True))
-    o = with_order_key(old, keys).withColumn("__in", _in_span(span, keys[0]))
-    j = o.join(nk, key_condition(o, nk, _K), "left").select(
-        *[o[k] for k in _K], "__in", F.col("__hit"))
-    action = (F.when(~F.col("__in"), "kept_outside_span")
-               .when(F.col("__hit").isNotNull(), "replaced").otherwise("orphaned"))
-    old_stats = j.groupBy(action.alias("action"), *_K).agg(F.count(F.lit(1)).alias("__n"))
-    new_stats = (with_order_key(new, keys).groupBy(F.lit("inserted").alias("action"), *_K)
-                 .agg(F.count(F.lit(1)).alias("__n")))
-    both = old_stats.unionByName(new_stats)
-    return both.groupBy("action").agg(F.count(F.lit(1)).cast("bigint").alias("orders"),
-                                      F.sum("__n").cast("bigint").alias("lines"))
+    ``orphaned`` (old side) and ``inserted`` (new side)."""
+    return outcome_statistics(with_outcome(old, new, keys, span), new, keys)

@@ -34,11 +34,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is read, never replaced.
-    Only when it is unset (local tests) a folder is created and registered.
+    On a cluster this is set by the deployment and is read, never replaced; a
+    cluster without it is an error, since executors would not see each other's
+    files. Only a ``local`` session gets a folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         d = tempfile.mkdtemp(prefix="ordersmith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -48,4 +52,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for staged writes)."""
-    return os.path.join(checkpoint_dir(spark), *parts)
+    return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path itself exists; any error of the store is raised."""
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session has written."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _file_system(spark, source)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source} to {target}")

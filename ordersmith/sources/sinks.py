@@ -3,37 +3,37 @@
 The master lives as Parquet partitioned by ``order_date``.  A batch only
 touches the partitions of its own date span (plus the undated partition when
 the batch has undated rows), so the write is a dynamic partition overwrite of
-those partitions.  The new content is first written to the shared checkpoint
-folder (``checkpoint()``), which cuts the lineage to the files about to be
-replaced; the overwrite itself goes through Spark's commit protocol, so a lost
-executor only re-runs tasks and a failed job leaves the old partitions intact.
+those partitions and never a static overwrite of an existing master.  The batch
+is staged once in the shared checkpoint folder, the affected old lines once
+with their outcome, and orphan log, statistics and new partitions derive from
+these two tables; that also cuts the lineage to the files about to be replaced.
+The staged tables are deleted after the commit. The overwrite goes through
+Spark's commit protocol, so a lost executor only re-runs tasks and a failed job
+leaves the old partitions intact.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordersmith.operators.projections import conform
-from ordersmith.plans.upsert import find_orphans, new_date_span, upsert_orders, upsert_statistics
-from ordersmith.schema import MASTER_COLUMNS
-from ordersmith.session import checkpoint_dir
+from ordersmith.operators.windows import union_all
+from ordersmith.plans.upsert import (OUTCOME, may_change, new_date_span, orphan_rows, outcome_statistics,
+                                     with_outcome)
+from ordersmith.schema import MASTER_COLUMNS, MASTER_SCHEMA
+from ordersmith.session import path_exists, remove_path, shared_path
 
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether any data exists at ``path`` (a metadata-only read attempt)."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
-        return True
-    except Exception:  # noqa: BLE001 - absent or empty path
-        return False
+STORED_SCHEMA = T.StructType(MASTER_SCHEMA.fields + [T.StructField("row_no", T.LongType())])
 
 
 def read_master(spark: SparkSession, path: str, keep=("row_no",)) -> DataFrame:
-    df = spark.read.parquet(path)
-    return conform(df, MASTER_COLUMNS, keep=list(keep))
+    """The stored master by its declared schema (no file is opened to infer one)."""
+    return conform(spark.read.schema(STORED_SCHEMA).parquet(path), MASTER_COLUMNS, keep=list(keep))
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None,
@@ -57,43 +57,63 @@ def append_orphans(orphans: DataFrame, path: str, run_id: str) -> None:
 
 @dataclass
 class UpsertOutcome:
-    statistics: DataFrame
+    statistics: list[tuple[str, int, int]]     # action, orders, lines
     orphans: int
 
 
-def upsert_into(spark: SparkSession, master_path: str, new: DataFrame, orphan_path: str | None = None,
-                run_id: str = "run", run_ts: str | None = None, date_col: str = "order_date") -> UpsertOutcome:
+def _stored_batch(new: DataFrame) -> DataFrame:
+    batch = conform(new, MASTER_COLUMNS, keep=["row_no"])
+    return batch if "row_no" in batch.columns else batch.withColumn("row_no", F.lit(None).cast("long"))
+
+
+def _upsert(old: DataFrame, new: DataFrame, write, orphan_path: str | None, run_id: str, run_ts: str | None,
+            date_col: str) -> UpsertOutcome:
+    """One batch against the stored lines ``old``; ``write(rows)`` replaces the partitions that ``rows`` has."""
+    spark = old.sparkSession
+    staged = shared_path(spark, "ordersmith-upsert", uuid.uuid4().hex)
+    _stored_batch(new).write.parquet(f"{staged}/batch")
+    batch = spark.read.schema(STORED_SCHEMA).parquet(f"{staged}/batch")
+    span = new_date_span(batch, date_col)
+    if span.empty:
+        remove_path(spark, staged)
+        return UpsertOutcome([], 0)
+    affected = old.filter(may_change(span, date_col))
+    columns = [c for c in STORED_SCHEMA.names if c in old.columns]
+    with_outcome(affected.select(*columns), batch, span=span).write.parquet(f"{staged}/old")
+    outcomes = spark.read.parquet(f"{staged}/old")
+    stats = [(r["action"], r["orders"], r["lines"])
+             for r in outcome_statistics(outcomes, batch).orderBy("action").collect()]    # four outcomes
+    n_orphans = next((lines for action, _, lines in stats if action == "orphaned"), 0)
+    if orphan_path and n_orphans:
+        append_orphans(orphan_rows(outcomes, run_ts), orphan_path, run_id)
+    kept = outcomes.filter(F.col(OUTCOME) != "replaced").drop(OUTCOME)
+    if span.global_mode:
+        # an undated batch can only replace undated lines: dated partitions stay as they are
+        kept = kept.filter(F.col(date_col).isNull())
+    write(union_all([kept, batch]))
+    remove_path(spark, staged)
+    return UpsertOutcome(stats, n_orphans)
+
+
+def upsert_into(spark: SparkSession, master_path: str, new: DataFrame, orphan_path: str | None = None, *,
+                run_id: str, run_ts: str | None = None, date_col: str = "order_date") -> UpsertOutcome:
     """Q1+Q2 against a stored master: rewrite only the affected partitions.
 
-    Orphaned orders are kept in the master (default semantics) and logged.
+    Orphaned orders are kept in the master (default semantics) and logged under
+    ``run_id``, which must tell this run from every other one; running the same
+    batch again under its own id replaces its own log. A batch without rows
+    changes nothing. A master that exists but can't be read is an error and
+    stays untouched.
     """
-    new = conform(new, MASTER_COLUMNS, keep=["row_no"])
-    ckpt = checkpoint_dir(spark)
     if not path_exists(spark, master_path):
-        new.write.mode("overwrite").partitionBy(date_col).parquet(master_path)
-        empty = new.limit(0)
-        return UpsertOutcome(upsert_statistics(empty, new), 0)
-    old = read_master(spark, master_path)
-    span = new_date_span(new, date_col)
-    if span.global_mode:
-        affected = old
-    else:
-        cond = F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
-        if new.filter(F.col(date_col).isNull()).limit(1).count():
-            cond = cond | F.col(date_col).isNull()
-        affected = old.filter(cond)
-    # statistics and orphans first, from the current files
-    stats = upsert_statistics(affected, new, span=span).checkpoint(eager=True)
-    orphans = find_orphans(affected, new, span=span, run_ts=run_ts).checkpoint(eager=True)
-    n_orphans = orphans.count()
-    if orphan_path and n_orphans:
-        append_orphans(orphans, orphan_path, run_id)
-    result = upsert_orders(affected, new, span=span)
-    result = result.checkpoint(eager=True)   # lineage cut: safe to overwrite the source partitions
-    (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(date_col).parquet(master_path))
-    assert ckpt  # the checkpoint folder is the shared one named by the session
-    return UpsertOutcome(stats, n_orphans)
+        batch = _stored_batch(new)
+        batch.write.partitionBy(date_col).parquet(master_path)        # fails if one has appeared meanwhile
+        return UpsertOutcome([], 0)
+
+    def write(rows: DataFrame) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(date_col).parquet(master_path))
+    return _upsert(read_master(spark, master_path), new, write, orphan_path, run_id, run_ts, date_col)
 
 
 # ------------------------------------------------------------------- S16
@@ -127,35 +147,21 @@ def write_master_table(df: DataFrame, table: str, buckets: int = 64, date_col: s
      .saveAsTable(table))
 
 
-def upsert_into_table(spark: SparkSession, table: str, new: DataFrame, orphan_path: str | None = None,
-                      run_id: str = "run", run_ts: str | None = None, date_col: str = "order_date") -> UpsertOutcome:
+def upsert_into_table(spark: SparkSession, table: str, new: DataFrame, orphan_path: str | None = None, *,
+                      run_id: str, run_ts: str | None = None, date_col: str = "order_date") -> UpsertOutcome:
     """``upsert_into`` for a bucketed master table: the same staged rewrite of
     the batch's day partitions, written with ``INSERT OVERWRITE`` (dynamic
     partitions) so the table keeps its bucketing."""
-    new = conform(new, MASTER_COLUMNS, keep=["row_no"])
-    checkpoint_dir(spark)
     old = spark.table(table)
-    span = new_date_span(new, date_col)
-    if span.global_mode:
-        affected = old
-    else:
-        cond = F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
-        if new.filter(F.col(date_col).isNull()).limit(1).count():
-            cond = cond | F.col(date_col).isNull()
-        affected = old.filter(cond)
-    stats = upsert_statistics(affected, new, span=span).checkpoint(eager=True)
-    orphans = find_orphans(affected, new, span=span, run_ts=run_ts).checkpoint(eager=True)
-    n_orphans = orphans.count()
-    if orphan_path and n_orphans:
-        append_orphans(orphans, orphan_path, run_id)
-    result = upsert_orders(affected, new, span=span).checkpoint(eager=True)
-    # INSERT OVERWRITE takes the overwrite mode from the session: dynamic for
-    # this statement only, so untouched day partitions stay as they are
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
-    try:
-        result.select(*old.columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
-    return UpsertOutcome(stats, n_orphans)
+
+    def write(rows: DataFrame) -> None:
+        # INSERT OVERWRITE takes the overwrite mode from the session: dynamic for
+        # this statement only, so untouched day partitions stay as they are
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key, "static")
+        spark.conf.set(key, "dynamic")
+        try:
+            rows.select(*old.columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
+    return _upsert(old, new, write, orphan_path, run_id, run_ts, date_col)

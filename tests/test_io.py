@@ -14,7 +14,7 @@ from ordersmith.streaming.dropfolder import start_dropfolder_ingest
 def test_upsert_into_path_matches_dataframe_upsert(spark, tmp_path):
     path, orphan_path = str(tmp_path / "master"), str(tmp_path / "orphans")
     old, new = R.upsert_old(spark, SF_SMALL), R.upsert_new(spark, SF_SMALL)
-    sinks.upsert_into(spark, path, old)                       # first load
+    sinks.upsert_into(spark, path, old, run_id="r0")                       # first load
     out = sinks.upsert_into(spark, path, new, orphan_path, run_id="r1", run_ts="1999-01-01 00:00:00")
     stored = sinks.read_master(spark, path)
     expected = R.QUERIES["upsert_orders"](spark, SF_SMALL)
@@ -72,7 +72,7 @@ def test_bucketed_master_table_needs_no_shuffle_for_marts(spark):
     t = f"ordersmith_test.master_{uuid.uuid4().hex[:12]}"   # fresh table each run
     old, new = R.upsert_old(spark, SF_SMALL), R.upsert_new(spark, SF_SMALL)
     sinks.write_master_table(old, t, buckets=4)
-    sinks.upsert_into_table(spark, t, new, run_ts="1999-01-01 00:00:00")
+    sinks.upsert_into_table(spark, t, new, run_id="r1", run_ts="1999-01-01 00:00:00")
     stored = spark.table(t)
     expected = R.QUERIES["upsert_orders"](spark, SF_SMALL)
     k = ["order_sn", "row_no", "quantity", "processing_date"]

@@ -39,7 +39,7 @@ def test_stored_upsert_reads_only_the_batch_days(no_aqe, tmp_path):
     from ordersmith.plans import upsert as U
     from ordersmith.sources import sinks
     path = str(tmp_path / "master")
-    sinks.upsert_into(no_aqe, path, R.upsert_old(no_aqe, SF_SMALL))
+    sinks.upsert_into(no_aqe, path, R.upsert_old(no_aqe, SF_SMALL), run_id="r0")
     new = R.upsert_new(no_aqe, SF_SMALL)
     span = U.new_date_span(new)
     old = sinks.read_master(no_aqe, path)
