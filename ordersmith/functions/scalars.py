@@ -68,20 +68,30 @@ def currency_to_double(c: ColumnOrName) -> Column:
     # text made only of digits, '.' and '-' needs no rewriting
     clean = F.translate(x, "0123456789.-", "") == ""
     kept = F.when(clean, x).otherwise(F.regexp_replace(x, r"[^0-9.\-]", ""))
-    return nan_to_null(kept.try_cast("double"))
+    return kept.try_cast("double")        # no letter is left, so never NaN
 
 
 # --------------------------------------------------------------------------- X4
+def fraction_of_percent(number: Column) -> Column:
+    """A percentage already read as a number, as a fraction; null counts as 0."""
+    return F.coalesce(number, F.lit(0.0)) / F.lit(100.0)
+
+
 def percent_to_fraction(c: ColumnOrName) -> Column:
     """``'2%'`` -> 0.02; unparsable or null counts as 0; always divides by 100."""
-    return F.coalesce(currency_to_double(c), F.lit(0.0)) / F.lit(100.0)
+    return fraction_of_percent(currency_to_double(c))
 
 
 # --------------------------------------------------------------------------- X8
+def whole_number(number: Column) -> Column:
+    """A double without a fraction as bigint, any other as null (NaN too)."""
+    return F.when(~F.isnan(number) & (number == F.floor(number)), number.try_cast("bigint")) \
+            .otherwise(F.lit(None).cast("bigint"))
+
+
 def to_nullable_long(c: ColumnOrName) -> Column:
     """Integer text (``'1'``, ``'1.0'``) to bigint; fractions and text are null."""
-    d = to_number(c)
-    return F.when(d == F.floor(d), d.try_cast("bigint")).otherwise(F.lit(None).cast("bigint"))
+    return whole_number(_col(c).cast("string").try_cast("double"))
 
 
 def is_fractional_integer_text(c: ColumnOrName) -> Column:
@@ -102,56 +112,22 @@ def _all_digits(x: Column) -> Column:
     return (F.length(x) > 0) & (F.translate(x, "0123456789", "") == "")
 
 
-def _checked_date(year: Column, month: Column, day: Column) -> Column:
-    """The date, or null when the month or the day does not exist (the checks
-    run before ``make_date``, which would fail on them)."""
-    first = F.make_date(year, month, F.lit(1))
-    return F.when(month.between(1, 12) & (year >= 1),
-                  F.when(day.between(1, 31), F.when(day <= F.dayofmonth(F.last_day(first)),
-                                                    F.make_date(year, month, day))))
-
-
 def _two_digit_year(yy: Column) -> Column:
     return F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
 
 
-def order_date_from_sn(c: ColumnOrName) -> Column:
-    """Order date encoded at the head of the order number.
+def with_order_date_from_sn(df: DataFrame, sn_col: str = "order_sn", out_col: str = "order_date") -> DataFrame:
+    """Order date encoded at the head of the order number.
 
     The first six characters are read as YYMMDD (years 69-99 -> 19xx, 00-68 ->
     20xx); if that fails and there are at least eight characters, the first
     eight are read as YYYYMMDD.  Anything else is null.  The six-character
     reading wins, so ``'20101204..'`` is 2020-10-12.
 
-    Six digits (the usual case) go straight to one strict date parse; only
-    other six-character heads go through the regular expression, whose input
-    is null otherwise.  Inside jobs prefer ``with_order_date_from_sn``.
-    """
-    s = F.trim(_col(c).cast("string"))
-    head6 = F.substring(s, 1, 6)
-    has6 = F.length(s) >= 6
-    dig6 = has6 & _all_digits(head6)
-    century = lambda yy: F.when(yy.try_cast("int") >= 69, F.lit("19")).otherwise(F.lit("20"))
-    fast6 = F.try_to_date(F.concat(century(F.substring(head6, 1, 2)), head6), "yyyyMMdd")
-    parts = F.split(F.regexp_replace(F.when(has6 & ~dig6, head6), _YYMMDD_FULL, "$1|$2|$3"), r"\|")
-    p1 = F.element_at(parts, 1)
-    slow6 = F.when(F.size(parts) == 3, F.try_to_date(F.concat(
-        century(p1), p1, F.lpad(F.element_at(parts, 2), 2, "0"), F.lpad(F.trim(F.element_at(parts, 3)), 2, "0")),
-        "yyyyMMdd"))
-    head8 = F.substring(s, 1, 8)
-    eight = F.when((F.length(s) >= 8) & _all_digits(head8) & (F.substring(head8, 1, 4) != "0000"),
-                   F.try_to_date(head8, "yyyyMMdd"))
-    six = F.when(dig6, fast6).otherwise(slow6)
-    return F.when(s.isNull() | (s == ""), F.lit(None).cast("date")).otherwise(F.coalesce(six, eight))
-
-
-def with_order_date_from_sn(df: DataFrame, sn_col: str = "order_sn", out_col: str = "order_date") -> DataFrame:
-    """``order_date_from_sn`` as staged projections (same result).
-
     Each intermediate (trimmed text, heads, year/month/day) is its own column,
     computed once per row; Spark keeps the projections apart instead of
     copying the pieces into one large expression, which keeps the generated
-    code small enough to be compiled.  Use this form inside jobs.
+    code small enough to be compiled.
     """
     t = {k: f"__x5_{k}" for k in ["s", "h6", "h8", "n", "dig6", "dig8", "parts", "ok6",
                                   "y6", "m6", "d6", "y8", "m8", "d8", "f6", "f8", "v6", "v8"]}
@@ -202,9 +178,11 @@ def to_date_tolerant(c: ColumnOrName, formats: Iterable[str] = DATE_FORMATS) ->
 # --------------------------------------------------------------------------- X7
 def to_timestamp_tolerant(c: ColumnOrName, null_tokens: Iterable[str] = TIMESTAMP_NULL_TOKENS) -> Column:
     """Wall-clock timestamp (no zone) from ``yyyy-MM-dd[ HH:mm[:ss]]`` or the
-    same with '/' separators; placeholders such as ``'-'`` give null."""
+    same with '/' separators; placeholders such as ``'-'`` give null.  A value
+    with a zone (``Z``, ``+08:00``) is no wall-clock time and gives null too."""
     x = F.trim(_col(c).cast("string"))
-    x = F.when(x.isin(list(null_tokens)), F.lit(None).cast("string")).otherwise(x)
+    zoned = x.rlike(r":[0-9]{2}(\.[0-9]+)? ?([Zz]|[+-][0-9]{1,2}(:?[0-9]{2})?|UTC|GMT)$")
+    x = F.when(x.isin(list(null_tokens)) | zoned, F.lit(None).cast("string")).otherwise(x)
     x = F.when(x.contains("/"), F.translate(x, "/", "-")).otherwise(x)
     return x.try_cast("timestamp_ntz")
 

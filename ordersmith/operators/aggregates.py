@@ -1,8 +1,8 @@
 """Aggregations (A1-A20) that are not tied to one job.
 
-All of them are single ``groupBy``/``agg`` plans whose functions Spark can
-combine map-side (count, sum, min, max, count_if, min_by/max_by), so a hot
-group costs one partial row per task before the shuffle.
+All of them are ``groupBy``/``agg`` plans whose functions Spark combines
+map-side (count, sum, min, max, count_if, min_by/max_by), so a hot group costs
+one partial row per task before the shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 # ------------------------------------------------------------------------ A1
 def latest_per_group(df: DataFrame, group: str, value: str, alias: str = "latest") -> DataFrame:
     """A1: maximum of ``value`` per group (null groups and values ignored)."""
@@ -78,15 +77,6 @@ def null_counts(df: DataFrame) -> DataFrame:
               .select(F.col("position").cast("int"), "column_name", F.col("nulls").cast("bigint"))
 
 
-# ------------------------------------------------------------------------ A17
-def step_counts(steps: Sequence[tuple[str, Column]], df: DataFrame) -> DataFrame:
-    """Row counts of several filtered views of one input in one pass:
-    ``steps`` is ``[(name, predicate)]``; output ``(step, rows)``."""
-    agg = df.agg(*[F.count_if(p).cast("bigint").alias(f"__s{i}") for i, (_, p) in enumerate(steps)])
-    stack = ", ".join(f"{i}, '{n}', __s{i}" for i, (n, _) in enumerate(steps))
-    return agg.selectExpr(f"stack({len(steps)}, {stack}) as (position, step, rows)")
-
-
 # ------------------------------------------------------------------------ A20
 def value_class(c: Column | str) -> Column:
     """Class of a text value: blank, integer, decimal or text."""
@@ -100,9 +90,3 @@ def value_class(c: Column | str) -> Column:
 def value_class_frequency(df: DataFrame, column: str) -> DataFrame:
     """How many values of each class a column holds."""
     return df.groupBy(value_class(column).alias("value_class")).agg(F.count(F.lit(1)).alias("rows"))
-
-
-# ------------------------------------------------------------------------ A4
-def frequency(df: DataFrame, column: str, alias: str = "rows") -> DataFrame:
-    """A4: value counts (null values excluded)."""
-    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(alias))

@@ -6,7 +6,6 @@ All predicates are Catalyst expressions, so on Parquet input the simple ones
 
 from __future__ import annotations
 
-import datetime as dt
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -62,27 +61,8 @@ def last_n_days(c, as_of, days: int = 30) -> Column:
     return _col(c).between(F.date_sub(end, days - 1), end)
 
 
-def as_of_date(value: str | dt.date | None = None) -> Column:
-    """The run date as a literal (tests and reruns pass it; default today)."""
-    return F.lit(value).cast("date") if value is not None else F.current_date()
-
-
 # ------------------------------------------------------------------------ F6
 def unparsable_dates(df: DataFrame, column: str, keep: Sequence[str] = ("order_sn",)) -> DataFrame:
     """rows whose date text does not parse (null included), with the raw value."""
     return (df.filter(X.to_date_tolerant(column).isNull())
               .select(*keep, F.col(column).cast("string").alias(column)))
-
-
-# ------------------------------------------------------------------ F7 / F8
-def numeric_class(c) -> Column:
-    """'positive' / 'zero' / 'invalid' (null, text or negative go to invalid
-    only when not a number; negative numbers are 'negative')."""
-    x = X.to_number(c)
-    return (F.when(x > 0, "positive").when(x == 0, "zero")
-             .when(x < 0, "negative").otherwise("invalid"))
-
-
-def non_numeric(c) -> Column:
-    """F8: value present but not a number."""
-    return _col(c).isNotNull() & X.to_number(c).isNull()

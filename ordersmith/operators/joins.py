@@ -2,8 +2,8 @@
 
 Key joins are null-safe equi-joins (``<=>``), which Spark plans as hash or
 sort-merge joins on the key columns; AQE may split a skewed key on the
-streamed side.  A side is broadcast only after its row count was measured
-against an explicit bound; beyond the bound the planner's shuffle join is used.
+streamed side.  No side is broadcast by hint: the planner does it where its
+size statistics are below ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -16,21 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows a dimension may have to be broadcast explicitly.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check runs a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than the bound; above it the DataFrame is returned unchanged and the
-    planner chooses a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   right_keys: Sequence[str] | None = None) -> Column:
     """Null-safe equality on all key columns."""
@@ -72,22 +57,13 @@ def map_values(c: Column | str, mapping: Mapping[str, str]) -> Column:
     return F.coalesce(F.element_at(m, col), col)
 
 
-def map_values_join(df: DataFrame, column: str, mapping_df: DataFrame,
-                    key: str = "key", value: str = "value") -> DataFrame:
-    """J5 for a dictionary held in a table: left join (broadcast when bounded),
-    mapped value else the original."""
-    m = bounded_broadcast(mapping_df.select(F.col(key).alias("__k"), F.col(value).alias("__v")))
-    return (df.join(m, df[column] == m["__k"], "left")
-              .withColumn(column, F.coalesce(F.col("__v"), F.col(column)))
-              .drop("__k", "__v"))
-
-
 # ------------------------------------------------------------------------ S7
 def shop_alias_table(shops: DataFrame, order_col: str | None = None) -> DataFrame:
     """``alias, shop_account, canonical_name`` from ``shop_name,
     shop_account, keywords`` (comma list).  Each shop answers to its own name
-    and to every keyword; when two rows claim one alias, the later row wins."""
-    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    and to every keyword; when two rows claim one alias, the later row by
+    ``order_col`` wins (without it the greater name and account)."""
+    order = F.col(order_col) if order_col else F.struct("shop_name", "shop_account")
     base = shops.select("shop_name", "shop_account", F.col("keywords"), order.alias("__row"))
     names = base.select(F.col("shop_name").alias("alias"), "shop_name", "shop_account", "__row",
                         F.lit(0).alias("__pos"))
@@ -105,16 +81,15 @@ def shop_alias_table(shops: DataFrame, order_col: str | None = None) -> DataFram
 
 # ------------------------------------------------------------------------ J4
 def fill_shop_account(df: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Where the row's account is missing or empty, look the shop name up
+    """Where the account column is missing or the account empty, look the shop name up
     among names and aliases: the account is filled (``''`` if unknown) and the
     name becomes the canonical one (kept if unknown).  A null shop stays null
-    with an empty account; rows that already have an account are untouched."""
-    a = bounded_broadcast(aliases.select(F.col("alias").alias("__alias"),
-                                         F.col("shop_account").alias("__acct"),
-                                         F.col("canonical_name").alias("__canon")))
+    with an empty account; rows that have an account, or a null one, are untouched."""
+    a = aliases.select(F.col("alias").alias("__alias"), F.col("shop_account").alias("__acct"),
+                       F.col("canonical_name").alias("__canon"))
     if "shop_account" not in df.columns:
         df = df.withColumn("shop_account", F.lit(""))
-    needs = F.coalesce(F.col("shop_account"), F.lit("")) == ""
+    needs = F.coalesce(F.col("shop_account") == "", F.lit(False))
     joined = df.join(a, df["shop_name"] == a["__alias"], "left")
     # both outputs are computed from the input values in one projection
     return joined.withColumns({

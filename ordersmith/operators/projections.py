@@ -125,29 +125,10 @@ def conform(df: DataFrame, columns: Sequence[str], fill: str | None = None,
     return df.select(*out)
 
 
-def conform_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """P8, export variant: known columns in target order, absent ones skipped."""
-    return df.select(*[c for c in columns if c in df.columns])
-
-
-# ------------------------------------------------------------------------ P9
-def add_lineage(df: DataFrame, shop_name: Column | str | None = None,
-                shop_account: Column | str | None = None, processing_date: Column | str | None = None) -> DataFrame:
-    """Shop, account and processing date columns (values or expressions)."""
-    def as_col(v):
-        return v if isinstance(v, Column) else F.lit(v)
-    cols = {}
-    if shop_name is not None:
-        cols["shop_name"] = as_col(shop_name)
-    if shop_account is not None:
-        cols["shop_account"] = as_col(shop_account)
-    if processing_date is not None:
-        cols["processing_date"] = as_col(processing_date).cast("date")
-    return df.withColumns(cols)
-
-
 # ----------------------------------------------------------------------- A11 / S5
-def column_types(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Column name, position and Spark type of a DataFrame (schema-sized)."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
+def column_types(df: DataFrame) -> DataFrame:
+    """Position, name and Spark type of each column, with its number of values (one pass)."""
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"__n{i}") for i, f in enumerate(fields)])
+    parts = ", ".join(f"{i}, '{f.name}', '{f.dataType.simpleString()}', __n{i}" for i, f in enumerate(fields))
+    return counts.selectExpr(f"stack({len(fields)}, {parts}) as (position, column_name, data_type, non_nulls)")

@@ -13,6 +13,9 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ordersmith.functions import scalars as X
 
 
 def _cols(cols):
@@ -35,7 +38,9 @@ def date_gaps(df: DataFrame, group: str, date_col: str, max_gap_days: int = 3) -
     calendar, not by the number of rows.
     Output: group, last_order_date, next_order_date, gap_days, missing_days.
     """
-    days = (df.select(F.col(group).alias(group), F.to_date(F.col(date_col)).alias("__d"))
+    is_text = isinstance(df.schema[date_col].dataType, T.StringType)
+    day = X.to_date_tolerant(date_col) if is_text else F.col(date_col).cast("date")
+    days = (df.select(F.col(group).alias(group), day.alias("__d"))
               .filter(F.col(group).isNotNull() & F.col("__d").isNotNull())
               .distinct())
     w = Window.partitionBy(group).orderBy("__d")
@@ -60,13 +65,6 @@ def duplicated_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(dup, cond, "left_semi")
 
 
-# ------------------------------------------------------------------------ W4
-def first_value(c: str, order: Column | str) -> Column:
-    """Value of ``c`` on the first row by ``order`` (kept even if null)."""
-    o = F.col(order) if isinstance(order, str) else order
-    return F.min_by(F.col(c), o)
-
-
 # ------------------------------------------------------------------ L1-L6
 def first_n(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
     """L1 / L3 / L4: top ``n`` by a total order (planned as a per-partition
@@ -78,7 +76,7 @@ def sample_n(df: DataFrame, n: int, seed: int = 0, columns: Sequence[str] | None
     """L2: ``n`` rows chosen at random (all rows if fewer).  Deterministic: the
     rank is a seeded hash of the row (or of ``columns``), not input order."""
     cols = columns or df.columns
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]).cast("binary"))
     return df.withColumn("__h", h).orderBy("__h", *cols).limit(n).drop("__h")
 
 
@@ -86,8 +84,3 @@ def sample_n(df: DataFrame, n: int, seed: int = 0, columns: Sequence[str] | None
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Concatenate by column name; absent columns become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """U3."""
-    return df.select(*cols).distinct()

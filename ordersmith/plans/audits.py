@@ -54,7 +54,9 @@ class Freshness:
 
     @cached_property
     def fuzzy(self) -> DataFrame:
-        return best_matches(self.missing, self.latest.select("shop_name"), self.cutoff, self.measure)
+        # one row per missing name, used by several branches
+        return best_matches(self.missing, self.latest.select("shop_name"), self.cutoff,
+                            self.measure).checkpoint(eager=True)
 
     @property
     def _thr(self) -> Column:

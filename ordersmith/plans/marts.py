@@ -1,9 +1,10 @@
 """Reporting marts derived from the master table (Q5-Q9).
 
 * ``order_summary``  (B01): one row per order number, first-line attributes,
-  ordered product / SKU lists and quantity totals.  One aggregation: every
-  function is combined map-side, so a large order costs one partial row per
-  task before the shuffle on ``order_sn``.
+  ordered product / SKU lists and quantity totals, in one aggregation.  Totals
+  and first lines are combined map-side.  The lists hold all lines of an order;
+  lines without an order number form one group that may be of any size, so its
+  lists stay empty (``unnumbered_lines`` returns those lines).
 * ``order_details``  (B02): line-level projection.
 * ``order_headers``  (B03) / ``order_shipping`` (B04): the first line of each
   order (row_number = 1, pre-limited per task before the shuffle).
@@ -27,10 +28,20 @@ from ordersmith.schema import (CITY_LABELS, DETAIL_COLUMNS, HEADER_COLUMNS, SHIP
 ROW_ORDER = "row_no"
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Lines with a missing order number as those with an empty one: one group."""
+    return df.withColumn("order_sn", F.coalesce("order_sn", F.lit("")))
+
+
+def unnumbered_lines(master: DataFrame) -> DataFrame:
+    """The lines without an order number (null or empty)."""
+    return master.filter(F.coalesce("order_sn", F.lit("")) == "")
+
+
 def ordered_join(value: str, order: str = ROW_ORDER, sep: str = ";") -> Column:
-    """Non-empty values of a group joined by ``sep`` in ``order`` ('' if none)."""
+    """Non-empty values of a numbered group joined by ``sep`` in ``order`` ('' if none)."""
     v = F.col(value).cast("string")
-    item = F.when(v.isNotNull() & (v != ""), F.struct(F.col(order).alias("o"), v.alias("v")))
+    item = F.when(v.isNotNull() & (v != "") & (F.col("order_sn") != ""), F.struct(F.col(order).alias("o"), v.alias("v")))
     ordered = F.array_sort(F.collect_list(item))
     return F.coalesce(F.array_join(F.transform(ordered, lambda s: s["v"]), sep), F.lit(""))
 
@@ -38,7 +49,7 @@ def ordered_join(value: str, order: str = ROW_ORDER, sep: str = ";") -> Column:
 def order_summary(master: DataFrame, order: str = ROW_ORDER) -> DataFrame:
     """B01 order summary grouped by ``order_sn``."""
     first = F.min_by(F.struct(*[F.col(c) for c in SUMMARY_FIRST_COLUMNS]), F.col(order))
-    agg = master.groupBy("order_sn").agg(
+    agg = numbered(master).groupBy("order_sn").agg(
         first.alias("__first"),
         ordered_join("product_name", order).alias("product_name_list"),
         ordered_join("product_sku_main", order).alias("product_sku_main_list"),
@@ -57,14 +68,15 @@ def order_details(master: DataFrame) -> DataFrame:
 
 def order_headers(master: DataFrame, order: str = ROW_ORDER) -> DataFrame:
     """Q7: B03, first line of each order number."""
-    return first_per_key(conform(master, HEADER_COLUMNS, keep=[order]), ["order_sn"], [order]).drop(order)
+    df = numbered(conform(master, HEADER_COLUMNS, keep=[order]))
+    return first_per_key(df, ["order_sn"], [order]).drop(order)
 
 
 def order_shipping(master: DataFrame, city_labels: Mapping[str, str] = CITY_LABELS,
                    order: str = ROW_ORDER) -> DataFrame:
     """Q8: B04, first line of each order number with the city label applied
     (unknown spellings are kept as they are)."""
-    df = conform(master, SHIPPING_COLUMNS, keep=[order])
+    df = numbered(conform(master, SHIPPING_COLUMNS, keep=[order]))
     df = df.withColumn("recipient_city", map_values("recipient_city", city_labels))
     return first_per_key(df, ["order_sn"], [order]).drop(order)
 
@@ -77,7 +89,7 @@ def split_platforms(master: DataFrame, platforms: Iterable[str] = SPECIAL_PLATFO
 def amount_check(master: DataFrame, order: str = ROW_ORDER) -> DataFrame:
     """The paid total summed over lines (double counts multi-line orders)
     next to the same total summed once per order."""
-    per_order = master.groupBy("order_sn").agg(
+    per_order = numbered(master).groupBy("order_sn").agg(
         F.sum("total_amount_paid_by_buyer").alias("__lines"),
         F.min_by("total_amount_paid_by_buyer", F.col(order)).alias("__first"))
     return per_order.agg(F.round(F.sum("__lines"), 2).alias("amount_over_lines"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MANIFEST_SCHEMA = "table string, status string, rows bigint, error string"
+from ordersmith.session import path_size, remove_path
+
+MANIFEST_SCHEMA = "table string, status string, rows bigint, bytes bigint, error string"
 
 
 def create_database(spark: SparkSession, database: str, comment: str | None = None) -> None:
@@ -16,13 +19,43 @@ def create_database(spark: SparkSession, database: str, comment: str | None = No
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{c}")
 
 
+def _location(spark: SparkSession, target: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _replace(df: DataFrame, database: str, name: str, fmt: str) -> tuple[int, int]:
+    """Write ``df`` aside and point the table to it; (rows, bytes) as stored.
+
+    The files lie in a fresh folder of the database, so a folder left by an
+    earlier session is no obstacle, and the table keeps its old content until
+    the new one has been written and counted."""
+    spark, target = df.sparkSession, f"`{database}`.`{name}`"
+    base = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(path)
+    stored = spark.read.format(fmt).load(path)
+    rows, size = stored.count(), path_size(spark, path)
+    before = _location(spark, target) if spark.catalog.tableExists(f"{database}.{name}") else None
+    if before and spark.table(target).schema == stored.schema:
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(target)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.catalog.createTable(f"{database}.{name}", path=path, source=fmt, schema=stored.schema)
+    if before:
+        remove_path(spark, before)
+    return rows, size
+
+
 def publish(spark: SparkSession, tables: Mapping[str, DataFrame | None], database: str,
             fmt: str = "parquet") -> DataFrame:
-    """Replace each table (write-truncate) and return the manifest.
+    """Replace each table (write aside, count, swap) and return the manifest.
 
     A table given as ``None`` (its source is missing) is ``skipped``; a failed
-    write is ``failed`` with the error and does not stop the others.  Each
-    write is a distributed job; the loop runs once per table, not per row.
+    write is ``failed`` with the error, leaves the table as it was and does not
+    stop the others.  Each write is a distributed job; the loop runs once per
+    table, not per row.
     """
     rows = []
     try:
@@ -31,19 +64,15 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame | None], databas
     except Exception as e:  # noqa: BLE001 - every table is then reported as failed
         namespace_error = f"{type(e).__name__}: {e}"
     for name, df in tables.items():
-        target = f"`{database}`.`{name}`"
         if df is None:
-            rows.append((name, "skipped", 0, "source missing"))
-            continue
-        if namespace_error:
-            rows.append((name, "failed", 0, namespace_error))
-            continue
-        try:
-            df.write.mode("overwrite").format(fmt).saveAsTable(target)
-            n = spark.table(target).count()
-            rows.append((name, "success", n, None))
-        except Exception as e:  # noqa: BLE001 - reported in the manifest
-            rows.append((name, "failed", 0, f"{type(e).__name__}: {e}"))
+            rows.append((name, "skipped", 0, 0, "source missing"))
+        elif namespace_error:
+            rows.append((name, "failed", 0, 0, namespace_error))
+        else:
+            try:
+                rows.append((name, "success", *_replace(df, database, name, fmt), None))
+            except Exception as e:  # noqa: BLE001 - reported in the manifest
+                rows.append((name, "failed", 0, 0, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 

@@ -18,6 +18,7 @@ from ordersmith.functions import scalars as X
 from ordersmith.operators.aggregates import bin_label, bin_lower
 from ordersmith.operators.filters import in_date_range
 from ordersmith.operators.windows import first_per_key
+from ordersmith.plans.marts import numbered
 from ordersmith.schema import VOUCHER_BIN_EDGES
 
 VOUCHER_COLUMNS = ["seller_voucher", "voucher"]
@@ -25,7 +26,7 @@ VOUCHER_COLUMNS = ["seller_voucher", "voucher"]
 
 def voucher_orders(df: DataFrame, start: str, end: str, order_col: str = "row_no") -> DataFrame:
     """W1 then F4: first line per order number, then the date range."""
-    firsts = first_per_key(df, ["order_sn"], [order_col])
+    firsts = first_per_key(numbered(df), ["order_sn"], [order_col])
     return firsts.filter(in_date_range("order_date", start, end))
 
 
@@ -63,10 +64,13 @@ class VoucherUsage:
     @cached_property
     def used_stats(self) -> DataFrame:
         amt = F.col("amount")
-        return self.long.filter(amt > 0).groupBy("voucher_column").agg(
+        used = self.long.filter(amt > 0)
+        stats = used.groupBy("voucher_column").agg(
             F.min(amt).alias("min_amount"), F.max(amt).alias("max_amount"),
-            F.round(F.avg(amt), 4).alias("mean_amount"), F.round(F.median(amt), 4).alias("median_amount"),
-            F.round(F.sum(amt), 4).alias("total_amount"))
+            F.round(F.avg(amt), 4).alias("mean_amount"), F.round(F.sum(amt), 4).alias("total_amount"))
+        return stats.join(grouped_median(used, "voucher_column", "amount", "m"), "voucher_column").select(
+            "voucher_column", "min_amount", "max_amount", "mean_amount", F.round("m", 4).alias("median_amount"),
+            "total_amount")
 
     @cached_property
     def histogram(self) -> DataFrame:
@@ -105,6 +109,37 @@ class VoucherUsage:
         return step_counts(self.df, self.start, self.end, self.order_col)
 
 
+MEDIAN_RANGES = 1024
+
+
+def grouped_median(df: DataFrame, group: str, value: str, alias: str) -> DataFrame:
+    """Exact median of ``value`` per group without gathering a group in one task.
+
+    Equal values are counted first; each group's value range is split into
+    ``MEDIAN_RANGES`` equal parts, whose running counts show the part that each
+    of the (one or two) middle ranks falls into, and only that part is ordered."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
+    bounds = counts.groupBy(group).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"),
+                                       F.sum("__n").alias("__total"))
+    part = F.when(F.col("__hi") > F.col("__lo"), F.floor(
+        (F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * (MEDIAN_RANGES - 1))).otherwise(0)
+    parted = counts.join(bounds, group).withColumn("__part", part)
+    w = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = (parted.groupBy(group, "__part", "__total").agg(F.sum("__n").alias("__in"))
+             .withColumn("__upto", F.sum("__in").over(w)))
+    rank = F.explode(F.array_distinct(F.array(F.floor((F.col("__total") + 1) / 2), F.floor(F.col("__total") / 2) + 1)))
+    middle = parts.withColumn("__rank", rank).filter(
+        (F.col("__rank") <= F.col("__upto")) & (F.col("__rank") > F.col("__upto") - F.col("__in")))
+    inner = (parted.select(group, "__part", value, "__n")
+             .join(middle.select(group, "__part", "__rank", (F.col("__upto") - F.col("__in")).alias("__before")),
+                   [group, "__part"]))
+    v = Window.partitionBy(group, "__part", "__rank").orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    at = (inner.withColumn("__upto", F.col("__before") + F.sum("__n").over(v))
+          .filter((F.col("__rank") <= F.col("__upto")) & (F.col("__rank") > F.col("__upto") - F.col("__n"))))
+    return at.groupBy(group).agg(F.avg(value).alias(alias))
+
+
 def voucher_usage(df: DataFrame, start: str, end: str, columns: Sequence[str] = VOUCHER_COLUMNS,
                   order_col: str = "row_no") -> VoucherUsage:
     """Q13: voucher analysis of the orders dated in ``[start, end]``."""
@@ -113,7 +148,7 @@ def voucher_usage(df: DataFrame, start: str, end: str, columns: Sequence[str] =
 
 def step_counts(df: DataFrame, start: str, end: str, order_col: str = "row_no") -> DataFrame:
     """Rows at each step (input lines, first lines per order, in range)."""
-    firsts = first_per_key(df, ["order_sn"], [order_col])
+    firsts = first_per_key(numbered(df), ["order_sn"], [order_col])
     in_range = in_date_range("order_date", start, end)
     a = df.agg(F.count(F.lit(1)).cast("bigint").alias("input_lines"))
     b = firsts.agg(F.count(F.lit(1)).cast("bigint").alias("orders"),

@@ -639,14 +639,20 @@ def q_profile_head(spark, sf_dir):
     return first_n(master(spark, sf_dir), 5, ["order_sn", "row_no"])
 
 
-@register("profile_sample")
+@register("profile_sample", with_master(f"""
+SELECT {_ALL} FROM master ORDER BY md5(concat_ws('|', '7', order_sn, CAST(row_no AS VARCHAR))), order_sn, row_no LIMIT 5"""))
 def q_profile_sample(spark, sf_dir):
     return sample_n(master(spark, sf_dir), 5, seed=7, columns=["order_sn", "row_no"])
 
 
-@register("profile_column_types")
+_SPARK_NAMES = {"VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "DOUBLE": "double", "BIGINT": "bigint"}
+
+
+@register("profile_column_types", with_master("\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{_SPARK_NAMES[duck_type(column_type(c))] if c != 'row_no' else 'bigint'}'"
+    f" AS data_type, CAST(count({c}) AS BIGINT) AS non_nulls FROM master" for i, c in enumerate(_PROFILE_COLS))))
 def q_profile_column_types(spark, sf_dir):
-    return column_types(spark, master(spark, sf_dir))
+    return column_types(master(spark, sf_dir))
 
 
 # --------------------------------------------------------- duplicate keys (Q17)
@@ -829,15 +835,21 @@ from ordersmith.plans.publish import publish  # noqa: E402
 PUBLISH_DATABASE = "ordersmith_marts"
 
 
-@register("publish_marts")
+@register("publish_marts", with_master(", o AS (SELECT count(DISTINCT order_sn) AS n FROM master)" + """
+SELECT 'b01_orders_concat' AS "table", 'success' AS status, CAST(n AS BIGINT) AS rows, true AS has_bytes FROM o
+UNION ALL SELECT 'b02_order_details', 'success', (SELECT count(*) FROM master), true
+UNION ALL SELECT 'b03_order_simple_details', 'success', n, true FROM o
+UNION ALL SELECT 'b04_order_shipping_info', 'success', n, true FROM o
+UNION ALL SELECT 'b05_not_exported', 'skipped', 0, false"""))
 def q_publish_marts(spark, sf_dir):
     """Writes the four marts as catalog tables and returns the load manifest."""
     m = master(spark, sf_dir)
-    return publish(spark, {"b01_orders_concat": marts.order_summary(m),
+    manifest = publish(spark, {"b01_orders_concat": marts.order_summary(m),
                            "b02_order_details": marts.order_details(m),
                            "b03_order_simple_details": marts.order_headers(m),
                            "b04_order_shipping_info": marts.order_shipping(m),
                            "b05_not_exported": None}, PUBLISH_DATABASE)
+    return manifest.select("table", "status", "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 # ------------------------------------------------------------ parse statistics
@@ -854,7 +866,7 @@ def q_clean_parse_stats(spark, sf_dir):
 
 
 # ============================================================ streaming ingest (S16 + Q3 + Q1)
-@register("dropfolder_ingest")
+@register("dropfolder_ingest", f"SELECT * EXCLUDE (row_no) REPLACE (nullif(voucher, '') AS voucher) FROM ({ORACLES['clean_orders']}) t")
 def q_dropfolder_ingest(spark, sf_dir):
     """The export lines land as CSV files in a fresh inbox (one folder per
     export file, named ``file_name=<export name>``); the drop-folder stream
@@ -870,4 +882,218 @@ def q_dropfolder_ingest(spark, sf_dir):
     q = start_dropfolder_ingest(spark, f"{run}/inbox", headers, f"{run}/master", f"{run}/orphans",
                                 f"{run}/archive", checkpoint_location=f"{run}/stream", as_of=AS_OF)
     q.awaitTermination()
-    return read_master(spark, f"{run}/master")
+    return read_master(spark, f"{run}/master").drop("row_no")
+
+
+
+# ============================================================ stored upsert
+import uuid  # noqa: E402
+
+from ordersmith.session import shared_path  # noqa: E402
+from ordersmith.sources import readers, sinks  # noqa: E402
+
+_UPSERTED_SQL = f"SELECT {_ALL} FROM old_c WHERE NOT (in_span AND hit) UNION ALL SELECT {_ALL} FROM new"
+
+
+def _fresh_folder(spark, tag: str) -> str:
+    return shared_path(spark, "ordersmith-query", f"{tag}-{uuid.uuid4().hex}")
+
+
+@register("upsert_stored", _UPSERT_CTE + _UPSERTED_SQL)
+def q_upsert_stored(spark, sf_dir):
+    """The old snapshot stored, the new one upserted into it twice under one run id; the stored master."""
+    run = _fresh_folder(spark, "upsert")
+    sinks.upsert_into(spark, f"{run}/master", upsert_old(spark, sf_dir), run_id="load")
+    for _ in range(2):
+        sinks.upsert_into(spark, f"{run}/master", upsert_new(spark, sf_dir), f"{run}/orphans", run_id="r1", run_ts=RUN_TS)
+    return sinks.read_master(spark, f"{run}/master")
+
+
+@register("upsert_empty_batch", _UPSERT_CTE + f"SELECT {_ALL} FROM old")
+def q_upsert_empty_batch(spark, sf_dir):
+    """A batch without rows leaves the stored master and its log as they are."""
+    run = _fresh_folder(spark, "empty")
+    sinks.upsert_into(spark, f"{run}/master", upsert_old(spark, sf_dir), run_id="load")
+    sinks.upsert_into(spark, f"{run}/master", upsert_new(spark, sf_dir).filter("order_status = 'no such status'"),
+                      f"{run}/orphans", run_id="r1", run_ts=RUN_TS)
+    return sinks.read_master(spark, f"{run}/master")
+
+
+_UNDATED_COLS = ", ".join(f"CASE WHEN order_status = 'P' THEN NULL ELSE order_date END AS {c}" if c == "order_date"
+                          else (f"quantity + CASE WHEN order_status = 'P' THEN 0 ELSE 1 END AS {c}" if c == "quantity" else c)
+                          for c in MASTER_COLUMNS + ["row_no"])
+
+
+@register("upsert_undated_rerun", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+master AS ({master_select_sql(OLD_AS_OF)})
+SELECT {_UNDATED_COLS} FROM master""")
+def q_upsert_undated_rerun(spark, sf_dir):
+    """Pending orders have no date; their batch replaces the stored undated lines, and running it again adds none."""
+    run = _fresh_folder(spark, "undated")
+    m = td.order_master(spark, sf_dir, OLD_AS_OF).withColumn(
+        "order_date", F.when(F.col("order_status") != "P", F.col("order_date")))
+    sinks.upsert_into(spark, f"{run}/master", m.withColumn("quantity", F.col("quantity") + 1), run_id="load")
+    for i in range(2):
+        sinks.upsert_into(spark, f"{run}/master", m.filter("order_status = 'P'"), run_id=f"r{i}")
+    return sinks.read_master(spark, f"{run}/master")
+
+
+@register("orphan_log_two_runs", _UPSERT_CTE + f""",
+m1 AS ({_UPSERTED_SQL}),
+b2 AS (SELECT * FROM new WHERE order_status = 'O'),
+s2 AS (SELECT min(order_date) AS lo, max(order_date) AS hi FROM b2)
+SELECT 'r1' AS run_id, order_sn, row_no FROM old_c WHERE in_span AND NOT hit
+UNION ALL
+SELECT 'r2', order_sn, row_no FROM m1 WHERE order_date BETWEEN (SELECT lo FROM s2) AND (SELECT hi FROM s2)
+  AND NOT EXISTS (SELECT 1 FROM b2 WHERE b2.order_date = m1.order_date AND b2.order_sn = m1.order_sn
+                  AND b2.buyer_username = m1.buyer_username)""")
+def q_orphan_log_two_runs(spark, sf_dir):
+    """Two batches with run ids of their own: the log keeps both runs."""
+    run = _fresh_folder(spark, "orphans")
+    new = upsert_new(spark, sf_dir)
+    sinks.upsert_into(spark, f"{run}/master", upsert_old(spark, sf_dir), run_id="load")
+    for run_id, batch in (("r1", new), ("r2", new.filter("order_status = 'O'"))):
+        sinks.upsert_into(spark, f"{run}/master", batch, f"{run}/orphans", run_id=run_id, run_ts=RUN_TS)
+    return spark.read.parquet(f"{run}/orphans").select("run_id", "order_sn", "row_no")
+
+
+# ============================================================ semi join (J2, U4), edge rows
+@register("returned_orders", with_master(f"""
+SELECT {_ALL} FROM master m WHERE EXISTS (SELECT 1 FROM master r WHERE r.return_quantity > 0
+  AND r.order_date IS NOT DISTINCT FROM m.order_date AND r.order_sn IS NOT DISTINCT FROM m.order_sn
+  AND r.buyer_username IS NOT DISTINCT FROM m.buyer_username)"""))
+def q_returned_orders(spark, sf_dir):
+    """All lines of orders with a returned line."""
+    from ordersmith.operators.joins import semi_join
+    m = master(spark, sf_dir)
+    return semi_join(m, m.filter("return_quantity > 0"), ["order_date", "order_sn", "buyer_username"])
+
+
+@register("order_summary_blank_numbers", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+m0 AS ({master_select_sql(AS_OF)}),
+master AS (SELECT * REPLACE (CASE WHEN order_status = 'P' THEN '' ELSE order_sn END AS order_sn,
+             row_number() OVER (ORDER BY order_sn, row_no) AS row_no) FROM m0)
+SELECT order_sn, first(order_date ORDER BY row_no) AS order_date,
+  CASE WHEN order_sn = '' THEN '' ELSE {_ordered_join_sql('product_name')} END AS product_name_list,
+  CAST(sum(quantity) AS BIGINT) AS total_quantity
+FROM master GROUP BY order_sn""")
+def q_order_summary_blank_numbers(spark, sf_dir):
+    """Pending lines have a null or an empty order number: one group, without lists."""
+    from pyspark.sql import Window
+    m = master(spark, sf_dir)
+    # one numbering over all lines, from per-order counts, so that the first blank line is the same everywhere
+    counts = m.groupBy("order_sn").agg(F.count(F.lit(1)).alias("n"))
+    base = counts.repartitionByRange("order_sn").select("order_sn", "n", F.spark_partition_id().alias("part"))
+    base = base.checkpoint(eager=True)
+    parts = base.groupBy("part").agg(F.sum("n").alias("pn"))
+    parts = parts.withColumn("before", F.coalesce(F.sum("pn").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("order_sn").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    start = base.withColumn("inside", inside).join(parts, "part").select(
+        "order_sn", (F.col("before") + F.col("inside")).alias("start"))
+    m = m.join(start, "order_sn").withColumn("row_no", F.col("start") + F.col("row_no")).drop("start")
+    blank = F.when(F.col("return_quantity") > 0, F.lit("")).otherwise(F.lit(None).cast("string"))
+    m = m.withColumn("order_sn", F.when(F.col("order_status") == "P", blank).otherwise(F.col("order_sn")))
+    return marts.order_summary(m).select("order_sn", "order_date", "product_name_list", "total_quantity")
+
+
+@register("date_gaps_text", with_master(f"""
+SELECT shop_name, last_order_date, next_order_date, CAST(gap AS BIGINT) AS gap_days, CAST(gap - 1 AS BIGINT) AS missing_days
+FROM (SELECT shop_name, lag(d) OVER (PARTITION BY shop_name ORDER BY d) AS last_order_date, d AS next_order_date,
+             date_diff('day', lag(d) OVER (PARTITION BY shop_name ORDER BY d), d) AS gap
+      FROM (SELECT DISTINCT shop_name, order_date AS d FROM master WHERE order_status <> 'P'))
+WHERE gap > {GAP_DAYS}"""))
+def q_date_gaps_text(spark, sf_dir):
+    """Gaps over a text date column in two layouts, with text that is no date."""
+    m = master(spark, sf_dir)
+    text = (F.when(F.col("order_status") == "P", "no date").when(F.col("order_status") == "F",
+            F.date_format("order_date", "yyyy/MM/dd")).otherwise(F.date_format("order_date", "yyyyMMdd")))
+    return AU.date_gaps(m.withColumn("order_date", text), GAP_DAYS)
+
+
+@register("clean_dirty_cells", f"""WITH ol AS ({td.ORDER_LINES_SQL})
+SELECT order_sn, row_no, replace(product_name, ' ', ' ') AS name, CAST(quantity AS DOUBLE) / 100.0 AS rate,
+       CASE WHEN order_status = 'P' THEN NULL ELSE quantity END AS whole, CAST(quantity AS DOUBLE) AS money,
+       CASE WHEN order_status = 'P' THEN NULL ELSE CAST(order_creation_timestamp AS TIMESTAMP) END AS made,
+       -- the first six of 2001MMDD read as 20-01-MM
+       CASE WHEN year(order_date) = 2001 THEN make_date(2020, 1, month(order_date)) ELSE order_date END AS day8, CASE WHEN order_status = 'P' THEN NULL ELSE order_status END AS status
+FROM ol""")
+def q_clean_dirty_cells(spark, sf_dir):
+    """X1-X5, X7, X8 on cells made dirty from the tables' own columns."""
+    from ordersmith.functions import scalars as X
+    ol = td.order_lines(spark, sf_dir)
+    q, pending = F.col("quantity").cast("string"), F.col("order_status") == "P"
+    raw = ol.select(
+        "order_sn", "row_no", F.regexp_replace("product_name", " ", "\n\r").alias("name"),
+        F.concat(q, F.lit("%")).alias("rate"), F.when(pending, F.concat(q, F.lit(".5"))).otherwise(F.concat(q, F.lit(".0"))).alias("whole"),
+        F.concat(F.lit("NT$"), q, F.lit(" ")).alias("money"),
+        F.when(pending, F.date_format("order_creation_timestamp", "yyyy-MM-dd'T'HH:mm:ss'+08:00'"))
+         .otherwise(F.date_format("order_creation_timestamp", "yyyy/MM/dd HH:mm:ss")).alias("made"),
+        F.concat(F.date_format("order_date", "yyyyMMdd"), F.lit("X")).alias("sn8"),
+        F.when(pending, "nan").otherwise(F.col("order_status")).alias("status"))
+    typed = raw.select("order_sn", "row_no", X.strip_newlines("name").alias("name"), X.percent_to_fraction("rate").alias("rate"),
+                       X.to_nullable_long("whole").alias("whole"), X.currency_to_double("money").alias("money"),
+                       X.to_timestamp_tolerant("made").alias("made"), "sn8", X.null_tokens_to("status").alias("status"))
+    return X.with_order_date_from_sn(typed, "sn8", "day8").drop("sn8")
+
+
+# ============================================================ CSV drops of several layouts
+def _csv_drop(spark, sf_dir):
+    """The export lines as CSV folders: pending orders in an older layout (another rate header, no return column),
+    open ones with an unknown column, and returned lines a second time in files without order numbers."""
+    run = _fresh_folder(spark, "csv")
+    raw = td.raw_order_exports(spark, sf_dir).drop("row_no", "file_name")
+    status = F.col(td.raw_source("order_status"))
+    sn, back = td.raw_source("order_sn"), td.raw_source("return_quantity")
+    rate = F.concat(F.col(td.raw_source("quantity")), F.lit("%"))
+    parts = {"old": raw.filter(status == "P").drop(back).withColumn("金流處理費率", rate),
+             "open": raw.filter(status == "O").withColumn("店員", F.lit("A")).withColumn("金流與系統處理費率", rate),
+             "done": raw.filter(status == "F"), "bad": raw.filter(F.col(back) != "0").drop(sn)}
+    for name, df in parts.items():
+        df.write.option("header", True).csv(f"{run}/{name}")
+    return readers.scan_order_exports(spark, f"{run}/*", glob="*.csv")
+
+
+@register("csv_ingest_mixed_layouts", f"""WITH ol AS ({td.ORDER_LINES_SQL})
+SELECT order_sn, order_status AS status, CAST(quantity AS VARCHAR) AS quantity,
+       CASE WHEN order_status = 'P' THEN NULL ELSE CAST(return_quantity AS VARCHAR) END AS returned,
+       CASE WHEN order_status = 'F' THEN NULL ELSE CAST(quantity AS VARCHAR) || '%' END AS rate,
+       CASE WHEN seller_voucher = 'N/A' THEN NULL ELSE seller_voucher END AS seller_voucher,
+       CASE WHEN voucher = '' THEN NULL ELSE voucher END AS voucher
+FROM ol""")
+def q_csv_ingest_mixed_layouts(spark, sf_dir):
+    from ordersmith.operators.projections import clean_headers, rename_columns
+    from ordersmith.schema import ORDER_EXPORT_HEADERS
+    rows = rename_columns(clean_headers(_csv_drop(spark, sf_dir).rows), ORDER_EXPORT_HEADERS)
+    return rows.select("order_sn", F.col("order_status").alias("status"), "quantity", F.col("return_quantity").alias("returned"),
+                       F.col("payment_processing_fee_rate").alias("rate"), "seller_voucher", "voucher")
+
+
+@register("csv_ingest_files", f"""WITH ol AS ({td.ORDER_LINES_SQL}), n AS (SELECT 14 AS cells)
+SELECT 'rejected' AS status, cells - 1 AS columns, 'order_sn' AS missing, '' AS unmapped FROM n
+UNION ALL SELECT 'accepted', cells, '', '' FROM n
+UNION ALL SELECT 'accepted', cells + 2, '', '店員' FROM n
+UNION ALL SELECT DISTINCT 'accepted', (SELECT cells FROM n), '', '' FROM ol WHERE order_status = 'no such status'""")
+def q_csv_ingest_files(spark, sf_dir):
+    """The report of the drop, by layout: state, number of columns, missing and unknown columns."""
+    return _csv_drop(spark, sf_dir).files.select("status", "columns", "missing", "unmapped").distinct()
+
+
+# ============================================================ five recent tables (Q14)
+@register("recent_tables", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS \"table\", CAST(count(*) AS BIGINT) AS rows FROM ({sql}) t{i} "
+    f"WHERE order_date BETWEEN DATE '{RECENT_AS_OF}' - {RECENT_DAYS - 1} AND DATE '{RECENT_AS_OF}'"
+    for i, (name, sql) in enumerate([("master", with_master(f"SELECT {_ALL} FROM master")), ("b01", ORACLES["order_summary"]),
+                                     ("b02", ORACLES["order_details"]), ("b03", ORACLES["order_headers"]),
+                                     ("b04", ORACLES["order_shipping"])])))
+def q_recent_tables(spark, sf_dir):
+    """Q14 over the master and the four marts: recent rows of each."""
+    from ordersmith.operators.windows import union_all
+    from ordersmith.plans.recent import recent_tables
+    m = master(spark, sf_dir)
+    tables = {"master": m, "b01": marts.order_summary(m), "b02": marts.order_details(m), "b03": marts.order_headers(m),
+              "b04": marts.order_shipping(m, TEST_CITY_LABELS)}
+    recent = recent_tables(tables, RECENT_AS_OF, RECENT_DAYS)
+    return union_all([df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit(n).alias("table"), "rows")
+                      for n, df in recent.items()])

@@ -72,7 +72,7 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def rename_path(spark: SparkSession, source: str, target: str) -> None:
-    fs, p = _file_system(spark, source)
-    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
-        raise OSError(f"cannot rename {source} to {target}")
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path."""
+    fs, p = _file_system(spark, path)
+    return int(fs.getContentSummary(p).getLength())

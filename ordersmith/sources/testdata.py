@@ -132,6 +132,11 @@ def _order_master(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
 _RAW_SOURCE = {v: k for k, v in ORDER_EXPORT_HEADERS.items() if k != "金流處理費率"}
 
 
+def raw_source(column: str) -> str:
+    """The export header of a master column."""
+    return _RAW_SOURCE[column]
+
+
 def _text(c: str) -> Column:
     return F.col(c).cast("string")
 

@@ -7,7 +7,8 @@ from ordersmith import registry as R
 from ordersmith.plans import marts
 
 # queries whose construction writes data (a catalog table, a stream's output)
-SIDE_EFFECTS = {"publish_marts", "dropfolder_ingest"}
+SIDE_EFFECTS = {"publish_marts", "dropfolder_ingest", "upsert_stored", "upsert_empty_batch", "upsert_undated_rerun",
+                "orphan_log_two_runs", "csv_ingest_mixed_layouts", "csv_ingest_files"}
 
 
 def physical(df):
