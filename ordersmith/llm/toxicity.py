@@ -183,7 +183,7 @@ def train(label: np.ndarray, rows: np.ndarray, cols: np.ndarray, keys: np.ndarra
     for step in range(1, steps + 1):
         z = np.bincount(rows, w[cols], n) + bias
         err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) / n
-        grad = np.bincount(cols, err[rows], k + 1)
+        grad = np.bincount(cols, err[rows], k + 1).astype(float)
         if len(swaps):
             # w[-1] stays 0: a term outside the vocabulary has no weight
             change = w[swaps[:, 1:]].sum(axis=1) - w[to].sum(axis=1)

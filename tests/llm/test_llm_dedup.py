@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from helpers import docs, near_groups
+from llm_helpers import docs, near_groups
 from ordersmith.llm import near_dedup as nd
 from ordersmith.llm.common import binary_views
 from ordersmith.llm.exact_dedup import drop_exact_duplicates, exact_dedup
