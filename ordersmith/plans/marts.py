@@ -28,9 +28,12 @@ from ordersmith.schema import (CITY_LABELS, DETAIL_COLUMNS, HEADER_COLUMNS, SHIP
 ROW_ORDER = "row_no"
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """Lines with a missing order number as those with an empty one: one group."""
-    return df.withColumn("order_sn", F.coalesce("order_sn", F.lit("")))
+def numbered(df: DataFrame, null_numbers: bool = True) -> DataFrame:
+    """Lines with a missing order number as those with an empty one: one group.
+
+    A table known to hold no null numbers (``write_master_table``) keeps its
+    bucketing with ``null_numbers=False``."""
+    return df.withColumn("order_sn", F.coalesce("order_sn", F.lit(""))) if null_numbers else df
 
 
 def unnumbered_lines(master: DataFrame) -> DataFrame:
@@ -46,10 +49,10 @@ def ordered_join(value: str, order: str = ROW_ORDER, sep: str = ";") -> Column:
     return F.coalesce(F.array_join(F.transform(ordered, lambda s: s["v"]), sep), F.lit(""))
 
 
-def order_summary(master: DataFrame, order: str = ROW_ORDER) -> DataFrame:
+def order_summary(master: DataFrame, order: str = ROW_ORDER, null_numbers: bool = True) -> DataFrame:
     """B01 order summary grouped by ``order_sn``."""
     first = F.min_by(F.struct(*[F.col(c) for c in SUMMARY_FIRST_COLUMNS]), F.col(order))
-    agg = numbered(master).groupBy("order_sn").agg(
+    agg = numbered(master, null_numbers).groupBy("order_sn").agg(
         first.alias("__first"),
         ordered_join("product_name", order).alias("product_name_list"),
         ordered_join("product_sku_main", order).alias("product_sku_main_list"),
@@ -66,17 +69,17 @@ def order_details(master: DataFrame) -> DataFrame:
     return conform(master, DETAIL_COLUMNS)
 
 
-def order_headers(master: DataFrame, order: str = ROW_ORDER) -> DataFrame:
+def order_headers(master: DataFrame, order: str = ROW_ORDER, null_numbers: bool = True) -> DataFrame:
     """Q7: B03, first line of each order number."""
-    df = numbered(conform(master, HEADER_COLUMNS, keep=[order]))
+    df = numbered(conform(master, HEADER_COLUMNS, keep=[order]), null_numbers)
     return first_per_key(df, ["order_sn"], [order]).drop(order)
 
 
 def order_shipping(master: DataFrame, city_labels: Mapping[str, str] = CITY_LABELS,
-                   order: str = ROW_ORDER) -> DataFrame:
+                   order: str = ROW_ORDER, null_numbers: bool = True) -> DataFrame:
     """Q8: B04, first line of each order number with the city label applied
     (unknown spellings are kept as they are)."""
-    df = numbered(conform(master, SHIPPING_COLUMNS, keep=[order]))
+    df = numbered(conform(master, SHIPPING_COLUMNS, keep=[order]), null_numbers)
     df = df.withColumn("recipient_city", map_values("recipient_city", city_labels))
     return first_per_key(df, ["order_sn"], [order]).drop(order)
 

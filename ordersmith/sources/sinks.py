@@ -133,16 +133,21 @@ def record_processed(spark: SparkSession, file_names: DataFrame, ledger_path: st
 
 
 # ------------------------------------------------------- bucketed master table
+def _no_null_numbers(df: DataFrame) -> DataFrame:
+    return df.withColumn("order_sn", F.coalesce("order_sn", F.lit("")))
+
+
 def write_master_table(df: DataFrame, table: str, buckets: int = 64, date_col: str = "order_date") -> None:
     """Store the master as a catalog table partitioned by day and bucketed by
     order number (lines of an order sorted by ``row_no``).
 
     Jobs grouped by ``order_sn`` (B01 summary, B03/B04 first lines) then read
-    each bucket across all days in one task and need no shuffle: the table
-    layout already satisfies the grouping.  Size ``buckets`` so one bucket of
+    each bucket across all days in one task and need no shuffle with
+    ``null_numbers=False``: the table layout already satisfies the grouping, and
+    missing order numbers are stored as ``''``.  Size ``buckets`` so one bucket of
     one day is a few hundred MB at most.
     """
-    (conform(df, MASTER_COLUMNS, keep=["row_no"]).write.mode("overwrite")
+    (_no_null_numbers(conform(df, MASTER_COLUMNS, keep=["row_no"])).write.mode("overwrite")
      .partitionBy(date_col).bucketBy(buckets, "order_sn").sortBy("order_sn", "row_no")
      .saveAsTable(table))
 
@@ -161,7 +166,7 @@ def upsert_into_table(spark: SparkSession, table: str, new: DataFrame, orphan_pa
         before = spark.conf.get(key, "static")
         spark.conf.set(key, "dynamic")
         try:
-            rows.select(*old.columns).write.insertInto(table, overwrite=True)
+            _no_null_numbers(rows).select(*old.columns).write.insertInto(table, overwrite=True)
         finally:
             spark.conf.set(key, before)
     return _upsert(old, new, write, orphan_path, run_id, run_ts, date_col)

@@ -60,7 +60,7 @@ def test_keep_empty_cells(spark, tmp_path):
     p.write_text("a,b,c\n,nan,1\n", encoding="utf-8")
     default = readers.read_order_exports(spark, str(tmp_path)).first()
     kept = readers.read_order_exports(spark, str(tmp_path), keep_empty=True).first()
-    assert (default["a"], default["b"]) == (None, "nan")
+    assert (default["a"], default["b"]) == (None, None)
     assert (kept["a"], kept["b"]) == ("", "nan")
     assert kept["file_name"] == "x_acc_Order.all.1.csv"
 
@@ -79,7 +79,7 @@ def test_bucketed_master_table_needs_no_shuffle_for_marts(spark):
     assert sorted(map(tuple, stored.select(*k).collect())) == sorted(map(tuple, expected.select(*k).collect()))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for df in (marts.order_summary(stored), marts.order_headers(stored)):
+        for df in (marts.order_summary(stored, null_numbers=False), marts.order_headers(stored, null_numbers=False)):
             plan = df._jdf.queryExecution().executedPlan().toString()
             assert "Exchange" not in plan, plan
     finally:
@@ -105,3 +105,47 @@ def test_csv_sink_typed_read_and_ledger(spark, tmp_path):
     assert [r.file_name for r in todo.collect()] == ["b.csv"]
     sinks.record_processed(spark, files.filter("file_name = 'a.csv'"), ledger, "r1")   # re-run: no duplicate
     assert spark.read.parquet(ledger).count() == 1
+
+
+def test_unreadable_master_raises_and_stays(spark, tmp_path):
+    import pytest
+    path = tmp_path / "master"
+    old = R.upsert_old(spark, SF_SMALL)
+    sinks.upsert_into(spark, str(path), old, run_id="load")
+    files = sorted(path.rglob("*.parquet"))
+    for f in files:
+        f.write_bytes(b"not a table")
+    with pytest.raises(Exception):
+        sinks.upsert_into(spark, str(path), R.upsert_new(spark, SF_SMALL), run_id="r1")
+    assert sorted(path.rglob("*.parquet")) == files
+
+
+def test_failed_publish_keeps_the_table(spark):
+    import uuid
+    from ordersmith.plans.publish import publish
+    db = f"ordersmith_{uuid.uuid4().hex[:10]}"
+    good = spark.range(5).toDF("x")
+    assert publish(spark, {"t": good}, db).first().rows == 5
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("x"))
+    r = publish(spark, {"t": bad}, db).first()
+    assert r.status == "failed" and "no" in r.error
+    assert spark.table(f"{db}.t").count() == 5
+    assert publish(spark, {"t": spark.range(7).toDF("x")}, db).first().bytes > 0
+    assert spark.table(f"{db}.t").count() == 7
+
+
+def test_cluster_without_checkpoint_folder_is_an_error():
+    import pytest
+    from types import SimpleNamespace
+    from ordersmith.session import checkpoint_dir
+    no_dir = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d),
+                             sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(no_dir)
+
+
+def test_default_null_cells(spark, tmp_path):
+    p = tmp_path / "x_acc_Order.all.1.csv"
+    p.write_text("a,b,c\nN/A,NULL,Nantes\n", encoding="utf-8")
+    r = readers.read_order_exports(spark, str(tmp_path)).first()
+    assert (r["a"], r["b"], r["c"]) == (None, None, "Nantes")

@@ -12,7 +12,7 @@ from ordersmith.schema import MASTER_COLUMNS
 def test_summary_semantics(spark):
     df = spark.createDataFrame([
         ("A", 2, "p2", "s2", 1, None, None), ("A", 1, "p1", "", 2, 1, "note"), ("A", 3, "", "s3", None, 0, "x"),
-        (None, 1, "q", "t", 1, 0, "n"),
+        (None, 1, "q", "t", 1, 0, "n"), ("", 2, "r", "u", 4, 0, "o"),
     ], "order_sn string, row_no long, product_name string, product_sku_main string, quantity long, "
        "return_quantity long, buyer_note string")
     m = conform(df, MASTER_COLUMNS, keep=["row_no"])
@@ -20,7 +20,10 @@ def test_summary_semantics(spark):
     a = got["A"]
     assert a.product_name_list == "p1;p2" and a.product_sku_main_list == "s2;s3"
     assert a.total_quantity == 3 and a.total_return_quantity == 1 and a.buyer_note == "note"
-    assert got[None].product_name_list == "q"
+    # null and empty order numbers are one group; its lists stay empty, its lines are returned apart
+    assert set(got) == {"A", ""}
+    assert (got[""].product_name_list, got[""].total_quantity, got[""].buyer_note) == ("", 5, "n")
+    assert sorted(r.product_name for r in marts.unnumbered_lines(m).collect()) == ["q", "r"]
 
 
 def test_one_row_per_order(spark):

@@ -96,6 +96,24 @@ def test_shop_alias_lookup(spark):
     assert sorted(got, key=str) == sorted([("B", "acc_b"), ("A", "acc_a"), ("zzz", ""), (None, ""), ("C", None)], key=str)
 
 
+def test_null_account_is_left_alone(spark):
+    shops = spark.createDataFrame([("A", "acc_a", None)], "shop_name string, shop_account string, keywords string")
+    df = spark.createDataFrame([("A", None), ("A", ""), ("A", "own")], "shop_name string, shop_account string")
+    got = [r.shop_account for r in J.fill_shop_account(df, J.shop_alias_table(shops)).collect()]
+    assert sorted(got, key=str) == sorted([None, "acc_a", "own"], key=str)
+
+
+def test_grouped_median_is_exact(spark):
+    import random
+    import statistics
+    from ordersmith.plans.vouchers import grouped_median
+    rng = random.Random(0)
+    rows = [("a", float(rng.choice([1, 2, 5, 1000, 7.5]))) for _ in range(101)] + [("b", 3.0)] * 4 + \
+           [("c", rng.random()) for _ in range(40)] + [("c", None)]
+    got = {r.g: r.m for r in grouped_median(spark.createDataFrame(rows, "g string, v double"), "g", "v", "m").collect()}
+    assert got == {g: statistics.median(v for x, v in rows if x == g and v is not None) for g in "abc"}
+
+
 def _brute_lev(left, right, cutoff):
     def lev(a, b):
         prev = list(range(len(b) + 1))
