@@ -234,12 +234,70 @@ def column_type(name: str) -> T.DataType:
     return T.StringType()
 
 
-def _describe(name: str) -> str:
-    return name.replace("_", " ")
+# What each master column holds (the table's column comments).
+COLUMN_DESCRIPTIONS: dict[str, str] = {
+    "shop_name": "Shop the order was placed at",
+    "shop_account": "Marketplace account of the shop",
+    "processing_date": "Day the line was processed into this table",
+    "order_date": "Order day, read from the order number or the sheet",
+    "order_sn": "Order number given by the marketplace",
+    "order_status": "State of the order at the time of export",
+    "cancellation_reason": "Why the order was cancelled, if it was",
+    "return_refund_status": "State of a return or refund, if there is one",
+    "buyer_username": "Buyer's account name",
+    "order_creation_timestamp": "Wall-clock time the order was created",
+    "product_total_price": "Price of all products of the order",
+    "buyer_paid_shipping_fee": "Shipping paid by the buyer",
+    "shopee_shipping_subsidy": "Shipping paid by the marketplace",
+    "return_shipping_fee": "Shipping of a return",
+    "total_amount_paid_by_buyer": "Everything the buyer paid for the order (repeated on each line)",
+    "shopee_subsidy_amount": "Discount paid by the marketplace",
+    "shopee_coin_offset": "Part paid with marketplace coins",
+    "credit_card_promotion_discount": "Discount of a card promotion",
+    "voucher_code": "Code of the voucher used",
+    "seller_voucher": "Discount of the seller's voucher",
+    "seller_coin_cashback_voucher": "Coins given back by the seller's voucher",
+    "voucher": "Discount of the marketplace's voucher",
+    "transaction_fee": "Fee per transaction charged to the seller",
+    "other_service_fee": "Other service fees charged to the seller",
+    "payment_processing_fee": "Payment and system fee charged to the seller",
+    "installment_plan_periods": "Number of instalments",
+    "payment_processing_fee_rate": "Payment fee as a fraction (0.02 is 2 %)",
+    "transaction_fee_rule_name": "Name of the fee rule applied",
+    "product_name": "Name of the line's product",
+    "product_variation": "Chosen variation of the product",
+    "product_original_price": "List price of the product",
+    "product_campaign_price": "Price of the product in the campaign",
+    "product_sku_main": "Seller's number of the product",
+    "product_sku_variation": "Seller's number of the variation",
+    "quantity": "Pieces ordered",
+    "return_quantity": "Pieces returned",
+    "promo_bundle_indicator": "Whether the line belongs to a bundle",
+    "promo_bundle_discount_label": "Label of the bundle's discount",
+    "recipient_address": "Delivery address",
+    "recipient_phone": "Recipient's phone number",
+    "shopee_hotline_and_tracking_code": "Contact number and code for the carrier",
+    "pickup_store_id": "Number of the pick-up store",
+    "recipient_city": "Delivery city",
+    "recipient_district": "Delivery district",
+    "recipient_postal_code": "Delivery postal code",
+    "recipient_name": "Recipient's name",
+    "shipping_method": "Delivery method chosen by the buyer",
+    "shipping_provider": "Carrier",
+    "days_to_ship": "Days the seller has to ship",
+    "payment_method": "How the buyer paid",
+    "ship_by_date": "Last day to ship",
+    "tracking_number": "Parcel number",
+    "buyer_payment_timestamp": "Wall-clock time of the payment",
+    "actual_shipping_timestamp": "Wall-clock time of shipping",
+    "order_completion_timestamp": "Wall-clock time the order was completed",
+    "buyer_note": "Buyer's note",
+    "seller_note": "Seller's note",
+}
 
 
 MASTER_SCHEMA = T.StructType([
-    T.StructField(c, column_type(c), True, {"comment": _describe(c)}) for c in MASTER_COLUMNS
+    T.StructField(c, column_type(c), True, {"comment": COLUMN_DESCRIPTIONS[c]}) for c in MASTER_COLUMNS
 ])
 
 ORPHAN_SCHEMA = T.StructType(
