@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordersmith.llm.common import binary_views, doc_slices, fold, list_array, stage, text_bytes
+from ordersmith.llm.common import SLICE_BYTES, binary_views, doc_slices, fold, list_array, stage, text_bytes
 from ordersmith.llm.labelled import labelled_sample
 from ordersmith.llm.words import shingles, word_spans
 
@@ -58,7 +58,8 @@ def statistics(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     size = np.diff(offsets).astype(float)
     kinds = np.zeros((n, _KINDS))
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-        kinds[i] = np.bincount(_KIND[values[a:b]], minlength=_KINDS)
+        for c in range(a, b, SLICE_BYTES):
+            kinds[i] += np.bincount(_KIND[values[c: min(c + SLICE_BYTES, b)]], minlength=_KINDS)
     words, _, length, off = word_spans(values, offsets)
     n_words = np.diff(off)
     has = np.maximum(n_words, 1)
