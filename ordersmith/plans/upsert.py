@@ -96,10 +96,11 @@ OUTCOME = "__outcome"
 
 
 def with_outcome(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY,
-                 span: NewSpan | None = None) -> DataFrame:
+                 span: NewSpan | None = None, affected_only: bool = False) -> DataFrame:
     """Old lines with ``__outcome``: kept_outside_span, replaced or orphaned.
 
-    Lines that cannot change take no part in the join."""
+    Lines that cannot change take no part in the join; with ``affected_only``
+    they are left out, so the old side is read once."""
     span = span or new_date_span(new, keys[0])
     touched = may_change(span, keys[0])
     nk = _new_keys(new, keys).withColumn("__hit", F.lit(True))
@@ -108,6 +109,8 @@ def with_outcome(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY
                 .when(in_span(span, keys[0]), "orphaned").otherwise("kept_outside_span"))
     joined = inside.join(nk, key_condition(inside, nk, _K), "left").select(
         *[inside[c] for c in old.columns], outcome.alias(OUTCOME))
+    if affected_only:
+        return joined
     return union_all([old.filter(~touched).withColumn(OUTCOME, F.lit("kept_outside_span")), joined])
 
 

@@ -23,8 +23,7 @@ from pyspark.sql import types as T
 
 from ordersmith.operators.projections import conform
 from ordersmith.operators.windows import union_all
-from ordersmith.plans.upsert import (OUTCOME, may_change, new_date_span, orphan_rows, outcome_statistics,
-                                     with_outcome)
+from ordersmith.plans.upsert import OUTCOME, new_date_span, orphan_rows, outcome_statistics, with_outcome
 from ordersmith.schema import MASTER_COLUMNS, MASTER_SCHEMA
 from ordersmith.session import path_exists, remove_path, shared_path
 
@@ -77,9 +76,8 @@ def _upsert(old: DataFrame, new: DataFrame, write, orphan_path: str | None, run_
     if span.empty:
         remove_path(spark, staged)
         return UpsertOutcome([], 0)
-    affected = old.filter(may_change(span, date_col))
     columns = [c for c in STORED_SCHEMA.names if c in old.columns]
-    with_outcome(affected.select(*columns), batch, span=span).write.parquet(f"{staged}/old")
+    with_outcome(old.select(*columns), batch, span=span, affected_only=True).write.parquet(f"{staged}/old")
     outcomes = spark.read.parquet(f"{staged}/old")
     stats = [(r["action"], r["orders"], r["lines"])
              for r in outcome_statistics(outcomes, batch).orderBy("action").collect()]    # four outcomes

@@ -48,3 +48,22 @@ def test_stored_upsert_reads_only_the_batch_days(no_aqe, tmp_path):
     plan = physical(U.upsert_orders(affected, new, span=span))
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "order_date" in ln]
     assert scan and all("PartitionFilters: [isnotnull(order_date" in ln for ln in scan), scan
+
+
+def test_stored_upsert_reads_and_shuffles_each_side_once(no_aqe, tmp_path):
+    from ordersmith.plans import upsert as U
+    from ordersmith.sources import sinks
+    master, batch = str(tmp_path / "master"), str(tmp_path / "batch")
+    sinks.upsert_into(no_aqe, master, R.upsert_old(no_aqe, SF_SMALL), run_id="load")
+    sinks.upsert_into(no_aqe, batch, R.upsert_new(no_aqe, SF_SMALL), run_id="load")
+    new = sinks.read_master(no_aqe, batch)
+    limit = no_aqe.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    no_aqe.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(U.with_outcome(sinks.read_master(no_aqe, master), new, span=U.new_date_span(new), affected_only=True))
+    finally:
+        no_aqe.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+    # old lines move once; of the batch only its keys move, to be made distinct and then to the null-safe join
+    assert len(scans) == 2 and plan.count("Exchange hashpartitioning") == 3, plan
+    assert sum("PartitionFilters: [isnotnull(order_date" in ln for ln in scans) == 1, scans
