@@ -83,8 +83,10 @@ def in_span(span: NewSpan, date_col: str) -> Column:
 
 
 def may_change(span: NewSpan, date_col: str) -> Column:
-    """Whether an old line can be replaced or orphaned: dated in the span, or undated if the batch has undated lines."""
-    dated = in_span(span, date_col)
+    """Filter for old lines that can be replaced or orphaned: dated in the span, or undated if the batch has undated
+    lines (a plain range, so that it prunes partitions; null where it doesn't hold for want of a date)."""
+    dated = in_span(span, date_col) if span.empty or span.global_mode else F.col(date_col).between(
+        F.lit(span.lo), F.lit(span.hi))
     return dated | F.col(date_col).isNull() if span.undated else dated
 
 
@@ -111,7 +113,7 @@ def with_outcome(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY
         *[inside[c] for c in old.columns], outcome.alias(OUTCOME))
     if affected_only:
         return joined
-    return union_all([old.filter(~touched).withColumn(OUTCOME, F.lit("kept_outside_span")), joined])
+    return union_all([old.filter(~F.coalesce(touched, F.lit(False))).withColumn(OUTCOME, F.lit("kept_outside_span")), joined])
 
 
 def upsert_orders(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY,

@@ -65,6 +65,12 @@ def _stored_batch(new: DataFrame) -> DataFrame:
     return batch if "row_no" in batch.columns else batch.withColumn("row_no", F.lit(None).cast("long"))
 
 
+def _by_day(rows: DataFrame, date_col: str) -> DataFrame:
+    """Lines brought together by day before a partitioned write, else every task writes a file for every day.
+    Rebalancing splits a large day over several tasks and joins small ones."""
+    return rows.hint("rebalance", date_col)
+
+
 def _upsert(old: DataFrame, new: DataFrame, write, orphan_path: str | None, run_id: str, run_ts: str | None,
             date_col: str) -> UpsertOutcome:
     """One batch against the stored lines ``old``; ``write(rows)`` replaces the partitions that ``rows`` has."""
@@ -105,11 +111,11 @@ def upsert_into(spark: SparkSession, master_path: str, new: DataFrame, orphan_pa
     """
     if not path_exists(spark, master_path):
         batch = _stored_batch(new)
-        batch.write.partitionBy(date_col).parquet(master_path)        # fails if one has appeared meanwhile
+        _by_day(batch, date_col).write.partitionBy(date_col).parquet(master_path)   # fails if one has appeared meanwhile
         return UpsertOutcome([], 0)
 
     def write(rows: DataFrame) -> None:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (_by_day(rows, date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(date_col).parquet(master_path))
     return _upsert(read_master(spark, master_path), new, write, orphan_path, run_id, run_ts, date_col)
 
