@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # a listing of day partitions is a few tasks, not one a folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
 }
 
 

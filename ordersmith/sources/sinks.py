@@ -27,6 +27,8 @@ from ordersmith.plans.upsert import OUTCOME, new_date_span, orphan_rows, outcome
 from ordersmith.schema import MASTER_COLUMNS, MASTER_SCHEMA
 from ordersmith.session import path_exists, remove_path, shared_path
 
+#: Lines that one file of a day holds before the day is split.
+LINES_PER_FILE = 2_000_000
 STORED_SCHEMA = T.StructType(MASTER_SCHEMA.fields + [T.StructField("row_no", T.LongType())])
 
 
@@ -67,8 +69,16 @@ def _stored_batch(new: DataFrame) -> DataFrame:
 
 def _by_day(rows: DataFrame, date_col: str) -> DataFrame:
     """Lines brought together by day before a partitioned write, else every task writes a file for every day.
-    Rebalancing splits a large day over several tasks and joins small ones."""
-    return rows.hint("rebalance", date_col)
+
+    A day of more than ``LINES_PER_FILE`` lines is dealt over as many tasks as it
+    takes files. The counts, one row a day, are broadcast."""
+    spark = rows.sparkSession
+    per_day = rows.groupBy(F.col(date_col).alias("__day")).agg(
+        F.ceil(F.count(F.lit(1)) / LINES_PER_FILE).alias("__files"))
+    dealt = rows.join(F.broadcast(per_day), F.col(date_col).eqNullSafe(F.col("__day")))
+    part = F.pmod(F.xxhash64("order_sn", "row_no"), F.col("__files"))
+    return (dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col(date_col), part)
+            .select(*rows.columns))
 
 
 def _upsert(old: DataFrame, new: DataFrame, write, orphan_path: str | None, run_id: str, run_ts: str | None,
