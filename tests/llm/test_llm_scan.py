@@ -127,6 +127,34 @@ def test_packing_round_trip(spark):
     assert pk.pack(docs(spark, [])).count() == 0
 
 
+def test_packing_of_long_white_space(spark):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    rows = [(1, " " * 1_200_000 + "x"), (2, "\n" * 1_200_000), (3, "<|endoftext|> ½ 漢字" + " " * 1_200_000 + "x'll"),
+            (4, "plain"), (5, "a" + "\t \n" * 400_000 + "b")]
+    parts = {}
+    for r in sorted(pk.pack(docs(spark, rows)).collect(), key=lambda r: (r.doc_id, r.piece)):
+        parts.setdefault(r.doc_id, []).append(r.ids)
+    for i, x in rows:
+        got = np.frombuffer(b"".join(parts[i]), "<u4").tolist()
+        assert got == t.encode(x, add_special_tokens=False).ids + [0]
+
+
+def test_unlimited_tokenizer_is_the_same_vocabulary():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    mine = pk.unlimited_tokenizer(pk.vocabulary_path())
+    rng = random.Random(7)
+    for _ in range(300):
+        x = "".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0xD000), 10, 32])) for _ in range(200))
+        want = t.encode(x, add_special_tokens=False).ids
+        assert mine.encode(x, add_special_tokens=False).ids == want == pk.token_ids(x, pk.vocabulary_path()).tolist()
+
+
 def test_fullest_is_optimal():
     rng = random.Random(8)
     for _ in range(200):
