@@ -372,7 +372,7 @@ _SHEET_PLATFORMS = TEST_PLATFORMS
 
 
 def _sheet_inputs(spark, sf_dir):
-    raw = td.raw_sheet_export(spark, sf_dir)
+    raw = td.raw_sheet_export(spark, sf_dir, td.SHEET_FROM)
     aliases = shop_alias_table(td.shop_aliases(spark, sf_dir))
     old = master(spark, sf_dir).filter(F.col("order_date") < F.lit("1998-07-01").cast("date"))
     old_special = old.filter(F.col("shop_name").isin(_SHEET_PLATFORMS))
@@ -614,9 +614,23 @@ SELECT order_sn, order_date FROM sheet
 WHERE TRY_CAST(trim(order_date) AS DATE) IS NULL AND try_strptime(trim(order_date), '%Y/%m/%d') IS NULL
   AND try_strptime(trim(order_date), '%Y%m%d') IS NULL AND try_strptime(trim(order_date), '%m/%d/%Y') IS NULL""")
 def q_invalid_dates(spark, sf_dir):
-    raw = td.raw_sheet_export(spark, sf_dir)
-    df = raw.select(F.col("訂單編號(從這邊貼上)").alias("order_sn"), F.col("訂單日期").alias("order_date"))
-    return AU.invalid_dates(df)
+    return _invalid_dates(td.raw_sheet_export(spark, sf_dir, td.SHEET_FROM))
+
+
+def _invalid_dates(raw):
+    return AU.invalid_dates(
+        raw.select(F.col("訂單編號(從這邊貼上)").alias("order_sn"), F.col("訂單日期").alias("order_date")))
+
+
+@register("invalid_dates_all", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+sheet AS (SELECT ol.order_sn, CASE WHEN ol.order_status = 'P' THEN '-' ELSE CAST(ol.order_date AS VARCHAR) END AS order_date
+          FROM ol)
+SELECT order_sn, order_date FROM sheet
+WHERE TRY_CAST(trim(order_date) AS DATE) IS NULL AND try_strptime(trim(order_date), '%Y/%m/%d') IS NULL
+  AND try_strptime(trim(order_date), '%Y%m%d') IS NULL AND try_strptime(trim(order_date), '%m/%d/%Y') IS NULL""")
+def q_invalid_dates_all(spark, sf_dir):
+    """The same audit over all orders, whatever their day."""
+    return _invalid_dates(td.raw_sheet_export(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ profile (Q16)

@@ -9,9 +9,11 @@ query and its oracle see the same rows:
 * shop         = the customer's nation; buyer = customer name
 * product      = part name / brand / type; line order ``row_no`` per order
 
-Every derived input below reads whole tables. The upsert's old and new
-snapshots, and the sheet and its old master, are split by order date and
-status; together each two hold every line.
+The upsert's old and new snapshots, and the sheet and its old master, are
+split by order date and status; together each two hold every line. The sheet
+of ``invalid_dates`` begins at ``SHEET_FROM`` too, as its SQL does;
+``invalid_dates_all`` looks at all orders. Every other input below reads whole
+tables.
 """
 
 from __future__ import annotations
@@ -198,14 +200,16 @@ def title_first(c: str) -> Column:
     return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(F.col(c), F.lit(2))))
 
 
-def raw_sheet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders from ``SHEET_FROM`` on as a spreadsheet export (text cells, sheet headers).
+def raw_sheet_export(spark: SparkSession, sf_dir: str, start: str | None = None) -> DataFrame:
+    """Orders from the day ``start`` on (all if None) as a spreadsheet export (text cells, sheet headers).
 
     Shops are written by their alias (``Nation_7`` style) for building-segment
     buyers and by canonical name otherwise; pending orders have ``'-'`` as
     their day; money is plain text and the sheet carries its helper columns.
     """
-    ol = order_lines(spark, sf_dir).filter(F.col("order_date") >= F.lit(SHEET_FROM).cast("date"))
+    ol = order_lines(spark, sf_dir)
+    if start is not None:
+        ol = ol.filter(F.col("order_date") >= F.lit(start).cast("date"))
     c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("buyer_username"), "c_mktsegment")
     ol = ol.join(c, "buyer_username")
     shop = F.when(F.col("c_mktsegment") == "BUILDING", title_first("shop_name")).otherwise(F.col("shop_name"))

@@ -5,12 +5,15 @@ import difflib
 
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from ordersmith import registry
 from ordersmith.operators import aggregates as A
 from ordersmith.operators import joins as J
 from ordersmith.operators import projections as P
 from ordersmith.operators import windows as W
 from ordersmith.operators.filters import split_by_membership
 from ordersmith.schema import VOUCHER_BIN_EDGES
+from ordersmith.sources import testdata as td
 
 
 def test_split_partitions_input(spark):
@@ -179,3 +182,10 @@ def test_unmapped_and_required_columns(spark):
     P.require_columns(df, ["訂單編號"])
     with pytest.raises(P.MissingColumnsError, match="x"):
         P.require_columns(df, ["訂單編號", "x"])
+
+
+def test_invalid_dates_all_has_every_pending_order(spark):
+    found = {r.order_sn for r in registry.QUERIES["invalid_dates_all"](spark, SF_SMALL).collect()}
+    pending = td.order_lines(spark, SF_SMALL).filter("order_status = 'P'")
+    assert found == {r.order_sn for r in pending.select("order_sn").collect()}
+    assert pending.filter("order_date < '1998-01-01'").count() > 0
