@@ -4,8 +4,8 @@ A text is the set of its words and of their first three to six bytes. Features
 whose frequency differs between the labels by five standard errors or more are
 the vocabulary of a logistic regression. Every labelled text that names a group
 of people gets counterfactuals in which the identity term is swapped for the
-other terms of its kind and for a neutral one; the squared change of the score
-is part of the loss, so that naming a group neither raises nor lowers it.
+other terms of its kind and for a neutral one; the squared change of the text's
+own score (its log odds) is part of the loss, so that naming a group neither raises nor lowers it.
 
 Scale: fitting reads a bounded sample (``max_train`` labelled rows) and a
 bounded vocabulary; features are counted in the tasks before they are shuffled.
@@ -14,6 +14,7 @@ Scoring is one pass without a shuffle.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -117,7 +118,7 @@ class Model:
 
 
 def _known(keys: np.ndarray, bitmap: np.ndarray, arr: pa.Array):
-    """(texts of the slice, text numbers, vocabulary numbers), each pair once, slice by slice."""
+    """(texts of the slice, text numbers, vocabulary numbers, in how many places), each pair once, slice by slice."""
     values, offsets = binary_views(arr)
     for i, j in doc_slices(offsets, 1 << 20):
         doc, h = _features(values, offsets[i: j + 1])
@@ -125,59 +126,67 @@ def _known(keys: np.ndarray, bitmap: np.ndarray, arr: pa.Array):
         doc, h = doc[maybe], h[maybe]
         at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
         hit = keys[at] == h if len(keys) else np.zeros(len(h), bool)
-        pair = np.unique(doc[hit].astype(np.int64) * max(len(keys), 1) + at[hit])
-        yield j - i, pair // max(len(keys), 1), pair % max(len(keys), 1)
+        pair, times = np.unique(doc[hit].astype(np.int64) * max(len(keys), 1) + at[hit], return_counts=True)
+        yield j - i, pair // max(len(keys), 1), pair % max(len(keys), 1), times
 
 
 def _scores(m: Model):
     bitmap = m.bitmap()
 
     def scores(arr: pa.Array) -> pa.Array:
-        out = [np.bincount(d, m.weights[v], n) for n, d, v in _known(m.keys, bitmap, arr)]
+        out = [np.bincount(d, m.weights[v], n) for n, d, v, _ in _known(m.keys, bitmap, arr)]
         z = (np.concatenate(out) if out else np.zeros(0)) + m.bias
         return pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))
     return scores
 
 
-def counterfactuals(rows: np.ndarray, cols: np.ndarray, keys: np.ndarray,
+def counterfactuals(rows: np.ndarray, cols: np.ndarray, counts: np.ndarray, keys: np.ndarray,
                     terms: dict[str, tuple[str, ...]]) -> tuple[np.ndarray, np.ndarray]:
-    """Vocabulary numbers (from, to) of every swap of an identity term in the texts; -1 stands for no feature.
+    """The swaps of every identity term in every text: (number of texts, features lost) and features gained.
 
-    A swap changes the word's own feature and those of its beginnings.
+    Text ``rows`` has feature ``cols`` in ``counts`` places. All places of the
+    term are swapped: it takes along those of its features that no other word of
+    the text has, and the other term adds those that the text then hasn't. Texts
+    in which the same changes are one row; -1 stands for no feature.
     """
     place = {int(k): i for i, k in enumerate(keys)}
 
     def own(term: str) -> list[int]:
         raw = np.frombuffer(term.encode(), np.uint8)
         _, h = _features(raw, np.array([0, len(raw)]))
-        return [place.get(int(x), -1) for x in h]
-    present = np.bincount(cols, minlength=len(keys))
-    old, new = [], []
-    for kind in terms.values():
-        feats = {t: own(t) for t in kind}
-        for t in kind:
-            if feats[t][0] < 0 or not present[feats[t][0]]:
-                continue
-            for other in kind:
-                if other != t:
-                    times = int(present[feats[t][0]])
-                    old.append((times, feats[t]))
-                    new.append(feats[other])
+        return [place[int(x)] for x in h if int(x) in place]
+    feats = [{t: own(t) for t in kind} for kind in terms.values()]
+    word = {t: place.get(word_hash(t), -1) for kind in terms.values() for t in kind}
+    near = np.isin(cols, [f for kind in feats for fs in kind.values() for f in fs])
+    texts: dict[int, list[tuple[int, int]]] = {}
+    for r, f, n in zip(rows[near].tolist(), cols[near].tolist(), counts[near].tolist()):
+        texts.setdefault(r, []).append((f, n))
+    swaps: Counter = Counter()
+    for text, n in Counter(tuple(sorted(fs)) for fs in texts.values()).items():
+        has = dict(text)
+        for kind in feats:
+            for t in (t for t in kind if word[t] in has):
+                lost = {f for f in kind[t] if has[f] == has[word[t]]}
+                for other in kind.keys() - {t}:
+                    gained = {f for f in kind[other] if f not in has or f in lost}
+                    swaps[tuple(sorted(lost - gained)), tuple(sorted(gained - lost))] += n
     width = 1 + len(PREFIXES)
-    pad = lambda xs: (xs + [-1] * width)[:width]
-    a = np.array([[n, *pad(f)] for n, f in old], np.int64).reshape(-1, width + 1)
-    b = np.array([pad(f) for f in new], np.int64).reshape(-1, width)
+    pad = lambda xs: (*xs, *[-1] * (width - len(xs)))
+    found = sorted(swaps.items())
+    a = np.array([[n, *pad(lost)] for (lost, _), n in found], np.int64).reshape(-1, width + 1)
+    b = np.array([pad(gained) for (_, gained), _ in found], np.int64).reshape(-1, width)
     return a, b
 
 
-def train(label: np.ndarray, rows: np.ndarray, cols: np.ndarray, keys: np.ndarray,
+def train(label: np.ndarray, rows: np.ndarray, cols: np.ndarray, counts: np.ndarray, keys: np.ndarray,
           terms: dict[str, tuple[str, ...]], counterfactual: float = COUNTERFACTUAL, ridge: float = RIDGE,
           steps: int = 500, rate: float = 0.1) -> Model:
-    """Logistic regression on feature sets (text ``rows`` has feature ``cols``) with the swap penalty, by Adam."""
+    """Logistic regression on feature sets (text ``rows`` has feature ``cols``, in ``counts`` places) with the swap
+    penalty, by Adam."""
     n, k = len(label), len(keys)
     w, p = np.zeros(k + 1), float(np.clip(label.mean(), 1e-3, 1 - 1e-3))
     bias = np.log(p / (1 - p))
-    swaps, to = counterfactuals(rows, cols, keys, terms)
+    swaps, to = counterfactuals(rows, cols, counts, keys, terms)
     total = max(int(swaps[:, 0].sum()), 1) if len(swaps) else 1
     first, second = np.zeros(k + 2), np.zeros(k + 2)
     for step in range(1, steps + 1):
@@ -227,16 +236,20 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     bitmap = Model(keys, keys, 0.0).bitmap()
 
     def found(t: pa.Array) -> pa.Array:
-        lists = [np.bincount(d, minlength=n) for n, d, _ in _known(keys, bitmap, t)]
-        flat = [v for _, _, v in _known(keys, bitmap, t)]
+        known = list(_known(keys, bitmap, t))
         none = np.zeros(0, np.int64)
-        return list_array(np.concatenate(flat or [none]).astype(np.int32), np.concatenate(lists or [none]), pa.int32())
-    rows = (sample.select("label", F.arrow_udf(found, "array<int>")("text").alias("f"), F.xxhash64("doc_id").alias("o"))
-            .orderBy("o", "label").select("label", "f").toArrow())          # at most 2 * max_train rows
+        sizes = np.concatenate([np.bincount(d, minlength=n) for n, d, _, _ in known] or [none])
+        return pa.StructArray.from_arrays(
+            [list_array(np.concatenate([x[k] for x in known] or [none]).astype(np.int32), sizes, pa.int32())
+             for k in (2, 3)], names=["f", "n"])
+    rows = (sample.select("label", F.arrow_udf(found, "f array<int>, n array<int>")("text").alias("known"),
+                          F.xxhash64("doc_id").alias("o"))
+            .orderBy("o", "label").select("label", "known.f", "known.n").toArrow())          # at most 2 * max_train rows
     sets = rows.column("f").combine_chunks()
     width = np.diff(np.asarray(sets.offsets))
     return train(rows.column("label").to_numpy().astype(float), np.repeat(np.arange(len(width)), width),
-                 sets.flatten().to_numpy().astype(np.int64), keys, terms, counterfactual)
+                 sets.flatten().to_numpy().astype(np.int64),
+                 rows.column("n").combine_chunks().flatten().to_numpy().astype(np.int64), keys, terms, counterfactual)
 
 
 def toxicity_score(model: Model | None, text_col: str = "text") -> Column:

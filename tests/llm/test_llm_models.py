@@ -155,6 +155,33 @@ def test_identity_terms_do_not_change_the_score(spark):
     assert spread < np.ptp([np.log(plain[1000 + j] / (1 - plain[1000 + j])) for j in range(4)]) / 2
 
 
+def test_counterfactuals_are_the_swapped_texts():
+    terms = {"faith": ("believers", "muslims", "muslim"), "gender": ("women", "men")}
+    texts = ["muslim and muslims", "muslims muslims here", "the muslims and believers", "women", "no term", "men women"]
+
+    def features(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return to._features(raw, np.array([0, len(raw)]))[1]
+    keys = np.unique(np.concatenate([features(" ".join([*texts, *terms["faith"], *terms["gender"]]))]))
+    w = np.random.default_rng(0).normal(size=len(keys) + 1)
+    w[-1] = 0
+    rows, cols, counts = [], [], []
+    for i, x in enumerate(texts):
+        f, n = np.unique(np.searchsorted(keys, features(x)), return_counts=True)
+        rows += [i] * len(f)
+        cols += f.tolist()
+        counts += n.tolist()
+    z = lambda x: w[np.unique(np.searchsorted(keys, features(x)))].sum()
+    want = []
+    for x in texts:
+        for kind in terms.values():
+            for t in set(x.split()) & set(kind):
+                want += [z(x) - z(" ".join(o if y == t else y for y in x.split())) for o in kind if o != t]
+    a, b = to.counterfactuals(np.array(rows), np.array(cols), np.array(counts), keys, terms)
+    got = np.repeat(w[a[:, 1:]].sum(axis=1) - w[b].sum(axis=1), a[:, 0])
+    assert np.allclose(np.sort(got), np.sort(want))
+
+
 def test_toxicity_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, None, 1), (None, 1, None), (4, 1, 0)],
                                    "doc_id long, quality int, toxic int")
