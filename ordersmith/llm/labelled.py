@@ -14,7 +14,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: C
 
     ``learn`` picks the ids that may be learned from. If more are labelled,
     those with the smallest hashes of their id are taken. The sample's ids and
-    labels, at most twice ``max_rows`` rows, are broadcast to the texts.
+    labels, at most twice ``max_rows`` rows, are broadcast to the texts; an id
+    that several documents have brings all of them.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn)

@@ -213,9 +213,11 @@ def train(label: np.ndarray, rows: np.ndarray, cols: np.ndarray, counts: np.ndar
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
         max_train: int = MAX_TRAIN, terms: dict[str, tuple[str, ...]] = IDENTITY_TERMS,
         counterfactual: float = COUNTERFACTUAL) -> Model | None:
-    """Learn from labelled rows whose fold isn't 0; None if there are none."""
-    sample = stage(labelled_sample(docs, labels, label_col, fold("doc_id", FOLDS) != 0, max_train, id_col, text_col),
-                   "toxic-train")
+    """Learn from labelled rows whose fold isn't 0; None if there are none.
+
+    Rows of one id and label count once; of several texts the smallest is taken."""
+    sample = labelled_sample(docs, labels, label_col, fold("doc_id", FOLDS) != 0, max_train, id_col, text_col)
+    sample = stage(sample.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "toxic-train")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 + n1:

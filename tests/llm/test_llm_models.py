@@ -182,6 +182,17 @@ def test_counterfactuals_are_the_swapped_texts():
     assert np.allclose(np.sort(got), np.sort(want))
 
 
+def test_toxicity_repeated_documents_count_once(spark, monkeypatch):
+    rows = [(i, f"{'idiots trash' if i % 2 else 'home early'} word{i % 7}") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    sizes, plain = [], to.train
+    monkeypatch.setattr(to, "train", lambda label, *a, **b: sizes.append(len(label)) or plain(label, *a, **b))
+    once = to.fit(docs(spark, rows), labels)
+    hot = to.fit(docs(spark, rows + [r for r in rows if r[0] < 10] * 50), labels)
+    assert sizes[0] == sizes[1] <= 200
+    assert (once.keys == hot.keys).all() and np.allclose(once.weights, hot.weights)
+
+
 def test_toxicity_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, None, 1), (None, 1, None), (4, 1, 0)],
                                    "doc_id long, quality int, toxic int")
