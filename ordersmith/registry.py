@@ -993,6 +993,11 @@ SELECT order_sn, first(order_date ORDER BY row_no) AS order_date,
 FROM master GROUP BY order_sn""")
 def q_order_summary_blank_numbers(spark, sf_dir):
     """Pending lines have a null or an empty order number: one group, without lists."""
+    m = _blank_numbers(spark, sf_dir)
+    return marts.order_summary(m).select("order_sn", "order_date", "product_name_list", "total_quantity")
+
+
+def _blank_numbers(spark, sf_dir):
     from pyspark.sql import Window
     m = master(spark, sf_dir)
     # one numbering over all lines, from per-order counts, so that the first blank line is the same everywhere
@@ -1008,8 +1013,20 @@ def q_order_summary_blank_numbers(spark, sf_dir):
         "order_sn", (F.col("before") + F.col("inside")).alias("start"))
     m = m.join(start, "order_sn").withColumn("row_no", F.col("start") + F.col("row_no")).drop("start")
     blank = F.when(F.col("return_quantity") > 0, F.lit("")).otherwise(F.lit(None).cast("string"))
-    m = m.withColumn("order_sn", F.when(F.col("order_status") == "P", blank).otherwise(F.col("order_sn")))
-    return marts.order_summary(m).select("order_sn", "order_date", "product_name_list", "total_quantity")
+    return m.withColumn("order_sn", F.when(F.col("order_status") == "P", blank).otherwise(F.col("order_sn")))
+
+
+@register("unnumbered_lines", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+m0 AS ({master_select_sql(AS_OF)}),
+master AS (SELECT * REPLACE (CASE WHEN order_status = 'P' THEN '' ELSE order_sn END AS order_sn,
+             row_number() OVER (ORDER BY order_sn, row_no) AS row_no) FROM m0)
+SELECT row_no, order_date, shop_name, buyer_username, product_name, product_sku_main, quantity, return_quantity
+FROM master WHERE order_sn = '' ORDER BY row_no""")
+def q_unnumbered_lines(spark, sf_dir):
+    """The lines whose lists ``order_summary_blank_numbers`` leaves out."""
+    return marts.unnumbered_lines(_blank_numbers(spark, sf_dir)).select(
+        "row_no", "order_date", "shop_name", "buyer_username", "product_name", "product_sku_main", "quantity",
+        "return_quantity").orderBy("row_no")
 
 
 @register("date_gaps_text", with_master(f"""
