@@ -8,8 +8,10 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordersmith.llm import byte_bpe, whitening
 from ordersmith.llm.decontamination import contamination
 from ordersmith.llm.exact_dedup import exact_dedup
+from ordersmith.llm.fill_in_middle import fill_in_middle, restore
 from ordersmith.llm.language import predict as predict_language
 from ordersmith.llm.near_dedup import near_dedup
 from ordersmith.llm.packing import pack
@@ -145,4 +147,50 @@ def op10(spark, sf_dir):
         F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register("op11_whitening")
+def op11(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    rows = whitening.transform(vectors, model)
+    error = whitening.identity_error(rows, model)
+    explained = F.lit([float(e) for e in model.explained] or [0.0])
+    # a deviation beyond a long, which the operator gives as a decimal, is null here
+    return rows.select("vec_id", F.expr("try_cast(deviation as bigint)").alias("deviation"),
+                       F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
+_DRAW = "CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), {}, 8) AS BIGINT)"
+_UNITS = "array_to_string(u[{}:{}], '')"
+
+
+@register("op12_fill_in_middle", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                  {", ".join(f"{_DRAW.format(1 + 8 * i)} AS h{i + 1}" for i in range(4))} FROM documents),
+c AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+             greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, n, form, t, {_UNITS.format(1, 'a')} AS prefix, {_UNITS.format('a + 1', 'b')} AS middle,
+             {_UNITS.format('b + 1', 'n')} AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p""")
+def op12(spark, sf_dir):
+    done = fill_in_middle(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restore(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
+@register("op13_byte_bpe")
+def op13(spark, sf_dir):
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"))
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2(byte_bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
