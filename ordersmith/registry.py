@@ -923,6 +923,45 @@ def q_upsert_stored(spark, sf_dir):
     return sinks.read_master(spark, f"{run}/master")
 
 
+# A small daily batch: every 50th order number of the new export.
+_SPARSE_CTE = _UPSERT_CTE.replace("new AS (SELECT * FROM m_new WHERE",
+                                  "new AS (SELECT * FROM m_new WHERE CAST(substr(order_sn, 7) AS BIGINT) % 50 = 0 AND")
+assert _SPARSE_CTE != _UPSERT_CTE
+
+
+def _sparse_batch(spark, sf_dir):
+    return upsert_new(spark, sf_dir).filter(F.substr("order_sn", F.lit(7)).cast("bigint") % 50 == 0)
+
+
+def _upsert_sparse(spark, sf_dir, drop_orphans: bool) -> str:
+    run = _fresh_folder(spark, "sparse")
+    sinks.upsert_into(spark, f"{run}/master", upsert_old(spark, sf_dir), run_id="load")
+    for _ in range(2):
+        sinks.upsert_into(spark, f"{run}/master", _sparse_batch(spark, sf_dir), f"{run}/orphans", run_id="r1",
+                          run_ts=RUN_TS, drop_orphans=drop_orphans)
+    return run
+
+
+@register("upsert_stored_sparse", _SPARSE_CTE + _UPSERTED_SQL)
+def q_upsert_stored_sparse(spark, sf_dir):
+    """A small batch upserted twice into the stored old snapshot: only its own days are written; all stored lines."""
+    return sinks.read_master(spark, f"{_upsert_sparse(spark, sf_dir, False)}/master")
+
+
+@register("upsert_stored_drop_orphans", _SPARSE_CTE + f"""
+SELECT {_ALL} FROM old_c WHERE NOT in_span UNION ALL SELECT {_ALL} FROM new""")
+def q_upsert_stored_drop_orphans(spark, sf_dir):
+    """The same batch with ``drop_orphans``: vanished orders leave the stored master, days of nothing else with them."""
+    return sinks.read_master(spark, f"{_upsert_sparse(spark, sf_dir, True)}/master")
+
+
+@register("orphan_log_dropped", _SPARSE_CTE + f"""
+SELECT {_ALL}, TIMESTAMP '{RUN_TS}' AS orphaned_timestamp FROM old_c WHERE in_span AND NOT hit""")
+def q_orphan_log_dropped(spark, sf_dir):
+    """The orphan log of that run: it keeps the lines that the master no longer has, whole."""
+    return spark.read.parquet(f"{_upsert_sparse(spark, sf_dir, True)}/orphans").drop("run_id")
+
+
 @register("upsert_empty_batch", _UPSERT_CTE + f"SELECT {_ALL} FROM old")
 def q_upsert_empty_batch(spark, sf_dir):
     """A batch without rows leaves the stored master and its log as they are."""

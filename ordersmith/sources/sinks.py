@@ -1,15 +1,19 @@
 """Sinks (S9-S16): staged master upsert, orphan log, processed-file ledger.
 
-The master lives as Parquet partitioned by ``order_date``.  A batch only
-touches the partitions of its own date span (plus the undated partition when
-the batch has undated rows), so the write is a dynamic partition overwrite of
-those partitions and never a static overwrite of an existing master.  The batch
-is staged once in the shared checkpoint folder, the affected old lines once
-with their outcome, and orphan log, statistics and new partitions derive from
-these two tables; that also cuts the lineage to the files about to be replaced.
-The staged tables are deleted after the commit. The overwrite goes through
-Spark's commit protocol, so a lost executor only re-runs tasks and a failed job
-leaves the old partitions intact.
+The master lives as Parquet partitioned by ``order_date``. A batch rewrites only
+the days it has orders on (plus the undated partition when it has undated
+rows): a replaced order has its day in the batch, so no other day can change.
+The old lines of these days are found by dynamic partition pruning with the
+batch's own days and staged once with their outcome. Days of the batch's span
+on which it has no order hold nothing but orphans; they are read for the orphan
+log alone, without a join on order keys, and are not written. With
+``drop_orphans`` these days become empty and their partitions are removed.
+
+The write is a dynamic partition overwrite and never a static one. The batch is
+staged in the shared checkpoint folder, which also cuts the lineage to the files
+about to be replaced; staged tables are deleted after the commit. The overwrite
+goes through Spark's commit protocol, so a lost executor only re-runs tasks and
+a failed job leaves the old partitions intact.
 """
 
 from __future__ import annotations
@@ -21,9 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordersmith.operators.joins import key_condition
 from ordersmith.operators.projections import conform
 from ordersmith.operators.windows import union_all
-from ordersmith.plans.upsert import OUTCOME, new_date_span, orphan_rows, outcome_statistics, with_outcome
+from ordersmith.plans.upsert import (OUTCOME, NewSpan, in_span, new_date_span, orphan_rows, outcome_statistics,
+                                     with_order_key, with_outcome)
 from ordersmith.schema import MASTER_COLUMNS, MASTER_SCHEMA
 from ordersmith.session import path_exists, remove_path, shared_path
 
@@ -60,6 +66,7 @@ def append_orphans(orphans: DataFrame, path: str, run_id: str) -> None:
 class UpsertOutcome:
     statistics: list[tuple[str, int, int]]     # action, orders, lines
     orphans: int
+    days_removed: int = 0                      # partitions left empty by dropped orphans
 
 
 def _stored_batch(new: DataFrame) -> DataFrame:
@@ -81,9 +88,49 @@ def _by_day(rows: DataFrame, date_col: str) -> DataFrame:
             .select(*rows.columns))
 
 
-def _upsert(old: DataFrame, new: DataFrame, write, orphan_path: str | None, run_id: str, run_ts: str | None,
-            date_col: str) -> UpsertOutcome:
-    """One batch against the stored lines ``old``; ``write(rows)`` replaces the partitions that ``rows`` has."""
+def batch_days(batch: DataFrame, span: NewSpan, date_col: str) -> DataFrame:
+    """The dated days of a batch, at most one row for every day of its span."""
+    return batch.filter(F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))).select(date_col).distinct()
+
+
+def changed_days(old: DataFrame, batch: DataFrame, span: NewSpan, date_col: str = "order_date") -> DataFrame:
+    """Old lines on the batch's days, and undated ones if the batch has such lines.
+
+    The days are broadcast (a calendar's worth), so that a date-partitioned
+    master is pruned to them while the query runs."""
+    undated = old.filter(F.col(date_col).isNull())
+    if span.global_mode:
+        return undated
+    dated = old.join(F.broadcast(batch_days(batch, span, date_col)), date_col, "left_semi").select(*old.columns)
+    return union_all([dated, undated]) if span.undated else dated
+
+
+def other_days(old: DataFrame, batch: DataFrame, span: NewSpan, date_col: str = "order_date") -> DataFrame:
+    """Old lines dated in the span on days that the batch has no order on: all of them are orphans."""
+    dated = old.filter(in_span(span, date_col) & F.col(date_col).isNotNull())
+    if span.global_mode:
+        return dated
+    return dated.join(F.broadcast(batch_days(batch, span, date_col)), date_col, "left_anti").select(*old.columns)
+
+
+def _log_orphans(orphans: DataFrame, path: str, run_id: str, staged: str, keep_logged: bool) -> None:
+    """Write a run's orphans; with ``keep_logged`` those that an earlier, unfinished attempt logged and dropped stay."""
+    spark = orphans.sparkSession
+    if keep_logged and path_exists(spark, f"{path}/run_id={run_id}"):
+        logged = spark.read.parquet(path).filter(F.col("run_id") == run_id).drop("run_id")
+        k = ["__k_date", "__k_sn", "__k_buyer"]
+        now = with_order_key(orphans).select(*[F.col(c).alias(f"__now{c}") for c in k]).distinct()
+        before = with_order_key(logged)
+        gone = before.join(now, key_condition(before, now, k, [f"__now{c}" for c in k]), "left_anti").drop(*k)
+        gone.write.parquet(f"{staged}/logged")
+        orphans = union_all([orphans, spark.read.schema(gone.schema).parquet(f"{staged}/logged")])
+    append_orphans(orphans, path, run_id)
+
+
+def _upsert(old: DataFrame, new: DataFrame, write, remove_days, orphan_path: str | None, run_id: str, run_ts: str | None,
+            date_col: str, drop_orphans: bool) -> UpsertOutcome:
+    """One batch against the stored lines ``old``; ``write(rows)`` replaces the partitions that ``rows`` has and
+    ``remove_days(days)`` removes partitions."""
     spark = old.sparkSession
     staged = shared_path(spark, "ordersmith-upsert", uuid.uuid4().hex)
     _stored_batch(new).write.parquet(f"{staged}/batch")
@@ -92,32 +139,38 @@ def _upsert(old: DataFrame, new: DataFrame, write, orphan_path: str | None, run_
     if span.empty:
         remove_path(spark, staged)
         return UpsertOutcome([], 0)
-    columns = [c for c in STORED_SCHEMA.names if c in old.columns]
-    with_outcome(old.select(*columns), batch, span=span, affected_only=True).write.parquet(f"{staged}/old")
+    old = old.select(*[c for c in STORED_SCHEMA.names if c in old.columns])
+    with_outcome(changed_days(old, batch, span, date_col), batch, span=span,
+                 affected_only=True).write.parquet(f"{staged}/old")
     outcomes = spark.read.parquet(f"{staged}/old")
+    rest = other_days(old, batch, span, date_col).withColumn(OUTCOME, F.lit("orphaned"))
+    everything = union_all([outcomes, rest])
     stats = [(r["action"], r["orders"], r["lines"])
-             for r in outcome_statistics(outcomes, batch).orderBy("action").collect()]    # four outcomes
+             for r in outcome_statistics(everything, batch).orderBy("action").collect()]    # four outcomes
     n_orphans = next((lines for action, _, lines in stats if action == "orphaned"), 0)
     if orphan_path and n_orphans:
-        append_orphans(orphan_rows(outcomes, run_ts), orphan_path, run_id)
-    kept = outcomes.filter(F.col(OUTCOME) != "replaced").drop(OUTCOME)
-    if span.global_mode:
-        # an undated batch can only replace undated lines: dated partitions stay as they are
-        kept = kept.filter(F.col(date_col).isNull())
-    write(union_all([kept, batch]))
+        _log_orphans(orphan_rows(everything, run_ts), orphan_path, run_id, staged, drop_orphans)
+    gone = ["replaced", "orphaned"] if drop_orphans else ["replaced"]
+    emptied = []
+    if drop_orphans and n_orphans:
+        # one row a day: the calendar of the span
+        emptied = [r[0] for r in rest.select(date_col).distinct().orderBy(date_col).toLocalIterator()]
+    write(union_all([outcomes.filter(~F.col(OUTCOME).isin(gone)).drop(OUTCOME), batch]))
+    remove_days(emptied)
     remove_path(spark, staged)
-    return UpsertOutcome(stats, n_orphans)
+    return UpsertOutcome(stats, n_orphans, len(emptied))
 
 
 def upsert_into(spark: SparkSession, master_path: str, new: DataFrame, orphan_path: str | None = None, *,
-                run_id: str, run_ts: str | None = None, date_col: str = "order_date") -> UpsertOutcome:
-    """Q1+Q2 against a stored master: rewrite only the affected partitions.
-
-    Orphaned orders are kept in the master (default semantics) and logged under
-    ``run_id``, which must tell this run from every other one; running the same
-    batch again under its own id replaces its own log. A batch without rows
-    changes nothing. A master that exists but can't be read is an error and
-    stays untouched.
+                run_id: str, run_ts: str | None = None, date_col: str = "order_date",
+                drop_orphans: bool = False) -> UpsertOutcome:
+    """Q1+Q2 against a stored master: rewrite only the days the batch has orders on.
+
+    Orphaned orders are logged under ``run_id``, which must tell this run from
+    every other one, and stay in the master; ``drop_orphans`` removes them from
+    it. Running the same batch again under its own id changes neither master nor
+    log. A batch without rows changes nothing. A master that exists but can't be
+    read is an error and stays untouched.
     """
     if not path_exists(spark, master_path):
         batch = _stored_batch(new)
@@ -127,7 +180,12 @@ def upsert_into(spark: SparkSession, master_path: str, new: DataFrame, orphan_pa
     def write(rows: DataFrame) -> None:
         (_by_day(rows, date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(date_col).parquet(master_path))
-    return _upsert(read_master(spark, master_path), new, write, orphan_path, run_id, run_ts, date_col)
+
+    def remove_days(days: list) -> None:
+        for day in days:
+            remove_path(spark, f"{master_path.rstrip('/')}/{date_col}={day}")
+    return _upsert(read_master(spark, master_path), new, write, remove_days, orphan_path, run_id, run_ts, date_col,
+                   drop_orphans)
 
 
 # ------------------------------------------------------------------- S16
@@ -167,7 +225,8 @@ def write_master_table(df: DataFrame, table: str, buckets: int = 64, date_col: s
 
 
 def upsert_into_table(spark: SparkSession, table: str, new: DataFrame, orphan_path: str | None = None, *,
-                      run_id: str, run_ts: str | None = None, date_col: str = "order_date") -> UpsertOutcome:
+                      run_id: str, run_ts: str | None = None, date_col: str = "order_date",
+                      drop_orphans: bool = False) -> UpsertOutcome:
     """``upsert_into`` for a bucketed master table: the same staged rewrite of
     the batch's day partitions, written with ``INSERT OVERWRITE`` (dynamic
     partitions) so the table keeps its bucketing."""
@@ -183,4 +242,8 @@ def upsert_into_table(spark: SparkSession, table: str, new: DataFrame, orphan_pa
             _no_null_numbers(rows).select(*old.columns).write.insertInto(table, overwrite=True)
         finally:
             spark.conf.set(key, before)
-    return _upsert(old, new, write, orphan_path, run_id, run_ts, date_col)
+
+    def remove_days(days: list) -> None:
+        for day in days:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} = DATE '{day}')")
+    return _upsert(old, new, write, remove_days, orphan_path, run_id, run_ts, date_col, drop_orphans)

@@ -8,7 +8,7 @@ from ordersmith.plans import marts
 
 # queries whose construction writes data (a catalog table, a stream's output)
 SIDE_EFFECTS = {"publish_marts", "dropfolder_ingest", "upsert_stored", "upsert_empty_batch", "upsert_undated_rerun",
-                "orphan_log_two_runs", "csv_ingest_mixed_layouts", "csv_ingest_files"}
+                "orphan_log_two_runs", "upsert_stored_sparse", "upsert_stored_drop_orphans", "orphan_log_dropped", "csv_ingest_mixed_layouts", "csv_ingest_files"}
 
 
 def physical(df):
@@ -67,3 +67,18 @@ def test_stored_upsert_reads_and_shuffles_each_side_once(no_aqe, tmp_path):
     # old lines move once; of the batch only its keys move, to be made distinct and then to the null-safe join
     assert len(scans) == 2 and plan.count("Exchange hashpartitioning") == 3, plan
     assert sum("PartitionFilters: [isnotnull(order_date" in ln for ln in scans) == 1, scans
+
+
+def test_stored_upsert_prunes_the_old_side_to_the_days_of_the_batch(no_aqe, tmp_path):
+    from ordersmith.plans import upsert as U
+    from ordersmith.sources import sinks
+    path = str(tmp_path / "master")
+    sinks.upsert_into(no_aqe, path, R.upsert_old(no_aqe, SF_SMALL), run_id="load")
+    new = R._sparse_batch(no_aqe, SF_SMALL)
+    new.write.parquet(str(tmp_path / "batch"))
+    batch = no_aqe.read.parquet(str(tmp_path / "batch"))
+    old, span = sinks.read_master(no_aqe, path), U.new_date_span(batch)
+    plan = physical(sinks.changed_days(old, batch, span))
+    assert "dynamicpruningexpression(order_date" in plan, plan
+    rest = physical(sinks.other_days(old, batch, span))
+    assert "Exchange hashpartitioning(order_sn" not in rest and "PartitionFilters: [isnotnull(order_date" in rest, rest
