@@ -149,3 +149,50 @@ def test_default_null_cells(spark, tmp_path):
     p.write_text("a,b,c\nN/A,NULL,Nantes\n", encoding="utf-8")
     r = readers.read_order_exports(spark, str(tmp_path)).first()
     assert (r["a"], r["b"], r["c"]) == (None, None, "Nantes")
+
+
+def test_awkward_headers_never_fail_a_drop(spark, tmp_path):
+    sn, n = "訂單編號", "數量"
+    files = {"a[1].csv": f"{sn},{n},{n},{n.upper()}\nA,1,2,3\nA,4,5,6\n",
+             "b b.csv": f'\ufeff"訂單\r\n編號","{n}\n"\r\nB,"7\n8"\r\n',
+             "c+c.csv": f'\n{sn},,{n},file_name,row_no\nC,blank,9,own,10\n',
+             "quotes.csv": f'{sn},{n},備註\nD,1,"12"" screen"\n', "short.csv": f"{sn},{n},x\nE,1\nE,1,2,3,4\n",
+             "no_number.csv": f"{n}\n1\n", "empty.csv": "", "open.csv": f'"{sn},{n}\nF,1\n'}
+    for name, text in files.items():
+        (tmp_path / name).write_bytes(text.encode())
+    drop = readers.scan_order_exports(spark, str(tmp_path))
+    report = {r.file_name: (r.status, r.columns, r.missing, r.repeated, r.unmapped) for r in drop.files.collect()}
+    assert report == {
+        "a[1].csv": ("accepted", 4, "", n, ""), "b b.csv": ("accepted", 2, "", "", ""),
+        "c+c.csv": ("accepted", 5, "", "", "column_2,file_name_,row_no_"), "quotes.csv": ("accepted", 3, "", "", ""),
+        "short.csv": ("accepted", 3, "", "", "x"), "no_number.csv": ("rejected", 1, "order_sn", "", ""),
+        "empty.csv": ("rejected", 0, "order_sn", "", ""), "open.csv": ("rejected", 0, "order_sn", "", "")}
+    rows = {(r[sn], r[n]) for r in drop.rows.collect()}
+    assert rows == {("A", "1"), ("A", "4"), ("B", "7\n8"), ("C", "9"), ("D", "1"), ("E", "1")}
+    c = drop.rows.filter(F.col(sn) == "C").first()
+    assert (c["column_2"], c["file_name_"], c["row_no_"], c["file_name"]) == ("blank", "own", "10", "c+c.csv")
+    assert drop.rows.filter(F.col(sn) == "D").first()["備註"] == '12" screen'
+
+
+def test_header_over_many_lines_has_a_bound(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "HEADER_CHARS", 50)
+    (tmp_path / "long.csv").write_text('"訂單編號","' + "x\n" * 100 + '"\nA,1\n')
+    (tmp_path / "good.csv").write_text('"訂單\n編號"\nA\n')
+    drop = readers.scan_order_exports(spark, str(tmp_path))
+    assert {r.file_name: r.status for r in drop.files.collect()} == {"long.csv": "rejected", "good.csv": "accepted"}
+    assert drop.rows.count() == 1
+
+
+def test_place_in_file_rises_over_blocks(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("訂單編號\n" + "".join(f"{i:06d}\n" for i in range(5000)))
+    (tmp_path / "y.csv").write_text("訂單編號\n" + "".join(f"{i:06d}\n" for i in range(50)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4096")
+    try:
+        got = readers.scan_order_exports(spark, str(tmp_path)).rows.collect()
+    finally:
+        spark.conf.set(key, before)
+    for name, n in (("x.csv", 5000), ("y.csv", 50)):
+        own = sorted((r.row_no, r["訂單編號"]) for r in got if r.file_name == name)
+        assert [v for _, v in own] == [f"{i:06d}" for i in range(n)] and len({k for k, _ in own}) == n

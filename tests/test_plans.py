@@ -8,7 +8,8 @@ from ordersmith.plans import marts
 
 # queries whose construction writes data (a catalog table, a stream's output)
 SIDE_EFFECTS = {"publish_marts", "dropfolder_ingest", "upsert_stored", "upsert_empty_batch", "upsert_undated_rerun",
-                "orphan_log_two_runs", "upsert_stored_sparse", "upsert_stored_drop_orphans", "orphan_log_dropped", "csv_ingest_mixed_layouts", "csv_ingest_files"}
+                "orphan_log_two_runs", "upsert_stored_sparse", "upsert_stored_drop_orphans", "orphan_log_dropped", "csv_ingest_mixed_layouts", "csv_ingest_files",
+                "csv_ingest_headers", "csv_ingest_headers_files"}
 
 
 def physical(df):
