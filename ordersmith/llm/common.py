@@ -9,7 +9,6 @@ from typing import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,22 +70,41 @@ def fresh(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def _one_scan(docs: DataFrame) -> bool:
+    """Whether every row of ``docs`` is one row of one file table: a scan under projections and filters alone, all of
+    them the same whenever they are computed."""
+    node = docs._jdf.queryExecution().analyzed()
+    while True:
+        kind = node.getClass().getSimpleName()
+        if kind == "LogicalRelation":
+            relation = node.relation()
+            if relation.getClass().getSimpleName() != "HadoopFsRelation":
+                return False
+            roots = [str(relation.location().rootPaths().apply(i)).rstrip("/") + "/"
+                     for i in range(relation.location().rootPaths().size())]
+            return not any(i != j and a.startswith(b) for i, a in enumerate(roots) for j, b in enumerate(roots))
+        if kind not in ("Project", "Filter", "SubqueryAlias", "View"):
+            return False
+        made = node.expressions()
+        if any(not made.apply(i).deterministic() or "SubqueryExpression" in made.apply(i).getClass().getName()
+               for i in range(made.size())):
+            return False
+        node = node.children().apply(0)
+
+
 def with_uid(docs: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """``docs`` with one unique value a row (ids may be null or repeated), and that column's name.
 
-    Rows read straight from files are known by (hash of the file's path, place
-    in the file), which holds however the files are split into tasks. Other
-    plans are staged first.
+    Rows of one file table are known by (hash of the file's path, place in the
+    file), which holds however the files are split into tasks. What joins,
+    unions, explodes, limits or draws at random is staged first, as one row of a
+    file may be several rows of it, or another one when it is computed again.
     """
     uid = fresh("row_uid", docs.columns)
-    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    if "_metadata" not in docs.columns:
-        try:
-            return docs.withColumn(uid, place), uid
-        except AnalysisException:
-            pass  # not a file scan
-    staged = stage(docs, tag)
-    return staged.withColumn(uid, place), uid
+    if not _one_scan(docs):
+        docs = stage(docs, tag)
+    meta = docs.metadataColumn("_metadata")
+    return docs.withColumn(uid, F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row"))), uid
 
 
 def text_bytes(col: str = "text") -> Column:

@@ -22,6 +22,8 @@ from ordersmith.llm.common import with_uid
 
 BLOCKS_LOG2 = 13
 BITS = 6
+#: Between host and path of a key: neither of a page's holds it, so equal keys are equal hosts and paths.
+_CUT = "#"
 _U = np.uint64
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -86,7 +88,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     listed = (rules.select(F.translate("host", _UPPER, _LOWER).alias("rule_host"),
                            F.coalesce("path", F.lit("")).alias("rule_path"), F.col("verdict").alias("rule_verdict"))
               .filter("rule_host != ''")
-              .groupBy(F.concat("rule_host", "rule_path").alias("key"), F.length("rule_host").alias("host_length"))
+              .groupBy(F.concat("rule_host", F.lit(_CUT), "rule_path").alias("key"), F.length("rule_host").alias("host_length"))
               .agg(F.max("rule_verdict").alias("rule_verdict"), F.first("rule_path").alias("rule_path")))
     lengths = [r[0] for r in listed.select(F.length("rule_path")).distinct().collect()]   # a number for each path length
     bloom = bloom_filter(listed.select("key"), blocks_log2)
@@ -99,7 +101,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
                         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     starts = F.transform(F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>"),
                                   lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
-    keys = F.flatten(F.transform(hosts, lambda h: F.transform(starts, lambda p: F.concat(h, p))))
+    keys = F.flatten(F.transform(hosts, lambda h: F.transform(starts, lambda p: F.concat(h, F.lit(_CUT), p))))
     probe = F.arrow_udf(_possible(bloom, blocks_log2), "array<boolean>")
     probed = (rows.withColumn("keys", keys).withColumn("hashes", F.transform("keys", lambda k: F.xxhash64(k)))
               .withColumn("hit", probe("hashes")))
@@ -109,5 +111,5 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     best = F.max(F.when(F.col("rule_verdict").isNotNull(),
                         F.struct(F.length("key").alias("n"), "host_length", "key", "rule_verdict")))
     return (joined.groupBy("uid", "page_id", "host", "path").agg(best.alias("best"))
-            .select("page_id", "host", "path", F.col("best.key").alias("rule"),
+            .select("page_id", "host", "path", F.replace("best.key", F.lit(_CUT), F.lit("")).alias("rule"),
                     F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict")))

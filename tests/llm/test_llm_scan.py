@@ -247,6 +247,15 @@ def test_url_rules_match_brute_force(spark, blocks):
     assert sorted(got, key=str) == sorted(((i, *judged(u)) for i, u, _ in rows), key=str)
 
 
+def test_url_rules_join_on_host_and_path(spark):
+    rules = spark.createDataFrame([("a.co", "m/x", "block"), ("zz.z", "/q", "allow"), ("a#b", "c", "block"), ("b.co", "", "block")],
+                                  "host string, path string, verdict string")
+    urls = ["http://a.com/x", "http://a.co/m/x", "http://a#b#c", "http://b.co", "http://x.b.co/y", "http://zz.z/q"]
+    got = uf.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).orderBy("page_id").collect()
+    assert [(r.rule, r.verdict) for r in got] == [(None, "allow"), (None, "allow"), (None, "allow"), ("b.co", "block"),
+                                                  ("b.co", "block"), ("zz.z/q", "allow")]
+
+
 def test_url_empty_tables(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     rules = spark.createDataFrame([], "host string, path string, verdict string")
