@@ -8,8 +8,11 @@ time where the archive is read; ranges of keys are dealt to tasks, and a loser
 tree merges each range's runs, so that all histories come out in order.
 
 Scale: payloads are shuffled only if some equal ones exist and their digests
-are too many to broadcast; files hold a bounded number of records; the index
-moves without payloads, and a URL with very many captures is split by time.
+are too many to broadcast. Records are written by size, the fewer to a file the
+longer they are, so that a file keeps below ``FILE_BYTES`` unless one record
+alone exceeds it. The index moves without payloads, a URL with very many
+captures is split by time, and a merge holds its range as Arrow batches, of
+which each run turns a few rows at a time into Python objects.
 """
 
 from __future__ import annotations
@@ -18,14 +21,18 @@ import base64
 import hashlib
 from typing import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordersmith.llm.common import stage, staged_path, with_uid
 
 RECORDS_PER_FILE = 4096
+#: Payload bytes of a file (a record of more has a file of its own), and so of what a task reads whole.
+FILE_BYTES = 1 << 28
 MIN_BYTES = 0
 #: WARC-Date of pages without a time of their own.
 DATE = "2000-01-01T00:00:00Z"
@@ -52,10 +59,19 @@ def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), safe, F.lit("\r\n")), F.lit(""))
 
 
+def _size_classes(records_per_file: int, file_bytes: int) -> list[tuple[int, int]]:
+    """(longest payload, records a file) by rising size; the last class takes every longer payload too."""
+    out, records = [], records_per_file
+    while records > 1:
+        out.append((file_bytes // records, records))
+        records //= 4
+    return [*out, (file_bytes, 1)]
+
+
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                    date_col: str | None = None, min_bytes: int = MIN_BYTES,
-                   records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write a record a page into archives under ``path``.
+                   records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES) -> None:
+    """Write a record a page into archives under ``path``, a folder for each class of payload sizes that occurs.
 
     Null payloads are empty. Of records with equal payloads of at least
     ``min_bytes`` bytes that with the smallest id (null ids last, then the
@@ -68,10 +84,16 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("payload"),
         (F.coalesce(F.date_format(F.col(date_col).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(DATE))
          if date_col else F.lit(DATE)).alias("date"))
-    rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn(
-        "digest", base32_sha1(F.col("payload").cast("binary")))
+    rows = rows.withColumn("bytes", F.octet_length("payload").cast("long"))
+    classes = _size_classes(records_per_file, file_bytes)
+    size = F.lit(len(classes) - 1)
+    for i, (longest, _) in reversed(list(enumerate(classes[:-1]))):
+        size = F.when(F.col("bytes") <= longest, i).otherwise(size)
+    rows = rows.withColumn("size", size).withColumn("digest", base32_sha1(F.col("payload").cast("binary")))
     first = F.min(F.struct(F.col("page_id").isNull().alias("z"), "page_id", "uid"))
-    several = stage(rows.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(
+    seen = Observation()                                   # which classes occur: the same if a task runs twice
+    several = stage(rows.observe(seen, F.bit_or(F.expr("shiftleft(1, size)")).alias("sizes"))
+                    .filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(
         F.count(F.lit(1)).alias("n"), first.alias("first")).filter("n > 1")
         .select("digest", F.col("first.page_id").alias("first_id"), F.col("first.uid").alias("first_uid")),
         "warc-equal")
@@ -93,8 +115,12 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         _header("X-Page-ID", F.col("page_id")),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         F.lit("Content-Length: "), F.octet_length("block").cast("string"), F.lit("\r\n\r\n"))
-    (joined.withColumn("block", block).select(F.concat(head, "block").alias("value"))
-     .write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).text(path))
+    written = joined.withColumn("block", block).select("size", F.concat(head, "block").alias("value"))
+    occur = seen.get["sizes"] or 1                          # an empty table is one empty archive
+    for i, (_, most) in enumerate(classes):
+        if occur >> i & 1:
+            (written.filter(F.col("size") == i).select("value").write.option("lineSep", _END)
+             .option("maxRecordsPerFile", most).text(f"{path}/size-{i}"))
 
 
 def records(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -167,7 +193,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for run, content in zip(b.column("path"), b.column("content")):
                 yield from _batches(_entries(run.as_py(), content.as_py()))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", True)
+             .load(path))
     return files.select("path", "content").mapInArrow(read, INDEX)
 
 
@@ -206,18 +233,30 @@ class LoserTree:
             self.winner = w
 
 
+def _rows(parts: list[pa.RecordBatch], size: int = 64) -> Iterator[tuple]:
+    """The rows of a run, a few at a time as Python objects."""
+    for part in parts:
+        for a in range(0, part.num_rows, size):
+            yield from zip(*(c.to_pylist() for c in part.slice(a, size).columns))
+
+
 def _merged(batches):
     """Rows sorted by run, then in order: merged into one order, with a number that rises over all tasks."""
-    runs: list[list[tuple]] = []
+    runs: list[list[pa.RecordBatch]] = []
     last = None
     for b in batches:
-        for row in zip(*(b.column(n).to_pylist() for n in _NAMES)):
-            if row[3] != last:
-                runs.append([])
-                last = row[3]
-            runs[-1].append(row)
+        b = b.select(_NAMES)
+        run = b.column("run")
+        turns = pc.not_equal(run.slice(1), run.slice(0, max(b.num_rows - 1, 0))).to_numpy(zero_copy_only=False)
+        ends = [*(np.flatnonzero(turns) + 1).tolist(), b.num_rows]
+        for a, e in zip([0, *ends], ends):
+            if a < e:
+                if run[a].as_py() != last:
+                    runs.append([])
+                    last = run[a].as_py()
+                runs[-1].append(b.slice(a, e - a))
     at = TaskContext.get().partitionId() << 40
-    for out in _batches(LoserTree([iter(r) for r in runs])):
+    for out in _batches(LoserTree([_rows(r) for r in runs])):
         order = pa.array(range(at, at + out.num_rows), pa.int64())
         at += out.num_rows
         yield pa.record_batch([*out.columns, order], names=[*_NAMES, "position"])

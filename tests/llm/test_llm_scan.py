@@ -290,6 +290,19 @@ def test_archives_round_trip(spark, tmp_path):
     assert wa.archive(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    import os
+    rows = [(i, f"http://h{i % 7}.com/{i}", chr(65 + i % 26) * n + str(i)) for i, n in enumerate([5] * 300 + [900] * 40 + [5000] * 9 + [90_000] * 3)]
+    path = str(tmp_path / "w")
+    wa.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path,
+                      records_per_file=64, file_bytes=16_000)
+    sizes = [os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.startswith("part-")]
+    head = 600                                                            # headers of a record, about
+    assert all(n <= 16_000 + 64 * head or n >= 90_000 for n in sizes) and sum(n >= 90_000 for n in sizes) == 3
+    index = wa.capture_index(wa.read_archives(spark, path)).collect()
+    assert sorted((r.page, r.payload_bytes) for r in index) == [(i, len(h)) for i, _, h in rows] and all(r.intact for r in index)
+
+
 def test_archive_small_payloads_are_responses(spark):
     pages = spark.createDataFrame([(1, "u", "aa"), (2, "u", "aa"), (3, "u", "bbbb"), (4, "u", "bbbb")],
                                   "page_id long, url string, html string")
