@@ -170,9 +170,15 @@ def to_date_tolerant(c: ColumnOrName, formats: Iterable[str] = DATE_FORMATS) ->
     """Date from text in any of the accepted layouts (time of day ignored); else null."""
     x = F.trim(_col(c).cast("string"))
     day = F.regexp_extract(x, r"^([0-9]{1,4}[-/][0-9]{1,2}[-/][0-9]{1,4}|[0-9]{8})(?:$|[ T])", 1)
-    candidates = [x.try_cast("date")]
-    candidates += [F.try_to_date(day, f) for f in formats]
-    return F.coalesce(*candidates)
+    # most cells are read by the cast; a layout is only tried on text with its separator
+    layouts = list(formats)
+    slash, dash = x.contains("/"), x.contains("-")
+    readers = []
+    for has, of in ((slash, [f for f in layouts if "/" in f]), (~slash & dash, [f for f in layouts if "-" in f]),
+                    (~slash & ~dash, [f for f in layouts if "/" not in f and "-" not in f])):
+        if of:
+            readers.append(F.when(has & (F.length(x) >= 5), F.coalesce(*[F.try_to_date(day, f) for f in of])))
+    return F.coalesce(x.try_cast("date"), *readers)
 
 
 # --------------------------------------------------------------------------- X7
@@ -187,6 +193,17 @@ def to_timestamp_tolerant(c: ColumnOrName, null_tokens: Iterable[str] = TIMESTAM
     return x.try_cast("timestamp_ntz")
 
 
+# --------------------------------------------------------------------------- X15
+def day_text(c: ColumnOrName) -> Column:
+    """A date or time as ``2025-06-04``."""
+    return F.date_format(_col(c), "yyyy-MM-dd")
+
+
+def minute_text(c: ColumnOrName) -> Column:
+    """A time as ``2025/06/04 09:05``."""
+    return F.date_format(_col(c), "yyyy/MM/dd HH:mm")
+
+
 # --------------------------------------------------------------------------- X10-X13
 def key_part(c: ColumnOrName) -> Column:
     """Trimmed text with null tokens and blanks as null: one column of a key."""

@@ -12,10 +12,14 @@ import difflib
 from typing import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordersmith.operators.windows import union_all
+from ordersmith.session import checkpoint_dir
+
+
 def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   right_keys: Sequence[str] | None = None) -> Column:
     """Null-safe equality on all key columns."""
@@ -193,19 +197,116 @@ def sequence_ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def best_matches(left: DataFrame, right: DataFrame, cutoff: float = 0.7,
-                 measure: str = "levenshtein") -> DataFrame:
+#: Lists whose product is at most this many pairs go to the prefix filter at once.
+FEW_PAIRS = 100_000
+#: Numbers of edits that the segment index is asked for, one after another.
+RADII = (1, 2, 4)
+
+
+def _boundaries(names: DataFrame, edits: int, most_edits: float) -> dict[int, list[tuple[int, int]]]:
+    """Length -> (start, length) of the segments that names of this length are cut into: one more than the edits.
+
+    Positions at which names differ much weigh more (the entropy of their
+    characters), so that no segment is mere boilerplate. One row for each
+    length and position comes to the driver."""
+    n = F.length("name")
+    chars = names.select(n.alias("n"), F.posexplode(F.split("name", "")).alias("p", "c")).filter("p < n")
+    counts = chars.groupBy("n", "p", "c").agg(F.count(F.lit(1)).alias("k"))
+    share = F.col("k") / F.sum("k").over(Window.partitionBy("n", "p"))
+    weights = counts.withColumn("q", share).groupBy("n", "p").agg(F.sum(-F.col("q") * F.log2("q")).alias("w")).collect()
+    by_length: dict[int, list[float]] = {}
+    for r in sorted(weights, key=lambda r: (r["n"], r["p"])):
+        by_length.setdefault(r["n"], []).append(r["w"] + 0.01)
+    out = {}
+    for length, w in by_length.items():
+        parts = min(edits, int(length * most_edits + 1e-9), length - 1) + 1
+        cuts, total, seen = [0], sum(w), 0.0
+        for i, x in enumerate(w):
+            seen += x
+            left = parts - len(cuts)                       # cuts that are still to be made
+            if left and (seen >= total * len(cuts) / parts or length - i - 1 == left) and i + 1 < length:
+                cuts.append(i + 1)
+        out[length] = [(p, q - p) for p, q in zip(cuts, [*cuts[1:], length])]
+    return out
+
+
+def _probes(boundaries: dict[int, list[tuple[int, int]]], lengths: Sequence[int]) -> list[tuple[int, int, int, int, int]]:
+    """(length, other length, segment, start, size): where a name of some length may hold a segment of one of another
+    length, if the two are at most as many edits apart as there are segments but one.
+
+    Each segment's shift is bounded by the segments before it and by those behind it."""
+    out = []
+    for n in lengths:
+        for m, segments in boundaries.items():
+            edits, more = len(segments) - 1, n - m
+            if abs(more) <= edits:
+                for j, (p, size) in enumerate(segments):
+                    shifts = range(max(-j, more - (edits - j)), min(j, more + (edits - j)) + 1)
+                    out += [(n, m, j, p + s, size) for s in shifts if 0 <= p + s <= n - size]
+    return out
+
+
+def segment_candidates(left: DataFrame, right: DataFrame, edits: int, most_edits: float) -> DataFrame:
+    """Pairs (left_name, right_name), each once, among them all with at most ``edits`` edits between them and at most
+    ``most_edits`` edits for every character of the right name.
+
+    Right names are cut into one segment more than the edits; so at least one
+    of them stands unchanged in the left name, near its own place. Segments are
+    joined by length, number and text; no other pairs meet."""
+    spark = left.sparkSession
+    ln, rn = left.toDF("name"), right.toDF("name")
+    boundaries = _boundaries(rn, edits, most_edits)
+    lengths = [r[0] for r in ln.select(F.length("name")).distinct().collect()]       # one row a length
+    cut = spark.createDataFrame([(m, j, p, size) for m, seg in boundaries.items() for j, (p, size) in enumerate(seg)],
+                                "m int, j int, p int, size int")
+    ask = spark.createDataFrame(_probes(boundaries, lengths), "n int, m int, j int, p int, size int")
+    piece = F.substring(F.col("name"), F.col("p") + 1, F.col("size")).alias("piece")
+    index = rn.withColumn("m", F.length("name")).join(cut, "m").select("m", "j", piece, F.col("name").alias("right_name"))
+    asked = ln.withColumn("n", F.length("name")).join(ask, "n").select("m", "j", piece, F.col("name").alias("left_name"))
+    return asked.join(index, ["m", "j", "piece"]).select("left_name", "right_name").distinct()
+
+
+def _scored(pairs: DataFrame, cutoff: float, measure: str) -> DataFrame:
+    score = levenshtein_ratio("right_name", "left_name") if measure == "levenshtein" else sequence_ratio(
+        F.col("right_name"), F.col("left_name"))
+    best = pairs.withColumn("score", score).filter(F.col("score") >= F.lit(cutoff)).groupBy("left_name").agg(
+        F.max(F.struct("score", "right_name")).alias("b"))
+    return best.select("left_name", F.col("b.right_name").alias("right_name"), F.col("b.score").alias("score"))
+
+
+def best_matches(left: DataFrame, right: DataFrame, cutoff: float = 0.7, measure: str = "levenshtein",
+                 few_pairs: int = FEW_PAIRS) -> DataFrame:
     """For each left name, the right name with the best score >= cutoff
     (ties: the greater name).  ``measure`` is ``'levenshtein'`` (native) or
     ``'difflib'`` (matching-blocks ratio, Arrow-batched Python on candidate
-    pairs only).  Output: left_name, right_name, score."""
-    cand = similar_name_candidates(left, right, cutoff, measure)
-    if measure == "levenshtein":
-        score = levenshtein_ratio("right_name", "left_name")
-    elif measure == "difflib":
-        score = sequence_ratio(F.col("right_name"), F.col("left_name"))
-    else:
+    pairs only).  Output: left_name, right_name, score.
+
+    Names are first compared with those at most 1, 2 and 4 edits away, found by
+    a segment index. A name is settled when its best score is above what any
+    name further away can reach: with more edits e than asked for, the edit
+    ratio of a name of n characters is at most 1 - e / (n + e) and the
+    matching-blocks ratio at most 1 - e / (2 n + e). Names that stay unsettled
+    (most of them have no match) go to the prefix filter of
+    ``similar_name_candidates``, as do short lists and cutoffs too low for
+    segments."""
+    if measure not in ("levenshtein", "difflib"):
         raise ValueError(f"unknown measure {measure}")
-    scored = cand.withColumn("score", score).filter(F.col("score") >= F.lit(cutoff))
-    best = scored.groupBy("left_name").agg(F.max(F.struct("score", "right_name")).alias("b"))
-    return best.select("left_name", F.col("b.right_name").alias("right_name"), F.col("b.score").alias("score"))
+    if not 0 < cutoff <= 1:
+        raise ValueError("cutoff must be in (0, 1]")
+    checkpoint_dir(left.sparkSession)
+    names = lambda df: df.select(F.col(df.columns[0]).alias("name")).filter(F.col("name").isNotNull()).distinct()
+    todo, rn = names(left).checkpoint(), names(right).checkpoint()
+    # edits for every character of the shorter-or-equal name that a pair at the cutoff can have
+    most_edits = (1 - cutoff) / cutoff if measure == "levenshtein" else 2 * (1 - cutoff) / cutoff
+    found = []
+    if most_edits < 1 and todo.count() * rn.count() > few_pairs:
+        longest = F.length("left_name") * (1 if measure == "levenshtein" else 2)
+        for edits in RADII:
+            best = _scored(segment_candidates(todo, rn, edits, most_edits), cutoff, measure)
+            beyond = 1 - (edits + 1) / (longest + edits + 1)
+            settled = best.filter(F.col("score") > beyond + 1e-12).checkpoint()
+            found.append(settled)
+            todo = todo.join(settled.select(F.col("left_name").alias("name")), "name", "left_anti").checkpoint()
+            if todo.isEmpty():
+                return union_all(found)
+    return union_all([*found, _scored(similar_name_candidates(todo, rn, cutoff, measure), cutoff, measure)])

@@ -119,10 +119,10 @@ def date_gaps(master: DataFrame, max_gap_days: int = 3, shop_col: str = "shop_na
 
 
 # ----------------------------------------------------------------------- Q12
-def _lines_per_key(df: DataFrame, keys: Sequence[str], product_col: str, tag: str) -> DataFrame:
-    prod = F.coalesce(F.col(product_col).cast("string"), F.lit("<unknown product>"))
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias(f"lines_{tag}"),
-                                 F.array_sort(F.collect_set(prod)).alias(f"__p_{tag}"))
+def _both_sides(m: DataFrame, o: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Lines of master and orphan log as one table, ``__m`` and ``__o`` counting each line for its side."""
+    side = lambda df, own: df.select(*columns, F.lit(int(own)).alias("__m"), F.lit(int(not own)).alias("__o"))
+    return side(m, True).unionByName(side(o, False))
 
 
 class Cancellation:
@@ -136,25 +136,30 @@ class Cancellation:
 
     @cached_property
     def orders(self) -> DataFrame:
-        keys = self.keys
-        lm = _lines_per_key(self.m, keys, self.product_col, "master")
-        lo = _lines_per_key(self.o, keys, self.product_col, "orphans")
-        j = lm.join(lo, keys)                       # J7: common orders
+        # one aggregate over both sides: lines by order and product, then by order
+        product = F.coalesce(F.col(self.product_col).cast("string"), F.lit("<unknown product>")).alias("__p")
+        lines = _both_sides(self.m.select(*self.keys, product), self.o.select(*self.keys, product), [*self.keys, "__p"])
+        per_product = lines.groupBy(*self.keys, "__p").agg(F.sum("__m").alias("__m"), F.sum("__o").alias("__o"))
+        only = lambda other: F.array_sort(F.collect_list(F.when(F.col(other) == 0, F.col("__p"))))
+        per_order = per_product.groupBy(*self.keys).agg(
+            F.sum("__m").cast("bigint").alias("lines_master"), F.sum("__o").cast("bigint").alias("lines_orphans"),
+            only("__o").alias("__only_m"), only("__m").alias("__only_o"))
+        common = per_order.filter((F.col("lines_master") > 0) & (F.col("lines_orphans") > 0))      # J7
         diff = F.abs(F.col("lines_master") - F.col("lines_orphans"))
         different = F.col("lines_master") != F.col("lines_orphans")
-        return j.select(
-            *keys, "lines_master", "lines_orphans", diff.cast("bigint").alias("difference"),
+        return common.select(
+            *self.keys, "lines_master", "lines_orphans", diff.cast("bigint").alias("difference"),
             F.when(different, "different").otherwise("same").alias("status"),
-            F.when(different, F.array_join(F.array_except("__p_master", "__p_orphans"), ";")).alias("products_only_in_master"),
-            F.when(different, F.array_join(F.array_except("__p_orphans", "__p_master"), ";")).alias("products_only_in_orphans"),
-        )
+            F.when(different, F.array_join("__only_m", ";")).alias("products_only_in_master"),
+            F.when(different, F.array_join("__only_o", ";")).alias("products_only_in_orphans"))
 
     @cached_property
     def sn_counts(self) -> DataFrame:
-        cm = self.m.groupBy("order_sn").agg(F.count(F.lit(1)).cast("bigint").alias("count_master"))
-        co = self.o.groupBy("order_sn").agg(F.count(F.lit(1)).cast("bigint").alias("count_orphans"))
-        return (cm.join(co, "order_sn").filter(F.col("count_master") != F.col("count_orphans"))
-                  .withColumn("difference", F.abs(F.col("count_master") - F.col("count_orphans")).cast("bigint")))
+        counts = _both_sides(self.m, self.o, ["order_sn"]).groupBy("order_sn").agg(
+            F.sum("__m").cast("bigint").alias("count_master"), F.sum("__o").cast("bigint").alias("count_orphans"))
+        return (counts.filter((F.col("count_master") > 0) & (F.col("count_orphans") > 0)
+                              & (F.col("count_master") != F.col("count_orphans")))
+                .withColumn("difference", F.abs(F.col("count_master") - F.col("count_orphans")).cast("bigint")))
 
     @cached_property
     def summary(self) -> DataFrame:

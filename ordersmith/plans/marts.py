@@ -2,9 +2,10 @@
 
 * ``order_summary``  (B01): one row per order number, first-line attributes,
   ordered product / SKU lists and quantity totals, in one aggregation.  Totals
-  and first lines are combined map-side.  The lists hold all lines of an order;
-  lines without an order number form one group that may be of any size, so its
-  lists stay empty (``unnumbered_lines`` returns those lines).
+  and first lines are combined map-side.  The lists hold all lines of a group
+  of up to ``LIST_LINES`` lines.  A larger one (lines without an order number
+  are one group, of any size) has null lists there and its lists in several
+  rows of ``order_product_lists``, in order and each of so many lines.
 * ``order_details``  (B02): line-level projection.
 * ``order_headers``  (B03) / ``order_shipping`` (B04): the first line of each
   order (row_number = 1, pre-limited per task before the shuffle).
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from typing import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordersmith.operators.filters import split_by_membership
@@ -24,6 +25,7 @@ from ordersmith.operators.projections import conform
 from ordersmith.operators.windows import first_per_key
 from ordersmith.schema import (CITY_LABELS, DETAIL_COLUMNS, HEADER_COLUMNS, SHIPPING_COLUMNS,
                                SPECIAL_PLATFORMS, SUMMARY_FIRST_COLUMNS)
+from ordersmith.session import checkpoint_dir
 
 ROW_ORDER = "row_no"
 
@@ -41,27 +43,95 @@ def unnumbered_lines(master: DataFrame) -> DataFrame:
     return master.filter(F.coalesce("order_sn", F.lit("")) == "")
 
 
+#: Lines whose names one list holds, and so the most lines of one group that a task gathers.
+LIST_LINES = 250_000
+_LISTS = {"product_name_list": "product_name", "product_sku_main_list": "product_sku_main"}
+
+
 def ordered_join(value: str, order: str = ROW_ORDER, sep: str = ";") -> Column:
-    """Non-empty values of a numbered group joined by ``sep`` in ``order`` ('' if none)."""
+    """Non-empty values of a group joined by ``sep`` in ``order`` ('' if none)."""
     v = F.col(value).cast("string")
-    item = F.when(v.isNotNull() & (v != "") & (F.col("order_sn") != ""), F.struct(F.col(order).alias("o"), v.alias("v")))
+    item = F.when(v.isNotNull() & (v != ""), F.struct(F.col(order).alias("o"), v.alias("v")))
     ordered = F.array_sort(F.collect_list(item))
     return F.coalesce(F.array_join(F.transform(ordered, lambda s: s["v"]), sep), F.lit(""))
 
 
-def order_summary(master: DataFrame, order: str = ROW_ORDER, null_numbers: bool = True) -> DataFrame:
-    """B01 order summary grouped by ``order_sn``."""
+def large_groups(lines: DataFrame, most: int = LIST_LINES) -> DataFrame | None:
+    """Order numbers of more than ``most`` lines, or None if there are none. Reads one column; the counts are combined
+    in the map tasks, and the few numbers that are left are written to the checkpoint folder."""
+    large = lines.groupBy("order_sn").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select("order_sn")
+    checkpoint_dir(lines.sparkSession)
+    large = large.checkpoint()
+    return None if large.isEmpty() else large
+
+
+def _summary(lines: DataFrame, order: str, lists: bool) -> DataFrame:
     first = F.min_by(F.struct(*[F.col(c) for c in SUMMARY_FIRST_COLUMNS]), F.col(order))
-    agg = numbered(master, null_numbers).groupBy("order_sn").agg(
+    agg = lines.groupBy("order_sn").agg(
         first.alias("__first"),
-        ordered_join("product_name", order).alias("product_name_list"),
-        ordered_join("product_sku_main", order).alias("product_sku_main_list"),
+        *([ordered_join(c, order).alias(name) for name, c in _LISTS.items()] if lists else []),
         F.sum(F.coalesce(F.col("quantity"), F.lit(0))).cast("bigint").alias("total_quantity"),
         F.sum(F.coalesce(F.col("return_quantity"), F.lit(0))).cast("bigint").alias("total_return_quantity"),
     )
     return agg.select("order_sn", *[F.col(f"__first.{c}").alias(c) for c in SUMMARY_FIRST_COLUMNS],
-                      "product_name_list", "product_sku_main_list", "total_quantity",
-                      "total_return_quantity")
+                      *[F.col(name) if lists else F.lit(None).cast("string").alias(name) for name in _LISTS],
+                      "total_quantity", "total_return_quantity")
+
+
+def order_summary(master: DataFrame, order: str = ROW_ORDER, null_numbers: bool = True,
+                  list_lines: int = LIST_LINES) -> DataFrame:
+    """B01 order summary grouped by ``order_sn``.
+
+    Groups of more than ``list_lines`` lines have null lists (see
+    ``order_product_lists``) and everything else; finding them counts the lines
+    of each number when this is called."""
+    lines = numbered(master, null_numbers)
+    large = large_groups(lines, list_lines)
+    if large is None:
+        return _summary(lines, order, True)
+    return _summary(lines.join(large, "order_sn", "left_anti"), order, True).unionByName(
+        _summary(lines.join(large, "order_sn", "left_semi"), order, False))
+
+
+def _ranked(lines: DataFrame, order: str) -> DataFrame:
+    """Lines of large groups with ``__rank``, their place in the group from 0, in order of ``order``, name and SKU.
+
+    Sorted ranges hold a bounded number of lines, however many a group has; a
+    line's rank is the group's lines in the ranges before and its place in its
+    own range. The ranges are written once, so that all steps see the same."""
+    by = [order, *_LISTS.values()]
+    lines = lines.select("order_sn", *by, F.monotonically_increasing_id().alias("__tie"))
+    ranges = (lines.repartitionByRange("order_sn", *by, "__tie").withColumn("__part", F.spark_partition_id()).checkpoint())
+    parts = ranges.groupBy("order_sn", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("order_sn").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("order_sn", "__part", F.coalesce(before, F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("order_sn", "__part").orderBy(*by, "__tie"))
+    return (ranges.withColumn("__place", place).join(parts, ["order_sn", "__part"])
+            .withColumn("__rank", F.col("__before") + F.col("__place") - 1))
+
+
+def order_product_lists(master: DataFrame, order: str = ROW_ORDER, null_numbers: bool = True,
+                        list_lines: int = LIST_LINES) -> DataFrame:
+    """The lists of every group, of whatever size: order_sn, chunk (from 0), lines, product_name_list,
+    product_sku_main_list.
+
+    A chunk holds ``list_lines`` lines of its group, the last one the rest; the
+    chunks' lists joined by ``;`` in order (but for empty ones) are the whole
+    list. A missing order number counts as ''."""
+    lines = numbered(master, null_numbers)
+    large = large_groups(lines, list_lines)
+    columns = ["order_sn", "chunk", F.col("lines").cast("bigint").alias("lines"), *_LISTS]
+
+    def lists(df: DataFrame, keys, by: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"),
+                                     *[ordered_join(c, by).alias(name) for name, c in _LISTS.items()])
+    small = lines if large is None else lines.join(large, "order_sn", "left_anti")
+    whole = lists(small, ["order_sn"], order).withColumn("chunk", F.lit(0).cast("bigint")).select(*columns)
+    if large is None:
+        return whole
+    ranked = _ranked(lines.join(large, "order_sn", "left_semi"), order).withColumn(
+        "chunk", F.floor(F.col("__rank") / list_lines).cast("bigint"))
+    return whole.unionByName(lists(ranked, ["order_sn", "chunk"], "__rank").select(*columns))
 
 
 def order_details(master: DataFrame) -> DataFrame:

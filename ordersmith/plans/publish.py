@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordersmith.session import path_size, remove_path
@@ -29,13 +29,14 @@ def _replace(df: DataFrame, database: str, name: str, fmt: str) -> tuple[int, in
 
     The files lie in a fresh folder of the database, so a folder left by an
     earlier session is no obstacle, and the table keeps its old content until
-    the new one has been written and counted."""
+    the new one has been written; its rows are counted while they are written."""
     spark, target = df.sparkSession, f"`{database}`.`{name}`"
     base = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
-    df.write.format(fmt).save(path)
+    written = Observation()                      # counted in the writing tasks, once for each that succeeds
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.format(fmt).save(path)
     stored = spark.read.format(fmt).load(path)
-    rows, size = stored.count(), path_size(spark, path)
+    rows, size = written.get["rows"], path_size(spark, path)
     before = _location(spark, target) if spark.catalog.tableExists(f"{database}.{name}") else None
     if before and spark.table(target).schema == stored.schema:
         spark.sql(f"ALTER TABLE {target} SET LOCATION '{path}'")

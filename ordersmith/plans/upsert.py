@@ -29,6 +29,7 @@ side. Master, orphans and statistics all derive from that one result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,7 @@ from ordersmith.functions import scalars as X
 from ordersmith.operators.joins import key_condition
 from ordersmith.operators.windows import union_all
 from ordersmith.schema import ORDER_KEY
+from ordersmith.session import checkpoint_dir
 
 _K = ["__k_date", "__k_sn", "__k_buyer"]
 
@@ -151,3 +153,48 @@ def upsert_statistics(old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDE
     """Orders and lines per outcome: ``kept_outside_span``, ``replaced``,
     ``orphaned`` (old side) and ``inserted`` (new side)."""
     return outcome_statistics(with_outcome(old, new, keys, span), new, keys)
+
+
+class OrderUpsert:
+    """Q1, Q2 and A16 of one batch from one join: span, marked old lines, ``master``, ``orphans`` and ``statistics``.
+
+    The batch and the marked old lines are written to the shared checkpoint
+    folder on first use, so that a job that needs several of these results reads
+    each side once; give it only the columns that the results need.
+    """
+
+    def __init__(self, old: DataFrame, new: DataFrame, keys: Sequence[str] = ORDER_KEY, drop_orphans: bool = False,
+                 run_ts: str | None = None):
+        self.old, self.new, self.keys = old, new, list(keys)
+        self.drop_orphans, self.run_ts = drop_orphans, run_ts
+        checkpoint_dir(old.sparkSession)
+
+    @cached_property
+    def batch(self) -> DataFrame:
+        return self.new.checkpoint()
+
+    @cached_property
+    def span(self) -> NewSpan:
+        return new_date_span(self.batch, self.keys[0])
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        old = with_order_key(self.old, self.keys).withColumn("__may", F.coalesce(may_change(self.span, self.keys[0]), F.lit(False)))
+        nk = _new_keys(self.batch, self.keys).select(*[F.col(c).alias(f"__new{c}") for c in _K], F.lit(True).alias("__hit"))
+        same = key_condition(old, nk, _K, [f"__new{c}" for c in _K])
+        outcome = (F.when(F.col("__hit").isNotNull(), "replaced")
+                    .when(F.col("__may") & in_span(self.span, self.keys[0]), "orphaned").otherwise("kept_outside_span"))
+        return old.join(nk, same & F.col("__may"), "left").select(*self.old.columns, outcome.alias(OUTCOME)).checkpoint()
+
+    @property
+    def master(self) -> DataFrame:
+        gone = ["replaced", "orphaned"] if self.drop_orphans else ["replaced"]
+        return union_all([self.outcomes.filter(~F.col(OUTCOME).isin(gone)).drop(OUTCOME), self.batch])
+
+    @property
+    def orphans(self) -> DataFrame:
+        return orphan_rows(self.outcomes, self.run_ts)
+
+    @property
+    def statistics(self) -> DataFrame:
+        return outcome_statistics(self.outcomes, self.batch, self.keys)

@@ -20,6 +20,7 @@ from ordersmith.operators.filters import in_date_range
 from ordersmith.operators.windows import first_per_key
 from ordersmith.plans.marts import numbered
 from ordersmith.schema import VOUCHER_BIN_EDGES
+from ordersmith.session import checkpoint_dir
 
 VOUCHER_COLUMNS = ["seller_voucher", "voucher"]
 
@@ -109,34 +110,62 @@ class VoucherUsage:
         return step_counts(self.df, self.start, self.end, self.order_col)
 
 
-MEDIAN_RANGES = 1024
-
-
-def grouped_median(df: DataFrame, group: str, value: str, alias: str) -> DataFrame:
-    """Exact median of ``value`` per group without gathering a group in one task.
-
-    Equal values are counted first; each group's value range is split into
-    ``MEDIAN_RANGES`` equal parts, whose running counts show the part that each
-    of the (one or two) middle ranks falls into, and only that part is ordered."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
-    bounds = counts.groupBy(group).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"),
-                                       F.sum("__n").alias("__total"))
-    part = F.when(F.col("__hi") > F.col("__lo"), F.floor(
-        (F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * (MEDIAN_RANGES - 1))).otherwise(0)
-    parted = counts.join(bounds, group).withColumn("__part", part)
-    w = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = (parted.groupBy(group, "__part", "__total").agg(F.sum("__n").alias("__in"))
-             .withColumn("__upto", F.sum("__in").over(w)))
-    rank = F.explode(F.array_distinct(F.array(F.floor((F.col("__total") + 1) / 2), F.floor(F.col("__total") / 2) + 1)))
-    middle = parts.withColumn("__rank", rank).filter(
-        (F.col("__rank") <= F.col("__upto")) & (F.col("__rank") > F.col("__upto") - F.col("__in")))
-    inner = (parted.select(group, "__part", value, "__n")
-             .join(middle.select(group, "__part", "__rank", (F.col("__upto") - F.col("__in")).alias("__before")),
-                   [group, "__part"]))
-    v = Window.partitionBy(group, "__part", "__rank").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    at = (inner.withColumn("__upto", F.col("__before") + F.sum("__n").over(v))
-          .filter((F.col("__rank") <= F.col("__upto")) & (F.col("__rank") > F.col("__upto") - F.col("__n"))))
+#: Rows between the bounds of a median that are ordered; while there are more, the bounds are drawn closer.
+MEDIAN_ROWS = 100_000
+_STEPS, _ACCURACY = 200, 2000       # splitters of a sketch, and its accuracy: ranks are off by 1 / 2000 at most
+
+
+def median_bounds(rows: DataFrame, group: str, value: str, most: int = MEDIAN_ROWS) -> DataFrame:
+    """Per group: ``lo`` and ``hi`` around its middle ranks, rows ``below`` lo, ``inside`` and ``total``.
+
+    A quantile sketch, which tasks make and merge, gives splitters; the rows
+    between the two around the middle are counted exactly and become the next
+    sketch's input until at most ``most`` are left or all are equal. So each
+    pass leaves about a hundredth of the rows, however they are spread. One
+    number a round comes to the driver."""
+    state = rows.groupBy(group).agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.lit(0).cast("long").alias("below"),
+                                    F.count(F.lit(1)).alias("inside"), F.count(F.lit(1)).alias("total")).checkpoint()
+    steps = F.lit([i / _STEPS for i in range(_STEPS + 1)])
+    inside = F.col(value).between(F.col("lo"), F.col("hi"))
+    slack = F.lit(2.0 / _ACCURACY)
+    while True:
+        wide = state.filter((F.col("inside") > most) & (F.col("lo") < F.col("hi")))
+        if wide.isEmpty():
+            return state
+        sketch = rows.join(wide, group).filter(inside).groupBy(group).agg(F.percentile_approx(value, steps, _ACCURACY).alias("s"))
+        place = lambda rank: (rank - F.col("below")) / F.col("inside")
+        first = F.greatest(F.floor((place(F.floor((F.col("total") + 1) / 2)) - slack) * _STEPS), F.lit(0)).cast("int")
+        last = F.least(F.ceil((place(F.floor(F.col("total") / 2) + 1) + slack) * _STEPS), F.lit(_STEPS)).cast("int")
+        closer = wide.join(sketch, group).select(
+            group, F.col("lo").alias("lo0"), F.col("hi").alias("hi0"), "below", "total",
+            F.when(first > 0, F.element_at("s", first + 1)).otherwise(F.col("lo")).alias("lo"),
+            F.when(last < _STEPS, F.element_at("s", last + 1)).otherwise(F.col("hi")).alias("hi")).checkpoint()
+        counts = rows.join(closer.select(group, "lo", "hi", "lo0", "hi0"), group).filter(
+            F.col(value).between(F.col("lo0"), F.col("hi0"))).groupBy(group).agg(
+            F.count_if(F.col(value) < F.col("lo")).alias("more"), F.count_if(inside).alias("inside"))
+        drawn = closer.join(counts, group).select(group, "lo", "hi", (F.col("below") + F.col("more")).alias("below"), "inside",
+                                                  "total", ((F.col("lo") > F.col("lo0")) | (F.col("hi") < F.col("hi0"))).alias("moved"))
+        drawn = drawn.checkpoint()
+        if drawn.filter("moved").isEmpty():
+            return state                                  # few values, each on very many rows
+        state = state.join(drawn.select(group), group, "left_anti").unionByName(drawn.drop("moved")).checkpoint()
+
+
+def grouped_median(df: DataFrame, group: str, value: str, alias: str, most: int = MEDIAN_ROWS) -> DataFrame:
+    """Exact median of ``value`` per group (null groups and values ignored) without ordering a group in one task.
+
+    The rows are written to the checkpoint folder once; only those between the
+    bounds of ``median_bounds`` are ordered, equal ones as one."""
+    checkpoint_dir(df.sparkSession)
+    rows = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull()).select(group, value).checkpoint()
+    bounds = median_bounds(rows, group, value, most)
+    counts = (rows.join(bounds, group).filter(F.col(value).between(F.col("lo"), F.col("hi")))
+              .groupBy(group, value, "below", "total").agg(F.count(F.lit(1)).alias("__n")))
+    w = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = counts.withColumn("__upto", F.col("below") + F.sum("__n").over(w))
+    rank = F.explode(F.array_distinct(F.array(F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1)))
+    at = upto.withColumn("__rank", rank).filter(
+        (F.col("__rank") <= F.col("__upto")) & (F.col("__rank") > F.col("__upto") - F.col("__n")))
     return at.groupBy(group).agg(F.avg(value).alias(alias))
 
 
@@ -147,14 +176,14 @@ def voucher_usage(df: DataFrame, start: str, end: str, columns: Sequence[str] =
 
 
 def step_counts(df: DataFrame, start: str, end: str, order_col: str = "row_no") -> DataFrame:
-    """Rows at each step (input lines, first lines per order, in range)."""
-    firsts = first_per_key(numbered(df), ["order_sn"], [order_col])
-    in_range = in_date_range("order_date", start, end)
-    a = df.agg(F.count(F.lit(1)).cast("bigint").alias("input_lines"))
-    b = firsts.agg(F.count(F.lit(1)).cast("bigint").alias("orders"),
-                   F.count_if(in_range).cast("bigint").alias("orders_in_range"))
-    return a.unpivot([], ["input_lines"], "step", "rows").unionByName(
-        b.unpivot([], ["orders", "orders_in_range"], "step", "rows"))
+    """Rows at each step (input lines, first lines per order, in range), all counted in one pass over the lines:
+    an order adds its lines, itself and, by its first line's day, its place in the range."""
+    per_order = numbered(df).groupBy("order_sn").agg(F.count(F.lit(1)).alias("__lines"),
+                                                     F.min_by("order_date", order_col).alias("order_date"))
+    counts = per_order.agg(F.coalesce(F.sum("__lines"), F.lit(0)).cast("bigint").alias("input_lines"),
+                           F.count(F.lit(1)).cast("bigint").alias("orders"),
+                           F.count_if(in_date_range("order_date", start, end)).cast("bigint").alias("orders_in_range"))
+    return counts.unpivot([], ["input_lines", "orders", "orders_in_range"], "step", "rows")
 
 
 def top_per_column(counts: DataFrame, n: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordersmith.plans import marts
-from ordersmith.schema import MASTER_COLUMNS, column_type
+from ordersmith.schema import COLUMN_DESCRIPTIONS, MASTER_COLUMNS, column_type
 from ordersmith.sources import testdata as td
 from pyspark.sql import types as T
 
@@ -548,10 +548,11 @@ def q_date_gaps(spark, sf_dir):
 # after a second batch in which the pending orders come back without their
 # returned lines.
 def _cancel_inputs(spark, sf_dir):
-    old, new = upsert_old(spark, sf_dir), upsert_new(spark, sf_dir)
+    cols = ["order_date", "order_sn", "buyer_username", "product_name"]      # what the check looks at
+    first = U.OrderUpsert(upsert_old(spark, sf_dir).select(*cols), upsert_new(spark, sf_dir).select(*cols), run_ts=RUN_TS)
     back = td.order_master(spark, sf_dir, NEW_AS_OF).filter(
-        (F.col("order_status") == "P") & (F.col("return_quantity") == 0))
-    return U.upsert_orders(U.upsert_orders(old, new), back), U.find_orphans(old, new, run_ts=RUN_TS)
+        (F.col("order_status") == "P") & (F.col("return_quantity") == 0)).select(*cols)
+    return U.OrderUpsert(first.master, back).master, first.orphans
 
 
 _NB = ("coalesce(CAST(order_date AS VARCHAR), '') <> '' AND coalesce(order_sn, '') <> '' "
@@ -607,30 +608,20 @@ def q_cancellation_summary(spark, sf_dir):
     return AU.cancellation_check(*_cancel_inputs(spark, sf_dir)).summary
 
 
-@register("invalid_dates", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+_INVALID_DATES_SQL = f"""WITH ol AS ({td.ORDER_LINES_SQL}),
 sheet AS (SELECT ol.order_sn, CASE WHEN ol.order_status = 'P' THEN '-' ELSE CAST(ol.order_date AS VARCHAR) END AS order_date
-          FROM ol WHERE ol.order_date >= DATE '1998-01-01')
+          FROM ol)
 SELECT order_sn, order_date FROM sheet
 WHERE TRY_CAST(trim(order_date) AS DATE) IS NULL AND try_strptime(trim(order_date), '%Y/%m/%d') IS NULL
-  AND try_strptime(trim(order_date), '%Y%m%d') IS NULL AND try_strptime(trim(order_date), '%m/%d/%Y') IS NULL""")
-def q_invalid_dates(spark, sf_dir):
-    return _invalid_dates(td.raw_sheet_export(spark, sf_dir, td.SHEET_FROM))
-
+  AND try_strptime(trim(order_date), '%Y%m%d') IS NULL AND try_strptime(trim(order_date), '%m/%d/%Y') IS NULL"""
 
-def _invalid_dates(raw):
-    return AU.invalid_dates(
-        raw.select(F.col("訂單編號(從這邊貼上)").alias("order_sn"), F.col("訂單日期").alias("order_date")))
 
-
-@register("invalid_dates_all", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
-sheet AS (SELECT ol.order_sn, CASE WHEN ol.order_status = 'P' THEN '-' ELSE CAST(ol.order_date AS VARCHAR) END AS order_date
-          FROM ol)
-SELECT order_sn, order_date FROM sheet
-WHERE TRY_CAST(trim(order_date) AS DATE) IS NULL AND try_strptime(trim(order_date), '%Y/%m/%d') IS NULL
-  AND try_strptime(trim(order_date), '%Y%m%d') IS NULL AND try_strptime(trim(order_date), '%m/%d/%Y') IS NULL""")
-def q_invalid_dates_all(spark, sf_dir):
-    """The same audit over all orders, whatever their day."""
-    return _invalid_dates(td.raw_sheet_export(spark, sf_dir))
+@register("invalid_dates_all", _INVALID_DATES_SQL)
+@register("invalid_dates", _INVALID_DATES_SQL)
+def q_invalid_dates(spark, sf_dir):
+    """Q15 over the sheet of all orders, whatever their day (under both names that it has had)."""
+    return AU.invalid_dates(td.raw_sheet_export(spark, sf_dir).select(
+        F.col("訂單編號(從這邊貼上)").alias("order_sn"), F.col("訂單日期").alias("order_date")))
 
 
 # ------------------------------------------------------------------ profile (Q16)
@@ -866,6 +857,13 @@ def q_publish_marts(spark, sf_dir):
     return manifest.select("table", "status", "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
+@register("published_summary", ORACLES["order_summary"])
+def q_published_summary(spark, sf_dir):
+    """The order summary as the catalog has it after it has been published."""
+    publish(spark, {"b01_orders_published": marts.order_summary(master(spark, sf_dir))}, PUBLISH_DATABASE)
+    return spark.table(f"{PUBLISH_DATABASE}.b01_orders_published")
+
+
 # ------------------------------------------------------------ parse statistics
 @register("clean_parse_stats", f"""
 SELECT shop_name, CAST(count(*) AS BIGINT) AS rows, CAST(count(order_date) AS BIGINT) AS dated_rows,
@@ -880,25 +878,81 @@ def q_clean_parse_stats(spark, sf_dir):
 
 
 # ============================================================ streaming ingest (S16 + Q3 + Q1)
-@register("dropfolder_ingest", f"SELECT * EXCLUDE (row_no) REPLACE (nullif(voucher, '') AS voucher) FROM ({ORACLES['clean_orders']}) t")
+# lines of an order in the order of their places in the file
+_PLACED = "SELECT * EXCLUDE (row_no) REPLACE (nullif(voucher, '') AS voucher), row_no AS line_no"
+
+
+def _line_no(df):
+    """Stored lines with their number in the order by ``row_no``, which is a place in a file."""
+    from pyspark.sql import Window
+    return df.withColumn("line_no", F.row_number().over(Window.partitionBy("order_sn").orderBy("row_no")).cast("bigint")).drop("row_no")
+
+
+def _in_file_order(raw):
+    """One part an export, its lines by order and line number."""
+    sn = F.col(td.raw_source("order_sn"))
+    return raw.repartition("file_name").sortWithinPartitions("file_name", sn, "row_no").drop("row_no")
+
+
+@register("dropfolder_ingest", f"{_PLACED} FROM ({ORACLES['clean_orders']}) t")
 def q_dropfolder_ingest(spark, sf_dir):
     """The export lines land as CSV files in a fresh inbox (one folder per
     export file, named ``file_name=<export name>``); the drop-folder stream
-    cleans and upserts them into a stored master; returns that master."""
+    cleans and upserts them into a stored master; returns that master, its
+    lines numbered by their places in the files."""
     import uuid
     from ordersmith.session import shared_path
     from ordersmith.sources.sinks import read_master
     from ordersmith.streaming.dropfolder import start_dropfolder_ingest
     run = shared_path(spark, "dropfolder-query", uuid.uuid4().hex)
-    raw = td.raw_order_exports(spark, sf_dir).drop("row_no")
+    raw = _in_file_order(td.raw_order_exports(spark, sf_dir))
     raw.write.option("header", True).partitionBy("file_name").csv(f"{run}/inbox")
     headers = [c for c in raw.columns if c != "file_name"]
     q = start_dropfolder_ingest(spark, f"{run}/inbox", headers, f"{run}/master", f"{run}/orphans",
                                 f"{run}/archive", checkpoint_location=f"{run}/stream", as_of=AS_OF)
     q.awaitTermination()
-    return read_master(spark, f"{run}/master").drop("row_no")
+    return _line_no(read_master(spark, f"{run}/master"))
+
+
+def _named_files(spark, folder: str, to: str) -> None:
+    """Move the one file of every ``file_name=<export>`` folder to ``to``, under the export's name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(to))
+    for d in fs.listStatus(path(folder)):
+        name = d.getPath().getName()
+        if name.startswith("file_name="):
+            for f in fs.listStatus(d.getPath()):
+                if f.getPath().getName().startswith("part-"):
+                    fs.rename(f.getPath(), path(f"{to}/{name[len('file_name='):].replace('.xlsx', '.csv')}"))
+
+
+_LATE_SHOP = "NATION_5"      # its export comes after the first run
 
 
+@register("drop_ingest_ledger", f"SELECT t.*, CASE WHEN shop_name = '{_LATE_SHOP.replace('_', '-')}' THEN 'r2' ELSE 'r1' END AS run_id "
+          f"FROM ({_PLACED.replace('AS voucher)', 'AS voucher, nullif(seller_voucher, ' + chr(39) + 'N/A' + chr(39) + ') AS seller_voucher)')} FROM ({ORACLES['clean_orders']}) c) t")
+def q_drop_ingest_ledger(spark, sf_dir):
+    """A drop is ingested, a file is added and the drop is ingested again, twice: all stored lines with their
+    numbers by place in the file, and the run that the ledger has for their file."""
+    import uuid
+    from ordersmith.plans.drops import ingest_drop, read_ledger
+    from ordersmith.session import shared_path
+    from ordersmith.sources.sinks import read_master
+    run = shared_path(spark, "drop-query", uuid.uuid4().hex)
+    raw = _in_file_order(td.raw_order_exports(spark, sf_dir))
+    late = F.col("file_name").startswith(_LATE_SHOP.replace("_", "-") + "_")
+    for i, part in enumerate((raw.filter(~late), raw.filter(late), None), 1):
+        if part is not None:
+            part.write.option("header", True).partitionBy("file_name").csv(f"{run}/written-{i}")
+            _named_files(spark, f"{run}/written-{i}", f"{run}/inbox")
+        ingest_drop(spark, f"{run}/inbox", f"{run}/master", f"{run}/ledger", f"{run}/orphans", run_id=f"r{i}", as_of=AS_OF,
+                    run_ts=RUN_TS)
+    name = F.element_at(F.split("file_path", "/"), -1)
+    runs = read_ledger(spark, f"{run}/ledger").filter("state = 'committed'").select(
+        F.substring_index(name, "_", 1).alias("shop_name"), "run_id")
+    return _line_no(read_master(spark, f"{run}/master")).join(runs, "shop_name", "left")
+
 
 # ============================================================ stored upsert
 import uuid  # noqa: E402
@@ -1027,15 +1081,45 @@ m0 AS ({master_select_sql(AS_OF)}),
 master AS (SELECT * REPLACE (CASE WHEN order_status = 'P' THEN '' ELSE order_sn END AS order_sn,
              row_number() OVER (ORDER BY order_sn, row_no) AS row_no) FROM m0)
 SELECT order_sn, first(order_date ORDER BY row_no) AS order_date,
-  CASE WHEN order_sn = '' THEN '' ELSE {_ordered_join_sql('product_name')} END AS product_name_list,
+  {_ordered_join_sql('product_name')} AS product_name_list,
   CAST(sum(quantity) AS BIGINT) AS total_quantity
 FROM master GROUP BY order_sn""")
 def q_order_summary_blank_numbers(spark, sf_dir):
-    """Pending lines have a null or an empty order number: one group, without lists."""
+    """Pending lines have a null or an empty order number: one group, with its lists."""
     m = _blank_numbers(spark, sf_dir)
     return marts.order_summary(m).select("order_sn", "order_date", "product_name_list", "total_quantity")
 
 
+CHUNK_LINES = 500       # so that the group of pending lines has many chunks
+
+
+@register("order_product_lists", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+m0 AS ({master_select_sql(AS_OF)}),
+master AS (SELECT * REPLACE (CASE WHEN order_status = 'P' THEN '' ELSE order_sn END AS order_sn,
+             row_number() OVER (ORDER BY order_sn, row_no) AS row_no) FROM m0),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY order_sn ORDER BY row_no) - 1) // {CHUNK_LINES} AS chunk FROM master)
+SELECT order_sn, CAST(chunk AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS lines,
+  {_ordered_join_sql('product_name')} AS product_name_list, {_ordered_join_sql('product_sku_main')} AS product_sku_main_list
+FROM placed GROUP BY order_sn, chunk""")
+def q_order_product_lists(spark, sf_dir):
+    """Lists of all groups, the pending lines' one in many chunks."""
+    return marts.order_product_lists(_blank_numbers(spark, sf_dir), list_lines=CHUNK_LINES)
+
+
+@register("order_product_lists_joined", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+m0 AS ({master_select_sql(AS_OF)}),
+master AS (SELECT * REPLACE (CASE WHEN order_status = 'P' THEN '' ELSE order_sn END AS order_sn,
+             row_number() OVER (ORDER BY order_sn, row_no) AS row_no) FROM m0)
+SELECT order_sn, {_ordered_join_sql('product_name')} AS product_name_list,
+       {_ordered_join_sql('product_sku_main')} AS product_sku_main_list
+FROM master GROUP BY order_sn""")
+def q_order_product_lists_joined(spark, sf_dir):
+    """The chunks put together again (here each group fits): the whole lists of all groups."""
+    chunks = marts.order_product_lists(_blank_numbers(spark, sf_dir), list_lines=CHUNK_LINES)
+    return chunks.groupBy("order_sn").agg(*[
+        marts.ordered_join(c, "chunk").alias(c) for c in ("product_name_list", "product_sku_main_list")])
+
+
 def _blank_numbers(spark, sf_dir):
     from pyspark.sql import Window
     m = master(spark, sf_dir)
@@ -1217,6 +1301,174 @@ def q_csv_ingest_headers_files(spark, sf_dir):
                         "repeated").distinct()
 
 
+# ============================================================ CSV with a byte-order mark
+_MARKED_COLS = ["order_sn", "shop_name", "order_date", "product_name", "quantity", "total_amount_paid_by_buyer", "row_no"]
+
+
+@register("csv_with_mark", with_master(f"SELECT {_cols(_MARKED_COLS)}, 'EFBBBF' AS mark FROM master"))
+def q_csv_with_mark(spark, sf_dir):
+    """The master's lines written as marked CSV files and read again, each with the first three bytes of its file."""
+    run = _fresh_folder(spark, "marked")
+    m = master(spark, sf_dir).select(*_MARKED_COLS)
+    sinks.write_csv_with_mark(m, run)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(run).select(
+        F.col("_metadata.file_name").alias("__file"), F.hex(F.substring("content", 1, 3)).alias("mark"))
+    back = readers.read_csv_typed(spark, run, m.schema).select("*", F.col("_metadata.file_name").alias("__file"))
+    return back.join(files, "__file", "left").drop("__file")
+
+
+# ============================================================ inferred types, header and plain scans
+def _plain_csv(spark, sf_dir) -> str:
+    run = _fresh_folder(spark, "plain")
+    raw = td.raw_order_exports(spark, sf_dir)
+    day = F.col(td.raw_source("order_creation_timestamp")).substr(1, 10)
+    status = F.col(td.raw_source("order_status"))
+    raw = raw.drop("file_name", "row_no").withColumn("day", F.when(status == "P", F.lit("-")).otherwise(day)).withColumn(
+        "day_or_time", F.when(status == "P", F.col(td.raw_source("order_creation_timestamp"))).otherwise(day)).withColumn(
+        "count_or_rate", F.when(status == "P", F.lit("0.5")).otherwise(F.col(td.raw_source("quantity"))))
+    sinks.write_overwrite(raw, run, "csv")
+    return run
+
+
+# column -> its text in the lines' own terms
+_PLAIN_CELLS = {td.raw_source(c): x for c, x in [
+    ("order_sn", "order_sn"), ("order_status", "order_status"), ("buyer_username", "buyer_username"),
+    ("order_creation_timestamp", "strftime(order_creation_timestamp, '%Y-%m-%d %H:%M:%S')"),
+    ("actual_shipping_timestamp", "strftime(actual_shipping_timestamp, '%Y-%m-%d %H:%M:%S')"),
+    ("product_total_price", "product_total_price_raw"), ("total_amount_paid_by_buyer", "CAST(total_amount_paid_by_buyer AS VARCHAR)"),
+    ("product_name", "product_name"), ("product_sku_main", "product_sku_main"), ("product_sku_variation", "product_sku_variation"),
+    ("quantity", "CAST(quantity AS VARCHAR)"), ("return_quantity", "CAST(return_quantity AS VARCHAR)"),
+    ("seller_voucher", "seller_voucher"), ("voucher", "voucher")]} | {
+    "day": "CASE WHEN order_status = 'P' THEN '-' ELSE strftime(order_creation_timestamp, '%Y-%m-%d') END",
+    "day_or_time": "CASE WHEN order_status = 'P' THEN strftime(order_creation_timestamp, '%Y-%m-%d %H:%M:%S') "
+                   "ELSE strftime(order_creation_timestamp, '%Y-%m-%d') END",
+    "count_or_rate": "CASE WHEN order_status = 'P' THEN '0.5' ELSE CAST(quantity AS VARCHAR) END"}
+
+
+def _kind_sql(x: str) -> str:
+    return (f"CASE WHEN trim({x}) = '' OR {x} IS NULL THEN NULL WHEN regexp_matches(trim({x}), '^[+-]?[0-9]{{1,18}}$') THEN 'integer' "
+            f"WHEN TRY_CAST(trim({x}) AS DOUBLE) IS NOT NULL AND regexp_matches(trim({x}), '^[-+0-9.eE]+$') THEN 'decimal' "
+            f"WHEN length(trim({x})) = 10 AND TRY_CAST(trim({x}) AS DATE) IS NOT NULL THEN 'date' "
+            f"WHEN length(trim({x})) > 10 AND TRY_CAST(trim({x}) AS TIMESTAMP) IS NOT NULL THEN 'timestamp' ELSE 'text' END")
+
+
+@register("csv_inferred_types", f"""WITH ol AS ({td.ORDER_LINES_SQL}),
+cells AS ({" UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS column_name, {_kind_sql(x)} AS kind FROM ol" for i, (c, x) in enumerate(_PLAIN_CELLS.items()))}),
+n AS (SELECT position, column_name, count(kind) AS "values", count(*) FILTER (kind = 'integer') AS integers,
+             count(*) FILTER (kind = 'decimal') AS decimals, count(*) FILTER (kind = 'date') AS dates,
+             count(*) FILTER (kind = 'timestamp') AS timestamps, count(*) FILTER (kind = 'text') AS texts
+      FROM cells GROUP BY ALL),
+t AS (SELECT *, CASE WHEN texts > 0 OR "values" = 0 OR (integers + decimals > 0 AND dates + timestamps > 0) THEN 'text'
+                     WHEN decimals > 0 THEN 'decimal' WHEN integers > 0 THEN 'integer' WHEN timestamps > 0 THEN 'timestamp'
+                     ELSE 'date' END AS inferred FROM n)
+SELECT *, CASE WHEN inferred = 'text' THEN texts + CASE WHEN integers + decimals > 0 AND dates + timestamps > 0
+                 THEN least(integers + decimals, dates + timestamps) ELSE 0 END
+               WHEN integers > 0 AND decimals > 0 THEN decimals WHEN dates > 0 AND timestamps > 0 THEN timestamps ELSE 0 END AS forced
+FROM t""")
+def q_csv_inferred_types(spark, sf_dir):
+    """The kinds of all cells of a CSV export and the types that they give its columns."""
+    return readers.infer_types(spark.read.option("header", True).csv(_plain_csv(spark, sf_dir)))
+
+
+@register("csv_read_inferred", f"""WITH ol AS ({td.ORDER_LINES_SQL})
+SELECT CAST(order_sn AS BIGINT) AS number, quantity, total_amount_paid_by_buyer AS paid, order_creation_timestamp AS created,
+       CASE WHEN order_status = 'P' THEN order_creation_timestamp ELSE date_trunc('day', order_creation_timestamp) END AS day_or_time,
+       CASE WHEN order_status = 'P' THEN 0.5 ELSE CAST(quantity AS DOUBLE) END AS rate, product_total_price_raw AS price
+FROM ol""")
+def q_csv_read_inferred(spark, sf_dir):
+    """The lines of that export, read with the inferred types."""
+    rows = readers.read_csv_inferred(spark, _plain_csv(spark, sf_dir))
+    c = lambda name: F.col(f"`{td.raw_source(name)}`")
+    return rows.select(c("order_sn").alias("number"), c("quantity").alias("quantity"), c("total_amount_paid_by_buyer").alias("paid"),
+                       c("order_creation_timestamp").alias("created"), "day_or_time", F.col("count_or_rate").alias("rate"),
+                       c("product_total_price").alias("price"))
+
+
+@register("csv_header_columns", "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name" for i, c in enumerate(_PLAIN_CELLS)))
+def q_csv_header_columns(spark, sf_dir):
+    """The header of that export."""
+    return readers.header_columns(spark, _plain_csv(spark, sf_dir))
+
+
+@register("csv_keep_empty", f"""WITH ol AS ({td.ORDER_LINES_SQL})
+SELECT order_sn, product_name, coalesce(seller_voucher, '') AS seller_voucher, voucher FROM ol""")
+def q_csv_keep_empty(spark, sf_dir):
+    """Empty cells stay empty text and 'N/A' stays as it is."""
+    rows = readers.read_order_exports(spark, _plain_csv(spark, sf_dir), keep_empty=True)
+    return rows.select(*[F.col(td.raw_source(c)).alias(c) for c in ("order_sn", "product_name", "seller_voucher", "voucher")])
+
+
+@register("csv_plain", with_master(f"SELECT {_cols(_MARKED_COLS)} FROM master"))
+def q_csv_plain(spark, sf_dir):
+    """Lines written over an earlier CSV output, without a mark, and read again."""
+    run = _fresh_folder(spark, "csv-plain")
+    m = master(spark, sf_dir).select(*_MARKED_COLS)
+    sinks.write_overwrite(m.limit(10), run, "csv")
+    sinks.write_overwrite(m, run, "csv")
+    return readers.read_csv_typed(spark, run, m.schema)
+
+
+@register("report_written", ORACLES["date_gaps"])
+def q_report_written(spark, sf_dir):
+    """The gap report as its sink has it."""
+    run = _fresh_folder(spark, "report")
+    sinks.write_overwrite(AU.date_gaps(master(spark, sf_dir), GAP_DAYS), run)
+    return spark.read.parquet(run)
+
+
+# ============================================================ comments, date text, heavy tails
+_COMMENTED = [c for c in MASTER_COLUMNS if c in _OL_COLUMNS]
+
+
+@register("stored_comments", with_master("\nUNION ALL\n".join(
+    "SELECT {} AS position, '{}' AS column_name, '{}' AS data_type, '{}' AS comment, CAST(count({}) AS BIGINT) AS non_nulls FROM master".format(
+        i, c, _SPARK_NAMES[duck_type(column_type(c))], COLUMN_DESCRIPTIONS[c].replace("'", "''"), c) for i, c in enumerate(_COMMENTED))))
+def q_stored_comments(spark, sf_dir):
+    """Types, descriptions and number of values of a published table's columns, as the catalog and its data have them."""
+    publish(spark, {"b00_commented": sinks.with_comments(master(spark, sf_dir).select(*_COMMENTED))}, PUBLISH_DATABASE)
+    stored = spark.table(f"{PUBLISH_DATABASE}.b00_commented")
+    named = spark.createDataFrame([(f.name, f.metadata.get("comment")) for f in stored.schema.fields], "column_name string, comment string")
+    return column_types(stored).join(named, "column_name").select("position", "column_name", "data_type", "comment", "non_nulls")
+
+
+@register("date_texts", with_master("""
+SELECT order_sn, row_no, strftime(order_date, '%Y-%m-%d') AS day, strftime(actual_shipping_timestamp, '%Y/%m/%d %H:%M') AS shipped
+FROM master"""))
+def q_date_texts(spark, sf_dir):
+    """Dates and times as text."""
+    from ordersmith.functions import scalars as X
+    return master(spark, sf_dir).select("order_sn", "row_no", X.day_text("order_date").alias("day"),
+                                        X.minute_text("actual_shipping_timestamp").alias("shipped"))
+
+
+@register("median_heavy_tail", with_master("""
+SELECT shop_name, median(floor(total_amount_paid_by_buyer) * pow(10, quantity % 10)) AS median_amount
+FROM master GROUP BY shop_name"""))
+def q_median_heavy_tail(spark, sf_dir):
+    """Exact medians of amounts over ten orders of magnitude, with bounds that hold few of each shop's rows."""
+    amount = F.floor("total_amount_paid_by_buyer").cast("double") * F.pow(F.lit(10.0), F.col("quantity") % 10)
+    lines = master(spark, sf_dir).select("shop_name", amount.alias("amount"))
+    return V.grouped_median(lines, "shop_name", "amount", "median_amount", most=200)
+
+
+@register("fuzzy_matches", """
+WITH names AS (SELECT DISTINCT c_name AS r FROM customer),
+l AS (SELECT DISTINCT 'Custmer' || substr(c_name, 9) AS l FROM customer WHERE c_custkey % 2 = 0
+      UNION SELECT DISTINCT substr(c_name, 1, 9) || substr(c_name, 11) || 'x' FROM customer WHERE c_custkey % 2 = 1),
+own AS (SELECT l, r, 1.0 - levenshtein(r, l) / greatest(length(l), length(r)) AS score FROM l JOIN names
+        ON levenshtein(r, l) <= 2 OR 1.0 - levenshtein(r, l) / greatest(length(l), length(r)) >= 0.85),
+best AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY score DESC, r DESC) AS n FROM own WHERE score >= 0.85)
+SELECT l AS left_name, r AS right_name, round(score, 6) AS score FROM best WHERE n = 1""")
+def q_fuzzy_matches(spark, sf_dir):
+    """J9 on look-alike names: misspelt customers and the customer that each is closest to, by the segment index."""
+    from ordersmith.operators.joins import best_matches
+    c = td.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    slip = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("Custmer"), F.substr("c_name", F.lit(9)))).otherwise(
+        F.concat(F.substring("c_name", 1, 9), F.substr("c_name", F.lit(11)), F.lit("x")))
+    return best_matches(c.select(slip.alias("l")), c.select("c_name"), 0.85, few_pairs=0).withColumn("score", F.round("score", 6))
+
+
 # ============================================================ five recent tables (Q14)
 @register("recent_tables", "\nUNION ALL\n".join(
     f"SELECT '{name}' AS \"table\", CAST(count(*) AS BIGINT) AS rows FROM ({sql}) t{i} "

@@ -28,13 +28,15 @@ from pyspark.sql import types as T
 from ordersmith.operators.joins import key_condition
 from ordersmith.operators.projections import conform
 from ordersmith.operators.windows import union_all
-from ordersmith.plans.upsert import (OUTCOME, NewSpan, in_span, new_date_span, orphan_rows, outcome_statistics,
+from ordersmith.plans.upsert import (OUTCOME, NewSpan, new_date_span, orphan_rows, outcome_statistics,
                                      with_order_key, with_outcome)
-from ordersmith.schema import MASTER_COLUMNS, MASTER_SCHEMA
+from ordersmith.schema import COLUMN_DESCRIPTIONS, MASTER_COLUMNS, MASTER_SCHEMA
 from ordersmith.session import path_exists, remove_path, shared_path
 
 #: Lines that one file of a day holds before the day is split.
 LINES_PER_FILE = 2_000_000
+#: CSV writer options: quotes are doubled, blanks around a cell stay.
+CSV_CELLS = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 STORED_SCHEMA = T.StructType(MASTER_SCHEMA.fields + [T.StructField("row_no", T.LongType())])
 
 
@@ -45,15 +47,33 @@ def read_master(spark: SparkSession, path: str, keep=("row_no",)) -> DataFrame:
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None,
                     header: bool = True) -> None:
-    """Replace the data at ``path`` (CSV gets a header row)."""
+    """Replace the data at ``path`` (CSV gets a header row, and cells as they are)."""
     w = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        w = w.option("header", header)
+        w = w.options(header=header, **CSV_CELLS)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.save(path)
 
 
+def with_comments(df: DataFrame) -> DataFrame:
+    """The master's columns with their descriptions, which stored tables then carry."""
+    return df.select(*[F.col(c).alias(c, metadata={"comment": COLUMN_DESCRIPTIONS[c]}) if c in COLUMN_DESCRIPTIONS else F.col(c)
+                       for c in df.columns])
+
+
+def write_csv_with_mark(df: DataFrame, path: str) -> None:
+    """CSV files that each begin with a byte-order mark and the header, as spreadsheet programs expect UTF-8.
+
+    The mark is the first character of the first header cell, so Spark's own
+    writer and commit protocol make the files. That cell can't be one that has
+    to be quoted."""
+    first = df.columns[0]
+    if not first or first != first.strip() or any(c in first for c in ',"\r\n\\'):
+        raise ValueError(f"the first column's name {first!r} would be quoted behind the mark")
+    (df.withColumnRenamed(first, f"\ufeff{first}").write.mode("overwrite").options(header=True, **CSV_CELLS).csv(path))
+
+
 def append_orphans(orphans: DataFrame, path: str, run_id: str) -> None:
     """The orphan log, one partition per run; re-running a run replaces
     its own partition only (so a retried batch is not logged twice)."""
@@ -107,9 +127,9 @@ def changed_days(old: DataFrame, batch: DataFrame, span: NewSpan, date_col: str
 
 def other_days(old: DataFrame, batch: DataFrame, span: NewSpan, date_col: str = "order_date") -> DataFrame:
     """Old lines dated in the span on days that the batch has no order on: all of them are orphans."""
-    dated = old.filter(in_span(span, date_col) & F.col(date_col).isNotNull())
     if span.global_mode:
-        return dated
+        return old.filter(F.col(date_col).isNotNull())
+    dated = old.filter(F.col(date_col).between(F.lit(span.lo), F.lit(span.hi)))
     return dated.join(F.broadcast(batch_days(batch, span, date_col)), date_col, "left_anti").select(*old.columns)
 
 

@@ -10,10 +10,8 @@ query and its oracle see the same rows:
 * product      = part name / brand / type; line order ``row_no`` per order
 
 The upsert's old and new snapshots, and the sheet and its old master, are
-split by order date and status; together each two hold every line. The sheet
-of ``invalid_dates`` begins at ``SHEET_FROM`` too, as its SQL does;
-``invalid_dates_all`` looks at all orders. Every other input below reads whole
-tables.
+split by order date and status; together each two hold every line. Every other
+input below reads whole tables.
 """
 
 from __future__ import annotations
@@ -187,7 +185,7 @@ def raw_order_exports_misnamed(spark: SparkSession, sf_dir: str) -> DataFrame:
               .drop("__shop", "n_regionkey")
 
 
-# First order day of the sheet export.
+# First order day of the sheet that is merged into the old master of the earlier days.
 SHEET_FROM = "1998-01-01"
 _SHEET_SOURCE = {"shop_name": "店鋪名稱", "buyer_username": "買家帳號", "order_date": "訂單日期",
                  "order_sn": "訂單編號(從這邊貼上)", "order_status": "訂單狀態",

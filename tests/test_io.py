@@ -196,3 +196,50 @@ def test_place_in_file_rises_over_blocks(spark, tmp_path):
     for name, n in (("x.csv", 5000), ("y.csv", 50)):
         own = sorted((r.row_no, r["訂單編號"]) for r in got if r.file_name == name)
         assert [v for _, v in own] == [f"{i:06d}" for i in range(n)] and len({k for k, _ in own}) == n
+
+
+def test_marked_csv(spark, tmp_path):
+    import pytest
+    out = str(tmp_path / "marked")
+    rows = [(1, 'a "b", c'), (2, "x\ny"), (3, None)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    sinks.write_csv_with_mark(df.repartition(3), out)
+    for f in (tmp_path / "marked").glob("part-*.csv"):
+        assert f.read_bytes().startswith(b"\xef\xbb\xbfid,text\n")
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').schema(df.schema).csv(out)
+    assert sorted(map(tuple, back.collect())) == rows
+    sinks.write_csv_with_mark(df.limit(0), out)
+    assert [f.read_bytes() for f in (tmp_path / "marked").glob("part-*.csv")] == [b"\xef\xbb\xbfid,text\n"]
+    with pytest.raises(ValueError):
+        sinks.write_csv_with_mark(df.withColumnRenamed("id", "a,b"), out)
+
+
+def test_ledger_takes_each_file_once_and_after_a_break_again(spark, tmp_path, monkeypatch):
+    import pytest
+    from ordersmith.plans import drops
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    args = (spark, str(inbox), str(tmp_path / "master"), str(tmp_path / "ledger"))
+    head = "訂單編號,數量\n"
+    (inbox / "a_x_Order.all.1.csv").write_text(head + "250601A,1\n250601A,2\n")
+    (inbox / "bad.csv").write_text("數量\n1\n")
+
+    def broken(*a, **k):
+        raise RuntimeError("stopped")
+    with monkeypatch.context() as m:
+        m.setattr(drops, "upsert_into", broken)
+        with pytest.raises(RuntimeError):
+            drops.ingest_drop(*args, run_id="r1")
+    state = lambda: {(r.file_path.rsplit("/", 1)[1][0], r.run_id, r.state) for r in drops.read_ledger(spark, args[3]).collect()}
+    assert state() == {("a", "r1", "claimed"), ("b", "r1", "claimed")}
+    run = drops.ingest_drop(*args, run_id="r2")
+    assert (run.taken, run.rejected) == (1, 1)
+    (inbox / "c_x_Order.all.2.csv").write_text(head + "250602C,5\n")
+    run = drops.ingest_drop(*args, run_id="r3")
+    assert (run.taken, run.rejected) == (1, 1)                      # the file set aside is looked at again
+    (inbox / "a_x_Order.all.1.csv").write_text(head + "250601A,7\n")    # exported again: a new file
+    assert drops.ingest_drop(*args, run_id="r4").taken == 1
+    assert drops.ingest_drop(*args, run_id="r5").taken == 0
+    got = {(r.order_sn, r.quantity) for r in sinks.read_master(spark, args[2]).collect()}
+    assert got == {("250601A", 7), ("250602C", 5)}
+    assert {(f, r) for f, r, s in state() if s == "committed"} == {("a", "r2"), ("c", "r3"), ("a", "r4")}

@@ -20,9 +20,9 @@ def test_summary_semantics(spark):
     a = got["A"]
     assert a.product_name_list == "p1;p2" and a.product_sku_main_list == "s2;s3"
     assert a.total_quantity == 3 and a.total_return_quantity == 1 and a.buyer_note == "note"
-    # null and empty order numbers are one group; its lists stay empty, its lines are returned apart
+    # null and empty order numbers are one group, with its lists; its lines are also returned apart
     assert set(got) == {"A", ""}
-    assert (got[""].product_name_list, got[""].total_quantity, got[""].buyer_note) == ("", 5, "n")
+    assert (got[""].product_name_list, got[""].total_quantity, got[""].buyer_note) == ("q;r", 5, "n")
     assert sorted(r.product_name for r in marts.unnumbered_lines(m).collect()) == ["q", "r"]
 
 
@@ -37,3 +37,42 @@ def test_city_labels_default_map(spark):
     df = spark.createDataFrame([("A", 1, "台北市"), ("B", 1, "Somewhere")], "order_sn string, row_no long, recipient_city string")
     got = {r.order_sn: r.recipient_city for r in marts.order_shipping(conform(df, MASTER_COLUMNS, keep=["row_no"])).collect()}
     assert got == {"A": "Taipei City", "B": "Somewhere"}
+
+
+def test_lists_of_groups_of_any_size(spark):
+    """Groups over the bound leave the mart's lists null and have them in chunks, equal when joined."""
+    rows = [("" if i % 3 else None, i % 50, f"p{i % 7}" if i % 5 else "", f"s{i}") for i in range(400)]   # ties in row_no
+    rows += [("A", 2, "x", ""), ("A", 1, "y", None), ("B", 1, None, "t")]
+    from ordersmith.operators.projections import conform
+    from ordersmith.schema import MASTER_COLUMNS
+    lines = conform(spark.createDataFrame(rows, "order_sn string, row_no long, product_name string, product_sku_main string"),
+                    MASTER_COLUMNS, keep=["row_no"]).withColumn("quantity", F.lit(1).cast("bigint")).repartition(7)
+    whole = {r.order_sn: r for r in marts.order_summary(lines).collect()}
+    cut = {r.order_sn: r for r in marts.order_summary(lines, list_lines=30).collect()}
+    assert whole[""].product_name_list.count(";") == 400 * 4 // 5 - 1 and cut[""].product_name_list is None
+    assert [cut[""].total_quantity, cut[""].product_sku_main_list] == [400, None] and cut["A"] == whole["A"]
+    assert (whole["A"].product_name_list, whole["A"].product_sku_main_list, whole["B"].product_sku_main_list) == ("y;x", "", "t")
+    chunks = marts.order_product_lists(lines, list_lines=30).collect()
+    blank = sorted((r for r in chunks if r.order_sn == ""), key=lambda r: r.chunk)
+    assert [r.chunk for r in blank] == list(range(14)) and [r.lines for r in blank] == [30] * 13 + [10]
+    assert ";".join(r.product_name_list for r in blank) == whole[""].product_name_list
+    order = sorted((r for r in rows if not r[0]), key=lambda r: (r[1], r[2], r[3]))
+    assert ";".join(r.product_sku_main_list for r in blank) == ";".join(r[3] for r in order)
+    assert {(r.order_sn, r.chunk, r.product_name_list) for r in chunks if r.order_sn} == {("A", 0, "y;x"), ("B", 0, "")}
+    assert marts.order_product_lists(lines.limit(0)).count() == 0
+
+
+def test_a_large_group_is_dealt_over_tasks(spark):
+    from ordersmith.plans.marts import _ranked
+    from ordersmith.session import checkpoint_dir
+    checkpoint_dir(spark)
+    one = spark.range(20_000).select(F.lit("").alias("order_sn"), F.lit(1).cast("long").alias("row_no"),
+                                     F.lit("p").alias("product_name"), F.lit("s").alias("product_sku_main"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")             # else ranges this small are put together
+    try:
+        ranked = _ranked(one, "row_no")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r[0] for r in ranked.select("__rank").collect()) == list(range(20_000))
+    spread = [r["count"] for r in ranked.groupBy("__part").count().collect()]
+    assert len(spread) > 1 and max(spread) < 15_000

@@ -3,6 +3,8 @@
 import datetime as dt
 import difflib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -189,3 +191,108 @@ def test_invalid_dates_all_has_every_pending_order(spark):
     pending = td.order_lines(spark, SF_SMALL).filter("order_status = 'P'")
     assert found == {r.order_sn for r in pending.select("order_sn").collect()}
     assert pending.filter("order_date < '1998-01-01'").count() > 0
+
+
+# ------------------------------------------------------------ J9 by segments, A7 by sketches, S4 by a lattice
+def _close_names(n):
+    import random
+    rng = random.Random(8)
+    right = [f"Shop {rng.randrange(10**6):06d} Store" for _ in range(n)] + ["", "a", "ab", "Other place", "Shop"]
+    left = []
+    for i in range(n):
+        s = list(right[rng.randrange(n)])
+        for _ in range(rng.choice([1, 1, 1, 2])):
+            k, at = rng.randrange(3), rng.randrange(len(s))
+            s[at:at + 1] = [[], [rng.choice("0123456789x")], [s[at], rng.choice("0123456789x")]][k]
+        left.append("".join(s))
+    return left + ["", "b", "ba", "Othr place", "nothing like it", "Shop"], right
+
+
+@pytest.mark.parametrize("measure", ["levenshtein", "difflib"])
+def test_segment_matches_equal_brute_force(spark, measure):
+    import difflib
+    from ordersmith.operators.joins import best_matches
+    left, right = _close_names(60)
+
+    def lev(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    def score(a, b):
+        if measure == "difflib":
+            return difflib.SequenceMatcher(None, b, a).ratio()
+        return 1 - lev(a, b) / max(len(a), len(b)) if a or b else 1.0
+    want = {}
+    for a in set(left):
+        s, b = max((score(a, b), b) for b in set(right))
+        if s >= 0.7:
+            want[a] = (b, round(s, 9))
+    frame = lambda names: spark.createDataFrame([(x,) for x in [*names, None]], "name string")
+    got = best_matches(frame(left), frame(right), 0.7, measure, few_pairs=0).collect()
+    assert {r.left_name: (r.right_name, round(r.score, 9)) for r in got} == want and len(got) == len(want)
+    again = best_matches(frame(left), frame(right), 0.7, measure).collect()              # the prefix filter alone
+    assert {r.left_name: (r.right_name, round(r.score, 9)) for r in again} == want
+
+
+def test_segments_leave_few_pairs_of_look_alike_names(spark, monkeypatch):
+    from ordersmith.operators import joins as J
+    left, right = _close_names(2000)
+    left, right = left[:2000], right[:2000]
+    pairs = []
+    scored = J._scored
+
+    def counted(candidates, cutoff, measure):
+        pairs.append(candidates.count())
+        return scored(candidates, cutoff, measure)
+    monkeypatch.setattr(J, "_scored", counted)
+    frame = lambda names: spark.createDataFrame([(x,) for x in names], "name string")
+    got = J.best_matches(frame(left), frame(right), 0.7).count()
+    assert got == len(set(left)) and sum(pairs) < 0.05 * len(set(left)) * len(set(right)), pairs
+
+
+def test_segments_cover_every_length():
+    from ordersmith.operators.joins import _probes
+    segments = {5: [(0, 2), (2, 1), (3, 2)]}
+    assert set(_probes(segments, [5])) == {(5, 5, 0, 0, 2), (5, 5, 1, 1, 1), (5, 5, 1, 2, 1), (5, 5, 1, 3, 1), (5, 5, 2, 3, 2)}
+    assert _probes(segments, [8]) == []
+
+
+@pytest.mark.parametrize("most", [5, 100_000])
+def test_median_of_any_distribution(spark, most):
+    import random
+    import statistics
+    from ordersmith.plans import vouchers as V
+    from ordersmith.session import checkpoint_dir
+    rng = random.Random(1)
+    groups = {"tail": [rng.expovariate(1) ** 9 for _ in range(3000)] + [1e15], "outlier": [1.0 + i / 7 for i in range(2001)] + [-1e15],
+              "equal": [3.0] * 1500, "two": [1.0, 2.0], "one": [-5.0], "hot": [7.0] * 2000 + [rng.random() * 20 for _ in range(999)],
+              "halves": [0.0] * 700 + [1.0] * 700}
+    data = [(g, v) for g, vs in groups.items() for v in vs] + [("one", None), (None, 1.0)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "g string, v double").repartition(6)
+    got = {r.g: r.m for r in V.grouped_median(df, "g", "v", "m", most=most).collect()}
+    assert got == {g: statistics.median(vs) for g, vs in groups.items()}
+    checkpoint_dir(spark)
+    bounds = V.median_bounds(df.filter("g is not null and v is not null").checkpoint(), "g", "v", most=200).collect()
+    assert {r.g for r in bounds if r.inside > 200 and r.lo < r.hi} <= {"hot", "halves"}      # few values on many rows
+    assert next(r.inside for r in bounds if r.g == "outlier") <= 200 and next(r.inside for r in bounds if r.g == "tail") <= 200
+
+
+def test_inferred_types(spark, tmp_path):
+    from ordersmith.sources import readers
+    cells = {"whole": ["1", "-2", "+3", ""], "rate": ["1", ".5", "1e3", None], "day": ["2025-06-01", "1999-12-31", " ", None],
+             "time": ["2025-06-01", "2025-06-01 10:00", "2025-06-01T10:00:01.5", ""], "mixed": ["1", "2025-06-01", "2.5", ""],
+             "word": ["1", "x", "2025-13-01", "1_0"], "none": [None, "", "  ", None], "long": ["1" * 18, "1" * 19, "", ""]}
+    df = spark.createDataFrame(list(zip(*cells.values())), ", ".join(f"`{c}` string" for c in cells))
+    got = {r.column_name: (r.inferred, r["values"], r.forced) for r in readers.infer_types(df).collect()}
+    assert got == {"whole": ("integer", 3, 0), "rate": ("decimal", 3, 2), "day": ("date", 2, 0), "time": ("timestamp", 3, 2),
+                   "mixed": ("text", 3, 1), "word": ("text", 4, 3), "none": ("text", 0, 0), "long": ("decimal", 2, 1)}
+    assert readers.infer_types(df.limit(0)).count() == 0
+    df.write.option("header", True).csv(str(tmp_path / "c"))
+    typed = readers.read_csv_inferred(spark, str(tmp_path / "c"))
+    assert dict(typed.dtypes) == {"whole": "bigint", "rate": "double", "day": "date", "time": "timestamp_ntz", "mixed": "string",
+                                  "word": "string", "none": "string", "long": "double"}

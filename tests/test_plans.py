@@ -9,7 +9,8 @@ from ordersmith.plans import marts
 # queries whose construction writes data (a catalog table, a stream's output)
 SIDE_EFFECTS = {"publish_marts", "dropfolder_ingest", "upsert_stored", "upsert_empty_batch", "upsert_undated_rerun",
                 "orphan_log_two_runs", "upsert_stored_sparse", "upsert_stored_drop_orphans", "orphan_log_dropped", "csv_ingest_mixed_layouts", "csv_ingest_files",
-                "csv_ingest_headers", "csv_ingest_headers_files"}
+                "csv_ingest_headers", "csv_ingest_headers_files", "drop_ingest_ledger", "csv_with_mark", "published_summary", "csv_inferred_types",
+                "csv_read_inferred", "csv_header_columns", "csv_keep_empty", "csv_plain", "report_written", "stored_comments"}
 
 
 def physical(df):
@@ -83,3 +84,21 @@ def test_stored_upsert_prunes_the_old_side_to_the_days_of_the_batch(no_aqe, tmp_
     assert "SubqueryBroadcast dynamicpruning" in plan and "ReusedExchange" in plan, plan
     rest = physical(sinks.other_days(old, batch, span))
     assert "Exchange hashpartitioning(order_sn" not in rest and "PartitionFilters: [isnotnull(order_date" in rest, rest
+
+
+def test_step_counts_and_publish_read_their_input_once(no_aqe, tmp_path):
+    from ordersmith.plans import publish as P
+    from ordersmith.plans import vouchers as V
+    path = str(tmp_path / "m")
+    R.master(no_aqe, SF_SMALL).select("order_sn", "order_date", "row_no").write.parquet(path)
+    m = no_aqe.read.parquet(path)
+    plan = physical(V.step_counts(m, "1998-01-01", "1999-12-31"))
+    assert plan.count("FileScan parquet") == 1 and "Window" not in plan, plan
+    reads = no_aqe.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+    counted = m.mapInArrow(seen, m.schema)
+    assert P.publish(no_aqe, {"counted": counted}, "ordersmith_once").first().rows == m.count() == reads.value

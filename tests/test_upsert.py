@@ -145,3 +145,18 @@ def test_bucketed_table_drops_orphans(spark):
     out = sinks.upsert_into_table(spark, t, batch, run_id="r1", drop_orphans=True)
     assert out.days_removed == 1
     assert sorted(r.order_sn for r in spark.table(t).collect()) == ["B", "E"]
+
+
+def test_one_pass_upsert_equals_the_functions(spark):
+    old = spark.createDataFrame([
+        (d(2025, 1, 1), "A", "u", "outside", 1), (d(2025, 2, 1), "B", "u", "replaced", 1), (d(2025, 2, 2), "C", "u", "orphan", 1),
+        (None, "D", "u", "undated", 1), (None, "G", "u", "undated, in the batch", 1), (d(2025, 2, 3), "E", None, "null buyer", 1)], SCHEMA)
+    batches = [[(d(2025, 2, 1), "B", "u", "new", 1), (d(2025, 2, 3), "E", "nan", "new", 1), (None, "G", "u", "new", 1)],
+               [(None, "G", "u", "new", 1)], [], [(d(2025, 2, 1), "B", "u", "new", 1)]]
+    for batch in batches:
+        new = spark.createDataFrame(batch, SCHEMA)
+        for drop in (False, True):
+            one = U.OrderUpsert(old, new, drop_orphans=drop, run_ts="2025-03-01 00:00:00")
+            assert rows(one.master) == rows(U.upsert_orders(old, new, drop_orphans=drop))
+            assert rows(one.orphans) == rows(U.find_orphans(old, new))
+            assert rows(one.statistics, ("action", "orders", "lines")) == rows(U.upsert_statistics(old, new), ("action", "orders", "lines"))
