@@ -5,7 +5,9 @@ layer (reset after the product, gates and candidate clipped to their range)
 runs over the bytes; both states together give every position a distribution
 over the languages, and a document's probabilities are the mean over all its
 positions. Training is backpropagation through time in numpy with Adam, on
-windows of a bounded sample (``per_language`` documents a language).
+windows of a bounded sample (``per_language`` documents a language,
+``windows_per_text`` windows of each). The network has an output for every
+language that is labelled, however many there are.
 
 Scale: scoring is one pass without a shuffle; windows of a batch of texts are
 read side by side, so a step is a few products of small arrays, and a very long
@@ -29,7 +31,8 @@ PAD = 256
 FOLDS, HELD_OUT = 4, 2
 PER_LANGUAGE = 300
 WINDOWS_PER_TEXT = 4
-MAX_LANGUAGES = 256
+#: Windows that the sample of all languages has, about; with many languages each gets fewer documents.
+MAX_WINDOWS = 400_000
 STEPS = 150
 #: Windows read side by side.
 SIDE_BY_SIDE = 2048
@@ -202,38 +205,41 @@ def train(m: Model, ids: np.ndarray, label: np.ndarray, steps: int, rng: np.rand
             p -= rate * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.99 ** step)) + 1e-8)
 
 
-def _some_windows(arr: pa.Array) -> pa.Array:
-    """Up to WINDOWS_PER_TEXT windows of each text, evenly spread over it."""
-    out = []
-    for t in arr:
-        x = t.as_py()
-        n = -(-len(x) // WINDOW)
-        k = min(n, WINDOWS_PER_TEXT)
-        out.append([x[w * WINDOW: (w + 1) * WINDOW] for w in (n * i // k for i in range(k))])
-    return pa.array(out, pa.list_(pa.binary()))
+def _some_windows(windows_per_text: int):
+    """Up to so many windows of each text, evenly spread over it."""
+    def some(arr: pa.Array) -> pa.Array:
+        out = []
+        for t in arr:
+            x = t.as_py()
+            n = -(-len(x) // WINDOW)
+            k = min(n, windows_per_text)
+            out.append([x[w * WINDOW: (w + 1) * WINDOW] for w in (n * i // k for i in range(k))])
+        return pa.array(out, pa.list_(pa.binary()))
+    return some
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_language: int = PER_LANGUAGE, hidden: int = HIDDEN, steps: int = STEPS, seed: int = 11) -> Model | None:
+        per_language: int = PER_LANGUAGE, windows_per_text: int = WINDOWS_PER_TEXT, max_windows: int = MAX_WINDOWS,
+        hidden: int = HIDDEN, steps: int = STEPS, seed: int = 11) -> Model | None:
     """Learn from documents with a language whose fold isn't the held-out one; None if there are none.
 
-    About ``per_language`` documents of each of the ``MAX_LANGUAGES`` most
-    frequent languages are taken, by the hash of their id.
+    About ``per_language`` documents of each language are taken, by the hash of
+    their id (fewer where all languages together would exceed ``max_windows``),
+    and up to ``windows_per_text`` windows of each, evenly spread over it.
     """
     learn = docs.filter((fold(id_col, FOLDS) != HELD_OUT) & F.col(lang_col).isNotNull()
                         & F.col(text_col).rlike(r"\p{L}"))
-    counts = learn.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(
-        MAX_LANGUAGES).collect()
+    learn = learn.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), text_bytes(text_col).alias("text"))
+    counts = learn.groupBy("lang").count().collect()                               # one row a language
     if not counts:
         return None
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(lang_col) == r["lang"], per_language / r["count"]).otherwise(share)
-    unit = F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
-    rows = (learn.filter(unit < share)
-            .select(F.xxhash64(id_col).alias("h"), F.col(lang_col).alias("lang"),
-                    F.explode(F.arrow_udf(_some_windows, "array<binary>")(text_bytes(text_col))).alias("w"))
-            .orderBy("h", "lang", "w").limit(2 * per_language * WINDOWS_PER_TEXT * len(counts)).collect())
+    per_language = min(per_language, max(1, max_windows // (windows_per_text * len(counts))))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], per_language / r["count"]) for r in counts], "lang string, share double")
+    unit = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
+    rows = (learn.join(F.broadcast(shares), "lang").filter(unit < F.col("share"))
+            .select(F.xxhash64("doc_id").alias("h"), "lang",
+                    F.explode(F.arrow_udf(_some_windows(windows_per_text), "array<binary>")("text")).alias("w"))
+            .orderBy("h", "lang", "w").limit(2 * per_language * windows_per_text * len(counts)).collect())
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})

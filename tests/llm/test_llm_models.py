@@ -85,6 +85,18 @@ def test_language_awkward_rows(spark):
     assert la.predict(docs(spark, [])).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    from ordersmith.llm import language as lg
+    rows = [(i, f"text of language {i % 300}", f"l{i % 300:03d}", None, None) for i in range(1500)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    m = lg.fit(d, steps=1)
+    assert m.languages == [f"l{i:03d}" for i in range(300)] and m.out.shape[0] == 300
+    few = lg.fit(d, steps=1, max_windows=300)                # about one document of each, chosen by its id
+    assert 0 < len(few.languages) < 300
+    got = lg.predict(d.filter("doc_id < 900"), steps=1).collect()
+    assert len(got) == 900 and all(len(r.probs) > 256 for r in got)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(3)
     m = la._new_model(["a", "b", "c"], 3, rng)
