@@ -871,10 +871,7 @@ SELECT shop_name, CAST(count(*) AS BIGINT) AS rows, CAST(count(order_date) AS BI
 FROM ({ORACLES['clean_orders']}) t GROUP BY shop_name""")
 def q_clean_parse_stats(spark, sf_dir):
     """Per shop, rows and how many got a parsed order date / creation time."""
-    rows = C.clean_orders(td.raw_order_exports(spark, sf_dir), as_of=AS_OF).rows
-    return rows.groupBy("shop_name").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
-                                         F.count("order_date").cast("bigint").alias("dated_rows"),
-                                         F.count("order_creation_timestamp").cast("bigint").alias("timestamped_rows"))
+    return C.parse_statistics(C.clean_orders(td.raw_order_exports(spark, sf_dir), as_of=AS_OF).rows)
 
 
 # ============================================================ streaming ingest (S16 + Q3 + Q1)
