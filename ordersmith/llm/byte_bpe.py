@@ -104,7 +104,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
     token is plain text; bytes that are no UTF-8 count as U+FFFD. Equal rows
     give equal ids, document ids may be null, other columns are ignored and an
     empty table gives no rows. Very long texts are encoded whole, part by part;
-    a long run of one kind of characters is one part. ``ranks`` is the path of
+    a long run of one kind of characters is one part and, as one match, takes
+    some 60 times its bytes of memory. ``ranks`` is the path of
     a file that every executor has.
     """
     def run(arr: pa.Array) -> pa.Array:

@@ -202,7 +202,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no window of the benchmark occurs in, with the columns of ``docs``."""
+    """The rows of ``docs`` that no window of the benchmark occurs in, with the columns of ``docs``, whatever their names.
+
+    Null and empty texts have no words and stay; repeated rows stay or go
+    together; ids may be null. Without benchmark items all rows stay, of an
+    empty table none. Very long texts are read whole.
+    """
     rows, uid = with_uid(docs, "leak-kept")
     hit = contamination(rows, benchmark, id_col, text_col, uid=uid).filter(F.size("spans") > 0)
     return rows.join(hit.select(F.col("uid").alias(uid)), uid, "left_anti").select(*docs.columns)

@@ -150,7 +150,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with the columns of ``docs``."""
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with the columns of ``docs``, whatever their names.
+
+    Of null, empty and blank texts one row stays, of repeated rows one; ids may
+    be null; an empty table stays empty. Very long texts are cut into blocks
+    and compared whole.
+    """
     rows, uid = with_uid(docs, "dedup-kept")
     gone = exact_dedup(rows, id_col, text_col, uid=uid).filter("not kept").select(F.col("uid").alias(uid))
     return rows.join(gone, uid, "left_anti").select(*docs.columns)

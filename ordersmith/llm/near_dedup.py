@@ -327,7 +327,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``near_dedup`` keeps, with the columns of ``docs``."""
+    """The rows of ``docs`` that ``near_dedup`` keeps, with the columns of ``docs``, whatever their names.
+
+    Texts without words (null and empty ones too) all stay, of repeated rows
+    with words one; ids may be null; an empty table stays empty. Very long
+    texts are compared whole.
+    """
     rows, uid = with_uid(docs, "near-kept")
     gone = near_dedup(rows, id_col, text_col, uid=uid).filter("not kept").select(F.col("uid").alias(uid))
     return rows.join(gone, uid, "left_anti").select(*docs.columns)

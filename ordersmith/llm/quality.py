@@ -198,6 +198,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
 
 def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
               text_col: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
-    """The rows of ``docs`` predicted to be good, with the columns of ``docs``."""
+    """The rows of ``docs`` predicted to be good, with the columns of ``docs``, whatever their names.
+
+    Null and empty texts are judged by empty statistics, equal texts alike, so
+    repeated rows stay or go together; ids may be null. Without usable labels
+    all rows stay, of an empty table none. Very long texts are read whole.
+    """
     model = fit(docs, labels, label_col, id_col, text_col, **options)
     return docs.filter(quality_score(model, text_col) >= threshold)

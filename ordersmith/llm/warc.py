@@ -272,7 +272,8 @@ def capture_index(entries: DataFrame) -> DataFrame:
 def archive(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
     """Write ``pages`` as archives (into a fresh folder of the shared one unless ``path`` is given), read them back
     and return their capture index: one row a page, ``page`` its id. An empty table gives no rows; other columns of
-    ``pages`` are ignored; repeated rows get a record each."""
+    ``pages`` are ignored; repeated rows get a record each. Ids are whole numbers or null. A very long payload is a
+    record like any other, in a file of its own; it has to fit into a task's memory."""
     path = path or staged_path(pages.sparkSession, "warc")
     write_archives(pages, path, **options)
     return capture_index(read_archives(pages.sparkSession, path))
