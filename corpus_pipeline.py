@@ -36,31 +36,33 @@ def _stage(work):
 
 @_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go; null and empty texts are judged like any other."""
     return keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
 @_stage
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal but for white space one document stays."""
+    """Of texts equal but for white space one document stays (null, empty and blank texts are one such group)."""
     return drop_exact_duplicates(docs)
 
 
 @_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates one document stays."""
+    """Of every group of near duplicates one document stays; texts without words are no duplicates of each other."""
     return drop_near_duplicates(docs)
 
 
 @_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a benchmark window occurs go."""
+    """Documents in which a benchmark window occurs go; those without words stay."""
     return drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 @_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in the packed sequences, with their token ids' crc32."""
+    """Pieces of the documents and their places in the packed sequences, with their token ids' crc32.
+
+    A document without text is one piece of the end id; ids may be null, and repeated rows are packed each."""
     return pack(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
                              "sequence_id", "offset")
 
