@@ -122,9 +122,10 @@ def _extend(window: int):
     def extend(batches):
         for b in batches:
             values, offsets = binary_views(b.column("text"))
-            rows = []
+            rows, uids, read = [], b.column("uid"), None
             for i in range(b.num_rows):
-                doc = word_spans(values, offsets[i: i + 2])[0]
+                if read is None or uids[i] != uids[read]:            # rows of one document come together
+                    doc, read = word_spans(values, offsets[i: i + 2])[0], i
                 item = np.array(b.column("words")[i].as_py(), np.int64).view(np.uint64)
                 spans = set()
                 for shift in b.column("shifts")[i].as_py():
@@ -187,7 +188,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
               .groupBy("uid", "item").agg(F.collect_set(F.col("at") - F.col("item_at")).alias("shifts")))
     spans = (shifts.join(items.select("item", "item_id", "words"), "item")
              .join(read.select("uid", "text").filter("text is not null"), "uid")
-             .select("uid", "item_id", "words", "shifts", "text")
+             .select("uid", "item_id", "words", "shifts", "text").sortWithinPartitions("uid")
              .mapInArrow(_extend(window), f"uid {kinds['uid']}, item_id string, starts array<int>, ends array<int>"))
     per_doc = spans.groupBy("uid").agg(
         F.collect_list("starts").alias("s"), F.collect_list("ends").alias("e"),

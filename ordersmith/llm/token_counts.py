@@ -7,12 +7,14 @@ what remains once the pieces are taken that are certain there, and the number
 of those pieces is computed beforehand. A text is read once, byte by byte, and
 never looked at again, and no piece is built.
 
-Scale: one pass without a shuffle; the words of a batch advance side by side.
+Scale: one pass without a shuffle; the words of a batch advance side by side,
+and the few that are longer than all others are then walked one by one.
 """
 
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -25,6 +27,10 @@ from ordersmith.llm.common import binary_views, doc_slices, text_bytes
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: So few words are walked one by one rather than side by side.
+FEW_WORDS = 64
+#: Bytes of text whose words are counted at a time (a longer word is taken whole).
+PART_BYTES = 1 << 18
 
 
 @dataclass
@@ -87,6 +93,20 @@ def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+def _walk(a: Automaton, text: memoryview, node: int) -> tuple[int, int]:
+    """The node reached from ``node`` over the bytes of ``text``, and the pieces popped on the way."""
+    row, goto, fail, popped = (memoryview(x) for x in (a.row, a.goto.ravel(), a.fail, a.popped))
+    count = 0
+    for c in text:
+        to = goto[row[node] * 256 + c]
+        while to < 0:
+            count += popped[node]
+            node = fail[node]
+            to = goto[row[node] * 256 + c]
+        node = to
+    return node, count
+
+
 def piece_counts(a: Automaton, values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The number of pieces of each word, read with a space in front."""
     order = np.argsort(-length, kind="stable")
@@ -94,7 +114,8 @@ def piece_counts(a: Automaton, values: np.ndarray, start: np.ndarray, length: np
     flat = a.goto.ravel()
     node = np.full(len(start), flat[a.row[0] * 256 + 32], np.int32)
     count = np.zeros(len(start), np.int64)
-    alive = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), side="left")
+    together = int(length[FEW_WORDS]) if len(length) > FEW_WORDS else 0     # from here on at most FEW_WORDS go on
+    alive = np.searchsorted(-length, -np.arange(together), side="left")
     for p, n in enumerate(alive.tolist()):
         c = values[start[:n] + p].astype(np.int64)
         u = node[:n]
@@ -109,11 +130,29 @@ def piece_counts(a: Automaton, values: np.ndarray, start: np.ndarray, length: np
             to[stuck] = t
             stuck = stuck[t < 0]
         node[:n] = to
+    text = memoryview(values)
+    for w in np.flatnonzero(length[:FEW_WORDS] > together).tolist():
+        node[w], more = _walk(a, text[int(start[w]) + together: int(start[w] + length[w])], int(node[w]))
+        count[w] += more
     out = np.empty(len(start), np.int64)
     out[order] = count + a.rest[node]
     return out
 
 
+def parts_between_blanks(values: np.ndarray, a: int, b: int, limit: int) -> Iterator[tuple[int, int]]:
+    """Parts [x, y) of the text values[a:b] that end after white space, of about ``limit`` bytes each."""
+    while a < b:
+        end = min(a + limit, b)
+        while end < b:
+            blank = np.flatnonzero(_SPACE[values[end - 1: min(end - 1 + limit, b)]])
+            if len(blank):
+                end += int(blank[0])
+                break
+            end = min(end + limit, b)
+        yield a, end
+        a = end
+
+
 def words_between_blanks(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, length, document) of every run without white space."""
     a, b = int(offsets[0]), int(offsets[-1])
@@ -137,11 +176,17 @@ def _counts(path: str | None):
         m = automaton(path or vocabulary_path())
         values, offsets = binary_views(arr)
         words, pieces = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, j in doc_slices(offsets, 1 << 18):
-            start, length, doc = words_between_blanks(values, offsets[i: j + 1])
-            n = piece_counts(m, values, start, length)
-            words.append(np.bincount(doc, minlength=j - i))
-            pieces.append(np.bincount(doc, n, j - i).astype(np.int64))
+        for i, j in doc_slices(offsets, PART_BYTES):
+            texts = [offsets[i: j + 1]]
+            if j == i + 1 and offsets[j] - offsets[i] > PART_BYTES:
+                texts = (np.array(p) for p in parts_between_blanks(values, int(offsets[i]), int(offsets[j]), PART_BYTES))
+            n_words, n_pieces = np.zeros(j - i, np.int64), np.zeros(j - i, np.int64)
+            for t in texts:
+                start, length, doc = words_between_blanks(values, t)
+                n_words += np.bincount(doc, minlength=j - i)
+                n_pieces += np.bincount(doc, piece_counts(m, values, start, length), j - i).astype(np.int64)
+            words.append(n_words)
+            pieces.append(n_pieces)
         return pa.StructArray.from_arrays(
             [pa.array(np.concatenate(words), pa.int64()), pa.array(np.concatenate(pieces), pa.int64())],
             names=["n_words", "n_tokens"])
@@ -153,7 +198,8 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row a document: doc_id, n_bytes, n_words, n_tokens.
 
     Null and empty texts have none of them. Repeated rows are counted each; ids
-    may be null; other columns are ignored; an empty table gives no rows.
+    may be null; other columns are ignored; an empty table gives no rows. Very
+    long texts are read in parts between blanks, very long words whole.
     ``vocabulary`` is the path of a file of base64 pieces that every executor has.
     """
     counted = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text_bytes(text_col)).cast("long").alias("n_bytes"),

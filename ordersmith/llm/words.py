@@ -2,7 +2,7 @@
 
 A word is a run of ASCII letters, digits and bytes from 0x80 on, A-Z lowered:
 the characters of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lowering. Texts of
-any length are handled in slices that end between words.
+any length, and words of any length, are handled in slices of a fixed size.
 """
 
 from __future__ import annotations
@@ -29,24 +29,18 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def _slice_end(values: np.ndarray, a: int, end: int) -> int:
-    b = min(a + SLICE_BYTES, end)
-    while b < end and _IS_WORD[values[b - 1]]:
-        gap = np.flatnonzero(~_IS_WORD[values[b: b + 4096]])
-        if len(gap):
-            return b + int(gap[0])
-        b = min(b + 4096, end)
-    return b
-
-
 def word_spans(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, length) of every word in order, and n + 1 offsets of the documents' first words."""
+    """(hash, start, length) of every word in order, and n + 1 offsets of the documents' first words.
+
+    A word's hash is a polynomial in its bytes, so a word that a slice cuts is
+    carried on with the sum so far, however long it is.
+    """
     first, last = int(offsets[0]), int(offsets[-1])
     bounds = offsets[(offsets > first) & (offsets < last)]
     hashes, starts, lengths = [], [], []
-    a = first
-    while a < last:
-        b = _slice_end(values, a, last)
+    cut = None                                    # (start, length, sum) of a word that reached the slice's end
+    for a in range(first, last, SLICE_BYTES):
+        b = min(a + SLICE_BYTES, last)
         part = values[a:b]
         word = _IS_WORD[part]
         edge = np.empty(len(part), bool)          # a word may begin here: text before it ends or is no word
@@ -55,6 +49,7 @@ def word_spans(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         inner = bounds[np.searchsorted(bounds, a): np.searchsorted(bounds, b)] - a
         edge[inner] = True
         s = np.flatnonzero(word & edge)
+        n, h = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         if len(s):
             close = np.empty(len(part), bool)
             close[-1] = True
@@ -66,10 +61,21 @@ def word_spans(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
             np.minimum(pos, int(n.max()), out=pos)
             v = _VALUE[part[s[0]:]] * _powers(int(n.max()) + 1)[pos]
             h = np.add.reduceat(v, s - s[0])
-            hashes.append(mix64(h + n.astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
-            starts.append(s + a)
-            lengths.append(n)
-        a = b
+            s = s + a
+        if cut:
+            begin, size, total = cut
+            if len(s) and s[0] == a and not (len(inner) and inner[0] == 0):
+                h[0] = total + pow(_BASE, size, 1 << 64) * int(h[0]) & 0xFFFFFFFFFFFFFFFF
+                s[0], n[0] = begin, n[0] + size
+            else:
+                s, n, h = np.append(begin, s), np.append(size, n), np.append(_U(total), h)
+            cut = None
+        if word[-1] and b < last:
+            cut = int(s[-1]), int(n[-1]), int(h[-1])
+            s, n, h = s[:-1], n[:-1], h[:-1]
+        hashes.append(mix64(h + n.astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
+        starts.append(s)
+        lengths.append(n)
     if not hashes:
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none, np.zeros(len(offsets), np.int64)

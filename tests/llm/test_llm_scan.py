@@ -35,6 +35,19 @@ def test_word_hashes_follow_the_words(monkeypatch, slice_bytes):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_words_longer_than_a_slice_need_no_more_memory(monkeypatch):
+    rng = np.random.default_rng(3)
+    word = rng.integers(97, 123, 300_000).astype(np.uint8)
+    values, off = np.concatenate([word, [32], word, word]).astype(np.uint8), np.array([0, 600_001, 900_001])
+    whole = word_spans(values, off)
+    assert whole[2].tolist() == [300_000, 300_000, 300_000] and len(set(whole[0].tolist())) == 1
+    monkeypatch.setattr("ordersmith.llm.words.SLICE_BYTES", 999)
+    monkeypatch.setattr("ordersmith.llm.words._POWERS", np.ones(1, np.uint64))
+    assert all((a == b).all() for a, b in zip(whole, word_spans(values, off)))
+    from ordersmith.llm import words as module
+    assert len(module._POWERS) <= 2 * 1000
+
+
 # ------------------------------------------------------------ decontamination
 def leaks_brute(text, items, window=10):
     w, hit, ids = words(text), set(), set()
@@ -70,6 +83,19 @@ def test_contamination_matches_brute_force(spark):
     assert kept.count() == sum(leaks_brute(t, items)[1] == 0 for _, t in rows)
 
 
+def test_contamination_reads_a_document_once(monkeypatch):
+    read, plain = [], dc.word_spans
+    monkeypatch.setattr(dc, "word_spans", lambda v, o: read.append(1) or plain(v, o))
+    item = " ".join(f"w{i}" for i in range(12))
+    hashed = plain(*binary_views(pa.array([item.encode()])))[0].view(np.int64).tolist()
+    batch = pa.record_batch([pa.array([1, 1, 1, 2]), pa.array(["a", "b", "c", "a"]), pa.array([hashed] * 4),
+                             pa.array([[0]] * 4, pa.list_(pa.int32())), pa.array([item.encode()] * 4)],
+                            names=["uid", "item_id", "words", "shifts", "text"])
+    out = [r for b in dc._extend(10)([batch]) for r in b.to_pylist()]
+    assert len(read) == 2 and [(r["uid"], r["item_id"], r["starts"], r["ends"]) for r in out] == [
+        (1, "a", [0], [12]), (1, "b", [0], [12]), (1, "c", [0], [12]), (2, "a", [0], [12])]
+
+
 def test_contamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert dc.contamination(docs(spark, []), none).count() == 0
@@ -192,7 +218,9 @@ def greedy(word, vocab, longest):
     return n
 
 
-def test_automaton_counts_greedy_pieces():
+@pytest.mark.parametrize("few", [0, 3, 64])
+def test_automaton_counts_greedy_pieces(monkeypatch, few):
+    monkeypatch.setattr(tc, "FEW_WORDS", few)
     rng = random.Random(0)
     for _ in range(100):
         vocab = {bytes(rng.choices(b"abc ", k=rng.randint(1, 6))) for _ in range(rng.randint(1, 30))}
@@ -204,6 +232,15 @@ def test_automaton_counts_greedy_pieces():
             sum(greedy(b" " + w, vocab, 6) for w in t.split()) for t in texts]
 
 
+@pytest.mark.parametrize("limit", [1, 5, 1 << 18])
+def test_long_texts_are_counted_in_parts(monkeypatch, limit):
+    rng = random.Random(1)
+    texts = ["".join(rng.choices("ab\u00e9 \n", k=rng.choice([0, 3, 40]))).encode() for _ in range(60)] + [b"x" * 500, b" " * 50]
+    whole = tc._counts(None)(pa.array(texts))
+    monkeypatch.setattr(tc, "PART_BYTES", limit)
+    assert tc._counts(None)(pa.array(texts)).equals(whole)
+
+
 def test_token_counts_of_awkward_rows(spark):
     import base64
     with open(tc.vocabulary_path(), "rb") as f:
