@@ -140,11 +140,16 @@ def _normal_sums(model: Model):
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
         text_col: str = "text", max_train: int = MAX_TRAIN, n_cosines: int = COSINES, ridge: float = RIDGE,
         seed: int = 7) -> Model | None:
-    """Learn from labelled rows whose fold isn't 0 (fold 4 only calibrates); None if there are none."""
+    """Learn from labelled rows whose fold isn't 0 (fold 4 only calibrates); None if there are none.
+
+    A labelled id that several rows of documents have counts once a label.
+    """
     sample = labelled_sample(docs, labels, label_col, fold("doc_id", FOLDS) != 0, max_train, id_col, text_col)
     to_stats = F.arrow_udf(lambda t: list_array(
         (s := _batch_statistics(t)).ravel(), np.full(len(s), STATISTICS), pa.float64()), "array<double>")
-    train = stage(sample.select("doc_id", "label", to_stats("text").alias("stats")), "quality-train")
+    # repeated documents of one id count once
+    train = stage(sample.select("doc_id", "label", to_stats("text").alias("stats")).groupBy("doc_id", "label")
+                  .agg(F.min("stats").alias("stats")), "quality-train")
     part = train.filter(fold("doc_id", FOLDS) != FOLDS - 1)
     moments = (part.select(F.posexplode("stats").alias("i", "v")).groupBy("i")
                .agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).orderBy("i").collect())   # a row a statistic

@@ -1,6 +1,9 @@
 """Classifiers: held-out accuracy on the given tables, methods in the small, awkward rows; the pipeline."""
 
+import zlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -44,6 +47,44 @@ def test_quality_awkward_rows(spark):
     assert kept.columns == docs(spark, []).columns and kept.count() == len(AWKWARD)
 
 
+def test_quality_equals_the_formulas_on_whole_tables(spark):
+    d, labels = table(spark, "documents"), table(spark, "labels")
+    rows = d.select("doc_id", "text").collect()
+    stats = qu._batch_statistics(pa.array([(r.text or "").encode() for r in rows]))
+    at = {r.doc_id: i for i, r in enumerate(rows)}
+    known = [(r.doc_id, r.quality) for r in labels.filter("quality in (0, 1)").collect() if r.doc_id in at]
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i, _ in known}
+    fit, cal = ([(at[i], y) for i, y in known if f(fold[i])] for f in (lambda f: f in (1, 2, 3), lambda f: f == 4))
+    x, y = stats[[i for i, _ in fit]], np.array([y for _, y in fit], float)
+    rng = np.random.default_rng(7)
+    w = rng.normal(size=(qu.STATISTICS, qu.COSINES)) / np.sqrt(qu.STATISTICS)
+    b, m, s = rng.uniform(0, 2 * np.pi, qu.COSINES), x.mean(axis=0), x.std(axis=0)
+    model = qu.Model(m, np.where(s > 1e-9, s, 1.0), w, b, np.zeros(qu.COSINES + 1), np.array([0., 1.]), np.array([0., 1.]))
+
+    def features(t):
+        z = np.clip((t - m) / model.scale, -8, 8)
+        return np.hstack([np.sqrt(2 / qu.COSINES) * np.cos(z @ w + b), np.ones((len(t), 1))])
+    z = features(x)
+    model.weights = np.linalg.solve(z.T @ z + qu.RIDGE * len(z) * np.diag([1.0] * qu.COSINES + [1e-9]), z.T @ y)
+    raw = features(stats) @ model.weights
+    bins, pairs = {}, [(raw[i], y) for i, y in cal]
+    for r, t in pairs:
+        bins.setdefault(min(max(int(np.floor((r + 0.5) * (qu.BINS / 2))), 0), qu.BINS - 1), []).append((r, t))
+    rows_of = [(np.mean([r for r, _ in v]), np.mean([t for _, t in v]), len(v)) for _, v in sorted(bins.items())]
+    model.curve_x, model.curve_y = qu.isotonic(*np.array(rows_of, float).T)
+    want = dict(zip((r.doc_id for r in rows), model.score(stats)))
+    got = qu.score_quality(d, labels).collect()
+    assert len(got) == len(rows) and max(abs(r.score - want[r.doc_id]) for r in got) < 1e-6
+
+
+def test_quality_repeated_documents_count_once(spark):
+    rows = [(i, ("Plain words in a row. " if i % 2 else "!!! 000 $$$ ") * (1 + i % 7)) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    once = qu.fit(docs(spark, rows), labels)
+    hot = qu.fit(docs(spark, rows + [r for r in rows if r[0] < 10] * 50), labels)
+    assert np.allclose(once.mean, hot.mean) and np.allclose(once.weights, hot.weights, atol=1e-6)
+
+
 def test_isotonic_is_the_least_squares_monotone_curve():
     rng = np.random.default_rng(0)
     x, y = np.arange(12.0), rng.integers(0, 2, 12).astype(float)
