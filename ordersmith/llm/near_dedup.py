@@ -261,6 +261,18 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def joined_groups(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after the links (a, b) of ``more``; only the groups that these join are gone through."""
+    ends = more
+    for n in "ab":
+        ends = ends.join(labels.select(F.col("node").alias(n), F.col("label").alias(f"l{n}")), n, "left")
+    joined = components(ends.select(*(F.coalesce(f"l{n}", n).alias(n) for n in "ab")))
+    moved = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    alone = joined.join(labels, "node", "left_anti")              # nodes without a link before
+    return (labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+            .unionByName(alone))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
                k_words: int = WORDS, bands: int = BANDS, rows: int = ROWS, uid: str | None = None) -> DataFrame:
     """One row a document: uid, doc_id, group_id, group_size, kept.
@@ -311,7 +323,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more = stage(links(pairs, cells, similarity).unionByName(links_in_blocks(families, cells, similarity)),
                  "near-links")
     if more.limit(1).count():
-        labels = components(edges.unionByName(more))
+        labels = stage(joined_groups(labels, more), "near-labels")
 
     grouped = (signed.select("uid", "doc_id", "c1", "c2").join(classes.select("c1", "c2", "rep"), ["c1", "c2"], "left")
                .join(labels.withColumnRenamed("node", "rep"), "rep", "left")

@@ -119,6 +119,16 @@ def test_components_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 200: 100}
 
 
+def test_joined_groups_equal_components_of_all_links(spark):
+    rng = random.Random(6)
+    for _ in range(3):
+        first, more = ([(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for n in (25, 12))
+        first, more = ([(a, b) for a, b in x if a != b] for x in (first, more))
+        first, more = (spark.createDataFrame(x, "a long, b long") for x in (first, more))
+        got = {r.node: r.label for r in nd.joined_groups(nd.components(first), more).collect()}
+        assert got == {r.node: r.label for r in nd.components(first.union(more)).collect()}
+
+
 def test_binary_views_of_a_slice():
     import pyarrow as pa
     v, o = binary_views(pa.array([b"ab", b"", b"cde"]).slice(1, 2))
