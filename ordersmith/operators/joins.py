@@ -9,6 +9,7 @@ size statistics are below ``spark.sql.autoBroadcastJoinThreshold``.
 from __future__ import annotations
 
 import difflib
+from itertools import combinations
 from typing import Mapping, Sequence
 
 import pandas as pd
@@ -199,8 +200,12 @@ def sequence_ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
 
 #: Lists whose product is at most this many pairs go to the prefix filter at once.
 FEW_PAIRS = 100_000
-#: Numbers of edits that the segment index is asked for, one after another.
+#: Numbers of edits that the indexes are asked for, one after another.
 RADII = (1, 2, 4)
+#: Names of at most this many characters, and numbers of edits, that the index of cut names takes.
+CUT_LENGTH, CUT_EDITS = 32, 2
+#: Places at which more characters than this occur are taken to hold any.
+ALPHABET = 64
 
 
 def _boundaries(names: DataFrame, edits: int, most_edits: float) -> dict[int, list[tuple[int, int]]]:
@@ -266,6 +271,91 @@ def segment_candidates(left: DataFrame, right: DataFrame, edits: int, most_edits
     return asked.join(index, ["m", "j", "piece"]).select("left_name", "right_name").distinct()
 
 
+def _alphabets(names: DataFrame) -> dict[int, list[set | None]]:
+    """Length -> the characters at each place of names of this length, None for more than ``ALPHABET``; one row for each
+    length and place comes to the driver."""
+    n = F.length("name")
+    chars = names.filter(n.between(1, CUT_LENGTH)).select(
+        n.alias("n"), F.posexplode(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring("name", i, F.lit(1)))).alias(
+            "p", "c")).distinct()
+    rows = chars.groupBy("n", "p").agg(F.when(F.count(F.lit(1)) <= ALPHABET, F.collect_set("c")).alias("c")).collect()
+    out: dict[int, list[set | None]] = {}
+    for r in sorted(rows, key=lambda r: (r["n"], r["p"])):
+        out.setdefault(r["n"], []).append(None if r["c"] is None else set(r["c"]))
+    return out
+
+
+def _cuts(n: int, drop: int, swap: int) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """(places taken out of a name of n characters, those of the swapped ones among them, as places in the rest)."""
+    out = []
+    for taken in combinations(range(n), drop + swap):
+        for swapped in combinations(taken, swap):
+            dropped = [p for p in taken if p not in swapped]
+            out.append((taken, tuple(p - sum(d < p for d in dropped) for p in swapped)))
+    return out
+
+
+def _windows(own: list[set | None], other: list[set | None], back: int, ahead: int) -> list[str | None]:
+    """For each place the characters that the other names have there or up to ``back`` before and ``ahead`` behind, if the
+    own names have others too; else None."""
+    out = []
+    for p, mine in enumerate(own):
+        near = other[max(0, p - back):p + ahead + 1]
+        known = None if mine is None or None in near else set().union(*near)
+        out.append(None if known is None or mine <= known else "".join(sorted(known)))
+    return out
+
+
+def _cut_names(names: DataFrame, scripts: list[tuple], as_name: str) -> DataFrame:
+    """(script, swapped, rest, name): each name without the places that a script takes out, if these hold all characters
+    that the other side lacks."""
+    spark = names.sparkSession
+    windows = spark.createDataFrame([(k, n, w) for k, n, _, w in scripts], "script int, n int, known array<string>")
+    cuts = spark.createDataFrame([(k, list(taken), ",".join(map(str, swapped))) for k, n, cut, _ in scripts
+                                  for taken, swapped in cut], "script int, taken array<int>, swapped string")
+    must = F.filter(F.sequence(F.lit(0), F.size("known") - 1), lambda p: F.coalesce(
+        ~F.contains(F.get("known", p), F.substring("name", p + 1, F.lit(1))), F.lit(False)))
+    asked = names.withColumn("n", F.length("name")).join(F.broadcast(windows), "n").withColumn("must", must)
+    cut = asked.join(F.broadcast(cuts), "script").filter(
+        (F.size("must") == 0) | (F.size(F.array_except("must", "taken")) == 0))
+    # what is left of a name of which at most two places are taken out
+    a, b, more = F.get("taken", F.lit(0)), F.get("taken", F.lit(1)), F.size("taken")
+    rest = F.when(more == 0, F.col("name")).when(more == 1, F.concat(
+        F.substring("name", F.lit(1), a), F.substring("name", a + 2, F.length("name")))).otherwise(F.concat(
+            F.substring("name", F.lit(1), a), F.substring("name", a + 2, b - a - 1), F.substring("name", b + 2, F.length("name"))))
+    return cut.select("script", "swapped", rest.alias("rest"), F.col("name").alias(as_name))
+
+
+def cut_matches(left: DataFrame, right: DataFrame, edits: int, cutoff: float) -> DataFrame:
+    """Pairs (left_name, right_name) at most ``edits`` (1 or 2) apart, with all that the best by edit ratio needs: for each
+    left name that has no right name fewer edits away, and each length, the greatest right name exactly that many edits away.
+
+    Two names are that many edits apart if they are alike once some of their
+    characters are taken out: the dropped ones, and the swapped ones at the same
+    places of the rest. All right names with one such rest are as far from a left
+    name with the same rest, so the index holds the greatest of them only, one
+    for each rest: it grows with the names, not with the pairs. A character that
+    the other side never has nearby must be among those taken out. Longer names
+    than ``CUT_LENGTH`` are left out."""
+    la, ra = _alphabets(left), _alphabets(right)
+    ask, index = [], []
+    for n, m in ((n, m) for n in la for m in ra):
+        if 1 - edits / max(n, m) < cutoff - 1e-9:
+            continue
+        for drop in range(edits + 1):
+            add = m - n + drop
+            swap = edits - drop - add
+            if add >= 0 and swap >= 0 and drop + swap <= n:
+                k = len(ask)
+                ask.append((k, n, _cuts(n, drop, swap), _windows(la[n], ra[m], drop, add)))
+                index.append((k, m, _cuts(m, add, swap), _windows(ra[m], la[n], add, drop)))
+    if not ask:
+        return left.sparkSession.createDataFrame([], "left_name string, right_name string")
+    greatest = _cut_names(right, index, "right_name").groupBy("script", "swapped", "rest").agg(
+        F.max("right_name").alias("right_name"))
+    return _cut_names(left, ask, "left_name").join(greatest, ["script", "swapped", "rest"]).select("left_name", "right_name")
+
+
 def _scored(pairs: DataFrame, cutoff: float, measure: str) -> DataFrame:
     score = levenshtein_ratio("right_name", "left_name") if measure == "levenshtein" else sequence_ratio(
         F.col("right_name"), F.col("left_name"))
@@ -282,7 +372,9 @@ def best_matches(left: DataFrame, right: DataFrame, cutoff: float = 0.7, measure
     pairs only).  Output: left_name, right_name, score.
 
     Names are first compared with those at most 1, 2 and 4 edits away, found by
-    a segment index. A name is settled when its best score is above what any
+    a segment index; by the edit ratio, names of up to ``CUT_LENGTH`` characters
+    with equal ones and those 1 and 2 edits away by ``cut_matches``, which
+    doesn't grow with the pairs of look-alike names. A name is settled when its best score is above what any
     name further away can reach: with more edits e than asked for, the edit
     ratio of a name of n characters is at most 1 - e / (n + e) and the
     matching-blocks ratio at most 1 - e / (2 n + e). Names that stay unsettled
@@ -301,10 +393,27 @@ def best_matches(left: DataFrame, right: DataFrame, cutoff: float = 0.7, measure
     found = []
     if most_edits < 1 and todo.count() * rn.count() > few_pairs:
         longest = F.length("left_name") * (1 if measure == "levenshtein" else 2)
-        for edits in RADII:
-            best = _scored(segment_candidates(todo, rn, edits, most_edits), cutoff, measure)
+        cut = measure == "levenshtein"
+        short = lambda df: df.filter(F.length("name") <= CUT_LENGTH)
+        near = None                                 # the best so far of the names that aren't settled
+        for edits in (0, *RADII) if cut else RADII:
+            if edits == 0:
+                pairs = todo.join(rn, "name").select(F.col("name").alias("left_name"), F.col("name").alias("right_name"))
+            elif cut and edits <= CUT_EDITS:
+                pairs = cut_matches(short(todo), short(rn), edits, cutoff)
+                long = F.length("name") > CUT_LENGTH - edits
+                ll, rl = todo.filter(long), rn.filter(long)
+                if not ll.isEmpty() and not rl.filter(F.length("name") > CUT_LENGTH).isEmpty() or not ll.filter(
+                        F.length("name") > CUT_LENGTH).isEmpty():
+                    pairs = pairs.unionByName(segment_candidates(ll, rl, edits, most_edits))
+            else:
+                pairs = segment_candidates(todo, rn, edits, most_edits)
+            if near is not None:
+                pairs = pairs.unionByName(near.join(todo.select(F.col("name").alias("left_name")), "left_name", "left_semi"))
+            best = _scored(pairs, cutoff, measure).checkpoint()
             beyond = 1 - (edits + 1) / (longest + edits + 1)
-            settled = best.filter(F.col("score") > beyond + 1e-12).checkpoint()
+            settled = best.filter(F.col("score") > beyond + 1e-12)
+            near = best.select("left_name", "right_name") if cut else None
             found.append(settled)
             todo = todo.join(settled.select(F.col("left_name").alias("name")), "name", "left_anti").checkpoint()
             if todo.isEmpty():

@@ -254,6 +254,38 @@ def test_segments_leave_few_pairs_of_look_alike_names(spark, monkeypatch):
     assert got == len(set(left)) and sum(pairs) < 0.05 * len(set(left)) * len(set(right)), pairs
 
 
+def test_cut_names_index_does_not_grow_with_the_pairs(spark, monkeypatch):
+    """Numbered names, each of which has hundreds of others two edits away: a few pairs a name are compared."""
+    from ordersmith.operators import joins as J
+    right = [f"Customer#{i:09d}" for i in range(1500)]
+    left = [r[:9] + r[10:] + "x" for r in right]
+    pairs = []
+    scored = J._scored
+
+    def counted(candidates, cutoff, measure):
+        pairs.append(candidates.count())
+        return scored(candidates, cutoff, measure)
+    monkeypatch.setattr(J, "_scored", counted)
+    frame = lambda names: spark.createDataFrame([(x,) for x in names], "name string")
+    got = {r.left_name: r for r in J.best_matches(frame(left), frame(right), 0.85).collect()}
+    assert len(got) == len(left) and sum(pairs) < 30 * len(left), pairs
+    assert got["Customer#00000012x"].right_name == "Customer#000000129"            # one swap, the greatest of ten
+    assert got["Customer#00001234x"].right_name == "Customer#000001234"            # two edits: one digit more, the letter dropped
+
+
+def test_names_around_the_longest_cut_ones(spark):
+    from ordersmith.operators import joins as J
+    base = "abcdefghijklmnopqrstuvwxyz0123456789"
+    left = [base[:n] for n in (30, 31, 32, 33, 34)]
+    right = [base[:n][:10] + "_" + base[:n][10:] for n in (30, 31, 32, 33)] + [base[2:34]]
+    frame = lambda names: spark.createDataFrame([(x,) for x in names], "name string")
+    got = {r.left_name: (r.right_name, round(r.score, 9)) for r in J.best_matches(frame(left), frame(right), 0.85, few_pairs=0).collect()}
+    lev = {(a, b): s for a, b, s in frame(left).crossJoin(frame(right).toDF("r")).select(
+        "name", "r", J.levenshtein_ratio("r", "name")).collect()}
+    want = {a: max((lev[a, b], b) for b in right) for a in left}
+    assert got == {a: (b, round(s, 9)) for a, (s, b) in want.items() if s >= 0.85}
+
+
 def test_segments_cover_every_length():
     from ordersmith.operators.joins import _probes
     segments = {5: [(0, 2), (2, 1), (3, 2)]}
