@@ -74,10 +74,10 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
 
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, F.col("o_custkey") == c.c_custkey)
-           .join(n, F.col("c_nationkey") == n.n_nationkey)
-           .join(p, F.col("l_partkey") == p.p_partkey))
+    # an order gets its customer and nation before it meets its lines, which are several times as many
+    o = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+          .drop("o_custkey", "c_custkey", "c_nationkey", "n_nationkey"))
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, F.col("l_partkey") == p.p_partkey)
 
     okey = F.col("o_orderkey")
     seller_voucher = (F.when(okey % 11 == 0, F.lit(None).cast("string"))
