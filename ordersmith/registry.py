@@ -954,7 +954,7 @@ def q_drop_ingest_ledger(spark, sf_dir):
 # ============================================================ stored upsert
 import uuid  # noqa: E402
 
-from ordersmith.session import shared_path  # noqa: E402
+from ordersmith.session import remove_path, shared_path, staged  # noqa: E402
 from ordersmith.sources import readers, sinks  # noqa: E402
 
 _UPSERTED_SQL = f"SELECT {_ALL} FROM old_c WHERE NOT (in_span AND hit) UNION ALL SELECT {_ALL} FROM new"
@@ -1192,17 +1192,29 @@ def q_clean_dirty_cells(spark, sf_dir):
 # ============================================================ CSV drops of several layouts
 def _csv_drop(spark, sf_dir):
     """The export lines as CSV folders, one a shop: pending orders in an older layout (another rate header, no return
-    column), open ones with an unknown column, and returned lines a second time in files without order numbers."""
+    column), open ones with an unknown column, and returned lines a second time in files without order numbers.
+
+    The lines are made once for all layouts, and every task writes its own files of a shop: no line moves for that, and
+    a large shop is dealt over the tasks. A task keeps the files of up to 64 shops open, and so needn't sort its lines."""
     run = _fresh_folder(spark, "csv")
     raw = td.raw_order_exports(spark, sf_dir).drop("row_no").withColumnRenamed("file_name", "export")
+    lines = _fresh_folder(spark, "csv-lines")
+    raw = staged(raw, lines)
     status = F.col(td.raw_source("order_status"))
     sn, back = td.raw_source("order_sn"), td.raw_source("return_quantity")
     rate = F.concat(F.col(td.raw_source("quantity")), F.lit("%"))
     parts = {"old": raw.filter(status == "P").drop(back).withColumn("金流處理費率", rate),
              "open": raw.filter(status == "O").withColumn("店員", F.lit("A")).withColumn("金流與系統處理費率", rate),
              "done": raw.filter(status == "F"), "bad": raw.filter(F.col(back) != "0").drop(sn)}
-    for name, df in parts.items():
-        df.repartition("export").write.option("header", True).partitionBy("export").csv(f"{run}/{name}")
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, "64")
+    try:
+        for name, df in parts.items():
+            df.write.option("header", True).partitionBy("export").csv(f"{run}/{name}")
+    finally:
+        spark.conf.set(writers, before)
+    remove_path(spark, lines)
     return readers.scan_order_exports(spark, f"{run}/*/*", glob="*.csv")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -57,6 +58,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
 
 
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written once, to ``path`` or a fresh folder under the shared checkpoint folder, and read back from there
+    by the columns that are asked for. The files stay."""
+    path = path or shared_path(df.sparkSession, "ordersmith-staged", uuid.uuid4().hex)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

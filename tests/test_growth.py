@@ -84,3 +84,31 @@ def test_money_keeps_digits_points_and_signs(spark):
     want = {"NT$1,234.5": 1234.5, "(100)": 100.0, "1e3": 13.0, "": None, "-": None, "\U0001d7d9 7 元": 7.0, "12": 12.0}
     df = spark.createDataFrame([(k,) for k in [*want, None]], "c string")
     assert {r.c: r.v for r in df.select("c", X.currency_to_double("c").alias("v")).collect()} == {**want, None: None}
+
+
+def _counted(spark, df):
+    """``df`` and the number of its lines that have been made so far."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+    return df.mapInArrow(seen, df.schema), made
+
+
+def test_csv_drop_makes_its_lines_once_and_deals_a_shop_over_tasks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ordersmith import registry as R
+    n = td.raw_order_exports(spark, SF_SMALL).count()
+    counted, made = _counted(spark, td.raw_order_exports(spark, SF_SMALL).repartition(3))
+    monkeypatch.setattr(R.td, "raw_order_exports", lambda *_: counted)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")            # else files this small are one task
+    try:
+        drop = R._csv_drop(spark, SF_SMALL)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert made.value == n == drop.rows.count()
+    of_shop = drop.files.groupBy(F.regexp_extract("file_path", "^(.*)/", 1)).count()
+    assert of_shop.agg(F.max("count")).first()[0] > 1 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
