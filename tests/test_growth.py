@@ -97,6 +97,25 @@ def _counted(spark, df):
     return df.mapInArrow(seen, df.schema), made
 
 
+def test_product_lists_make_their_lines_once(spark):
+    from ordersmith.plans import marts
+    lines = spark.range(3_000).selectExpr("if(id % 3 = 0, '', cast(id div 4 AS string)) AS order_sn", "id AS row_no",
+                                          "'p' AS product_name", "'s' AS product_sku_main")
+    counted, made = _counted(spark, lines)
+    lists = marts.order_product_lists(counted, list_lines=100)
+    assert sum(r.lines for r in lists.collect()) == made.value == 3_000
+
+
+@pytest.mark.parametrize("name", ["order_product_lists_joined", "unnumbered_lines", "order_summary_blank_numbers"])
+def test_queries_make_their_master_once(spark, monkeypatch, name):
+    from ordersmith import registry as R
+    n = R.master(spark, SF_SMALL).count()
+    counted, made = _counted(spark, R.master(spark, SF_SMALL))
+    monkeypatch.setattr(R, "master", lambda *_: counted)
+    rows = R.QUERIES[name](spark, SF_SMALL).collect()
+    assert rows and made.value == n
+
+
 def test_csv_drop_makes_its_lines_once_and_deals_a_shop_over_tasks(spark, monkeypatch):
     from pyspark.sql import functions as F
 
