@@ -848,13 +848,15 @@ UNION ALL SELECT 'b03_order_simple_details', 'success', n, true FROM o
 UNION ALL SELECT 'b04_order_shipping_info', 'success', n, true FROM o
 UNION ALL SELECT 'b05_not_exported', 'skipped', 0, false"""))
 def q_publish_marts(spark, sf_dir):
-    """Writes the four marts as catalog tables and returns the load manifest."""
-    m = master(spark, sf_dir)
+    """Writes the four marts as catalog tables and returns the load manifest. The master is made once for all of them."""
+    run = _fresh_folder(spark, "marts")
+    m = staged(master(spark, sf_dir), run)
     manifest = publish(spark, {"b01_orders_concat": marts.order_summary(m),
                            "b02_order_details": marts.order_details(m),
                            "b03_order_simple_details": marts.order_headers(m),
                            "b04_order_shipping_info": marts.order_shipping(m),
                            "b05_not_exported": None}, PUBLISH_DATABASE)
+    remove_path(spark, run)
     return manifest.select("table", "status", "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 

@@ -106,7 +106,7 @@ def test_product_lists_make_their_lines_once(spark):
     assert sum(r.lines for r in lists.collect()) == made.value == 3_000
 
 
-@pytest.mark.parametrize("name", ["order_product_lists_joined", "unnumbered_lines", "order_summary_blank_numbers"])
+@pytest.mark.parametrize("name", ["order_product_lists_joined", "publish_marts", "unnumbered_lines", "order_summary_blank_numbers"])
 def test_queries_make_their_master_once(spark, monkeypatch, name):
     from ordersmith import registry as R
     n = R.master(spark, SF_SMALL).count()
@@ -114,6 +114,8 @@ def test_queries_make_their_master_once(spark, monkeypatch, name):
     monkeypatch.setattr(R, "master", lambda *_: counted)
     rows = R.QUERIES[name](spark, SF_SMALL).collect()
     assert rows and made.value == n
+    if name == "publish_marts":
+        assert {r.table: r.rows for r in rows}["b02_order_details"] == n
 
 
 def test_csv_drop_makes_its_lines_once_and_deals_a_shop_over_tasks(spark, monkeypatch):
