@@ -17,6 +17,9 @@ from ordersmith.session import checkpoint_dir
 #: Bytes of text that a task turns into arrays at a time (a longer text is cut between words).
 SLICE_BYTES = 1 << 17
 
+#: Bytes of rows that staging sends to a Python worker at a time (or one row), unless the session names a number.
+BATCH_BYTES = 4 << 20
+
 #: Paths staged for an owner (see ``staged_for``), by its name.
 _STAGED: dict[str, list[str]] = {}
 _OWNER: ContextVar[str | None] = ContextVar("owner", default=None)
@@ -26,17 +29,34 @@ def stage(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame
     """Write ``df`` as Parquet into the shared folder of ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage to files that every executor sees, so later jobs agree on
-    row identities however often tasks are lost and run again.
+    row identities however often tasks are lost and run again. Rows go to
+    Python workers in batches of ``BATCH_BYTES``, since Spark's own of 10,000
+    rows hold whole partitions of texts several times over in both processes.
     """
     spark = df.sparkSession
     path = staged_path(spark, tag)
     w = df.write
     if partition_by:
         w = w.partitionBy(partition_by)
-    w.parquet(path)
+    with _small_batches(spark):
+        w.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Writes inside use batches of ``BATCH_BYTES``; a number that the session sets itself holds."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def staged_path(spark: SparkSession, tag: str) -> str:
     """A fresh path in the shared folder."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/ordersmith-llm/{tag}-{uuid.uuid4().hex}"
@@ -186,11 +206,3 @@ def probe_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether the hashes' bits are set."""
     pos = hashes & _U(len(bitmap) * 64 - 1)
     return ((bitmap[(pos >> _U(6)).astype(np.int64)] >> (pos & _U(63))) & _U(1)).astype(bool)
-
-
-def may_be_in(bitmap: np.ndarray, hash_col: Column) -> Column:
-    """Column form of ``probe_bitmap`` for a long hash column."""
-    @F.arrow_udf("boolean")
-    def probe(h: pa.Array) -> pa.Array:
-        return pa.array(probe_bitmap(bitmap, h.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
-    return probe(hash_col)

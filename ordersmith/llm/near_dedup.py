@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordersmith.llm.common import (binary_views, doc_slices, hashed_bitmap, list_array, may_be_in, mix64, stage,
-                                   text_bytes, with_uid)
+from ordersmith.llm.common import (binary_views, doc_slices, hashed_bitmap, list_array, mix64, probe_bitmap,
+                                   stage, text_bytes, with_uid)
 from ordersmith.llm.words import shingles, word_spans
 
 WORDS = 5
@@ -114,7 +114,7 @@ def _sign(bands: int, rows: int, k_words: int):
         for b in batches:
             values, offsets = binary_views(b.column("text"))
             c1, c2, keys, size = [], [], [], []
-            for i, j in doc_slices(offsets, 4 << 20):
+            for i, j in doc_slices(offsets, 1 << 20):
                 cells, counts = regions(values, offsets[i: j + 1], k_words)
                 sig = dart_signatures(cells, counts, bands * rows)
                 key = np.zeros((len(counts), bands), np.uint64)
@@ -143,12 +143,14 @@ def _sign(bands: int, rows: int, k_words: int):
     return sign
 
 
-def _cells(k_words: int):
-    """uid and the sorted unit regions of its text, as the bytes of 64-bit numbers."""
+def _cells(k_words: int, need: np.ndarray):
+    """uid and the sorted unit regions of its text, as the bytes of 64-bit numbers, of rows whose h may be in ``need``."""
     def cells(batches):
         for b in batches:
+            h = b.column("h").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            b = b.filter(pa.array(probe_bitmap(need, h)))
             values, offsets = binary_views(b.column("text"))
-            for i, j in doc_slices(offsets, 4 << 20):
+            for i, j in doc_slices(offsets, 1 << 20):
                 r, counts = regions(values, offsets[i: j + 1], k_words)
                 ends = np.cumsum(counts)
                 off = np.concatenate([[0], np.cumsum(counts) * 8]).astype(np.int32)
@@ -212,8 +214,9 @@ def cells_of(uids: DataFrame, rows: DataFrame, k_words: int) -> DataFrame:
     """(uid, cells) of the texts in ``rows`` (uid, text) whose uid is in ``uids``, and perhaps a few more."""
     h = F.xxhash64("uid")
     need = hashed_bitmap(uids.select(h.alias("h")))
-    return stage(rows.select("uid", "text").filter(may_be_in(need, h)).mapInArrow(
-        _cells(k_words), f"uid {dict(rows.dtypes)['uid']}, cells binary"), "near-cells")
+    # one Python step: a filter of its own would hold a second worker, with the texts, beside each task's first
+    return stage(rows.select("uid", "text", h.alias("h")).mapInArrow(
+        _cells(k_words, need), f"uid {dict(rows.dtypes)['uid']}, cells binary"), "near-cells")
 
 
 def links(pairs: DataFrame, cells: DataFrame, similarity: float) -> DataFrame:

@@ -81,7 +81,7 @@ def statistics(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _batch_statistics(arr: pa.Array) -> np.ndarray:
     values, offsets = binary_views(arr)
-    rows = [statistics(values, offsets[i: j + 1]) for i, j in doc_slices(offsets, 4 << 20)]
+    rows = [statistics(values, offsets[i: j + 1]) for i, j in doc_slices(offsets, 1 << 20)]
     return np.concatenate(rows) if rows else np.zeros((0, STATISTICS))
 
 

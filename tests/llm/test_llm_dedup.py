@@ -1,14 +1,17 @@
 """Exact and near dedup against brute force, with awkward rows."""
 
+import contextlib
 import hashlib
+import io
 import random
+import re
 
 import numpy as np
 import pytest
 
 from llm_helpers import docs, near_groups
 from ordersmith.llm import near_dedup as nd
-from ordersmith.llm.common import binary_views
+from ordersmith.llm.common import BATCH_BYTES, binary_views, stage
 from ordersmith.llm.exact_dedup import drop_exact_duplicates, exact_dedup
 
 BLANKS = {ord(c): None for c in " \t\n\x0b\x0c\r"}
@@ -133,3 +136,40 @@ def test_binary_views_of_a_slice():
     import pyarrow as pa
     v, o = binary_views(pa.array([b"ab", b"", b"cde"]).slice(1, 2))
     assert bytes(v[o[1]:o[2]]) == b"cde" and o[0] == o[1]
+
+
+def test_near_has_one_python_step_a_task(spark, monkeypatch):
+    """A Python step that feeds another one holds a worker of its own beside the other's."""
+    steps = {}
+
+    def noted(df, tag):
+        with contextlib.redirect_stdout(out := io.StringIO()):
+            df.explain()
+        for part in re.split(r".*Exchange .*", out.getvalue()):        # what a task does without a shuffle
+            steps[tag] = max(steps.get(tag, 0), len(re.findall(r"MapInArrow|ArrowEvalPython|FlatMapGroups", part)))
+        return stage(df, tag)
+    monkeypatch.setattr(nd, "stage", noted)
+    text = " ".join(f"w{i}" for i in range(60))
+    got = nd.near_dedup(docs(spark, [(1, text), (2, text + " x"), (3, "a b c d e f"), (4, None)])).collect()
+    assert sorted((r.doc_id, r.group_id) for r in got) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+    assert steps["near-signed"] == steps["near-cells"] == 1
+
+
+def test_staging_sends_wide_rows_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+    wide = spark.range(0, 200, 1, 1).selectExpr("repeat('x', 100000) as text")
+    got = stage(wide.mapInArrow(sizes, "n long, size long"), "test-batches").collect()
+    assert sum(r.n for r in got) == 200 and max(r["size"] for r in got) < BATCH_BYTES + 200_000
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "1m")                                            # the session's own holds
+    try:
+        own = stage(wide.mapInArrow(sizes, "n long, size long"), "test-batches").collect()
+        assert sum(r.n for r in own) == 200 and max(r["size"] for r in own) < (1 << 20) + 200_000
+        assert spark.conf.get(key, None) == "1m"
+    finally:
+        spark.conf.unset(key)
