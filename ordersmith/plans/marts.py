@@ -2,10 +2,11 @@
 
 * ``order_summary``  (B01): one row per order number, first-line attributes,
   ordered product / SKU lists and quantity totals, in one aggregation.  Totals
-  and first lines are combined map-side.  The lists hold all lines of a group
-  of up to ``LIST_LINES`` lines.  A larger one (lines without an order number
-  are one group, of any size) has null lists there and its lists in several
-  rows of ``order_product_lists``, in order and each of so many lines.
+  and first lines are combined map-side.  The lists hold all lines of a group,
+  whatever its size.  Those of more than ``LIST_LINES`` lines (lines without an
+  order number are one group) are sorted and joined in ranges of about so many
+  lines, and only the ranges' texts meet in one task.  ``order_product_lists``
+  has the same lines in rows of bounded size.
 * ``order_details``  (B02): line-level projection.
 * ``order_headers``  (B03) / ``order_shipping`` (B04): the first line of each
   order (row_number = 1, pre-limited per task before the shuffle).
@@ -43,7 +44,7 @@ def unnumbered_lines(master: DataFrame) -> DataFrame:
     return master.filter(F.coalesce("order_sn", F.lit("")) == "")
 
 
-#: Lines whose names one list holds, and so the most lines of one group that a task gathers.
+#: Lines whose names one task gathers and sorts; the lists of larger groups are made range by range.
 LIST_LINES = 250_000
 _LISTS = {"product_name_list": "product_name", "product_sku_main_list": "product_sku_main"}
 
@@ -65,32 +66,63 @@ def large_groups(lines: DataFrame, most: int = LIST_LINES) -> DataFrame | None:
     return None if large.isEmpty() else large
 
 
-def _summary(lines: DataFrame, order: str, lists: bool) -> DataFrame:
+_TOTALS = {"total_quantity": "quantity", "total_return_quantity": "return_quantity"}
+
+
+def _firsts_and_totals(order: str) -> list[Column]:
     first = F.min_by(F.struct(*[F.col(c) for c in SUMMARY_FIRST_COLUMNS]), F.col(order))
+    return [first.alias("__first"),
+            *[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("bigint").alias(name) for name, c in _TOTALS.items()]]
+
+
+def _summary(lines: DataFrame, order: str, lists: bool) -> DataFrame:
     agg = lines.groupBy("order_sn").agg(
-        first.alias("__first"),
-        *([ordered_join(c, order).alias(name) for name, c in _LISTS.items()] if lists else []),
-        F.sum(F.coalesce(F.col("quantity"), F.lit(0))).cast("bigint").alias("total_quantity"),
-        F.sum(F.coalesce(F.col("return_quantity"), F.lit(0))).cast("bigint").alias("total_return_quantity"),
-    )
+        *_firsts_and_totals(order), *([ordered_join(c, order).alias(name) for name, c in _LISTS.items()] if lists else []))
     return agg.select("order_sn", *[F.col(f"__first.{c}").alias(c) for c in SUMMARY_FIRST_COLUMNS],
-                      *[F.col(name) if lists else F.lit(None).cast("string").alias(name) for name in _LISTS],
-                      "total_quantity", "total_return_quantity")
+                      *[F.col(name) if lists else F.lit(None).cast("string").alias(name) for name in _LISTS], *_TOTALS)
+
+
+def _range_texts(lines: DataFrame, order: str, value: str, ranges: int) -> DataFrame:
+    """order_sn, __part, __text: the values of every group joined in order, one text for each sorted range.
+
+    Lines of equal place and value are dealt over ranges too, so that a range has about the same lines as any other."""
+    v = F.col(value).cast("string")
+    lines = lines.filter(v.isNotNull() & (v != "")).select("order_sn", order, value, F.monotonically_increasing_id().alias("__tie"))
+    parts = lines.repartitionByRange(ranges, "order_sn", order, value, "__tie").withColumn("__part", F.spark_partition_id())
+    return parts.groupBy("order_sn", "__part").agg(ordered_join(value, order).alias("__text"))
+
+
+def _large_summary(lines: DataFrame, order: str) -> DataFrame:
+    """``_summary`` of large groups. The lines' columns are written once; a group's texts, first line and totals meet in
+    one aggregation, so that the row with the whole lists is not joined or moved any more."""
+    lines = staged(lines.select(*dict.fromkeys(["order_sn", order, *SUMMARY_FIRST_COLUMNS, *_LISTS.values(), *_TOTALS.values()])))
+    ranges = -(-lines.count() // LIST_LINES)
+    rows = lines.groupBy("order_sn").agg(*_firsts_and_totals(order))
+    for name, c in _LISTS.items():
+        texts = _range_texts(lines, order, c, ranges).withColumnsRenamed({"__part": f"__part_{name}", "__text": f"__text_{name}"})
+        rows = rows.unionByName(texts, allowMissingColumns=True)
+    first = F.first("__first", ignorenulls=True)
+    return rows.groupBy("order_sn").agg(           # in the mart's column order: no projection copies the lists again
+        *[first[c].alias(c) for c in SUMMARY_FIRST_COLUMNS],
+        *[ordered_join(f"__text_{name}", f"__part_{name}").alias(name) for name in _LISTS],
+        *[F.max(name).alias(name) for name in _TOTALS])
 
 
 def order_summary(master: DataFrame, order: str = ROW_ORDER, null_numbers: bool = True,
-                  list_lines: int = LIST_LINES) -> DataFrame:
+                  list_lines: int | None = None) -> DataFrame:
     """B01 order summary grouped by ``order_sn``.
 
-    Groups of more than ``list_lines`` lines have null lists (see
-    ``order_product_lists``) and everything else; finding them counts the lines
-    of each number when this is called."""
+    All groups have their whole lists; finding the large ones counts the lines
+    of each number when this is called. A caller who names ``list_lines`` gets
+    null lists for groups of more lines (see ``order_product_lists``). One list
+    is one value of Spark, of up to 2 GB; a longer one is an error."""
     lines = numbered(master, null_numbers)
-    large = large_groups(lines, list_lines)
+    large = large_groups(lines, LIST_LINES if list_lines is None else list_lines)
     if large is None:
         return _summary(lines, order, True)
+    rest = lines.join(large, "order_sn", "left_semi")
     return _summary(lines.join(large, "order_sn", "left_anti"), order, True).unionByName(
-        _summary(lines.join(large, "order_sn", "left_semi"), order, False))
+        _large_summary(rest, order) if list_lines is None else _summary(rest, order, False))
 
 
 def _ranked(lines: DataFrame, order: str) -> DataFrame:

@@ -1151,7 +1151,7 @@ master AS (SELECT * REPLACE (CASE WHEN order_status = 'P' THEN '' ELSE order_sn
 SELECT row_no, order_date, shop_name, buyer_username, product_name, product_sku_main, quantity, return_quantity
 FROM master WHERE order_sn = '' ORDER BY row_no""")
 def q_unnumbered_lines(spark, sf_dir):
-    """The lines whose lists ``order_summary_blank_numbers`` leaves out."""
+    """The lines of the blank group of ``order_summary_blank_numbers``, one a row."""
     columns = ["row_no", "order_date", "shop_name", "buyer_username", "product_name", "product_sku_main", "quantity",
                "return_quantity"]
     return marts.unnumbered_lines(_blank_numbers(spark, sf_dir, *columns)).select(*columns).orderBy("row_no")

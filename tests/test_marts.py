@@ -76,3 +76,45 @@ def test_a_large_group_is_dealt_over_tasks(spark):
     assert sorted(r[0] for r in ranked.select("__rank").collect()) == list(range(20_000))
     spread = [r["count"] for r in ranked.groupBy("__part").count().collect()]
     assert len(spread) > 1 and max(spread) < 15_000
+
+
+def test_summary_has_whole_lists_of_groups_of_any_size(spark, monkeypatch):
+    """Groups of more lines than a task gathers have the same row as in one aggregation, ties in row_no included."""
+    rows = [("" if i % 3 else None, None if i % 90 == 0 else i % 50, f"p{i % 7}" if i % 5 else "", f"s{i % 11}", i % 4 or None, f"n{i}")
+            for i in range(400)]
+    rows += [("E", i, "", None, 1, "e") for i in range(40)]                                  # large, with empty lists
+    rows += [("T", 1, "same", f"t{i}", 1, "t") for i in range(90)] + [("A", 2, "x", "", 3, "a2"), ("A", 1, "y", None, 4, "a1")]
+    lines = conform(spark.createDataFrame(rows, "order_sn string, row_no long, product_name string, product_sku_main string, "
+                                                "quantity long, shop_name string"),
+                    MASTER_COLUMNS, keep=["row_no"]).repartition(7).localCheckpoint()
+    whole = {r.order_sn: r for r in marts.order_summary(lines).collect()}                    # all in one aggregation
+    monkeypatch.setattr(marts, "LIST_LINES", 30)
+    ranges = marts.order_summary(lines).collect()
+    assert len(ranges) == len(whole) == 4
+    first = {r.order_sn: r.asDict() for r in ranges}
+    lists = ["product_name_list", "product_sku_main_list", "total_quantity", "total_return_quantity", "shop_name"]
+    for sn, r in whole.items():
+        assert {c: first[sn][c] for c in lists if c != "shop_name" or sn == "A"} == {
+            c: r[c] for c in lists if c != "shop_name" or sn == "A"}, sn
+    blank = [r for r in rows if not r[0]]
+    place = lambda r: (r[1] is not None, r[1] or 0)
+    assert first[""]["product_name_list"] == ";".join(r[2] for r in sorted(blank, key=lambda r: (*place(r), r[2])) if r[2])
+    assert first[""]["product_sku_main_list"] == ";".join(r[3] for r in sorted(blank, key=lambda r: (*place(r), r[3])))
+    assert first["T"]["product_name_list"] == ";".join(["same"] * 90)
+    assert [first["E"][c] for c in lists[:3]] == ["", "", 40]
+
+
+def test_ranges_of_a_large_group_are_dealt_over_tasks(spark):
+    from ordersmith.plans.marts import _range_texts
+    one = spark.range(20_000).select(F.lit("").alias("order_sn"), F.lit(1).cast("long").alias("row_no"), F.lit("p").alias("product_name"))
+    texts = [r["__text"] for r in _range_texts(one, "row_no", "product_name", 8).collect()]
+    assert len(texts) == 8 and sum(map(len, texts)) == 2 * 20_000 - 8 and max(map(len, texts)) < 15_000
+
+
+def test_a_group_of_over_250_000_lines_has_its_whole_lists(spark):
+    n = 260_000
+    lines = conform(spark.range(n).selectExpr("cast(null AS string) AS order_sn", "id AS row_no", "'p' AS product_name",
+                                              "if(id % 2 = 0, 's', '') AS product_sku_main", "1L AS quantity"),
+                    MASTER_COLUMNS, keep=["row_no"])
+    r = marts.order_summary(lines).select("order_sn", F.length("product_name_list"), F.length("product_sku_main_list"), "total_quantity")
+    assert [tuple(x) for x in r.collect()] == [("", 2 * n - 1, n - 1, n)]
