@@ -133,3 +133,50 @@ def test_csv_drop_makes_its_lines_once_and_deals_a_shop_over_tasks(spark, monkey
     assert made.value == n == drop.rows.count()
     of_shop = drop.files.groupBy(F.regexp_extract("file_path", "^(.*)/", 1)).count()
     assert of_shop.agg(F.max("count")).first()[0] > 1 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def _shuffle_files(spark):
+    import os
+    from ordersmith.session import checkpoint_dir
+    checkpoint_dir(spark)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for d in disk.localDirsString() for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+
+def test_staged_and_stored_lines_leave_no_shuffle_files(spark, tmp_path):
+    from ordersmith import registry as R
+    from ordersmith.session import staged
+    before = _shuffle_files(spark)
+    lines = staged(R.upsert_old(spark, SF_SMALL).filter("order_date >= '2001-01-01'").repartition(5, "order_sn"), str(tmp_path / "lines"))
+    assert not _shuffle_files(spark) - before
+    sinks.upsert_into(spark, str(tmp_path / "master"), lines, run_id="load")
+    assert not _shuffle_files(spark) - before
+    assert sinks.read_master(spark, str(tmp_path / "master")).count() == lines.count() > 0
+
+
+def test_large_batches_are_stored_in_turns_with_the_same_result(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ordersmith import registry as R
+    first = R.upsert_old(spark, SF_SMALL).filter("order_date >= '1998-04-01' AND order_date < '1998-07-01'").localCheckpoint()
+    new = R.upsert_new(spark, SF_SMALL).filter("order_date >= '1998-05-01' AND order_date < '1998-08-01'").withColumn(
+        "order_date", F.when(F.col("row_no") != 2, F.col("order_date"))).localCheckpoint()           # some lines undated
+    got = []
+    for name, lines in (("whole", 20_000_000), ("turns", 50)):
+        monkeypatch.setattr(sinks, "TURN_LINES", lines)
+        at = str(tmp_path / name)
+        sinks.upsert_into(spark, f"{at}/master", first, run_id="load")
+        outs = [sinks.upsert_into(spark, f"{at}/master", new, f"{at}/orphans", run_id=f"r{i}", run_ts=R.RUN_TS, drop_orphans=i > 1)
+                for i in range(3)]
+        assert not [p for p in (tmp_path / name / "master").iterdir() if p.name.startswith("_turns")]
+        rows = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+        got.append((rows(sinks.read_master(spark, f"{at}/master")), rows(spark.read.parquet(f"{at}/orphans")),
+                    [(o.statistics, o.orphans, o.days_removed) for o in outs]))
+    assert got[0] == got[1] and got[0][0] and got[0][1]
+
+
+def test_lines_made_in_turns_are_all_lines(spark, tmp_path):
+    from ordersmith import registry as R
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    made = R._made_in_turns(spark, lambda turn: R.upsert_new(spark, SF_SMALL, turn), str(tmp_path / "new"))
+    assert rows(made) == rows(R.upsert_new(spark, SF_SMALL))
