@@ -180,3 +180,11 @@ def test_lines_made_in_turns_are_all_lines(spark, tmp_path):
     rows = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
     made = R._made_in_turns(spark, lambda turn: R.upsert_new(spark, SF_SMALL, turn), str(tmp_path / "new"))
     assert rows(made) == rows(R.upsert_new(spark, SF_SMALL))
+    headers = R._write_exports(spark, SF_SMALL, str(tmp_path / "inbox"))
+    files = [p for d in (tmp_path / "inbox").iterdir() if d.name.startswith("file_name=") for p in d.iterdir() if p.name.startswith("part-")]
+    raw = td.raw_order_exports(spark, SF_SMALL)
+    assert len(files) == raw.select("file_name").distinct().count() and all(p.name.endswith(".csv.gz") for p in files)
+    read = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "inbox"))
+    assert headers == [c for c in raw.columns if c not in ("file_name", "row_no")]
+    text = lambda df: sorted(tuple((x or "").strip() for x in r) for r in df.select(*headers, "file_name").collect())
+    assert text(read) == text(raw)
